@@ -68,7 +68,7 @@ AVG_COP = (6, [6])
 
 
 def _hsum(col: str, scale: int) -> str:
-    return f"SUM(CAST({col} * {10 ** scale} AS HUGEINT))"
+    return f"SUM(CAST(CAST({col} AS DECIMAL(38,{scale})) * {10 ** scale} AS HUGEINT))"
 
 
 def duck_int(expr: str) -> str:
@@ -85,9 +85,9 @@ lines AS (
          CAST(SUM(CAST(l.l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS budget_usd,
          CAST(SUM(CAST(l.l_discount AS DECIMAL(18,2))) AS DOUBLE) * 100.0 / CAST(COUNT(*) AS DOUBLE) AS vote_average,
          CAST(COUNT(*) AS INTEGER) AS vote_count,
-         string_agg(CAST(l.l_suppkey AS VARCHAR), ',') AS cast_ids,
-         string_agg(p.p_name, ', ') AS genres,
-         string_agg(p.p_brand, ',') AS directors
+         string_agg(CAST(l.l_suppkey AS VARCHAR), ',' ORDER BY CAST(l.l_suppkey AS VARCHAR)) AS cast_ids,
+         string_agg(p.p_name, ', ' ORDER BY p.p_name) AS genres,
+         string_agg(p.p_brand, ',' ORDER BY p.p_brand) AS directors
   FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
   GROUP BY l.l_orderkey),
 rates_raw AS (

@@ -21,8 +21,10 @@ def keep_one(df: DataFrame, key: str | list[str], *order_by: str,
              ascending: bool = False) -> DataFrame:
     keys = [key] if isinstance(key, str) else list(key)
     ties = [] if tie_break is None else ([tie_break] if isinstance(tie_break, str) else list(tie_break))
+    have = set(df.columns)
     order = []
-    for c in [*order_by, *ties]:
+    # Absent order columns are skipped, like the cleaning helpers skip absent names.
+    for c in [c for c in [*order_by, *ties] if c in have]:
         order.append(F.col(c).asc_nulls_last() if ascending else F.col(c).desc_nulls_last())
     if not order:
         order = [F.lit(1)]

@@ -55,7 +55,7 @@ def roi_local(revenue: str = "revenue_usd", budget: str = "budget_usd", rate: st
     ``(rev*r - bud*r) / (bud*r) * 100`` when budget > 0. Equals ``roi_pct - 100``."""
     r, b, k = F.col(revenue), F.col(budget), F.col(rate)
     return F.when(b.isNotNull() & (b > 0),
-                  F.try_divide(((r * k) - (b * k)).cast("double"), (b * k).cast("double")) * 100)
+                  F.try_divide((r * k).cast("double") - (b * k).cast("double"), (b * k).cast("double")) * 100)
 
 
 def financial_metrics(movies: DataFrame, exchange: DataFrame, code: str = "COP",

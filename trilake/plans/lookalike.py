@@ -18,7 +18,8 @@ Money stays ``decimal(18,2)`` (rates ``decimal(18,4)``) so sums are exact and
 agree bit-for-bit with another engine; ratios are doubles like the reference.
 
 The comma lists are built by one aggregation of lineitem by order key (partial
-aggregation, one shuffle). A list is as long as its order has lines.
+aggregation, one shuffle), sorted so both engines spell them the same. A list
+is as long as its order has lines.
 """
 
 from __future__ import annotations
@@ -51,9 +52,9 @@ def title_lines(spark: SparkSession, d: str) -> DataFrame:
         (F.sum(F.col("l_discount").cast(MONEY)).cast("double") * F.lit(100.0)
          / F.count(F.lit(1)).cast("double")).alias("vote_average"),
         F.count(F.lit(1)).cast("int").alias("vote_count"),
-        F.concat_ws(",", F.collect_list(F.col("l_suppkey").cast("string"))).alias("cast_ids"),
-        F.concat_ws(", ", F.collect_list("p_name")).alias("genres"),
-        F.concat_ws(",", F.collect_list("p_brand")).alias("directors"),
+        F.array_join(F.array_sort(F.collect_list(F.col("l_suppkey").cast("string"))), ",").alias("cast_ids"),
+        F.array_join(F.array_sort(F.collect_list("p_name")), ", ").alias("genres"),
+        F.array_join(F.array_sort(F.collect_list("p_brand")), ",").alias("directors"),
     )
 
 

@@ -34,7 +34,7 @@ def build_session(master: str | None = None, app: str = "trilake",
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-        b = b.config("spark.ui.enabled", "false")
+        b = b.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
         b = b.config("spark.driver.memory", os.environ.get("TRILAKE_DRIVER_MEM", "16g"))
     for k, v in JOB_CONF.items():
         b = b.config(k, v)
