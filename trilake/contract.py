@@ -28,7 +28,7 @@ from trilake.operators.dedupe import keep_one
 from trilake.operators.finance import roi_local
 from trilake.operators.joins import cross_scalar, keep_known
 from trilake.plans import kpi, lookalike as LA, questions as Q, questions_sql as QS
-from trilake.plans.trusted import clean_exchange, clean_movies, genre_bridge
+from trilake.plans.trusted import clean_movies, clean_tv, genre_bridge
 from trilake.sources.views import register_views
 
 # ------------------------------------------------------------------ helpers
@@ -319,6 +319,37 @@ def q_top15_display(spark, d):
     return to_double(kpi.genre_feed(Q.revenue_by_genre(LA.titles(spark, d))))
 
 
+def q_year_display(spark, d):
+    return to_double(kpi.year_feed(Q.revenue_by_year(LA.titles(spark, d))))
+
+
+def q_director_display(spark, d):
+    return to_double(kpi.director_feed(Q.roi_by_director(LA.titles(spark, d))))
+
+
+def q_actor_display(spark, d):
+    return to_double(kpi.actor_feed(Q.top_actors_rentables(LA.titles(spark, d), LA.people(spark, d))))
+
+
+def q_scatter_display(spark, d):
+    s = Q.ratings_vs_revenue_sample(LA.titles(spark, d), LA.reviews(spark, d), mode="hash")
+    return to_double(kpi.scatter_feed(s))
+
+
+def q_display_axis_ranges(spark, d):
+    t = LA.titles(spark, d)
+    g = kpi.axis_max(kpi.top_then_resort(Q.revenue_by_genre(t), 15, "revenue_usd_total", key="genre"),
+                     "revenue_usd_total", 1.15, kpi.USD_BILLIONS)
+    a = kpi.axis_max(Q.top_actors_rentables(t, LA.people(spark, d)), "n_movies_rentables", 1.12)
+    r = kpi.axis_max(Q.roi_by_director(t), "avg_roi_pct", 1.15)
+    return g.crossJoin(a).crossJoin(r)
+
+
+def _renamed(inner: str, captions: dict, extra: str = "") -> str:
+    cols = ", ".join(f'{k} AS "{v}"' for k, v in captions.items())
+    return f"SELECT {cols}{extra} FROM ({inner}) x"
+
+
 # ------------------------------------------------------------------ cleaning operators
 
 
@@ -457,7 +488,7 @@ def q_fx_convert_broadcast(spark, d):
 
 def q_fx_roi_adjusted(spark, d):
     fx = LA.exchange(spark, d).where(F.col("currency") == LA.FX_CODE).select(F.col("rate").alias("cop_rate"))
-    t = cross_scalar(LA.titles(spark, d, LA.exchange(spark, d)), fx)
+    t = cross_scalar(LA.titles(spark, d), fx)
     return t.select("tmdb_id", "roi_pct", roi_local().alias("roi_adjusted"))
 
 
@@ -522,6 +553,28 @@ SELECT CAST(tmdb_id AS INTEGER) AS tmdb_id, title, release_year, CAST(revenue_us
 FROM titles WHERE tmdb_id > 0""")
 
 
+def q_tv_clean(spark, d):
+    """T2 on a raw-text look-alike: customers as shows, balance / 20 as popularity."""
+    c = LA.table(spark, d, "customer")
+    raw = c.select(F.col("c_custkey").cast("string").alias("tmdb_id"),
+                   F.col("c_name").alias("title"),
+                   F.col("c_nationkey").cast("string").alias("vote_count"),
+                   (F.col("c_acctbal") / F.lit(20.0)).cast("string").alias("popularity"),
+                   F.when(F.col("c_mktsegment") == "BUILDING", "yes").otherwise("no").alias("in_production"),
+                   F.lower(F.col("c_mktsegment")).alias("genres"))
+    return clean_tv(raw, tie_break="title").select("tmdb_id", "title", "vote_count", "popularity",
+                                                   "in_production", "genres", "popularity_bucket")
+
+
+ORACLE_TV = """
+SELECT CAST(c_custkey AS INTEGER) AS tmdb_id, c_name AS title, c_nationkey AS vote_count,
+       c_acctbal / 20.0 AS popularity, c_mktsegment = 'BUILDING' AS in_production,
+       lower(c_mktsegment) AS genres,
+       CASE WHEN c_acctbal / 20.0 > 300 THEN 'high' WHEN c_acctbal / 20.0 > 100 THEN 'medium' ELSE 'low' END
+           AS popularity_bucket
+FROM customer WHERE c_custkey > 0"""
+
+
 # ------------------------------------------------------------------ registry
 
 
@@ -543,6 +596,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "global_kpis": q_global_kpis,
         "corr_text": q_corr_text,
         "top15_display": q_top15_display,
+        "year_display": q_year_display,
+        "director_display": q_director_display,
+        "actor_display": q_actor_display,
+        "scatter_display": q_scatter_display,
+        "display_axis_ranges": q_display_axis_ranges,
         "null_normalize": q_null_normalize,
         "cast_int_double_bool": q_cast_int_double_bool,
         "normalize_token_list": q_normalize_token_list,
@@ -562,6 +620,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "trusted_reviews": q_trusted_reviews,
         "people_clean": q_people_clean,
         "titles_from_raw": q_titles_from_raw,
+        "tv_clean": q_tv_clean,
         "incremental_latest": q_incremental_latest,
         "raw_roundtrip": q_raw_roundtrip,
     }
@@ -601,6 +660,16 @@ GROUP BY release_year HAVING COUNT(*) >= 5 ORDER BY release_year"""),
         "global_kpis": ORACLE_GLOBAL_KPIS,
         "corr_text": _corr_text_oracle(),
         "top15_display": _top15_oracle(),
+        "year_display": _renamed(_with(ORACLE_REVENUE_BY_YEAR_BODY), kpi.YEAR_CAPTIONS,
+                                 ", revenue_usd_total / 1e9 AS revenue_usd_billions"
+                                 ", revenue_cop_total / 1e12 AS revenue_cop_trillions"),
+        "director_display": _renamed(_director_oracle(False), kpi.DIRECTOR_CAPTIONS),
+        "actor_display": _renamed(_actor_oracle(False), kpi.ACTOR_CAPTIONS),
+        "scatter_display": f"SELECT *, revenue_usd / 1e6 AS revenue_usd_millions FROM ({ORACLE_HASH_SAMPLE}) x",
+        "display_axis_ranges": f"""
+SELECT (SELECT MAX(revenue_usd_total) / 1e9 * 1.15 FROM ({_top15_oracle_raw()}) g) AS revenue_usd_total_axis_max,
+       (SELECT CAST(MAX(n_movies_rentables) AS DOUBLE) * 1.12 FROM ({_actor_oracle(False)}) a) AS n_movies_rentables_axis_max,
+       (SELECT MAX(avg_roi_pct) * 1.15 FROM ({_director_oracle(False)}) r) AS avg_roi_pct_axis_max""",
         "null_normalize": ORACLE_NULL_NORMALIZE,
         "cast_int_double_bool": ORACLE_CAST,
         "normalize_token_list": ORACLE_NORMALIZE,
@@ -621,6 +690,7 @@ GROUP BY release_year HAVING COUNT(*) >= 5 ORDER BY release_year"""),
         "trusted_reviews": ORACLE_REVIEWS,
         "people_clean": ORACLE_PEOPLE,
         "titles_from_raw": ORACLE_TITLES_RAW,
+        "tv_clean": ORACLE_TV,
         "incremental_latest": ORACLE_INCREMENTAL,
         "raw_roundtrip": ORACLE_RAW_ROUNDTRIP,
     }
@@ -635,10 +705,14 @@ def _corr_text_oracle() -> str:
     return f"SELECT {cols} FROM ({inner}) x"
 
 
+def _top15_oracle_raw() -> str:
+    return _genre_oracle("revenue_usd IS NOT NULL AND revenue_cop IS NOT NULL AND revenue_usd > 0",
+                         {"n": "n_movies", "su": "revenue_usd_total", "au": "revenue_usd_avg",
+                          "sc": "revenue_cop_total", "ac": "revenue_cop_avg"}, "LIMIT 15")
+
+
 def _top15_oracle() -> str:
-    inner = _genre_oracle("revenue_usd IS NOT NULL AND revenue_cop IS NOT NULL AND revenue_usd > 0",
-                          {"n": "n_movies", "su": "revenue_usd_total", "au": "revenue_usd_avg",
-                           "sc": "revenue_cop_total", "ac": "revenue_cop_avg"}, "LIMIT 15")
+    inner = _top15_oracle_raw()
     cap = kpi.GENRE_CAPTIONS
     cols = ", ".join(f'{k} AS "{v}"' for k, v in cap.items())
     return f"SELECT {cols}, revenue_usd_total / 1e9 AS revenue_usd_billions FROM ({inner}) x"

@@ -83,3 +83,8 @@ def director_feed(roi_by_director: DataFrame) -> DataFrame:
 
 def scatter_feed(sample: DataFrame) -> DataFrame:
     return sample.withColumn("revenue_usd_millions", F.col("revenue_usd").cast("double") / USD_MILLIONS)
+
+
+def axis_max(df: DataFrame, measure: str, pad: float = 1.15, scale: float = 1.0) -> DataFrame:
+    """Padded maximum of a measure (chart axis range), one row."""
+    return df.agg((F.max(F.col(measure).cast("double")) / F.lit(scale) * F.lit(pad)).alias(f"{measure}_axis_max"))

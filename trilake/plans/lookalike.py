@@ -24,6 +24,8 @@ is as long as its order has lines.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,10 +39,28 @@ FX_CODE = "K"
 RATING_DIVISOR = 49.0
 
 
+_PLANS: dict = {}
+
+
+def _memo(fn):
+    """Reuse the resolved (still lazy) plan per session and folder: the driver's
+    tables are immutable, so file listing, footer reads and analysis happen once per
+    session instead of once per query. Execution still re-reads the data."""
+    @functools.wraps(fn)
+    def wrapper(spark, d, *args):
+        key = (fn.__name__, spark, d.rstrip("/"), args)
+        if key not in _PLANS:
+            _PLANS[key] = fn(spark, d, *args)
+        return _PLANS[key]
+    return wrapper
+
+
+@_memo
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d.rstrip('/')}/{name}.parquet")
 
 
+@_memo
 def title_lines(spark: SparkSession, d: str) -> DataFrame:
     """Per order: budget, rating, line count and the three comma lists."""
     li = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey",
@@ -58,6 +78,7 @@ def title_lines(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@_memo
 def base_titles(spark: SparkSession, d: str) -> DataFrame:
     o = table(spark, d, "orders")
     lines = title_lines(spark, d)
@@ -71,6 +92,7 @@ def base_titles(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@_memo
 def raw_rates(spark: SparkSession, d: str) -> DataFrame:
     """Rates rows as the raw zone holds them (all text)."""
     ev = table(spark, d, "events")
@@ -80,6 +102,7 @@ def raw_rates(spark: SparkSession, d: str) -> DataFrame:
     return r.select(F.col("currency"), F.col("rate").cast("string").alias("rate"), "base", "date")
 
 
+@_memo
 def exchange(spark: SparkSession, d: str) -> DataFrame:
     ex = clean_exchange(raw_rates(spark, d))
     return ex.withColumn("rate", F.col("rate").cast(RATE))
@@ -87,10 +110,17 @@ def exchange(spark: SparkSession, d: str) -> DataFrame:
 
 def titles(spark: SparkSession, d: str, fx: DataFrame | None = None) -> DataFrame:
     """Trusted movies look-alike with profit, ROI and converted revenue."""
-    fx = exchange(spark, d) if fx is None else fx
+    if fx is None:
+        return _titles(spark, d)
     return convert_currency(add_profit_roi(base_titles(spark, d)), fx, FX_CODE)
 
 
+@_memo
+def _titles(spark: SparkSession, d: str) -> DataFrame:
+    return convert_currency(add_profit_roi(base_titles(spark, d)), exchange(spark, d), FX_CODE)
+
+
+@_memo
 def people(spark: SparkSession, d: str) -> DataFrame:
     """Trusted people look-alike, cleaned from supplier text columns."""
     s = table(spark, d, "supplier")
@@ -100,6 +130,7 @@ def people(spark: SparkSession, d: str) -> DataFrame:
     return clean_people(raw, tie_break="name")
 
 
+@_memo
 def raw_reviews(spark: SparkSession, d: str) -> DataFrame:
     ev = table(spark, d, "events")
     return ev.select(
@@ -111,9 +142,11 @@ def raw_reviews(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def reviews(spark: SparkSession, d: str, known: DataFrame | None = None) -> DataFrame:
-    """Trusted reviews look-alike (T4): range rule, dedupe, only known titles."""
-    known = table(spark, d, "orders").select(F.col("o_orderkey").alias("tmdb_id")) if known is None else known
+@_memo
+def reviews(spark: SparkSession, d: str) -> DataFrame:
+    """Trusted reviews look-alike (T4): range rule, dedupe, only reviews of known
+    titles (the title keys are the order keys)."""
+    known = table(spark, d, "orders").select(F.col("o_orderkey").alias("tmdb_id"))
     return clean_reviews(raw_reviews(spark, d), known)
 
 
@@ -121,7 +154,7 @@ def trusted(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     """All five SQL-visible trusted tables (look-alikes)."""
     from trilake.plans.trusted import genre_bridge
     fx = exchange(spark, d)
-    movies = titles(spark, d, fx)
+    movies = titles(spark, d)
     return {
         "movies": movies,
         "movie_genres": genre_bridge(movies),
