@@ -301,7 +301,7 @@ SELECT n_movies, revenue_usd, revenue_cop,
        '$' || format('{:,.2f}', revenue_usd / 1e9) || 'B' AS revenue_usd_text,
        '$' || format('{:,.2f}', revenue_cop / 1e12) || 'T' AS revenue_cop_text,
        format('{:,.1f}', roi) || '%' AS roi_pct_text
-FROM (SELECT SUM(n_movies) AS n_movies, CAST(SUM(su) AS DOUBLE) AS revenue_usd,
+FROM (SELECT CAST(SUM(n_movies) AS BIGINT) AS n_movies, CAST(SUM(su) AS DOUBLE) AS revenue_usd,
              CAST(SUM(sc) AS DOUBLE) AS revenue_cop,
              SUM(avg_roi_pct * n_movies) / SUM(n_movies) AS roi
       FROM (SELECT COUNT(*) AS n_movies, ROUND(SUM(revenue_usd), 2) AS su, ROUND(SUM(revenue_cop), 2) AS sc,
@@ -575,6 +575,48 @@ SELECT CAST(c_custkey AS INTEGER) AS tmdb_id, c_name AS title, c_nationkey AS vo
 FROM customer WHERE c_custkey > 0"""
 
 
+def q_bernoulli_sample(spark, d):
+    """O7 (reference sampling): Bernoulli fraction sized to n, then limit n. The rows
+    depend on partitioning, so there is no oracle (rows-only check)."""
+    return to_double(Q.ratings_vs_revenue_sample(LA.titles(spark, d), LA.reviews(spark, d), mode="bernoulli"))
+
+
+def q_lake_job_trusted_movies(spark, d):
+    """T8 end to end: land raw-text look-alikes of all five sources as CSV in the
+    shared folder, run the raw -> trusted job (six Parquet tables), return trusted
+    movies."""
+    import uuid
+
+    from trilake.plans.trusted import raw_to_trusted
+    from trilake.session import shared_dir
+    from trilake.sources.raw_csv import ingest_all
+    root = shared_dir(spark, "lake_job", uuid.uuid4().hex)
+    c = LA.table(spark, d, "customer")
+    sources = {
+        "movies": LA.base_titles(spark, d),
+        "tv_shows": c.select(F.col("c_custkey").alias("tmdb_id"), F.col("c_name").alias("title"),
+                             (F.col("c_acctbal") / F.lit(20.0)).alias("popularity")),
+        "people": LA.table(spark, d, "supplier").select(F.col("s_suppkey").alias("tmdb_id"),
+                                                        F.col("s_name").alias("name")),
+        "movie_reviews": LA.raw_reviews(spark, d),
+        "exchange": LA.raw_rates(spark, d),
+    }
+    ingest_all(sources, f"{root}/raw", run_ts="20240101_000000")
+    raw_to_trusted(spark, f"{root}/raw", f"{root}/trusted", code=LA.FX_CODE)
+    from trilake.sources.parquet import read_table
+    return read_table(spark, f"{root}/trusted", "movies").select(
+        "tmdb_id", "release_year", "revenue_usd", "budget_usd", "profit_usd", "roi_pct", "revenue_cop")
+
+
+ORACLE_LAKE_JOB = _with("""
+SELECT CAST(tmdb_id AS INTEGER) AS tmdb_id, release_year, CAST(revenue_usd AS DOUBLE) AS revenue_usd,
+       CAST(budget_usd AS DOUBLE) AS budget_usd,
+       CAST(revenue_usd AS DOUBLE) - CAST(budget_usd AS DOUBLE) AS profit_usd,
+       CASE WHEN budget_usd > 0 THEN CAST(revenue_usd AS DOUBLE) / CAST(budget_usd AS DOUBLE) * 100 END AS roi_pct,
+       CAST(revenue_usd AS DOUBLE) * CAST((SELECT rate FROM fxrate) AS DOUBLE) AS revenue_cop
+FROM titles WHERE tmdb_id > 0""")
+
+
 # ------------------------------------------------------------------ registry
 
 
@@ -621,6 +663,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "people_clean": q_people_clean,
         "titles_from_raw": q_titles_from_raw,
         "tv_clean": q_tv_clean,
+        "bernoulli_sample": q_bernoulli_sample,
+        "lake_job_trusted_movies": q_lake_job_trusted_movies,
         "incremental_latest": q_incremental_latest,
         "raw_roundtrip": q_raw_roundtrip,
     }
@@ -691,6 +735,7 @@ SELECT (SELECT MAX(revenue_usd_total) / 1e9 * 1.15 FROM ({_top15_oracle_raw()})
         "people_clean": ORACLE_PEOPLE,
         "titles_from_raw": ORACLE_TITLES_RAW,
         "tv_clean": ORACLE_TV,
+        "lake_job_trusted_movies": ORACLE_LAKE_JOB,
         "incremental_latest": ORACLE_INCREMENTAL,
         "raw_roundtrip": ORACLE_RAW_ROUNDTRIP,
     }
