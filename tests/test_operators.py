@@ -81,11 +81,15 @@ def test_convert_currency_modes(spark):
                 .select("id", "revenue_cop").collect()) == {1: None, 2: None}
 
 
-def test_scalar_join_is_broadcast_nested_loop(spark):
+def test_scalar_rate_plans(spark):
     movies = spark.createDataFrame([(1, 10.0)], "id int, revenue_usd double")
     ex = spark.createDataFrame([("COP", 4000.0)], "currency string, rate double")
     plan = convert_currency(movies, ex)._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastNestedLoopJoin" in plan
+    assert "Subquery" in plan and "Join" not in plan
+    pruned = convert_currency(movies, ex).select("id")._jdf.queryExecution().executedPlan().toString()
+    assert "Subquery" not in pruned                 # unused conversion costs nothing
+    joined = attach_scalar(movies, ex.select("rate"))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastNestedLoopJoin" in joined
 
 
 def test_cross_scalar_empty_when_no_rate_and_roi_local_identity(spark):

@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trilake.operators.joins import attach_scalar
 
 DERIVED = ("profit_usd", "roi_pct")
 
@@ -39,15 +38,19 @@ def convert_currency(df: DataFrame, exchange: DataFrame, code: str = "COP",
                      on_missing: str = "identity") -> DataFrame:
     """``out = src * rate(code)``.
 
-    ``on_missing="identity"`` keeps the reference behaviour (no rate -> factor 1.0,
-    B2); ``"null"`` gives null instead. Decided inside the plan, no ``take(1)``.
+    The one-row rate is a scalar subquery: Spark computes it once (at most one row,
+    ``limit(1)``) and ships the value to every task, like the reference's broadcast
+    one-row cross join, but without a join node, so a query that never reads ``out``
+    prunes the rate lookup entirely. ``on_missing="identity"`` keeps the reference
+    behaviour (no rate -> factor 1, B2); ``"null"`` gives null instead. Decided inside
+    the plan, no driver-side ``take(1)`` branch.
     """
     if on_missing not in ("identity", "null"):
         raise ValueError("on_missing must be 'identity' or 'null'")
-    x = attach_scalar(df, rate_for(exchange, code), ["_rate"])
+    rate = rate_for(exchange, code).scalar()
     # lit(1) (not 1.0) so a decimal rate keeps the product exact decimal.
-    factor = F.col("_rate") if on_missing == "null" else F.coalesce(F.col("_rate"), F.lit(1))
-    return x.withColumn(out, F.col(src) * factor).drop("_rate")
+    factor = rate if on_missing == "null" else F.coalesce(rate, F.lit(1))
+    return df.withColumn(out, F.col(src) * factor)
 
 
 def roi_local(revenue: str = "revenue_usd", budget: str = "budget_usd", rate: str = "cop_rate"):
