@@ -25,9 +25,11 @@ def test_csv_quoting_and_newlines(spark, tmp_dir):
 def test_header_grouped_union_fixes_positional_mapping(spark, tmp_dir):
     _write(f"{tmp_dir}/t/run_ts=1/a.csv", "id,name\n1,x\n")
     _write(f"{tmp_dir}/t/run_ts=2/b.csv", "name,id,extra\ny,2,e\n")
-    assert len(file_headers(spark, f"{tmp_dir}/t/*").collect()) == 2
-    got = rows(read_raw_by_header(spark, f"{tmp_dir}/t/*"), "id", "name", "extra")
-    assert got == [("1", "x", None), ("2", "y", "e")]
+    assert len(file_headers(spark, f"{tmp_dir}/t").collect()) == 2
+    got = rows(read_raw_by_header(spark, f"{tmp_dir}/t"), "id", "name", "extra", "run_ts")
+    assert got == [("1", "x", None, 1), ("2", "y", "e", 2)]
+    naive = rows(read_raw(spark, f"{tmp_dir}/t"), "id", "name")   # positional mapping is wrong
+    assert naive != [("1", "x"), ("2", "y")]
 
 
 def test_land_raw_never_overwrites_and_reads_back(spark, tmp_dir):

@@ -146,14 +146,16 @@ def trusted_tables(raw: dict[str, DataFrame], code: str = "COP", fx_mode: str =
 
 def raw_to_trusted(spark: SparkSession, raw_prefix: str, trusted_prefix: str,
                    code: str = "COP", fx_mode: str = "highest",
-                   on_missing: str = "identity") -> dict[str, int]:
+                   on_missing: str = "identity", header_safe: bool = True) -> dict[str, int]:
     """The full job. Returns row counts per written table (from write-time
-    observations, not extra count jobs)."""
+    observations, not extra count jobs). ``header_safe`` reads each raw dataset
+    grouped by file header (U2) instead of trusting the first file's column order."""
     from trilake.sources.parquet import read_table, write_table
-    from trilake.sources.raw_csv import read_raw
+    from trilake.sources.raw_csv import read_raw, read_raw_by_header
 
     names = ("movies", "tv_shows", "people", "movie_reviews", "exchange")
-    raw = {n: read_raw(spark, f"{raw_prefix.rstrip('/')}/{n}") for n in names}
+    reader = read_raw_by_header if header_safe else read_raw
+    raw = {n: reader(spark, f"{raw_prefix.rstrip('/')}/{n}") for n in names}
     counts = {}
     exchange = clean_exchange(raw["exchange"], mode=fx_mode)
     counts["exchange"] = write_table(exchange, trusted_prefix, "exchange")

@@ -66,3 +66,21 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
         spark.conf.set("spark.checkpoint.dir", base)
         spark.sparkContext.setCheckpointDir(base)
     return "/".join([base.rstrip("/"), *parts]) if parts else base
+
+
+def size_shuffle(spark: SparkSession, shuffle_bytes: int, target_bytes: int = 256 << 20,
+                 max_partitions: int = 50_000, max_split_bytes: int = 256 << 20) -> int:
+    """Size shuffles for the data at hand.
+
+    ``shuffle_bytes`` is the estimated size of the largest shuffle (after column
+    pruning and partial aggregation, usually far below the input size). Sets
+    ``spark.sql.shuffle.partitions`` so each reducer starts near ``target_bytes``,
+    capped at ``max_partitions`` (map x reduce shuffle blocks grow quadratically), with
+    AQE coalescing small partitions and splitting skewed ones at runtime; scan splits
+    are at most ``max_split_bytes``. Never below the core count. Returns the count."""
+    cores = spark.sparkContext.defaultParallelism
+    parts = min(max_partitions, max(cores, -(-int(shuffle_bytes) // int(target_bytes))))
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(int(target_bytes)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(int(max_split_bytes)))
+    return parts

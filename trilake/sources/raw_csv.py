@@ -48,15 +48,17 @@ def read_raw_by_header(spark: SparkSession, path: str) -> DataFrame:
     """U2 (safe variant): Spark's CSV scan maps columns by the position of the FIRST
     file's header, so a run landed with another column set is silently misassigned.
     Files are grouped by their header line, each group is read with its own header,
-    and the groups are unioned by name (missing columns -> null).
+    and the groups are unioned by name (missing columns -> null). ``path`` is the
+    dataset folder; ``run_ts=`` sub-folders still become a column (``basePath``).
 
     Only the (file, header) list reaches the driver; the data stays distributed."""
     groups: dict[str, list[str]] = {}
     for row in file_headers(spark, path).collect():
         groups.setdefault(row["header"], []).append(row["file"])
-    frames = [spark.read.options(**CSV_OPTIONS).csv(files) for _, files in sorted(groups.items())]
-    if not frames:
-        return spark.read.options(**CSV_OPTIONS).csv(path)
+    if len(groups) <= 1:
+        return read_raw(spark, path)
+    frames = [spark.read.options(**CSV_OPTIONS).option("basePath", path).csv(files)
+              for _, files in sorted(groups.items())]
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
@@ -98,7 +100,7 @@ def q_raw_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     land_raw(o.where(F.col("o_orderstatus") == "F").select("o_orderkey", "o_custkey"), raw, "orders", "run0")
     land_raw(o.where(~(F.col("o_orderstatus") == "F") | F.col("o_orderstatus").isNull())
               .select("o_custkey", "o_orderstatus", "o_orderkey"), raw, "orders", "run1")
-    back = read_raw_by_header(spark, f"{raw}/orders/*")
+    back = read_raw_by_header(spark, f"{raw}/orders")
     return back.select("o_orderkey", "o_custkey", "o_orderstatus")
 
 
