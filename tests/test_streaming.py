@@ -33,3 +33,29 @@ def test_incremental_equals_batch_and_late_file_can_win(spark, tmp_dir):
                     ["ts", "event_id"], ["event_type", "value"], f"{base}/changes", f"{base}/ckpt")
     again = {r["user_id"]: r["event_id"] for r in current_table(spark, f"{base}/changes", "user_id").collect()}
     assert again == inc
+
+
+def test_incremental_movies_equals_batch_clean(spark, tmp_dir):
+    import os
+
+    from trilake.plans.trusted import clean_movies
+    from trilake.sources.raw_csv import read_raw
+    from trilake.streaming.incremental import incremental_trusted
+    header = "tmdb_id,title,release_year,vote_count,popularity,revenue_usd,budget_usd,genres\n"
+    runs = [
+        '1,A,1990,10,1.0,100,50,"Drama ,Comedy"\n2,B,,5,2.0,-1,10,N/A\n0,Z,1990,1,1,1,1,x\n',
+        "1,A2,1991,1,0.5,200,50,drama\n2,B2,2000,1,1.0,5,1,action\n3,C,1980,1,1.0,,,\n1,A3,1991,1,0.1,1,1,x\n",
+    ]
+    base = f"{tmp_dir}/{uuid.uuid4().hex}"
+    for i, text in enumerate(runs):
+        d = f"{base}/raw/movies/run_ts=r{i}"
+        os.makedirs(d)
+        with open(f"{d}/part.csv", "w") as f:
+            f.write(header + text)
+        inc = incremental_trusted(spark, f"{base}/raw/movies", "movies", f"{base}/changes", f"{base}/ckpt")
+    batch = clean_movies(read_raw(spark, f"{base}/raw/movies").drop("run_ts"))
+    cols = ["tmdb_id", "title", "release_year", "vote_count", "popularity", "revenue_usd", "budget_usd", "genres"]
+    got = sorted(tuple(r) for r in inc.select(cols).collect())
+    want = sorted(tuple(r) for r in batch.select(cols).collect())
+    assert got == want
+    assert {r[0]: r[1] for r in got} == {1: "A2", 2: "B2", 3: "C"}

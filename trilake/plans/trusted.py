@@ -70,27 +70,51 @@ RATING_RANGE = (0, 10)
 POPULARITY_CUTS = (300, 100)
 
 
-def clean_movies(raw: DataFrame, tie_break: str | None = None) -> DataFrame:
-    """Typed, valid ids, negative money -> null, one row per ``tmdb_id``."""
+def movie_rows(raw: DataFrame) -> DataFrame:
+    """T1 row-level part: typed, valid ids, negative money -> null (no shuffle)."""
     df = typed(raw, text=MOVIE_TEXT, ints=MOVIE_INT, doubles=MOVIE_DOUBLE, bools=MOVIE_BOOL,
                lists=("genres",))
     df = drop_bad_ids(df)
-    df = df.withColumns({c: null_if_negative_expr(F.col(c))
-                         for c in ("budget_usd", "revenue_usd") if c in df.columns})
-    return keep_one(df, "tmdb_id", *MOVIE_ORDER, tie_break=tie_break)
+    return df.withColumns({c: null_if_negative_expr(F.col(c))
+                           for c in ("budget_usd", "revenue_usd") if c in df.columns})
+
+
+def clean_movies(raw: DataFrame, tie_break: str | None = None) -> DataFrame:
+    """``movie_rows`` then one row per ``tmdb_id``."""
+    return keep_one(movie_rows(raw), "tmdb_id", *MOVIE_ORDER, tie_break=tie_break)
+
+
+def tv_rows(raw: DataFrame) -> DataFrame:
+    """T2 row-level part."""
+    return drop_bad_ids(typed(raw, text=TV_TEXT, ints=TV_INT, doubles=TV_DOUBLE, bools=TV_BOOL,
+                              lists=("genres",)))
+
+
+def with_bucket(tv: DataFrame) -> DataFrame:
+    return tv.withColumn("popularity_bucket", bucket3_expr(F.col("popularity"), *POPULARITY_CUTS))
 
 
 def clean_tv(raw: DataFrame, tie_break: str | None = None) -> DataFrame:
     """Like T1 plus the three-way popularity bucket (computed after dedupe)."""
-    df = typed(raw, text=TV_TEXT, ints=TV_INT, doubles=TV_DOUBLE, bools=TV_BOOL, lists=("genres",))
-    df = keep_one(drop_bad_ids(df), "tmdb_id", *MOVIE_ORDER, tie_break=tie_break)
-    return df.withColumn("popularity_bucket", bucket3_expr(F.col("popularity"), *POPULARITY_CUTS))
+    return with_bucket(keep_one(tv_rows(raw), "tmdb_id", *MOVIE_ORDER, tie_break=tie_break))
+
+
+def people_rows(raw: DataFrame) -> DataFrame:
+    """T3 row-level part."""
+    return drop_bad_ids(typed(raw, text=PEOPLE_TEXT, ints=PEOPLE_INT, doubles=PEOPLE_DOUBLE))
 
 
 def clean_people(raw: DataFrame, tie_break: str | None = None) -> DataFrame:
     """T3."""
-    df = typed(raw, text=PEOPLE_TEXT, ints=PEOPLE_INT, doubles=PEOPLE_DOUBLE)
-    return keep_one(drop_bad_ids(df), "tmdb_id", *PEOPLE_ORDER, tie_break=tie_break)
+    return keep_one(people_rows(raw), "tmdb_id", *PEOPLE_ORDER, tie_break=tie_break)
+
+
+# Row-level cleaner, key and dedupe order per table (used by the incremental mode).
+ROW_CLEANERS = {
+    "movies": (movie_rows, "tmdb_id", MOVIE_ORDER),
+    "tv_shows": (tv_rows, "tmdb_id", MOVIE_ORDER),
+    "people": (people_rows, "tmdb_id", PEOPLE_ORDER),
+}
 
 
 def clean_reviews(raw: DataFrame, known_titles: DataFrame | None = None,

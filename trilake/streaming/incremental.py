@@ -57,6 +57,31 @@ def current_table(spark: SparkSession, changes_dir: str, key: str) -> DataFrame:
     return keep_one(ch, key, "batch_id").drop("batch_id")
 
 
+def raw_schema(spark: SparkSession, raw_dir: str) -> T.StructType:
+    """All-string schema from the landed header (a file source stream needs one)."""
+    cols = spark.read.options(**CSV_OPTIONS).csv(raw_dir).columns
+    return T.StructType([T.StructField(c, T.StringType()) for c in cols if c != "run_ts"])
+
+
+def incremental_trusted(spark: SparkSession, raw_dir: str, name: str, changes_dir: str,
+                        checkpoint_dir: str, schema: T.StructType | None = None) -> DataFrame:
+    """ST1 for a lake table (movies, tv_shows, people): row-level cleaning of the new
+    files, streaming latest-per-key with the table's dedupe order (ties broken by the
+    row's remaining values), then the current trusted table. Derived columns that
+    depend on the deduped row (movies' finance, the TV bucket) are applied to the
+    returned table, as in the batch job."""
+    from trilake.plans.trusted import ROW_CLEANERS, with_bucket
+    rows_fn, key, order = ROW_CLEANERS[name]
+    schema = schema or raw_schema(spark, raw_dir)
+    names = schema.fieldNames()
+    present_order = [c for c in order if c in names]
+    payload = [c for c in names if c != key and c not in present_order]
+    run_incremental(spark, f"{raw_dir.rstrip('/')}/*", schema, rows_fn, key, present_order, payload,
+                    changes_dir, checkpoint_dir)
+    table = current_table(spark, changes_dir, key)
+    return with_bucket(table) if name == "tv_shows" else table
+
+
 # ---------------------------------------------------------------- contract query
 
 EVENT_RAW_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in
