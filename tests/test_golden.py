@@ -173,3 +173,14 @@ def test_q4_empty_without_rate(spark, lake):
                for n in ("movies", "movie_genres", "people", "movie_reviews", "exchange")}
     v = register_views(trusted, prefix="gold2_")
     assert sql_questions(spark, views=v, code="GBP")["q4_director_roi_fx"].count() == 0
+
+
+def test_d1_bridge_join_equals_inline_explode(spark, lake):
+    root, _ = lake
+    trusted = {n: read_table(spark, f"{root}/trusted", n)
+               for n in ("movies", "movie_genres", "people", "movie_reviews")}
+    a = curated_tables(trusted, sample_mode="hash", use_bridge=True)["revenue_by_genre"]
+    b = curated_tables(trusted, sample_mode="hash", use_bridge=False)["revenue_by_genre"]
+    assert rows(a) == rows(b)
+    plan = b._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
