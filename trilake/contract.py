@@ -294,7 +294,7 @@ ORDER BY md5('42:' || CAST(t.tmdb_id AS VARCHAR)), t.tmdb_id LIMIT 2000""", _REV
 
 def q_global_kpis(spark, d):
     k = kpi.global_kpis(Q.revenue_by_year(LA.titles(spark, d)))
-    return to_double(k.select("n_movies", "revenue_usd", "revenue_cop").crossJoin(kpi.kpi_text(k)))
+    return to_double(kpi.kpi_text(k, keep=True).drop("roi_pct"))
 
 
 ORACLE_GLOBAL_KPIS = _with("""
@@ -341,10 +341,10 @@ def q_scatter_display(spark, d):
 def q_display_axis_ranges(spark, d):
     t = LA.titles(spark, d)
     g = kpi.axis_max(kpi.top_then_resort(Q.revenue_by_genre(t), 15, "revenue_usd_total", key="genre"),
-                     "revenue_usd_total", 1.15, kpi.USD_BILLIONS)
-    a = kpi.axis_max(Q.top_actors_rentables(t, LA.people(spark, d)), "n_movies_rentables", 1.12)
-    r = kpi.axis_max(Q.roi_by_director(t), "avg_roi_pct", 1.15)
-    return g.crossJoin(a).crossJoin(r)
+                     "revenue_usd_total", 1.15, kpi.USD_BILLIONS, "genres")
+    a = kpi.axis_max(Q.top_actors_rentables(t, LA.people(spark, d)), "n_movies_rentables", 1.12, chart="actors")
+    r = kpi.axis_max(Q.roi_by_director(t), "avg_roi_pct", 1.15, chart="directors")
+    return g.unionByName(a).unionByName(r)
 
 
 def _renamed(inner: str, captions: dict, extra: str = "") -> str:
@@ -499,7 +499,7 @@ SELECT tmdb_id, roi_pct,
        CASE WHEN budget_usd IS NOT NULL AND budget_usd > 0 THEN
             (CAST(revenue_usd * r.rate AS DOUBLE) - CAST(budget_usd * r.rate AS DOUBLE))
             / CAST(budget_usd * r.rate AS DOUBLE) * 100 END AS roi_adjusted
-FROM titles CROSS JOIN fxrate r""")
+FROM titles, (SELECT rate FROM fxrate) r""")
 
 
 def q_token_bridge(spark, d):
@@ -734,9 +734,11 @@ GROUP BY release_year HAVING COUNT(*) >= 5 ORDER BY release_year"""),
         "actor_display": _renamed(_actor_oracle(False), kpi.ACTOR_CAPTIONS),
         "scatter_display": f"SELECT *, revenue_usd / 1e6 AS revenue_usd_millions FROM ({ORACLE_HASH_SAMPLE}) x",
         "display_axis_ranges": f"""
-SELECT (SELECT MAX(revenue_usd_total) / 1e9 * 1.15 FROM ({_top15_oracle_raw()}) g) AS revenue_usd_total_axis_max,
-       (SELECT CAST(MAX(n_movies_rentables) AS DOUBLE) * 1.12 FROM ({_actor_oracle(False)}) a) AS n_movies_rentables_axis_max,
-       (SELECT MAX(avg_roi_pct) * 1.15 FROM ({_director_oracle(False)}) r) AS avg_roi_pct_axis_max""",
+SELECT 'genres' AS chart, MAX(revenue_usd_total) / 1e9 * 1.15 AS axis_max FROM ({_top15_oracle_raw()}) g
+UNION ALL
+SELECT 'actors', CAST(MAX(n_movies_rentables) AS DOUBLE) * 1.12 FROM ({_actor_oracle(False)}) a
+UNION ALL
+SELECT 'directors', MAX(avg_roi_pct) * 1.15 FROM ({_director_oracle(False)}) r""",
         "null_normalize": ORACLE_NULL_NORMALIZE,
         "cast_int_double_bool": ORACLE_CAST,
         "normalize_token_list": ORACLE_NORMALIZE,

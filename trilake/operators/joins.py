@@ -4,8 +4,8 @@ Equi-joins are left to Catalyst/AQE: the planner broadcasts a side only when its
 statistics are under ``spark.sql.autoBroadcastJoinThreshold`` (a size check Spark
 does from the plan, and again at runtime from real shuffle sizes under AQE);
 otherwise it shuffles both sides on the key (sort-merge), with AQE splitting skewed
-partitions. The only explicit broadcast is the one-row scalar (``limit(1)``), whose
-size is bounded by construction.
+partitions. One-row lookups (``limit(1)``, bounded by construction) are scalar
+subqueries rather than joins, so no cartesian product is ever planned.
 """
 
 from __future__ import annotations
@@ -18,22 +18,24 @@ def attach_scalar(df: DataFrame, scalar: DataFrame, cols: list[str] | None = Non
                   defaults: dict | None = None) -> DataFrame:
     """Add the columns of a (at most) one-row frame to every row.
 
-    Left join on a true condition with the scalar side capped to one row and
-    broadcast (BroadcastNestedLoopJoin, build side = 1 row). No driver action: when
-    the scalar frame is empty the columns are null, or ``defaults`` via coalesce.
-    """
+    Each column is a scalar subquery over ``scalar.limit(1)``: Spark evaluates it
+    once and ships the value to every task (the reference's broadcast one-row cross
+    join, without a join node or a cartesian product). An empty scalar frame gives
+    null, or ``defaults`` via coalesce. No driver-side branching on the row."""
     cols = cols or scalar.columns
-    one = F.broadcast(scalar.select(*cols).limit(1))
-    out = df.join(one, on=F.lit(True), how="left")
+    one = scalar.limit(1)
+    exprs = {c: one.select(c).scalar() for c in cols}
     if defaults:
-        out = out.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in defaults.items()})
-    return out
+        exprs = {c: (F.coalesce(e, F.lit(defaults[c])) if c in defaults else e) for c, e in exprs.items()}
+    return df.withColumns(exprs)
 
 
 def cross_scalar(df: DataFrame, scalar: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """SQL ``CROSS JOIN`` with a one-row CTE: no scalar row -> empty result."""
-    cols = cols or scalar.columns
-    return df.crossJoin(F.broadcast(scalar.select(*cols).limit(1)))
+    """The SQL ``CROSS JOIN`` with a one-row CTE: every row gets the scalar's
+    columns, and no scalar row -> empty result. Expressed as an EXISTS filter plus
+    scalar subqueries, so no join (and no cartesian product) is planned."""
+    one = scalar.limit(1)
+    return attach_scalar(df.where(one.exists()), one, cols)
 
 
 def keep_known(df: DataFrame, parents: DataFrame, key: str, parent_key: str | None = None) -> DataFrame:

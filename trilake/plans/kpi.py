@@ -41,9 +41,9 @@ def global_kpis(revenue_by_year: DataFrame) -> DataFrame:
     )
 
 
-def kpi_text(kpis: DataFrame) -> DataFrame:
-    """K2: KPI cards as text."""
-    return kpis.select(
+def kpi_text(kpis: DataFrame, keep: bool = False) -> DataFrame:
+    """K2: KPI cards as text (``keep`` also keeps the numeric KPI columns)."""
+    return kpis.select(*(kpis.columns if keep else []),
         count_text("n_movies").alias("n_movies_text"),
         money_text("revenue_usd", "B", USD_BILLIONS).alias("revenue_usd_text"),
         money_text("revenue_cop", "T", COP_TRILLIONS).alias("revenue_cop_text"),
@@ -85,6 +85,9 @@ def scatter_feed(sample: DataFrame) -> DataFrame:
     return sample.withColumn("revenue_usd_millions", F.col("revenue_usd").cast("double") / USD_MILLIONS)
 
 
-def axis_max(df: DataFrame, measure: str, pad: float = 1.15, scale: float = 1.0) -> DataFrame:
-    """Padded maximum of a measure (chart axis range), one row."""
-    return df.agg((F.max(F.col(measure).cast("double")) / F.lit(scale) * F.lit(pad)).alias(f"{measure}_axis_max"))
+def axis_max(df: DataFrame, measure: str, pad: float = 1.15, scale: float = 1.0,
+             chart: str | None = None) -> DataFrame:
+    """Padded maximum of a measure (chart axis range), one row
+    ``(chart, axis_max)``."""
+    return df.agg(F.lit(chart or measure).alias("chart"),
+                  (F.max(F.col(measure).cast("double")) / F.lit(scale) * F.lit(pad)).alias("axis_max"))
