@@ -104,8 +104,15 @@ def raw_rates(spark: SparkSession, d: str) -> DataFrame:
 
 @_memo
 def exchange(spark: SparkSession, d: str) -> DataFrame:
-    ex = clean_exchange(raw_rates(spark, d))
-    return ex.withColumn("rate", F.col("rate").cast(RATE))
+    """Cleaned exchange table: one (highest) rate per currency. Only ``currency`` and
+    ``rate`` are kept, which depend on the distinct documents alone, so each distinct
+    ``props`` text is parsed once: the ``distinct`` is partially aggregated before
+    its shuffle and the JSON parse runs on the few surviving rows, not on every event."""
+    docs = (table(spark, d, "events").select("props").distinct()
+            .select(parse_rates(F.col("props"), F.lit("USD")).alias("doc")))
+    raw = flatten_rates(docs, "doc").select("currency", F.col("rate").cast("string").alias("rate"))
+    ex = clean_exchange(raw)
+    return ex.select("currency", F.col("rate").cast(RATE).alias("rate"))
 
 
 def titles(spark: SparkSession, d: str, fx: DataFrame | None = None) -> DataFrame:
