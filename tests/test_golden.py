@@ -184,3 +184,16 @@ def test_d1_bridge_join_equals_inline_explode(spark, lake):
     assert rows(a) == rows(b)
     plan = b._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan
+
+
+def test_dashboard_feeds_from_curated_zone(spark, lake):
+    from trilake.plans.kpi import dashboard_feeds
+    root, _ = lake
+    trusted_to_curated(spark, f"{root}/trusted", f"{root}/curated_dash", sample_mode="hash")
+    feeds = dashboard_feeds(spark, f"{root}/curated_dash")
+    k = feeds["kpis"].first()
+    assert k["n_movies"] == 6
+    assert feeds["kpi_text"].first()["n_movies_text"] == "6"
+    assert feeds["axis_ranges"].count() == 3
+    assert [r["Año"] for r in feeds["years"].collect()] == [1990]
+    assert feeds["genres"].count() == 3

@@ -91,3 +91,25 @@ def axis_max(df: DataFrame, measure: str, pad: float = 1.15, scale: float = 1.0,
     ``(chart, axis_max)``."""
     return df.agg(F.lit(chart or measure).alias("chart"),
                   (F.max(F.col(measure).cast("double")) / F.lit(scale) * F.lit(pad)).alias("axis_max"))
+
+
+def dashboard_feeds(spark, curated_prefix: str, cache: bool = True) -> dict[str, DataFrame]:
+    """All dashboard data work (K1-K3, A12) as plans over the curated zone."""
+    from trilake.sources.parquet import load_curated
+    c = {n: load_curated(spark, curated_prefix, n, cache) for n in
+         ("revenue_by_genre", "top_actors_rentables", "revenue_by_year", "roi_by_director",
+          "ratings_correlations", "ratings_vs_revenue_sample")}
+    kpis = global_kpis(c["revenue_by_year"])
+    return {
+        "kpis": kpis,
+        "kpi_text": kpi_text(kpis),
+        "correlation_text": correlation_text(c["ratings_correlations"]),
+        "genres": genre_feed(c["revenue_by_genre"]),
+        "actors": actor_feed(c["top_actors_rentables"]),
+        "years": year_feed(c["revenue_by_year"]),
+        "directors": director_feed(c["roi_by_director"]),
+        "scatter": scatter_feed(c["ratings_vs_revenue_sample"]),
+        "axis_ranges": axis_max(c["revenue_by_genre"], "revenue_usd_total", 1.15, USD_BILLIONS, "genres")
+            .unionByName(axis_max(c["top_actors_rentables"], "n_movies_rentables", 1.12, chart="actors"))
+            .unionByName(axis_max(c["roi_by_director"], "avg_roi_pct", 1.15, chart="directors")),
+    }
