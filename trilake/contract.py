@@ -79,19 +79,18 @@ def duck_int(expr: str) -> str:
 
 
 _NULL_LIKE_SQL = ", ".join("'" + v + "'" for v in NULL_LIKE)
+_LINE_TIES_SQL = ", ".join(f"{c} DESC NULLS LAST" for c in LA.LINE_TIES)
 
 # Look-alike trusted tables in DuckDB (see plans/lookalike.py).
 LOOKALIKE_CTES = f"""
 lines AS (
-  SELECT l.l_orderkey,
-         CAST(SUM(CAST(l.l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS budget_usd,
-         CAST(SUM(CAST(l.l_discount AS DECIMAL(18,2))) AS DOUBLE) * 100.0 / CAST(COUNT(*) AS DOUBLE) AS vote_average,
-         CAST(COUNT(*) AS INTEGER) AS vote_count,
-         string_agg(CAST(l.l_suppkey AS VARCHAR), ',' ORDER BY CAST(l.l_suppkey AS VARCHAR)) AS cast_ids,
-         string_agg(p.p_name, ', ' ORDER BY p.p_name) AS genres,
-         string_agg(p.p_brand, ',' ORDER BY p.p_brand) AS directors
-  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
-  GROUP BY l.l_orderkey),
+  SELECT d.*, p.p_name, p.p_brand, p.p_type, p.p_retailprice
+  FROM (SELECT l_orderkey * 100 + l_linenumber AS tmdb_id, *
+        FROM lineitem
+        QUALIFY row_number() OVER (PARTITION BY l_orderkey * 100 + l_linenumber
+                ORDER BY l_shipdate DESC NULLS LAST, l_extendedprice DESC NULLS LAST,
+                         {_LINE_TIES_SQL}) = 1) d
+  JOIN part p ON d.l_partkey = p.p_partkey),
 rates_raw AS (
   SELECT k AS currency, json_extract_string(props, '$."' || k || '"') AS rate_text,
          'USD' AS base, strftime(ts, '%Y-%m-%d') AS date
@@ -103,21 +102,29 @@ exchange_like AS (
   GROUP BY upper(trim(currency))),
 fxrate AS (SELECT rate FROM exchange_like WHERE currency = '{LA.FX_CODE}' LIMIT 1),
 titles AS (
-  SELECT o.o_orderkey AS tmdb_id,
-         'Title ' || CAST(o.o_orderkey AS VARCHAR) AS title,
-         CAST(year(o.o_orderdate) AS INTEGER) AS release_year,
-         CAST(o.o_totalprice AS DECIMAL(18,2)) AS revenue_usd,
-         li.budget_usd, li.vote_average, li.vote_count, li.cast_ids, li.genres, li.directors,
-         CAST(o.o_totalprice AS DECIMAL(18,2)) - li.budget_usd AS profit_usd,
-         CASE WHEN li.budget_usd > 0
-              THEN CAST(CAST(o.o_totalprice AS DECIMAL(18,2)) AS DOUBLE) / CAST(li.budget_usd AS DOUBLE) * 100 END AS roi_pct,
-         CAST(o.o_totalprice AS DECIMAL(18,2)) * coalesce((SELECT rate FROM fxrate), 1) AS revenue_cop
-  FROM orders o LEFT JOIN lines li ON o.o_orderkey = li.l_orderkey),
+  SELECT tmdb_id, title, release_year, revenue_usd, budget_usd, vote_average, vote_count,
+         cast_ids, genres, directors,
+         revenue_usd - budget_usd AS profit_usd,
+         CASE WHEN budget_usd > 0
+              THEN CAST(revenue_usd AS DOUBLE) / CAST(budget_usd AS DOUBLE) * 100 END AS roi_pct,
+         revenue_usd * coalesce((SELECT rate FROM fxrate), 1) AS revenue_cop
+  FROM (SELECT tmdb_id,
+               'Title ' || CAST(tmdb_id AS VARCHAR) AS title,
+               CAST(year(l_shipdate) AS INTEGER) AS release_year,
+               CAST(l_extendedprice AS DECIMAL(18,2)) AS revenue_usd,
+               CAST(CAST(l_quantity AS DECIMAL(18,2)) * CAST(p_retailprice AS DECIMAL(18,2)) AS DECIMAL(18,2))
+                   AS budget_usd,
+               CAST(CAST(l_discount AS DECIMAL(18,2)) * 100 AS DOUBLE) AS vote_average,
+               CAST(l_quantity AS INTEGER) AS vote_count,
+               CAST(l_suppkey AS VARCHAR) AS cast_ids,
+               replace(p_name, ' ', ', ') AS genres,
+               p_brand || ',' || p_type AS directors
+        FROM lines) t0),
 reviews_like AS (
-  SELECT CAST(event_id AS VARCHAR) AS review_id, user_id AS tmdb_id,
+  SELECT CAST(event_id AS VARCHAR) AS review_id, user_id * 100 + 1 AS tmdb_id,
          CASE WHEN value / {LA.RATING_DIVISOR} < 0 OR value / {LA.RATING_DIVISOR} > 10 THEN NULL
               ELSE value / {LA.RATING_DIVISOR} END AS rating
-  FROM events WHERE user_id IN (SELECT o_orderkey FROM orders)),
+  FROM events WHERE user_id * 100 + 1 IN (SELECT l_orderkey * 100 + l_linenumber FROM lineitem)),
 people_like AS (
   SELECT CAST(s_suppkey AS INTEGER) AS tmdb_id, s_name AS name, s_acctbal AS popularity
   FROM supplier WHERE s_suppkey > 0)

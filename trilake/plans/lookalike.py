@@ -4,22 +4,24 @@ The title tables of the lake are not in the test data, so the questions run on
 tables Spark derives from the TPC-H-like tables, with the same column names and
 meaning as the trusted zone. Everything is lazy and grows with the inputs:
 
-* titles (movies)  = orders; revenue = ``o_totalprice``; budget = exact sum of the
-  order's ``l_extendedprice``; release year = order year; rating = mean line
-  discount x 100; cast = the order's supplier keys, genres = the part names and
-  directors = the part brands of its lines, as comma lists.
+* titles (movies)  = lineitem lines, one title per ``(order, line)`` key
+  (``tmdb_id = l_orderkey * 100 + l_linenumber``; the test data repeats some keys,
+  so the look-alike keeps one line per key with W1, latest ship date first, the
+  remaining columns as tie-break); revenue = ``l_extendedprice``; budget =
+  ``l_quantity x p_retailprice``; release year = ship year; rating =
+  ``l_discount x 100``; vote count = quantity.
+* comma lists are row-local, so no list is ever built by aggregation: genres = the
+  words of the part name (``small, ring``), directors = part brand and part type,
+  cast = the line's supplier key.
 * people           = supplier (``s_suppkey``, ``s_name``, ``s_acctbal``).
-* movie_reviews    = events: review per event, title = ``user_id``, rating =
-  ``value / 49`` (a few fall above 10 and are nulled by the range rule).
+* movie_reviews    = events: review per event, title = line 1 of order ``user_id``
+  (``user_id * 100 + 1``), rating = ``value / 49`` (a few fall above 10 and are
+  nulled by the range rule); reviews of unknown titles are dropped by the semi-join.
 * exchange         = rates documents parsed from ``events.props`` (``{"k": n}``),
   cleaned to one rate per currency; the target currency is ``K``.
 
 Money stays ``decimal(18,2)`` (rates ``decimal(18,4)``) so sums are exact and
 agree bit-for-bit with another engine; ratios are doubles like the reference.
-
-The comma lists are built by one aggregation of lineitem by order key (partial
-aggregation, one shuffle), sorted so both engines spell them the same. A list
-is as long as its order has lines.
 """
 
 from __future__ import annotations
@@ -29,6 +31,7 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trilake.operators.dedupe import keep_one
 from trilake.operators.finance import add_profit_roi, convert_currency
 from trilake.plans.trusted import clean_exchange, clean_people, clean_reviews
 from trilake.sources.rates import flatten_rates, parse_rates
@@ -60,35 +63,39 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d.rstrip('/')}/{name}.parquet")
 
 
+# Fixed value: title key = order key x 100 + line number (TPC-H line numbers are 1..7).
+TITLE_KEY_FACTOR = 100
+LINE_ORDER = ("l_shipdate", "l_extendedprice")
+LINE_TIES = ("l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus")
+
+
+def title_key(orderkey: str = "l_orderkey", linenumber: str = "l_linenumber"):
+    return F.col(orderkey) * F.lit(TITLE_KEY_FACTOR) + F.col(linenumber)
+
+
 @_memo
 def title_lines(spark: SparkSession, d: str) -> DataFrame:
-    """Per order: budget, rating, line count and the three comma lists."""
-    li = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey",
-                                            "l_extendedprice", "l_discount")
-    part = table(spark, d, "part").select("p_partkey", "p_name", "p_brand")
-    lines = li.join(part, li.l_partkey == part.p_partkey, "inner")
-    return lines.groupBy("l_orderkey").agg(
-        F.sum(F.col("l_extendedprice").cast(MONEY)).cast(MONEY).alias("budget_usd"),
-        (F.sum(F.col("l_discount").cast(MONEY)).cast("double") * F.lit(100.0)
-         / F.count(F.lit(1)).cast("double")).alias("vote_average"),
-        F.count(F.lit(1)).cast("int").alias("vote_count"),
-        F.array_join(F.array_sort(F.collect_list(F.col("l_suppkey").cast("string"))), ",").alias("cast_ids"),
-        F.array_join(F.array_sort(F.collect_list("p_name")), ", ").alias("genres"),
-        F.array_join(F.array_sort(F.collect_list("p_brand")), ",").alias("directors"),
-    )
+    """One line per title key (W1) with its part attributes."""
+    li = table(spark, d, "lineitem").withColumn("tmdb_id", title_key())
+    li = keep_one(li, "tmdb_id", *LINE_ORDER, tie_break=list(LINE_TIES))
+    part = table(spark, d, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_retailprice")
+    return li.join(part, li.l_partkey == part.p_partkey, "inner")
 
 
 @_memo
 def base_titles(spark: SparkSession, d: str) -> DataFrame:
-    o = table(spark, d, "orders")
-    lines = title_lines(spark, d)
-    t = o.join(lines, o.o_orderkey == lines.l_orderkey, "left")
+    t = title_lines(spark, d)
     return t.select(
-        F.col("o_orderkey").alias("tmdb_id"),
-        F.concat(F.lit("Title "), F.col("o_orderkey").cast("string")).alias("title"),
-        F.year("o_orderdate").cast("int").alias("release_year"),
-        F.col("o_totalprice").cast(MONEY).alias("revenue_usd"),
-        "budget_usd", "vote_average", "vote_count", "cast_ids", "genres", "directors",
+        "tmdb_id",
+        F.concat(F.lit("Title "), F.col("tmdb_id").cast("string")).alias("title"),
+        F.year("l_shipdate").cast("int").alias("release_year"),
+        F.col("l_extendedprice").cast(MONEY).alias("revenue_usd"),
+        (F.col("l_quantity").cast(MONEY) * F.col("p_retailprice").cast(MONEY)).cast(MONEY).alias("budget_usd"),
+        (F.col("l_discount").cast(MONEY) * F.lit(100)).cast("double").alias("vote_average"),
+        F.col("l_quantity").cast("int").alias("vote_count"),
+        F.col("l_suppkey").cast("string").alias("cast_ids"),
+        F.regexp_replace("p_name", " ", ", ").alias("genres"),
+        F.concat_ws(",", "p_brand", "p_type").alias("directors"),
     )
 
 
@@ -144,7 +151,7 @@ def raw_reviews(spark: SparkSession, d: str) -> DataFrame:
         F.col("event_id").cast("string").alias("review_id"),
         F.col("event_type").alias("author"),
         F.col("ts").cast("string").alias("created_at"),
-        F.col("user_id").cast("string").alias("tmdb_id"),
+        (F.col("user_id") * F.lit(TITLE_KEY_FACTOR) + F.lit(1)).cast("string").alias("tmdb_id"),
         (F.col("value") / F.lit(RATING_DIVISOR)).cast("string").alias("rating"),
     )
 
@@ -152,8 +159,8 @@ def raw_reviews(spark: SparkSession, d: str) -> DataFrame:
 @_memo
 def reviews(spark: SparkSession, d: str) -> DataFrame:
     """Trusted reviews look-alike (T4): range rule, dedupe, only reviews of known
-    titles (the title keys are the order keys)."""
-    known = table(spark, d, "orders").select(F.col("o_orderkey").alias("tmdb_id"))
+    titles (left-semi join on the title keys)."""
+    known = table(spark, d, "lineitem").select(title_key().alias("tmdb_id"))
     return clean_reviews(raw_reviews(spark, d), known)
 
 
