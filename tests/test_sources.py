@@ -71,3 +71,21 @@ def test_jdbc_options():
         jdbc.read_options("u", table="a", partition_column="x")
     w = jdbc.write_options("u", "people", batch_size=5000)
     assert w["batchsize"] == "1000" and w["truncate"] == "true"
+
+
+def test_bucketed_tables_join_without_shuffle(spark, tmp_dir):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        a = spark.range(2000).selectExpr("id AS tmdb_id", "id * 2 AS x")
+        b = spark.range(6000).selectExpr("id % 2000 AS tmdb_id", "id AS y")
+        assert write_table(a, tmp_dir, "movies", bucket_by="tmdb_id", buckets=8) == 2000
+        assert write_table(b, tmp_dir, "movie_reviews", bucket_by="tmdb_id", buckets=8) == 6000
+        ma, mb = read_table(spark, tmp_dir, "movies"), read_table(spark, tmp_dir, "movie_reviews")
+        j = ma.join(mb, "tmdb_id")
+        assert j.count() == 6000
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

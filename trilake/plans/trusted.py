@@ -170,10 +170,13 @@ def trusted_tables(raw: dict[str, DataFrame], code: str = "COP", fx_mode: str =
 
 def raw_to_trusted(spark: SparkSession, raw_prefix: str, trusted_prefix: str,
                    code: str = "COP", fx_mode: str = "highest",
-                   on_missing: str = "identity", header_safe: bool = True) -> dict[str, int]:
+                   on_missing: str = "identity", header_safe: bool = True,
+                   buckets: int | None = None) -> dict[str, int]:
     """The full job. Returns row counts per written table (from write-time
     observations, not extra count jobs). ``header_safe`` reads each raw dataset
-    grouped by file header (U2) instead of trusting the first file's column order."""
+    grouped by file header (U2) instead of trusting the first file's column order.
+    ``buckets`` writes movies, movie_genres and movie_reviews bucketed alike on
+    ``tmdb_id`` so the curated joins on that key are co-located (no shuffle)."""
     from trilake.sources.parquet import read_table, write_table
     from trilake.sources.raw_csv import read_raw, read_raw_by_header
 
@@ -185,11 +188,12 @@ def raw_to_trusted(spark: SparkSession, raw_prefix: str, trusted_prefix: str,
     counts["exchange"] = write_table(exchange, trusted_prefix, "exchange")
     exchange = read_table(spark, trusted_prefix, "exchange")
     movies = financial_metrics(clean_movies(raw["movies"]), exchange, code, on_missing=on_missing)
-    counts["movies"] = write_table(movies, trusted_prefix, "movies")
+    by = {"bucket_by": "tmdb_id", "buckets": buckets} if buckets else {}
+    counts["movies"] = write_table(movies, trusted_prefix, "movies", **by)
     movies = read_table(spark, trusted_prefix, "movies")  # cut lineage: reuse the written table
-    counts["movie_genres"] = write_table(genre_bridge(movies), trusted_prefix, "movie_genres")
+    counts["movie_genres"] = write_table(genre_bridge(movies), trusted_prefix, "movie_genres", **by)
     counts["tv_shows"] = write_table(clean_tv(raw["tv_shows"]), trusted_prefix, "tv_shows")
     counts["people"] = write_table(clean_people(raw["people"]), trusted_prefix, "people")
     counts["movie_reviews"] = write_table(clean_reviews(raw["movie_reviews"], movies),
-                                          trusted_prefix, "movie_reviews")
+                                          trusted_prefix, "movie_reviews", **by)
     return counts
