@@ -8,12 +8,16 @@ from pyspark.sql import functions as F
 
 def sample_n(df: DataFrame, n: int, seed: int = 42, total: int | None = None) -> DataFrame:
     """O7 (reference): Bernoulli sample with ``fraction = min(1, 1.2 n / total)``,
-    then ``limit(n)``. Needs the row count (one job) unless ``total`` is given.
-    The rows depend on the partitioning; use ``hash_sample`` for a stable answer."""
-    if total is None:
-        total = df.count()
-    fraction = min(1.0, n * 1.2 / total) if total > 0 else 1.0
-    return df.sample(fraction=fraction, seed=seed).limit(n)
+    then ``limit(n)``. The row count is a scalar subquery inside the plan (no eager
+    driver-side count when the plan is built); each row is kept when
+    ``rand(seed) < fraction``. The rows depend on the partitioning; use
+    ``hash_sample`` for a stable answer. ``total`` skips the count when known."""
+    if total is not None:
+        fraction = min(1.0, n * 1.2 / total) if total > 0 else 1.0
+        return df.sample(fraction=fraction, seed=seed).limit(n)
+    count = df.select(F.count(F.lit(1)).cast("double")).scalar()
+    fraction = F.least(F.lit(1.0), F.try_divide(F.lit(n * 1.2), count))
+    return df.where(F.rand(seed) < fraction).limit(n)
 
 
 def hash_key(key: str | list[str], seed: int = 42) -> Column:
