@@ -125,3 +125,25 @@ def test_bernoulli_sample_caps_at_n(spark):
     df = spark.range(1000)
     assert sample_n(df, 20).count() <= 20
     assert sample_n(df, 5000).count() == 1000
+
+
+def test_bridge_tokens_rejoin_to_same_multiset(spark):
+    """P5 + M3 property: normalising a list and exploding it into the bridge keeps
+    exactly the lower-cased, trimmed, non-empty tokens (with repeats)."""
+    from collections import Counter
+
+    from trilake.functions.clean import normalize_list_expr
+    rnd = random.Random(11)
+    vocab = ["Drama", "comedy", "ACTION", "sci fi", "x"]
+    data = []
+    for i in range(400):
+        toks = [rnd.choice(vocab + ["", " "]) for _ in range(rnd.randint(0, 6))]
+        seps = [rnd.choice([",", " ,", ", ", " , ", ",,"]) for _ in toks]
+        data.append((i, "".join(t + s for t, s in zip(toks, seps)) if toks else None))
+    df = spark.createDataFrame(data, "tmdb_id int, genres string").withColumn("genres", normalize_list_expr(F.col("genres")))
+    got = {}
+    for r in bridge(df, "tmdb_id", "genres", "genre").collect():
+        got.setdefault(r["tmdb_id"], Counter())[r["genre"]] += 1
+    for i, text in data:
+        want = Counter(t.strip(" ").lower() for t in (text or "").split(",") if t.strip(" "))
+        assert got.get(i, Counter()) == want, (i, text)
