@@ -59,3 +59,29 @@ def test_incremental_movies_equals_batch_clean(spark, tmp_dir):
     want = sorted(tuple(r) for r in batch.select(cols).collect())
     assert got == want
     assert {r[0]: r[1] for r in got} == {1: "A2", 2: "B2", 3: "C"}
+
+
+def test_snapshot_compaction_keeps_answer(spark, tmp_dir):
+    from trilake.streaming.incremental import snapshot
+    base = f"{tmp_dir}/{uuid.uuid4().hex}"
+    raw = f"{base}/raw"
+    batches = [
+        [(1, "2024-01-02 00:00:00", 7, "a", 1.0), (2, "2024-01-01 00:00:00", 8, "b", 2.0)],
+        [(3, "2024-01-03 00:00:00", 7, "c", 3.0)],
+        [(4, "2024-01-04 00:00:00", 8, "d", 4.0), (5, "2023-01-01 00:00:00", 9, "e", 5.0)],
+    ]
+    for i, rows_ in enumerate(batches):
+        df = spark.createDataFrame(rows_, "event_id long, ts string, user_id long, event_type string, value double")
+        land_raw(df, raw, "events", run_ts=f"r{i}")
+        run_incremental(spark, f"{raw}/events/*", EVENT_RAW_SCHEMA, _clean_events, "user_id",
+                        ["ts", "event_id"], ["event_type", "value"], f"{base}/changes", f"{base}/ckpt")
+        if i == 1:
+            assert snapshot(spark, f"{base}/changes", "user_id", f"{base}/snap").endswith("upto=1")
+    full = {r["user_id"]: r["event_id"] for r in current_table(spark, f"{base}/changes", "user_id").collect()}
+    snap = {r["user_id"]: r["event_id"] for r in
+            current_table(spark, f"{base}/changes", "user_id", f"{base}/snap").collect()}
+    assert full == snap == {7: 3, 8: 4, 9: 5}
+    snapshot(spark, f"{base}/changes", "user_id", f"{base}/snap")
+    again = {r["user_id"]: r["event_id"] for r in
+             current_table(spark, f"{base}/changes", "user_id", f"{base}/snap").collect()}
+    assert again == full

@@ -87,12 +87,15 @@ def main(argv=None, stop: bool = True) -> int:
             else:
                 show_top(df, 25, name)
     elif args.cmd == "incremental":
+        from trilake.plans.trusted import ROW_CLEANERS
         from trilake.sources.parquet import write_table
-        from trilake.streaming.incremental import incremental_trusted
+        from trilake.streaming.incremental import incremental_trusted, snapshot
         base = args.out_prefix.rstrip("/")
         table = incremental_trusted(spark, f"{args.raw_prefix.rstrip('/')}/{args.table}", args.table,
-                                    f"{base}/changes", f"{base}/checkpoint")
-        out = {args.table: write_table(table, base, "current")}
+                                    f"{base}/changes", f"{base}/checkpoint",
+                                    snapshots_dir=f"{base}/snapshots")
+        out = {args.table: write_table(table, base, "current"),
+               "snapshot": snapshot(spark, f"{base}/changes", ROW_CLEANERS[args.table][1], f"{base}/snapshots")}
     else:
         from trilake.sources.raw_csv import CSV_OPTIONS, land_raw
         from trilake.sources.rates import read_rates_json

@@ -51,12 +51,50 @@ def run_incremental(spark: SparkSession, raw_dir: str, schema: T.StructType, cle
     q.awaitTermination()
 
 
-def current_table(spark: SparkSession, changes_dir: str, key: str) -> DataFrame:
-    """Trusted table = newest change per key (W1 over the change log)."""
+def _latest_snapshot(spark: SparkSession, snapshots_dir: str | None):
+    """(path, last batch id) of the newest snapshot, from its manifest, or None."""
+    if not snapshots_dir:
+        return None
+    try:
+        m = spark.read.json(f"{snapshots_dir}/_manifest").first()
+    except Exception:  # noqa: BLE001 - no snapshot written yet
+        return None
+    return (m["path"], int(m["upto"])) if m else None
+
+
+def current_table(spark: SparkSession, changes_dir: str, key: str,
+                  snapshots_dir: str | None = None) -> DataFrame:
+    """Trusted table = newest change per key (W1 over the change log). With a
+    snapshot, only batches newer than the snapshot are read next to it, so the work
+    does not grow with the number of runs."""
     ch = spark.read.parquet(changes_dir)
+    snap = _latest_snapshot(spark, snapshots_dir)
+    if snap is not None:
+        path, upto = snap
+        ch = spark.read.parquet(path).unionByName(ch.where(F.col("batch_id") > upto))
     return keep_one(ch, key, "batch_id").drop("batch_id")
 
 
+def snapshot(spark: SparkSession, changes_dir: str, key: str, snapshots_dir: str) -> str:
+    """Compact: write the current table (with the batch id of each winner) as a new
+    snapshot folder, then point the manifest at it. Readers keep using the previous
+    snapshot until the manifest is replaced; older snapshots and batches can then be
+    expired by the platform's retention policy."""
+    ch = spark.read.parquet(changes_dir)
+    prev = _latest_snapshot(spark, snapshots_dir)
+    if prev is not None:
+        ch = spark.read.parquet(prev[0]).unionByName(ch.where(F.col("batch_id") > prev[1]))
+    cur = keep_one(ch, key, "batch_id")
+    upto = cur.agg(F.max("batch_id")).first()[0]
+    if upto is None:
+        return ""
+    path = f"{snapshots_dir.rstrip('/')}/upto={int(upto)}"
+    cur.write.mode("overwrite").parquet(path)
+    (spark.createDataFrame([(path, int(upto))], "path string, upto long")
+          .coalesce(1).write.mode("overwrite").json(f"{snapshots_dir}/_manifest"))
+    return path
+
+
 def raw_schema(spark: SparkSession, raw_dir: str) -> T.StructType:
     """All-string schema from the landed header (a file source stream needs one)."""
     cols = spark.read.options(**CSV_OPTIONS).csv(raw_dir).columns
@@ -64,7 +102,8 @@ def raw_schema(spark: SparkSession, raw_dir: str) -> T.StructType:
 
 
 def incremental_trusted(spark: SparkSession, raw_dir: str, name: str, changes_dir: str,
-                        checkpoint_dir: str, schema: T.StructType | None = None) -> DataFrame:
+                        checkpoint_dir: str, schema: T.StructType | None = None,
+                        snapshots_dir: str | None = None) -> DataFrame:
     """ST1 for a lake table (movies, tv_shows, people): row-level cleaning of the new
     files, streaming latest-per-key with the table's dedupe order (ties broken by the
     row's remaining values), then the current trusted table. Derived columns that
@@ -78,7 +117,7 @@ def incremental_trusted(spark: SparkSession, raw_dir: str, name: str, changes_di
     payload = [c for c in names if c != key and c not in present_order]
     run_incremental(spark, f"{raw_dir.rstrip('/')}/*", schema, rows_fn, key, present_order, payload,
                     changes_dir, checkpoint_dir)
-    table = current_table(spark, changes_dir, key)
+    table = current_table(spark, changes_dir, key, snapshots_dir)
     return with_bucket(table) if name == "tv_shows" else table
 
 
