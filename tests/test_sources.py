@@ -89,3 +89,14 @@ def test_bucketed_tables_join_without_shuffle(spark, tmp_dir):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_header_grouping_uses_manifests_and_probes_foreign_files(spark, tmp_dir):
+    from trilake.sources.raw_csv import run_manifests
+    raw = f"{tmp_dir}/raw"
+    land_raw(spark.createDataFrame([("1", "x")], "id string, name string"), raw, "t", run_ts="1")
+    land_raw(spark.createDataFrame([("y", "2", "e")], "name string, id string, extra string"), raw, "t", run_ts="2")
+    _write(f"{raw}/t/run_ts=3/foreign.csv", "extra,id\nf,3\n")          # landed by another tool
+    assert sorted(r["header"] for r in run_manifests(spark, f"{raw}/t").collect()) == ["id,name", "name,id,extra"]
+    got = rows(read_raw_by_header(spark, f"{raw}/t"), "id", "name", "extra", "run_ts")
+    assert got == [("1", "x", None, 1), ("2", "y", "e", 2), ("3", None, "f", 3)]

@@ -32,7 +32,7 @@ def read_raw(spark: SparkSession, path: str, with_file: bool = False) -> DataFra
     return df
 
 
-def file_headers(spark: SparkSession, path: str) -> DataFrame:
+def file_headers(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Header line of every file under ``path``: one row per FILE (bounded by the
     number of files, not rows). The first line of a file is the smallest
     ``monotonically_increasing_id`` within the split that starts at offset 0."""
@@ -44,6 +44,15 @@ def file_headers(spark: SparkSession, path: str) -> DataFrame:
     return t.groupBy("file").agg(F.min_by("value", "pos").alias("header"))
 
 
+def run_manifests(spark: SparkSession, path: str) -> DataFrame:
+    """(run folder, header) for every run landed by ``land_raw``: the hidden
+    ``_columns`` manifest written next to the data, one tiny file per run."""
+    m = (spark.read.option("recursiveFileLookup", "true").text(f"{path.rstrip('/')}/*/_columns")
+         .select(F.regexp_extract(F.col("_metadata.file_path"), r"^(.*)/_columns/[^/]*$", 1).alias("run"),
+                 F.col("value").alias("header")))
+    return m
+
+
 def read_raw_by_header(spark: SparkSession, path: str) -> DataFrame:
     """U2 (safe variant): Spark's CSV scan maps columns by the position of the FIRST
     file's header, so a run landed with another column set is silently misassigned.
@@ -51,10 +60,23 @@ def read_raw_by_header(spark: SparkSession, path: str) -> DataFrame:
     and the groups are unioned by name (missing columns -> null). ``path`` is the
     dataset folder; ``run_ts=`` sub-folders still become a column (``basePath``).
 
-    Only the (file, header) list reaches the driver; the data stays distributed."""
+    Runs landed by ``land_raw`` carry a ``_columns`` manifest, so their headers come
+    from that tiny file; only files without one (landed by other tools) are probed by
+    reading their first split. Only the (file or run, header) list reaches the
+    driver; the data stays distributed."""
     groups: dict[str, list[str]] = {}
-    for row in file_headers(spark, path).collect():
-        groups.setdefault(row["header"], []).append(row["file"])
+    try:
+        manifests = {r["run"]: r["header"] for r in run_manifests(spark, path).collect()}
+    except Exception:  # noqa: BLE001 - no manifest anywhere under path
+        manifests = {}
+    for run, header in manifests.items():
+        groups.setdefault(header, []).append(run)
+    # File listing only (binaryFile reads no content unless the column is selected).
+    listing = [r["path"] for r in spark.read.format("binaryFile").load(path).select("path").collect()]
+    foreign = [f for f in listing if f.rsplit("/", 1)[0] not in manifests]
+    if foreign:
+        for row in file_headers(spark, foreign).collect():
+            groups.setdefault(row["header"], []).append(row["file"])
     if len(groups) <= 1:
         return read_raw(spark, path)
     frames = [spark.read.options(**CSV_OPTIONS).option("basePath", path).csv(files)
@@ -72,6 +94,11 @@ def land_raw(df: DataFrame, raw_prefix: str, name: str, run_ts: str | None = Non
     path = f"{raw_prefix.rstrip('/')}/{name}/run_ts={ts}"
     (df.select([F.col(c).cast("string").alias(c) for c in df.columns])
        .write.mode("errorifexists").options(**CSV_OPTIONS).csv(path))
+    # Hidden manifest with the run's header line (readers skip "_" paths); lets the
+    # header-safe read group runs without probing the data files.
+    header = ",".join(df.columns)
+    (df.sparkSession.createDataFrame([(header,)], "value string").coalesce(1)
+       .write.mode("overwrite").text(f"{path}/_columns"))
     return path
 
 
