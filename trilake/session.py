@@ -43,7 +43,10 @@ def build_session(master: str | None = None, app: str = "trilake",
     for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()
-    spark.sparkContext.setLogLevel("WARN")
+    try:
+        spark.sparkContext.setLogLevel("WARN")
+    except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
+        pass
     apply_job_conf(spark)
     return spark
 
@@ -64,7 +67,10 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     if not base:
         base = tempfile.mkdtemp(prefix="trilake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
-        spark.sparkContext.setCheckpointDir(base)
+        try:
+            spark.sparkContext.setCheckpointDir(base)
+        except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
+            pass
     return "/".join([base.rstrip("/"), *parts]) if parts else base
 
 
@@ -78,7 +84,10 @@ def size_shuffle(spark: SparkSession, shuffle_bytes: int, target_bytes: int = 25
     capped at ``max_partitions`` (map x reduce shuffle blocks grow quadratically), with
     AQE coalescing small partitions and splitting skewed ones at runtime; scan splits
     are at most ``max_split_bytes``. Never below the core count. Returns the count."""
-    cores = spark.sparkContext.defaultParallelism
+    try:
+        cores = spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
+        cores = int(spark.conf.get("spark.default.parallelism", "8"))
     parts = min(max_partitions, max(cores, -(-int(shuffle_bytes) // int(target_bytes))))
     spark.conf.set("spark.sql.shuffle.partitions", str(parts))
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(int(target_bytes)))
