@@ -182,6 +182,12 @@ FROM agg ORDER BY {names['su']} DESC, genre {limit}"""
     return _with(body, extra)
 
 
+def q_revenue_by_token_bridge(spark, d):
+    """D1 with the reference's plan: the genre bridge (T7) joined to titles."""
+    t = LA.titles(spark, d)
+    return to_double(Q.revenue_by_genre(t, genre_bridge(t)))
+
+
 def q_revenue_by_token_sql(spark, d):
     v = _views(spark, d)
     return to_double(spark.sql(QS.q1_genre_revenue(v=v)))
@@ -656,6 +662,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "revenue_by_year": q_revenue_by_year,
         "revenue_by_year_rate": q_revenue_by_year_rate,
         "revenue_by_token": q_revenue_by_token,
+        "revenue_by_token_bridge": q_revenue_by_token_bridge,
         "revenue_by_token_sql": q_revenue_by_token_sql,
         "top_suppliers_profitable": q_top_suppliers_profitable,
         "top_suppliers_profitable_sql": q_top_suppliers_profitable_sql,
@@ -720,6 +727,8 @@ FROM titles WHERE release_year IS NOT NULL AND revenue_usd IS NOT NULL AND reven
 GROUP BY release_year HAVING COUNT(*) >= 5 ORDER BY release_year"""),
         "revenue_by_token": _genre_oracle("revenue_usd IS NOT NULL AND revenue_cop IS NOT NULL AND revenue_usd > 0",
                                           genre_df),
+        "revenue_by_token_bridge": _genre_oracle("revenue_usd IS NOT NULL AND revenue_cop IS NOT NULL AND revenue_usd > 0",
+                                                 genre_df),
         "revenue_by_token_sql": _genre_oracle("revenue_usd IS NOT NULL AND revenue_cop IS NOT NULL",
                                               genre_sql, "LIMIT 20"),
         "top_suppliers_profitable": _actor_oracle(False),
