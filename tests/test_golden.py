@@ -210,3 +210,12 @@ def test_bucketed_trusted_job_gives_same_answers(spark, lake):
                               sample_mode="hash", use_bridge=True)
     for name in plain:
         assert rows(plain[name]) == rows(bucketed[name]), name
+
+
+def test_d2_preaggregated_plan_equals_reference_plan(spark, lake):
+    from trilake.plans import questions as Q
+    root, _ = lake
+    movies = read_table(spark, f"{root}/trusted", "movies")
+    people = read_table(spark, f"{root}/trusted", "people")
+    assert rows(Q.top_actors_rentables(movies, people)) == \
+        rows(Q.top_actors_rentables(movies, people, people_unique=False))
