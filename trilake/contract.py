@@ -26,7 +26,7 @@ from trilake.functions.clean import (
 )
 from trilake.operators.dedupe import keep_one
 from trilake.operators.finance import roi_local
-from trilake.operators.joins import cross_scalar, keep_known
+from trilake.operators.joins import cross_scalar, distinct_keys, keep_known
 from trilake.plans import kpi, lookalike as LA, questions as Q, questions_sql as QS
 from trilake.plans.trusted import clean_movies, clean_tv, genre_bridge
 from trilake.sources.views import register_views
@@ -490,6 +490,14 @@ SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders
 WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0)"""
 
 
+def q_distinct_title_keys(spark, d):
+    """Distinct (order, line) keys of lineitem, i.e. the look-alike title keys."""
+    return distinct_keys(LA.table(spark, d, "lineitem"), "l_orderkey", "l_linenumber")
+
+
+ORACLE_DISTINCT_KEYS = "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem"
+
+
 # ------------------------------------------------------------------ finance / multi-value / sources
 
 
@@ -689,6 +697,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "keep_latest_per_user": q_keep_latest_per_user,
         "dedupe_lineitem": q_dedupe_lineitem,
         "semi_join_known_parents": q_semi_join_known_parents,
+        "distinct_title_keys": q_distinct_title_keys,
         "profit_and_roi": q_profit_and_roi,
         "fx_convert_broadcast": q_fx_convert_broadcast,
         "fx_roi_adjusted": q_fx_roi_adjusted,
@@ -765,6 +774,7 @@ SELECT 'directors', MAX(avg_roi_pct) * 1.15 FROM ({_director_oracle(False)}) r""
         "keep_latest_per_user": ORACLE_LATEST_USER,
         "dedupe_lineitem": ORACLE_DEDUPE_LI,
         "semi_join_known_parents": ORACLE_SEMI,
+        "distinct_title_keys": ORACLE_DISTINCT_KEYS,
         "profit_and_roi": _with("SELECT tmdb_id, CAST(profit_usd AS DOUBLE) AS profit_usd, roi_pct FROM titles"),
         "fx_convert_broadcast": _with("SELECT tmdb_id, CAST(revenue_usd AS DOUBLE) AS revenue_usd, "
                                       "CAST(revenue_cop AS DOUBLE) AS revenue_cop FROM titles"),

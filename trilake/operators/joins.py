@@ -46,3 +46,10 @@ def keep_known(df: DataFrame, parents: DataFrame, key: str, parent_key: str | No
     if pk == key:
         return df.join(parents.select(key), on=key, how="left_semi")
     return df.join(parents.select(F.col(pk).alias("__pk")), F.col(key) == F.col("__pk"), "left_semi")
+
+
+def distinct_keys(df: DataFrame, *cols: str) -> DataFrame:
+    """The distinct values of a projection (the reference's ``select().distinct()``
+    of title ids). Planned as a partial + final HashAggregate, so duplicates collapse
+    map-side before the shuffle."""
+    return df.select(*cols).distinct()
