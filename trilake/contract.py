@@ -28,7 +28,7 @@ from trilake.operators.dedupe import keep_one
 from trilake.operators.finance import roi_local
 from trilake.operators.joins import cross_scalar, distinct_keys, keep_known
 from trilake.plans import kpi, lookalike as LA, questions as Q, questions_sql as QS
-from trilake.plans.trusted import clean_movies, clean_tv, genre_bridge
+from trilake.plans.trusted import clean_exchange, clean_movies, clean_tv, genre_bridge
 from trilake.sources.views import register_views
 
 # ------------------------------------------------------------------ helpers
@@ -660,6 +660,41 @@ def q_incremental_titles(spark, d):
                       "vote_average", "vote_count", "genres")
 
 
+def q_exchange_latest(spark, d):
+    """T5 in ``latest`` mode: the rate of the newest landing (here the document date)
+    per currency, highest rate among equal dates (B4's alternative)."""
+    return clean_exchange(LA.raw_rates(spark, d), mode="latest", landed="date").select("currency", "rate", "date")
+
+
+ORACLE_EXCHANGE_LATEST = _with(f"""
+SELECT currency, rate, date FROM (
+  SELECT upper(trim(currency)) AS currency, TRY_CAST(trim(rate_text) AS DOUBLE) AS rate, date,
+         row_number() OVER (PARTITION BY upper(trim(currency))
+                            ORDER BY date DESC NULLS LAST, TRY_CAST(trim(rate_text) AS DOUBLE) DESC NULLS LAST) AS rn
+  FROM rates_raw
+  WHERE trim(currency) NOT IN ({_NULL_LIKE_SQL}) AND TRY_CAST(trim(rate_text) AS DOUBLE) > 0)
+WHERE rn = 1""")
+
+
+def q_trusted_row_counts(spark, d):
+    """Row-count smoke check of the trusted look-alike tables, one row per table."""
+    t = LA.trusted(spark, d)
+    out = None
+    for name in ("movies", "movie_genres", "people", "movie_reviews", "exchange"):
+        c = t[name].agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table_name"), "n")
+        out = c if out is None else out.unionByName(c)
+    return out
+
+
+ORACLE_ROW_COUNTS = _with("""
+SELECT 'movies' AS table_name, COUNT(*) AS n FROM titles
+UNION ALL SELECT 'movie_genres', COUNT(*) FROM (
+  SELECT trim(unnest(string_split(genres, ','))) AS g FROM titles WHERE genres IS NOT NULL) WHERE g <> ''
+UNION ALL SELECT 'people', COUNT(*) FROM people_like
+UNION ALL SELECT 'movie_reviews', COUNT(*) FROM reviews_like
+UNION ALL SELECT 'exchange', COUNT(*) FROM exchange_like""")
+
+
 # ------------------------------------------------------------------ registry
 
 
@@ -710,6 +745,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "tv_clean": q_tv_clean,
         "incremental_titles": q_incremental_titles,
         "bernoulli_sample": q_bernoulli_sample,
+        "exchange_latest": q_exchange_latest,
+        "trusted_row_counts": q_trusted_row_counts,
         "lake_job_trusted_movies": q_lake_job_trusted_movies,
         "incremental_latest": q_incremental_latest,
         "raw_roundtrip": q_raw_roundtrip,
@@ -788,6 +825,8 @@ SELECT 'directors', MAX(avg_roi_pct) * 1.15 FROM ({_director_oracle(False)}) r""
         "tv_clean": ORACLE_TV,
         "incremental_titles": ORACLE_TITLES_RAW,
         "lake_job_trusted_movies": ORACLE_LAKE_JOB,
+        "exchange_latest": ORACLE_EXCHANGE_LATEST,
+        "trusted_row_counts": ORACLE_ROW_COUNTS,
         "incremental_latest": ORACLE_INCREMENTAL,
         "raw_roundtrip": ORACLE_RAW_ROUNDTRIP,
     }
