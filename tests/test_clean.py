@@ -24,8 +24,8 @@ def test_nullify_literals(spark):
 
 def test_int_recipe_matches_non_ansi_cast(spark):
     vals = ["1995", "1995.0", "12.7", ".5", "5.", " 7 ", "1e3", "99999999999", "abc", "", "+4", "-3.9",
-            "nan", "NaN", "inf", None]
-    expected = [1995, 1995, 12, 0, 5, 7, None, None, None, None, 4, -3, None, None, None, None]
+            "nan", "NaN", "inf", None, "\t12.7\t", "\n5\n", "1 2"]
+    expected = [1995, 1995, 12, 0, 5, 7, None, None, None, None, 4, -3, None, None, None, None, 12, 5, None]
     assert _apply(spark, vals, C.int_expr) == expected
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from trilake.functions.clean import (
-    INT_TEXT_RE, NULL_LIKE, bucket3_expr, double_expr, int_expr, bool_expr, normalize_list_expr,
+    EDGE_CONTROL_RE, INT_TEXT_RE, NULL_LIKE, bucket3_expr, double_expr, int_expr, bool_expr, normalize_list_expr,
     null_if_negative_expr, null_outside_expr, nullify_expr, upper_code_expr,
 )
 from trilake.operators.dedupe import keep_one
@@ -74,8 +74,9 @@ def _hsum(col: str, scale: int) -> str:
 
 
 def duck_int(expr: str) -> str:
-    return (f"CASE WHEN regexp_matches(trim({expr}), '{INT_TEXT_RE}') "
-            f"THEN TRY_CAST(trunc(TRY_CAST(trim({expr}) AS DOUBLE)) AS INTEGER) END")
+    s = f"regexp_replace({expr}, '{EDGE_CONTROL_RE}', '', 'g')"
+    return (f"CASE WHEN regexp_matches({s}, '{INT_TEXT_RE}') "
+            f"THEN TRY_CAST(trunc(TRY_CAST({s} AS DOUBLE)) AS INTEGER) END")
 
 
 _NULL_LIKE_SQL = ", ".join("'" + v + "'" for v in NULL_LIKE)

@@ -22,6 +22,9 @@ FALSE_TEXT = ("false", "0", "no")
 # Text that the non-ANSI Spark 3.5 cast to int accepts (after trim): optional sign,
 # digits with an optional decimal point, or a leading point. Exponents are rejected.
 INT_TEXT_RE = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)$"
+# The non-ANSI cast trims every leading/trailing character <= 0x20 (spaces, tabs,
+# newlines, other control characters), not only spaces.
+EDGE_CONTROL_RE = r"^[\x00-\x20]+|[\x00-\x20]+$"
 
 
 def _present(df: DataFrame, cols) -> list[str]:
@@ -43,7 +46,7 @@ def int_expr(c: Column) -> Column:
     ANSI ``cast`` throws and ``try_cast('1995.0' as int)`` is null, so numeric-looking
     text goes through double and is truncated; overflow gives null.
     """
-    s = F.trim(c.cast("string"))
+    s = F.regexp_replace(c.cast("string"), EDGE_CONTROL_RE, "")
     return F.when(s.rlike(INT_TEXT_RE), s.try_cast("double").try_cast("int"))
 
 
