@@ -1,0 +1,145 @@
+import random
+import zlib
+
+import public_tokenizers
+import pytest
+from hypothesis import given, settings, strategies as st
+from tokenizers import Tokenizer
+
+from trilake.llm.packing import best_fit_steps, pack_documents
+from trilake.llm.sharding import shard_plan
+from trilake.llm.token_counts import count_texts, token_counts
+
+from .util import empty, frame, table, words
+
+WORD, BYTE = (public_tokenizers.path(f"{n}.json") for n in ("word_bpe_49k", "byte_bpe_50k"))
+ODD = ["", None, " ", "a", "\n\n a  b \n", "tab\tand\x0bvt \x1c x !\x1c? 　 wide", "It's <|endoftext|> Don't<|startoftext|>x",
+       "é ́x ÉÈ ﬁ ΑΣ Σ", "日本語のテキスト 123456 ½", "x" * 9000, "  lead", "trail  ", "a\r\nb", "İstanbul I"]
+
+
+def corpus(seed=1):
+    rng = random.Random(seed)
+    rows = [(i, t) for i, t in enumerate(ODD)]
+    rows += [(100 + i, words(rng, rng.randrange(1, 300))) for i in range(60)]
+    rows += [(300, words(rng, 4000)), (301, words(rng, 3000))]
+    rows += [(400 + i, "same copy of a text") for i in range(50)]  # ties
+    rows += [(None, "no id"), (None, "no id"), (7, "repeated id"), (7, "repeated id")]
+    return rows
+
+
+def test_token_counts_are_the_librarys(spark):
+    rows = corpus()
+    tok = Tokenizer.from_file(BYTE)
+    got = table(token_counts(frame(spark, rows, extra=True), BYTE))
+    want = []
+    for i, t in rows:
+        n = len(tok.encode(t or "", add_special_tokens=False).ids)
+        want.append((i, len((t or "").encode()), n, n > 1024))
+    assert got == sorted(want, key=lambda t: tuple((x is not None, x) for x in t))
+    assert token_counts(empty(spark), BYTE).count() == 0
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(st.sampled_from(" \n\t\x1c　aZ9'sé́.!<|>endoftx"), max_size=30), max_size=4))
+def test_chunked_counts_equal_whole_counts(texts):
+    tok = Tokenizer.from_file(BYTE)
+    assert count_texts(texts, BYTE) == [len(tok.encode(t, add_special_tokens=False).ids) for t in texts]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(st.sampled_from(" \n\t\x1c　aZ9'séÉ́.!<|>endoftxΣ"), max_size=60))
+def test_chunked_ids_equal_whole_ids(text):
+    from trilake.llm.packing import chunk_ids
+    import numpy as np
+    tok = Tokenizer.from_file(WORD)
+    chunks = text.replace("\n", " ").split(" ") if text else []
+    known = chunk_ids(set(chunks), WORD)
+    assert np.frombuffer(b"".join(map(known.__getitem__, chunks)), "<u4").tolist() == \
+        tok.encode(text, add_special_tokens=False).ids
+
+
+def check_packing(rows, got, capacity):
+    tok = Tokenizer.from_file(WORD)
+    want, lengths = [], []
+    for i, t in rows:
+        ids = tok.encode(t or "", add_special_tokens=False).ids + [0]
+        for p, at in enumerate(range(0, len(ids), capacity)):
+            cut = ids[at:at + capacity]
+            want.append((i, p, at, len(cut), zlib.crc32(b"".join(x.to_bytes(4, "little") for x in cut))))
+            lengths.append(len(cut))
+    key = lambda t: tuple((x is not None, x) for x in t)
+    assert sorted(((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got), key=key) == sorted(want, key=key)
+    places = {}
+    for r in got:
+        places.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for seq in places.values():
+        at = 0
+        for offset, length in sorted(seq):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    # best-fit decreasing, one piece at a time
+    gaps = []
+    for n in sorted(lengths, reverse=True):
+        fit = min((g for g in gaps if g >= n), default=None)
+        if fit is not None:
+            gaps.remove(fit)
+        gaps.append((fit or capacity) - n)
+    assert len(places) <= len(gaps)
+
+
+def test_packing_is_best_fit(spark):
+    rows = corpus(2)
+    check_packing(rows, pack_documents(frame(spark, rows, extra=True), WORD, 256).collect(), 256)
+    assert pack_documents(empty(spark), WORD, 256).count() == 0
+
+
+def test_packing_keeps_ids(spark):
+    got = pack_documents(frame(spark, [(1, "one two three"), (2, None)]), WORD, 2, with_ids=True).collect()
+    ids = Tokenizer.from_file(WORD).encode("one two three", add_special_tokens=False).ids + [0]
+    assert sum((r.ids for r in sorted(got, key=lambda r: r.piece) if r.doc_id == 1), []) == ids
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.dictionaries(st.integers(1, 40), st.integers(1, 300), max_size=12))
+def test_steps_place_every_piece_once(counts):
+    steps, opened = best_fit_steps(counts, 40)
+    by = {}
+    for s in steps:
+        by.setdefault(s[0], []).append(s)
+    used = {}
+    for length, n in counts.items():
+        rows = sorted(by[length], key=lambda s: s[1])
+        assert rows[0][1] == 0
+        for s, after in zip(rows, rows[1:] + [(0, n)]):
+            for j in range(after[1] - s[1]):
+                used.setdefault(s[3] + j // s[2], []).append((s[4] + j % s[2] * length, length))
+    assert set(used) == set(range(opened))
+    for seq in used.values():
+        at = 0
+        for offset, length in sorted(seq):
+            assert offset == at
+            at += length
+        assert at <= 40
+
+
+@pytest.mark.parametrize("n", [1, 4, 16])
+def test_shards(spark, n):
+    rows = corpus(3)
+    got = shard_plan(frame(spark, rows, extra=True), n).collect()
+    want = sorted(((i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in rows),
+                  key=lambda t: (t[0] is not None, t))
+    assert sorted(((r.doc_id, r.size, r.text_crc32) for r in got), key=lambda t: (t[0] is not None, t)) == want
+    total, largest = sum(w[1] for w in want), max(w[1] for w in want)
+    shards = {}
+    for r in got:
+        shards.setdefault(r.shard, []).append(r)
+    for s in shards.values():
+        assert sorted(r.slot for r in s) == list(range(len(s)))
+        assert abs(sum(r.size for r in s) - total / n) <= largest
+    order = [r.doc_id if r.doc_id is not None else -1 for r in sorted(got, key=lambda r: (r.shard, r.slot))]
+    assert order == sorted(order)
+
+
+def test_shards_of_an_empty_table(spark):
+    assert shard_plan(empty(spark), 16).count() == 0

@@ -1,0 +1,3 @@
+"""DuckDB twins of the contract queries that SQL can express."""
+
+ORACLES: dict[str, str] = {}
