@@ -185,3 +185,45 @@ def range_sorted(df: DataFrame, order: list, name: str, running: str | None = No
 
     out = part.mapInArrow(place, schema + ", _i long" + (", _before long" if running else ""))
     return materialise(out.withColumn("_pid", F.spark_partition_id()), name)
+
+
+def word_cuts(raw: np.ndarray, max_bytes: int) -> list[int]:
+    """Places that cut one text into pieces of about ``max_bytes``, never inside a word."""
+    cuts, at = [0], 0
+    while len(raw) - at > max_bytes:
+        to = at + max_bytes
+        while to < len(raw):
+            gap = np.flatnonzero(WORD_LUT[raw[to:to + 65536]] == 0)
+            if len(gap):
+                to += int(gap[0])
+                break
+            to += 65536
+        at = min(to, len(raw))
+        cuts.append(at)
+    if cuts[-1] < len(raw) or len(cuts) == 1:
+        cuts.append(len(raw))
+    return cuts
+
+
+def whole_groups(batches: Iterable[pa.RecordBatch], keys: list[str], rows: int) -> Iterator[pa.Table]:
+    """Tables of at least ``rows`` rows (but the last) of input sorted by ``keys``, cut only
+    between groups."""
+    held: list[pa.RecordBatch] = []
+    have = 0
+    for batch in batches:
+        held.append(batch)
+        have += batch.num_rows
+        if have < rows:
+            continue
+        table = pa.Table.from_batches(held).combine_chunks()
+        change = np.zeros(table.num_rows - 1, bool)
+        for k in keys:
+            v = table.column(k).to_numpy()
+            change |= v[1:] != v[:-1]
+        cut = np.flatnonzero(change)
+        if len(cut):  # the last group may go on in the next batch
+            yield table.slice(0, int(cut[-1]) + 1)
+            held = table.slice(int(cut[-1]) + 1).combine_chunks().to_batches()
+        have = sum(b.num_rows for b in held)
+    if have:
+        yield pa.Table.from_batches(held).combine_chunks()

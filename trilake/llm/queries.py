@@ -47,9 +47,37 @@ def op5_sharding(spark, sf_dir):
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op6_simhash(spark, sf_dir):
+    from .simhash import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op7_suffix_dedup(spark, sf_dir):
+    from .suffix_dedup import repeat_report
+    return repeat_report(table(spark, sf_dir, "documents"), length=100)
+
+
+def op8_html_wrapper(spark, sf_dir):
+    from .html_wrapper import extract
+    return extract(table(spark, sf_dir, "pages"))
+
+
+def op9_toxicity(spark, sf_dir):
+    from .toxicity import toxicity
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_nn_descent(spark, sf_dir):
+    from .ann import nearest
+    rows = table(spark, sf_dir, "embeddings")
+    return nearest(rows, rows.where("vec_id % 50 = 0").select("vec_id"), k=5)
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_url_reputation, op2_best_fit_packing, op3_token_counts,
-                                    op4_decontaminate, op5_sharding)}
+    return {f.__name__: f for f in (
+        op1_url_reputation, op2_best_fit_packing, op3_token_counts, op4_decontaminate, op5_sharding, op6_simhash,
+        op7_suffix_dedup, op8_html_wrapper, op9_toxicity, op10_nn_descent)}
 
 
 def oracle_sql() -> dict:
