@@ -4,13 +4,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from trilake.functions import clean as C
-from trilake.functions.stats import avg_ratio
-from trilake.operators import attach_scalar, top_k
-
-
-def test_avg_ratio_guards_zero(spark):
-    df = spark.createDataFrame([(10.0, 2.0), (6.0, 0.0), (3.0, None), (9.0, 3.0)], "a double, b double")
-    assert df.agg(avg_ratio("a", "b")).first()[0] == 4.0          # (5 + 3) / 2; zero and null skipped
+from trilake.operators import attach_scalar
 
 
 def test_attach_scalar_defaults_and_empty(spark):
@@ -21,24 +15,10 @@ def test_attach_scalar_defaults_and_empty(spark):
     assert rows(attach_scalar(df, empty, ["rate"], defaults={"rate": 1.0})) == [(1, 1.0), (2, 1.0)]
 
 
-def test_top_k_with_key_tie_break(spark):
-    df = spark.createDataFrame([("a", 1), ("b", 3), ("c", 3), ("d", 2)], "k string, v int")
-    got = [r["k"] for r in top_k(df, 2, F.desc("v"), F.asc("k")).collect()]
-    assert got == ["b", "c"]
-
-
-def test_frame_helpers(spark):
-    df = spark.createDataFrame([(" N/A ", "-3", "12", " cop ", " Drama,,Comedy ")],
-                               "t string, neg string, r string, code string, genres string")
-    out = C.nullify(df, "t", "missing")
-    out = C.cast_double(out, "neg", "r")
-    out = C.null_if_negative(out, "neg")
-    out = C.null_outside(out, "r", 0, 10)
-    out = C.upper_code(out, "code")
-    out = C.normalize_list(out)
-    r = out.first()
-    assert (r["t"], r["neg"], r["r"], r["code"], r["genres"]) == (None, None, None, "COP", "drama,  comedy")
-    assert C.cast_bool(spark.createDataFrame([("YES",)], "b string"), "b").first()[0] is True
+def test_one_projection_types_a_table(spark):
+    df = spark.createDataFrame([(" N/A ", "-3", "YES", " Drama,,Comedy ")], "t string, neg string, b string, genres string")
+    r = C.typed(df, text=("t", "missing"), doubles=("neg",), bools=("b",), lists=("genres",)).first()
+    assert (r["t"], r["neg"], r["b"], r["genres"]) == (None, -3.0, True, "drama,  comedy")
 
 
 def test_lazy_trusted_tables_equal_written_job(spark, tmp_dir):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from trilake.functions.text import coef_text, count_text, money_text, percent_text
 from trilake.plans import kpi
-from trilake.session import size_shuffle
+from trilake.session import size_shuffle, size_shuffle_for
 
 
 def test_money_and_count_text(spark):
@@ -48,7 +48,10 @@ def test_size_shuffle(spark):
     old = spark.conf.get("spark.sql.shuffle.partitions")
     try:
         assert size_shuffle(spark, 1 << 20) == spark.sparkContext.defaultParallelism
-        assert size_shuffle(spark, 100 << 40) == 50_000          # 100 TiB of shuffle: capped
+        assert size_shuffle(spark, 100 << 40) == 409_600         # 100 TiB of shuffle: no cap
         assert size_shuffle(spark, 1 << 40) == 4096               # 1 TiB / 256 MiB
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        assert size_shuffle_for(spark, spark.range(10)) == 8     # small inputs leave it alone
+        assert size_shuffle_for(spark, spark.range(10_000), target_bytes=1000) >= 10
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)

@@ -4,28 +4,28 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from trilake.operators import (
-    add_profit_roi, attach_scalar, bridge, convert_currency, cross_scalar, explode_ids,
-    explode_list, hash_sample, keep_known, keep_one, roi_local, sample_n,
+    add_profit_roi, attach_scalar, bridge, convert_currency, cross_scalar, id_rows,
+    token_rows, hash_sample, keep_known, best_per_key, roi_local, sample_n,
 )
 
 
-# ---------------------------------------------------------------- W1 keep_one
+# ---------------------------------------------------------------- W1 best_per_key
 
-def test_keep_one_orders_desc_nulls_last(spark):
+def test_best_per_key_orders_desc_nulls_last(spark):
     df = spark.createDataFrame(
         [(1, None, 5, "a"), (1, 2000, 1, "b"), (1, 2000, 3, "c"),   # key 1: null year loses, higher votes wins
          (2, None, None, "d"),                                       # key 2: only row
          (3, 1990, 7, "e"), (3, 1990, 7, "f")],                      # key 3: full tie -> tie-break
         "k int, y int, v int, tag string")
-    out = keep_one(df, "k", "y", "v", tie_break="tag")
+    out = best_per_key(df, "k", "y", "v", ties="tag")
     assert rows(out, "k", "tag") == [(1, "c"), (2, "d"), (3, "f")]
 
 
-def test_keep_one_property_one_row_per_key_matches_bruteforce(spark):
+def test_best_per_key_property_one_row_per_key_matches_bruteforce(spark):
     rnd = random.Random(7)
     data = [(rnd.randint(0, 30), rnd.choice([None, *range(5)]), rnd.randint(0, 3), i) for i in range(600)]
     df = spark.createDataFrame(data, "k int, a int, b int, id int")
-    got = {r["k"]: r["id"] for r in keep_one(df, "k", "a", "b", tie_break="id").collect()}
+    got = {r["k"]: r["id"] for r in best_per_key(df, "k", "a", "b", ties="id").collect()}
     best = {}
     for k, a, b, i in data:
         key = (a is not None, a if a is not None else 0, b, i)
@@ -34,17 +34,17 @@ def test_keep_one_property_one_row_per_key_matches_bruteforce(spark):
     assert got == {k: v[1] for k, v in best.items()}
 
 
-def test_keep_one_plan_limits_before_shuffle(spark):
+def test_best_per_key_plan_limits_before_shuffle(spark):
     df = spark.range(100).select((F.col("id") % 7).alias("k"), F.col("id").alias("v"))
-    plan = keep_one(df, "k", "v")._jdf.queryExecution().executedPlan().toString()
+    plan = best_per_key(df, "k", "v")._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
 
 
 # ---------------------------------------------------------------- M1-M4
 
-def test_explode_list_trims_and_drops_blanks(spark):
+def test_token_rows_trims_and_drops_blanks(spark):
     df = spark.createDataFrame([(1, "drama,  comedy, ,drama"), (2, None), (3, "  ")], "id int, g string")
-    out = explode_list(df, "g", "genre", keep=["id"])
+    out = token_rows(df, "g", "genre", keep=["id"])
     assert rows(out) == [(1, "comedy"), (1, "drama"), (1, "drama")]   # duplicates kept (B5)
 
 
@@ -54,9 +54,9 @@ def test_bridge_distinct_option(spark):
     assert rows(bridge(df, "tmdb_id", "genres", "genre", distinct=True)) == [(1, "a"), (1, "b")]
 
 
-def test_explode_ids_casts_and_drops_non_numeric(spark):
+def test_id_rows_casts_and_drops_non_numeric(spark):
     df = spark.createDataFrame([(1, "3, 17,x,17, 4.0,,1e3")], "tmdb_id int, cast_ids string")
-    out = explode_ids(df, "cast_ids", "actor_id", keep=["tmdb_id"])
+    out = id_rows(df, "cast_ids", "actor_id", keep=["tmdb_id"])
     assert rows(out) == [(1, 3), (1, 4), (1, 17), (1, 17)]
 
 
@@ -132,7 +132,7 @@ def test_bridge_tokens_rejoin_to_same_multiset(spark):
     exactly the lower-cased, trimmed, non-empty tokens (with repeats)."""
     from collections import Counter
 
-    from trilake.functions.clean import normalize_list_expr
+    from trilake.functions.clean import token_list
     rnd = random.Random(11)
     vocab = ["Drama", "comedy", "ACTION", "sci fi", "x"]
     data = []
@@ -140,7 +140,7 @@ def test_bridge_tokens_rejoin_to_same_multiset(spark):
         toks = [rnd.choice(vocab + ["", " "]) for _ in range(rnd.randint(0, 6))]
         seps = [rnd.choice([",", " ,", ", ", " , ", ",,"]) for _ in toks]
         data.append((i, "".join(t + s for t, s in zip(toks, seps)) if toks else None))
-    df = spark.createDataFrame(data, "tmdb_id int, genres string").withColumn("genres", normalize_list_expr(F.col("genres")))
+    df = spark.createDataFrame(data, "tmdb_id int, genres string").withColumn("genres", token_list(F.col("genres")))
     got = {}
     for r in bridge(df, "tmdb_id", "genres", "genre").collect():
         got.setdefault(r["tmdb_id"], Counter())[r["genre"]] += 1

@@ -6,7 +6,7 @@ import pytest
 from tests.conftest import rows
 from trilake.sources import jdbc
 from trilake.sources.parquet import read_table, write_table
-from trilake.sources.raw_csv import file_headers, land_raw, read_raw, read_raw_by_header
+from trilake.sources.raw_csv import folder_header, land_raw, read_raw, read_raw_by_header
 from trilake.sources.rates import read_rates_json
 
 
@@ -25,7 +25,7 @@ def test_csv_quoting_and_newlines(spark, tmp_dir):
 def test_header_grouped_union_fixes_positional_mapping(spark, tmp_dir):
     _write(f"{tmp_dir}/t/run_ts=1/a.csv", "id,name\n1,x\n")
     _write(f"{tmp_dir}/t/run_ts=2/b.csv", "name,id,extra\ny,2,e\n")
-    assert len(file_headers(spark, f"{tmp_dir}/t").collect()) == 2
+    assert folder_header(spark, f"{tmp_dir}/t/run_ts=2") == "name,id,extra"
     got = rows(read_raw_by_header(spark, f"{tmp_dir}/t"), "id", "name", "extra", "run_ts")
     assert got == [("1", "x", None, 1), ("2", "y", "e", 2)]
     naive = rows(read_raw(spark, f"{tmp_dir}/t"), "id", "name")   # positional mapping is wrong
@@ -69,8 +69,10 @@ def test_jdbc_options():
         jdbc.read_options("u", table="a", query="b")
     with pytest.raises(ValueError):
         jdbc.read_options("u", table="a", partition_column="x")
-    w = jdbc.write_options("u", "people", batch_size=5000)
-    assert w["batchsize"] == "1000" and w["truncate"] == "true"
+    w = jdbc.write_options("u", "people", batch_size=500)
+    assert w["batchsize"] == "500" and w["truncate"] == "true"
+    with pytest.raises(ValueError):
+        jdbc.write_options("u", "people", batch_size=5000)
 
 
 def test_bucketed_tables_join_without_shuffle(spark, tmp_dir):
@@ -100,3 +102,51 @@ def test_header_grouping_uses_manifests_and_probes_foreign_files(spark, tmp_dir)
     assert sorted(r["header"] for r in run_manifests(spark, f"{raw}/t").collect()) == ["id,name", "name,id,extra"]
     got = rows(read_raw_by_header(spark, f"{raw}/t"), "id", "name", "extra", "run_ts")
     assert got == [("1", "x", None, 1), ("2", "y", "e", 2), ("3", None, "f", 3)]
+
+
+def test_files_of_a_run_with_another_header_fail_loudly(spark, tmp_dir):
+    _write(f"{tmp_dir}/t/run_ts=1/a.csv", "id,name\n1,x\n")
+    _write(f"{tmp_dir}/t/run_ts=1/b.csv", "name,id\ny,2\n")
+    with pytest.raises(Exception, match="CSV header|does not conform"):
+        read_raw_by_header(spark, f"{tmp_dir}/t").collect()
+
+
+def test_indented_rates_document(spark, tmp_dir):
+    _write(f"{tmp_dir}/r/x.json", json.dumps({"base": "USD", "date": "2024-01-01", "rates": {"COP": 4000.5}}, indent=2))
+    assert rows(read_rates_json(spark, f"{tmp_dir}/r"), "currency", "rate") == [("COP", 4000.5)]
+    _write(f"{tmp_dir}/bad/x.json", "no document")
+    with pytest.raises(Exception):
+        read_rates_json(spark, f"{tmp_dir}/bad").collect()
+
+
+def test_a_bucket_is_one_file_and_a_rewrite_drops_the_buckets(spark, tmp_dir):
+    import glob
+    wide = spark.range(4000).selectExpr("id AS tmdb_id", "id AS x").repartition(40)
+    write_table(wide, tmp_dir, "movies", bucket_by="tmdb_id", buckets=16)
+    assert len(glob.glob(f"{tmp_dir}/movies/part-*")) == 16
+    write_table(wide, tmp_dir, "movies")
+    other = spark.range(10).selectExpr("id AS tmdb_id", "id AS y")
+    assert read_table(spark, tmp_dir, "movies").join(other, "tmdb_id").count() == 10
+
+
+def test_no_machine_local_scratch_on_a_cluster(monkeypatch):
+    from trilake import session
+
+    class Conf:
+        def __init__(self, master):
+            self.values = {"spark.master": master}
+
+        def get(self, key, default=None):
+            return self.values.get(key, default)
+
+    class Spark:
+        conf = Conf("spark://host:7077")
+
+    with pytest.raises(ValueError):
+        session.shared_dir(Spark())
+
+
+def test_raw_files_are_bounded(spark, tmp_dir):
+    import glob
+    land_raw(spark.range(100).coalesce(1), f"{tmp_dir}/raw", "t", run_ts="1", rows_per_file=30)
+    assert len(glob.glob(f"{tmp_dir}/raw/t/run_ts=1/part-*.csv")) == 4

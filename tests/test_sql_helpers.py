@@ -2,16 +2,16 @@
 
 from pyspark.sql import functions as F
 
-from trilake.functions.clean import int_expr
+from trilake.functions.clean import identifier
 from trilake.functions.stats import safe_corr
-from trilake.plans.questions_sql import corr_sql, int_sql
+from trilake.plans.questions_sql import corr_sql, id_sql
 
 
-def test_int_sql_equals_int_expr(spark):
+def test_id_sql_equals_identifier(spark):
     vals = ["1995", "1995.0", "12.7", ".5", "5.", " 7 ", "1e3", "99999999999", "abc", "", "+4", "-3.9", None,
             "\t12.7\t", "\n5\n"]
     df = spark.createDataFrame([(v,) for v in vals], "s string")
-    got = df.select(int_expr(F.col("s")).alias("a"), F.expr(int_sql("s")).alias("b")).collect()
+    got = df.select(identifier(F.col("s")).alias("a"), F.expr(id_sql("s")).alias("b")).collect()
     assert all(r["a"] == r["b"] for r in got)
 
 

@@ -1,12 +1,14 @@
-"""ST1: incremental (streaming) latest-per-key equals the batch keep_one answer."""
+"""ST1: incremental (streaming) latest-per-key equals the batch answer."""
 
 import uuid
 
 from pyspark.sql import functions as F
 
-from trilake.operators.dedupe import keep_one
+from trilake.operators.dedupe import best_per_key
 from trilake.sources.raw_csv import land_raw
-from trilake.streaming.incremental import EVENT_RAW_SCHEMA, _clean_events, current_table, run_incremental
+from trilake.streaming.incremental import clean_events, current_table, run_incremental
+
+ORDER = ["ts", "event_id"]
 
 
 def test_incremental_equals_batch_and_late_file_can_win(spark, tmp_dir):
@@ -22,16 +24,14 @@ def test_incremental_equals_batch_and_late_file_can_win(spark, tmp_dir):
     raw = f"{base}/raw"
     for i, df in enumerate((run1, run2)):
         land_raw(df, raw, "events", run_ts=f"r{i}")
-        run_incremental(spark, f"{raw}/events/*", EVENT_RAW_SCHEMA, _clean_events, "user_id",
-                        ["ts", "event_id"], ["event_type", "value"], f"{base}/changes", f"{base}/ckpt")
-    inc = {r["user_id"]: r["event_id"] for r in current_table(spark, f"{base}/changes", "user_id").collect()}
+        run_incremental(spark, f"{raw}/events", clean_events, "user_id", ORDER, f"{base}/changes", f"{base}/ckpt")
+    inc = {r["user_id"]: r["event_id"] for r in current_table(spark, f"{base}/changes", "user_id", ORDER).collect()}
     all_rows = run1.unionByName(run2).withColumn("ts", F.to_timestamp("ts"))
-    batch = {r["user_id"]: r["event_id"] for r in keep_one(all_rows, "user_id", "ts", tie_break="event_id").collect()}
+    batch = {r["user_id"]: r["event_id"] for r in best_per_key(all_rows, "user_id", "ts", ties="event_id").collect()}
     assert inc == batch == {7: 1, 8: 5}
     # rerunning with nothing new is a no-op
-    run_incremental(spark, f"{raw}/events/*", EVENT_RAW_SCHEMA, _clean_events, "user_id",
-                    ["ts", "event_id"], ["event_type", "value"], f"{base}/changes", f"{base}/ckpt")
-    again = {r["user_id"]: r["event_id"] for r in current_table(spark, f"{base}/changes", "user_id").collect()}
+    run_incremental(spark, f"{raw}/events", clean_events, "user_id", ORDER, f"{base}/changes", f"{base}/ckpt")
+    again = {r["user_id"]: r["event_id"] for r in current_table(spark, f"{base}/changes", "user_id", ORDER).collect()}
     assert again == inc
 
 
@@ -52,6 +52,9 @@ def test_incremental_movies_equals_batch_clean(spark, tmp_dir):
         os.makedirs(d)
         with open(f"{d}/part.csv", "w") as f:
             f.write(header + text)
+        os.makedirs(f"{d}/_columns")
+        with open(f"{d}/_columns/part-0.txt", "w") as f:
+            f.write(header)
         inc = incremental_trusted(spark, f"{base}/raw/movies", "movies", f"{base}/changes", f"{base}/ckpt")
     batch = clean_movies(read_raw(spark, f"{base}/raw/movies").drop("run_ts"))
     cols = ["tmdb_id", "title", "release_year", "vote_count", "popularity", "revenue_usd", "budget_usd", "genres"]
@@ -73,15 +76,43 @@ def test_snapshot_compaction_keeps_answer(spark, tmp_dir):
     for i, rows_ in enumerate(batches):
         df = spark.createDataFrame(rows_, "event_id long, ts string, user_id long, event_type string, value double")
         land_raw(df, raw, "events", run_ts=f"r{i}")
-        run_incremental(spark, f"{raw}/events/*", EVENT_RAW_SCHEMA, _clean_events, "user_id",
-                        ["ts", "event_id"], ["event_type", "value"], f"{base}/changes", f"{base}/ckpt")
+        run_incremental(spark, f"{raw}/events", clean_events, "user_id", ORDER, f"{base}/changes", f"{base}/ckpt")
         if i == 1:
-            assert snapshot(spark, f"{base}/changes", "user_id", f"{base}/snap").endswith("upto=1")
-    full = {r["user_id"]: r["event_id"] for r in current_table(spark, f"{base}/changes", "user_id").collect()}
+            assert "/upto=1-" in snapshot(spark, f"{base}/changes", "user_id", ORDER, f"{base}/snap")
+    full = {r["user_id"]: r["event_id"] for r in current_table(spark, f"{base}/changes", "user_id", ORDER).collect()}
     snap = {r["user_id"]: r["event_id"] for r in
-            current_table(spark, f"{base}/changes", "user_id", f"{base}/snap").collect()}
+            current_table(spark, f"{base}/changes", "user_id", ORDER, f"{base}/snap").collect()}
     assert full == snap == {7: 3, 8: 4, 9: 5}
-    snapshot(spark, f"{base}/changes", "user_id", f"{base}/snap")
+    snapshot(spark, f"{base}/changes", "user_id", ORDER, f"{base}/snap")
     again = {r["user_id"]: r["event_id"] for r in
-             current_table(spark, f"{base}/changes", "user_id", f"{base}/snap").collect()}
+             current_table(spark, f"{base}/changes", "user_id", ORDER, f"{base}/snap").collect()}
     assert again == full
+
+
+def test_runs_with_other_column_orders_do_not_shift(spark, tmp_dir):
+    import pytest
+
+    from trilake.streaming.incremental import incremental_tables, incremental_trusted
+    raw = f"{tmp_dir}/raw"
+    text = "tmdb_id string, title string, release_year string"
+    land_raw(spark.createDataFrame([("1", "A", "1990")], text), raw, "movies", run_ts="r0")
+    land_raw(spark.createDataFrame([("2", "B", "2000")], text).select("release_year", "tmdb_id", "title"), raw, "movies", run_ts="r1")
+    land_raw(spark.createDataFrame([("3", "C", "x")], "tmdb_id string, title string, extra string"), raw, "movies", run_ts="r2")
+    got = incremental_trusted(spark, f"{raw}/movies", "movies", f"{tmp_dir}/c", f"{tmp_dir}/k", files_per_batch=1)
+    assert sorted((r.tmdb_id, r.release_year, r.title) for r in got.collect() if r.tmdb_id < 3) == [(1, 1990, "A"), (2, 2000, "B")]
+    # the whole lake, with finance columns, bridge and known titles
+    lake = f"{tmp_dir}/lake"
+    land_raw(spark.createDataFrame([("1", "30", "10", "Drama")], "tmdb_id string, revenue_usd string, budget_usd string, genres string"), lake, "movies", run_ts="r0")
+    land_raw(spark.createDataFrame([("r1", "1", "5"), ("r2", "9", "5")], "review_id string, tmdb_id string, rating string"), lake, "movie_reviews", run_ts="r0")
+    land_raw(spark.createDataFrame([("COP", "4"), ("cop", "3")], "currency string, rate string"), lake, "exchange", run_ts="r0")
+    out = incremental_tables(spark, lake, f"{tmp_dir}/out", names=("movies", "movie_reviews", "exchange"))
+    m = out["movies"].first()
+    assert (m.profit_usd, m.roi_pct, m.revenue_cop) == (20.0, 300.0, 120.0)
+    assert [r.review_id for r in out["movie_reviews"].collect()] == ["r1"] and out["movie_genres"].first().genre == "drama"
+    # a run without a header stops the job instead of guessing
+    import os
+    os.makedirs(f"{raw}/movies/run_ts=r9")
+    with open(f"{raw}/movies/run_ts=r9/x.csv", "w") as f:
+        f.write("release_year,tmdb_id\n1999,7\n")
+    with pytest.raises(Exception, match="no landed header"):
+        incremental_trusted(spark, f"{raw}/movies", "movies", f"{tmp_dir}/c", f"{tmp_dir}/k")

@@ -50,7 +50,7 @@ def _parser() -> argparse.ArgumentParser:
 
     i = sub.add_parser("incremental")
     i.add_argument("--raw-prefix", required=True)
-    i.add_argument("--table", choices=("movies", "tv_shows", "people"), required=True)
+    i.add_argument("--table", choices=("movies", "tv_shows", "people", "movie_reviews", "exchange"), required=True)
     i.add_argument("--out-prefix", required=True, help="change log, checkpoint and current table go here")
 
     g = sub.add_parser("land")
@@ -95,7 +95,8 @@ def main(argv=None, stop: bool = True) -> int:
                                     f"{base}/changes", f"{base}/checkpoint",
                                     snapshots_dir=f"{base}/snapshots")
         out = {args.table: write_table(table, base, "current"),
-               "snapshot": snapshot(spark, f"{base}/changes", ROW_CLEANERS[args.table][1], f"{base}/snapshots")}
+               "snapshot": snapshot(spark, f"{base}/changes", ROW_CLEANERS[args.table][1], list(ROW_CLEANERS[args.table][2]),
+                                    f"{base}/snapshots")}
     else:
         from trilake.sources.raw_csv import CSV_OPTIONS, land_raw
         from trilake.sources.rates import read_rates_json

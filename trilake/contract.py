@@ -20,11 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from trilake.functions.clean import (
-    EDGE_CONTROL_RE, INT_TEXT_RE, NULL_LIKE, bucket3_expr, double_expr, int_expr, bool_expr, normalize_list_expr,
-    null_if_negative_expr, null_outside_expr, nullify_expr, upper_code_expr,
-)
-from trilake.operators.dedupe import keep_one
+from trilake.functions import clean as C
+from trilake.operators.dedupe import best_per_key
 from trilake.operators.finance import roi_local
 from trilake.operators.joins import cross_scalar, distinct_keys, keep_known
 from trilake.plans import kpi, lookalike as LA, questions as Q, questions_sql as QS
@@ -73,14 +70,18 @@ def _hsum(col: str, scale: int) -> str:
     return f"SUM(CAST(CAST({col} AS DECIMAL(38,{scale})) * {10 ** scale} AS HUGEINT))"
 
 
-def duck_int(expr: str) -> str:
-    s = f"regexp_replace({expr}, '{EDGE_CONTROL_RE}', '', 'g')"
-    return (f"CASE WHEN regexp_matches({s}, '{INT_TEXT_RE}') "
-            f"THEN TRY_CAST(trunc(TRY_CAST({s} AS DOUBLE)) AS INTEGER) END")
+def duck_int(expr: str, kind: str = "INTEGER") -> str:
+    """Whole numbers by the survey's rule (P2), written here on its own: edge characters up
+    to 0x20 go, an optional sign and digits with an optional fraction are cut, else null."""
+    s = f"regexp_replace({expr}, '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g')"
+    return (f"CASE WHEN regexp_matches({s}, '^[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)$') "
+            f"THEN TRY_CAST(trunc(TRY_CAST({s} AS DECIMAL(38,10))) AS {kind}) END")
 
 
-_NULL_LIKE_SQL = ", ".join("'" + v + "'" for v in NULL_LIKE)
-_LINE_TIES_SQL = ", ".join(f"{c} DESC NULLS LAST" for c in LA.LINE_TIES)
+# The oracles state their own values; none comes from the library.
+_NULL_LIKE_SQL = "'', 'null', 'NULL', 'None', 'nan', 'NaN', 'N/A', 'n/a'"
+_LINE_TIES_SQL = ("l_partkey DESC NULLS LAST, l_suppkey DESC NULLS LAST, "
+                  "l_quantity DESC NULLS LAST, l_discount DESC NULLS LAST")
 
 # Look-alike trusted tables in DuckDB (see plans/lookalike.py).
 LOOKALIKE_CTES = f"""
@@ -101,7 +102,7 @@ exchange_like AS (
   FROM rates_raw
   WHERE trim(currency) NOT IN ({_NULL_LIKE_SQL}) AND TRY_CAST(trim(rate_text) AS DOUBLE) > 0
   GROUP BY upper(trim(currency))),
-fxrate AS (SELECT rate FROM exchange_like WHERE currency = '{LA.FX_CODE}' LIMIT 1),
+fxrate AS (SELECT rate FROM exchange_like WHERE currency = 'K' LIMIT 1),
 titles AS (
   SELECT tmdb_id, title, release_year, revenue_usd, budget_usd, vote_average, vote_count,
          cast_ids, genres, directors,
@@ -123,11 +124,11 @@ titles AS (
         FROM lines) t0),
 reviews_like AS (
   SELECT CAST(event_id AS VARCHAR) AS review_id, user_id * 100 + 1 AS tmdb_id,
-         CASE WHEN value / {LA.RATING_DIVISOR} < 0 OR value / {LA.RATING_DIVISOR} > 10 THEN NULL
-              ELSE value / {LA.RATING_DIVISOR} END AS rating
+         CASE WHEN value / 49.0 < 0 OR value / 49.0 > 10 THEN NULL
+              ELSE value / 49.0 END AS rating
   FROM events WHERE user_id * 100 + 1 IN (SELECT l_orderkey * 100 + l_linenumber FROM lineitem)),
 people_like AS (
-  SELECT CAST(s_suppkey AS INTEGER) AS tmdb_id, s_name AS name, s_acctbal AS popularity
+  SELECT CAST(s_suppkey AS BIGINT) AS tmdb_id, s_name AS name, s_acctbal AS popularity
   FROM supplier WHERE s_suppkey > 0)
 """
 
@@ -203,7 +204,7 @@ def _actor_oracle(sql_variant: bool) -> str:
     extra = f"""
 c AS (SELECT tmdb_id, profit_usd, revenue_usd, unnest(string_split(cast_ids, ',')) AS tok
       FROM titles WHERE profit_usd IS NOT NULL AND profit_usd > 0 AND cast_ids IS NOT NULL{cond}),
-c2 AS (SELECT tmdb_id, profit_usd, revenue_usd, {duck_int('tok')} AS actor_id FROM c
+c2 AS (SELECT tmdb_id, profit_usd, revenue_usd, {duck_int('tok', 'BIGINT')} AS actor_id FROM c
        {"WHERE trim(tok) <> ''" if sql_variant else ""}),
 per AS (SELECT actor_id, COUNT(DISTINCT tmdb_id) AS n,
                {_hsum('profit_usd', 2)} AS s, COUNT(profit_usd) AS k, SUM(revenue_usd) AS sr
@@ -275,6 +276,14 @@ ra AS (SELECT tmdb_id, AVG(rating) AS avg_review_rating FROM reviews_like
        WHERE rating IS NOT NULL GROUP BY tmdb_id HAVING COUNT(*) >= 3)"""
 
 
+_CORR_COLUMNS = [("corr_tmdb_revenue", "vote_average", "revenue_usd"), ("corr_tmdb_profit", "vote_average", "profit_usd"),
+                 ("corr_tmdb_roi", "vote_average", "roi_pct"), ("corr_reviews_revenue", "avg_review_rating", "revenue_usd"),
+                 ("corr_reviews_profit", "avg_review_rating", "profit_usd"), ("corr_reviews_roi", "avg_review_rating", "roi_pct")]
+_CORR_COLUMNS_SQL = [("corr_nota_tmdb_vs_revenue", "vote_average", "revenue_usd"), ("corr_nota_tmdb_vs_profit", "vote_average", "profit_usd"),
+                     ("corr_nota_tmdb_vs_roi", "vote_average", "roi_pct"), ("corr_resenas_vs_revenue", "avg_review_rating", "revenue_usd"),
+                     ("corr_resenas_vs_profit", "avg_review_rating", "profit_usd"), ("corr_resenas_vs_roi", "avg_review_rating", "roi_pct")]
+
+
 def _corr_oracle(names, left: bool) -> str:
     cols = ",\n       ".join(f"ROUND(CORR({x}, {y}), 4) AS {n}" for n, x, y in names)
     join = "LEFT JOIN" if left else "JOIN"
@@ -371,9 +380,9 @@ def _renamed(inner: str, captions: dict, extra: str = "") -> str:
 
 def q_null_normalize(spark, d):
     c = LA.table(spark, d, "customer")
-    return c.select("c_custkey", nullify_expr(F.col("c_name")).alias("c_name"),
-                    nullify_expr(F.col("c_mktsegment")).alias("c_mktsegment"),
-                    nullify_expr(F.col("c_acctbal").cast("decimal(18,2)")).alias("acct_text"))
+    return c.select("c_custkey", C.known_text(F.col("c_name")).alias("c_name"),
+                    C.known_text(F.col("c_mktsegment")).alias("c_mktsegment"),
+                    C.known_text(F.col("c_acctbal").cast("decimal(18,2)")).alias("acct_text"))
 
 
 ORACLE_NULL_NORMALIZE = f"""
@@ -390,10 +399,10 @@ def q_cast_int_double_bool(spark, d):
                  F.col("c_acctbal").cast("decimal(18,2)").cast("string").alias("acct"),
                  F.concat(F.lit(" "), F.col("c_nationkey").cast("string"), F.lit(" ")).alias("nation"),
                  (F.col("c_acctbal") > 0).cast("string").alias("positive"))
-    return t.select("c_custkey", int_expr(F.col("acct")).alias("acct_int"),
-                    double_expr(F.col("acct")).alias("acct_double"),
-                    int_expr(F.col("nation")).alias("nation_int"),
-                    bool_expr(F.col("positive")).alias("positive_bool"))
+    return t.select("c_custkey", C.whole(F.col("acct")).alias("acct_int"),
+                    C.real(F.col("acct")).alias("acct_double"),
+                    C.whole(F.col("nation")).alias("nation_int"),
+                    C.truth(F.col("positive")).alias("positive_bool"))
 
 
 ORACLE_CAST = f"""
@@ -410,7 +419,7 @@ FROM (SELECT c_custkey, CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR) AS acc
 def q_normalize_token_list(spark, d):
     p = LA.table(spark, d, "part")
     raw = F.concat_ws(",,", F.concat(F.col("p_brand"), F.lit(" ,"), F.col("p_type")), F.col("p_name"))
-    return p.select("p_partkey", normalize_list_expr(raw).alias("tokens"))
+    return p.select("p_partkey", C.token_list(raw).alias("tokens"))
 
 
 ORACLE_NORMALIZE = f"""
@@ -423,7 +432,7 @@ FROM (SELECT p_partkey,
 
 def q_null_negative_amounts(spark, d):
     c = LA.table(spark, d, "customer")
-    return c.select("c_custkey", null_if_negative_expr(F.col("c_acctbal")).alias("c_acctbal"))
+    return c.select("c_custkey", C.not_negative(F.col("c_acctbal")).alias("c_acctbal"))
 
 
 ORACLE_NULL_NEG = "SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN NULL ELSE c_acctbal END AS c_acctbal FROM customer"
@@ -431,17 +440,17 @@ ORACLE_NULL_NEG = "SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN NULL ELSE c_ac
 
 def q_range_null_rating(spark, d):
     e = LA.table(spark, d, "events")
-    return e.select("event_id", null_outside_expr(F.col("value") / F.lit(LA.RATING_DIVISOR), 0, 10).alias("rating"))
+    return e.select("event_id", C.within(F.col("value") / F.lit(LA.RATING_DIVISOR), 0, 10).alias("rating"))
 
 
 ORACLE_RANGE = f"""
-SELECT event_id, CASE WHEN value / {LA.RATING_DIVISOR} < 0 OR value / {LA.RATING_DIVISOR} > 10 THEN NULL
-                      ELSE value / {LA.RATING_DIVISOR} END AS rating FROM events"""
+SELECT event_id, CASE WHEN value / 49.0 < 0 OR value / 49.0 > 10 THEN NULL
+                      ELSE value / 49.0 END AS rating FROM events"""
 
 
 def q_bucket_three_way(spark, d):
     e = LA.table(spark, d, "events")
-    return e.select("event_id", "value", bucket3_expr(F.col("value")).alias("bucket"))
+    return e.select("event_id", "value", C.three_way(F.col("value")).alias("bucket"))
 
 
 ORACLE_BUCKET = """
@@ -451,7 +460,7 @@ FROM events"""
 
 def q_upper_code(spark, d):
     e = LA.table(spark, d, "events")
-    return e.select("event_id", upper_code_expr(F.concat(F.lit(" "), F.col("event_type"))).alias("code"))
+    return e.select("event_id", C.code(F.concat(F.lit(" "), F.col("event_type"))).alias("code"))
 
 
 ORACLE_UPPER = "SELECT event_id, upper(trim(' ' || event_type)) AS code FROM events"
@@ -459,7 +468,7 @@ ORACLE_UPPER = "SELECT event_id, upper(trim(' ' || event_type)) AS code FROM eve
 
 def q_keep_latest_per_user(spark, d):
     e = LA.table(spark, d, "events").select("event_id", "user_id", "event_type", "value", "ts")
-    return keep_one(e, "user_id", "ts", tie_break="event_id").drop("ts")
+    return best_per_key(e, "user_id", "ts", ties="event_id").drop("ts")
 
 
 ORACLE_LATEST_USER = """
@@ -471,7 +480,7 @@ _LI_TIES = ["l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_tax", "l_re
 
 def q_dedupe_lineitem(spark, d):
     li = LA.table(spark, d, "lineitem").drop("l_shipdate")
-    return keep_one(li, ["l_orderkey", "l_linenumber"], "l_extendedprice", tie_break=_LI_TIES)
+    return best_per_key(li, ["l_orderkey", "l_linenumber"], "l_extendedprice", ties=_LI_TIES)
 
 
 ORACLE_DEDUPE_LI = f"""
@@ -552,7 +561,7 @@ def q_trusted_reviews(spark, d):
     return LA.reviews(spark, d).select("review_id", "tmdb_id", "rating")
 
 
-ORACLE_REVIEWS = _with("SELECT review_id, CAST(tmdb_id AS INTEGER) AS tmdb_id, rating FROM reviews_like")
+ORACLE_REVIEWS = _with("SELECT review_id, CAST(tmdb_id AS BIGINT) AS tmdb_id, rating FROM reviews_like")
 
 
 def q_people_clean(spark, d):
@@ -572,7 +581,7 @@ def q_titles_from_raw(spark, d):
 
 
 ORACLE_TITLES_RAW = _with("""
-SELECT CAST(tmdb_id AS INTEGER) AS tmdb_id, title, release_year, CAST(revenue_usd AS DOUBLE) AS revenue_usd,
+SELECT CAST(tmdb_id AS BIGINT) AS tmdb_id, title, release_year, CAST(revenue_usd AS DOUBLE) AS revenue_usd,
        CAST(budget_usd AS DOUBLE) AS budget_usd, vote_average, vote_count, genres
 FROM titles WHERE tmdb_id > 0""")
 
@@ -586,12 +595,12 @@ def q_tv_clean(spark, d):
                    (F.col("c_acctbal") / F.lit(20.0)).cast("string").alias("popularity"),
                    F.when(F.col("c_mktsegment") == "BUILDING", "yes").otherwise("no").alias("in_production"),
                    F.lower(F.col("c_mktsegment")).alias("genres"))
-    return clean_tv(raw, tie_break="title").select("tmdb_id", "title", "vote_count", "popularity",
+    return clean_tv(raw, ties="title").select("tmdb_id", "title", "vote_count", "popularity",
                                                    "in_production", "genres", "popularity_bucket")
 
 
 ORACLE_TV = """
-SELECT CAST(c_custkey AS INTEGER) AS tmdb_id, c_name AS title, c_nationkey AS vote_count,
+SELECT CAST(c_custkey AS BIGINT) AS tmdb_id, c_name AS title, c_nationkey AS vote_count,
        c_acctbal / 20.0 AS popularity, c_mktsegment = 'BUILDING' AS in_production,
        lower(c_mktsegment) AS genres,
        CASE WHEN c_acctbal / 20.0 > 300 THEN 'high' WHEN c_acctbal / 20.0 > 100 THEN 'medium' ELSE 'low' END
@@ -599,12 +608,6 @@ SELECT CAST(c_custkey AS INTEGER) AS tmdb_id, c_name AS title, c_nationkey AS vo
 FROM customer WHERE c_custkey > 0"""
 
 
-def q_bernoulli_sample(spark, d):
-    """O7 (reference sampling): Bernoulli fraction sized to n, then limit n. The rows
-    depend on partitioning, so there is no oracle (rows-only check)."""
-    return to_double(Q.ratings_vs_revenue_sample(LA.titles(spark, d), LA.reviews(spark, d), mode="bernoulli"))
-
-
 def q_lake_job_trusted_movies(spark, d):
     """T8 end to end: land raw-text look-alikes of all five sources as CSV in the
     shared folder, run the raw -> trusted job (six Parquet tables), return trusted
@@ -633,7 +636,7 @@ def q_lake_job_trusted_movies(spark, d):
 
 
 ORACLE_LAKE_JOB = _with("""
-SELECT CAST(tmdb_id AS INTEGER) AS tmdb_id, release_year, CAST(revenue_usd AS DOUBLE) AS revenue_usd,
+SELECT CAST(tmdb_id AS BIGINT) AS tmdb_id, release_year, CAST(revenue_usd AS DOUBLE) AS revenue_usd,
        CAST(budget_usd AS DOUBLE) AS budget_usd,
        CAST(revenue_usd AS DOUBLE) - CAST(budget_usd AS DOUBLE) AS profit_usd,
        CASE WHEN budget_usd > 0 THEN CAST(revenue_usd AS DOUBLE) / CAST(budget_usd AS DOUBLE) * 100 END AS roi_pct,
@@ -679,12 +682,8 @@ WHERE rn = 1""")
 
 def q_trusted_row_counts(spark, d):
     """Row-count smoke check of the trusted look-alike tables, one row per table."""
-    t = LA.trusted(spark, d)
-    out = None
-    for name in ("movies", "movie_genres", "people", "movie_reviews", "exchange"):
-        c = t[name].agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table_name"), "n")
-        out = c if out is None else out.unionByName(c)
-    return out
+    from trilake.sources.parquet import row_counts
+    return row_counts(LA.trusted(spark, d))
 
 
 ORACLE_ROW_COUNTS = _with("""
@@ -700,9 +699,10 @@ UNION ALL SELECT 'exchange', COUNT(*) FROM exchange_like""")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    from trilake import contract_jobs
     from trilake.streaming.incremental import q_incremental_latest
     from trilake.sources.raw_csv import q_raw_roundtrip
-    return {
+    return contract_jobs.queries() | {
         "revenue_by_year": q_revenue_by_year,
         "revenue_by_year_rate": q_revenue_by_year_rate,
         "revenue_by_token": q_revenue_by_token,
@@ -745,7 +745,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "titles_from_raw": q_titles_from_raw,
         "tv_clean": q_tv_clean,
         "incremental_titles": q_incremental_titles,
-        "bernoulli_sample": q_bernoulli_sample,
         "exchange_latest": q_exchange_latest,
         "trusted_row_counts": q_trusted_row_counts,
         "lake_job_trusted_movies": q_lake_job_trusted_movies,
@@ -755,15 +754,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
+    from trilake import contract_jobs
     from trilake.sources.raw_csv import ORACLE_RAW_ROUNDTRIP
     from trilake.streaming.incremental import ORACLE_INCREMENTAL
     genre_df = {"n": "n_movies", "su": "revenue_usd_total", "au": "revenue_usd_avg",
                 "sc": "revenue_cop_total", "ac": "revenue_cop_avg"}
     genre_sql = {"n": "num_peliculas", "su": "total_revenue_usd", "au": "avg_revenue_usd",
                  "sc": "total_revenue_cop", "ac": "avg_revenue_cop"}
-    q5 = [(n, x.replace("m.", "t.").replace("r.", "ra."), y.replace("m.", "t."))
-          for n, x, y in QS.Q5_NAMES]
-    return {
+    return contract_jobs.oracle_sql() | {
         "revenue_by_year": _with(ORACLE_REVENUE_BY_YEAR_BODY + " ORDER BY release_year"),
         "revenue_by_year_rate": _with("""
 SELECT release_year, COUNT(*) AS peliculas,
@@ -782,10 +780,8 @@ GROUP BY release_year HAVING COUNT(*) >= 5 ORDER BY release_year"""),
         "top_suppliers_profitable_sql": _actor_oracle(True),
         "roi_by_token": _director_oracle(False),
         "roi_by_token_fx": _director_oracle(True),
-        "rating_correlations_left": _corr_oracle(
-            [(n, x, y) for n, x, y in [(a, b.replace("avg_review_rating", "ra.avg_review_rating"), c)
-                                       for a, b, c in Q.CORR_PAIRS]], left=True),
-        "rating_correlations_inner": _corr_oracle(q5, left=False),
+        "rating_correlations_left": _corr_oracle(_CORR_COLUMNS, left=True),
+        "rating_correlations_inner": _corr_oracle(_CORR_COLUMNS_SQL, left=False),
         "hash_sample": ORACLE_HASH_SAMPLE,
         "global_kpis": ORACLE_GLOBAL_KPIS,
         "corr_text": _corr_text_oracle(),
@@ -834,11 +830,10 @@ SELECT 'directors', MAX(avg_roi_pct) * 1.15 FROM ({_director_oracle(False)}) r""
 
 
 def _corr_text_oracle() -> str:
-    inner = _corr_oracle([(a, b.replace("avg_review_rating", "ra.avg_review_rating"), c)
-                          for a, b, c in Q.CORR_PAIRS], left=True)
+    inner = _corr_oracle(_CORR_COLUMNS, left=True)
     cols = ", ".join(
         f"CASE WHEN {n} IS NULL OR isnan({n}) THEN 'n/d' ELSE printf('%+.3f', {n}) END AS {n}_text"
-        for n, _, _ in Q.CORR_PAIRS)
+        for n, _, _ in _CORR_COLUMNS)
     return f"SELECT {cols} FROM ({inner}) x"
 
 

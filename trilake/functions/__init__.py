@@ -1,7 +1,7 @@
+"""Column expressions: typing of raw text, guarded statistics, KPI text."""
 from trilake.functions.clean import (  # noqa: F401
-    NULL_LIKE, bool_expr, bucket3_expr, cast_bool, cast_double, cast_int, double_expr,
-    drop_bad_ids, int_expr, normalize_list, normalize_list_expr, null_if_negative,
-    null_outside, nullify, nullify_expr, require_text, typed, upper_code,
+    NULL_LIKE, code, has_text, identifier, known_text, not_negative, real, three_way, token_list, truth, typed, valid_id,
+    whole, within,
 )
-from trilake.functions.stats import avg_ratio, safe_corr, weighted_mean  # noqa: F401
+from trilake.functions.stats import safe_corr, weighted_mean  # noqa: F401
 from trilake.functions.text import coef_text, count_text, money_text, percent_text  # noqa: F401

@@ -1,166 +1,113 @@
-"""Cleaning expressions for untyped raw text.
+"""Typing of untyped raw text.
 
-All helpers build Column expressions and apply them in ONE projection
-(``withColumns``) so a wide table gets one Project node, not one per column.
-Helpers skip column names that are absent, like the reference tolerates partial
-schemas.
+Every rule is a Column -> Column function; ``typed`` gathers a table's rules in ONE
+projection, so a wide table gets one Project node. Names that a raw file lacks are
+skipped.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Fixed values that must equal the reference: the null-like text literals
-# (case-sensitive, compared after trimming spaces).
+# The null-like text literals (case-sensitive, after trimming spaces).
 NULL_LIKE = ("", "null", "NULL", "None", "nan", "NaN", "N/A", "n/a")
 
-# Accepted boolean spellings (compared lower-cased and trimmed).
-TRUE_TEXT = ("true", "1", "yes")
-FALSE_TEXT = ("false", "0", "no")
-
-# Text that the non-ANSI Spark 3.5 cast to int accepts (after trim): optional sign,
-# digits with an optional decimal point, or a leading point. Exponents are rejected.
-INT_TEXT_RE = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)$"
-# The non-ANSI cast trims every leading/trailing character <= 0x20 (spaces, tabs,
-# newlines, other control characters), not only spaces.
-EDGE_CONTROL_RE = r"^[\x00-\x20]+|[\x00-\x20]+$"
+# Accepted boolean spellings (lower-cased and trimmed).
+BOOLEAN_TEXT = {"true": True, "1": True, "yes": True, "false": False, "0": False, "no": False}
 
+# Number text that a non-ANSI cast to a whole number takes: optional sign, digits with an
+# optional point, or a leading point. Exponents are rejected.
+NUMBER_TEXT = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)$"
+# That cast ignores every leading or trailing character up to 0x20, not only spaces.
+EDGE_CONTROL = r"^[\x00-\x20]+|[\x00-\x20]+$"
+#: Exact for every 64-bit number, with the fraction that the cast cuts off.
+WIDE = "decimal(38,10)"
 
-def _present(df: DataFrame, cols) -> list[str]:
-    have = set(df.columns)
-    return [c for c in cols if c in have]
 
+def known_text(c: Column) -> Column:
+    """Trimmed text; null-like literals become null."""
+    bare = F.trim(c.cast("string"))
+    return F.when(~bare.isin(*NULL_LIKE), bare)
 
-# ---------------------------------------------------------------- expressions
 
-def nullify_expr(c: Column) -> Column:
-    """Trimmed text, or null when it is a null-like literal."""
-    s = F.trim(c.cast("string"))
-    return F.when(s.isin(*NULL_LIKE), F.lit(None).cast("string")).otherwise(s)
+def whole(c: Column, kind: str = "int") -> Column:
+    """Text to a whole number: truncated, null for junk or what does not fit.
 
+    Plain digits take the direct cast; only other text (``1995.0``) meets the pattern, and
+    goes through an exact decimal."""
+    text = c.cast("string")
+    bare = F.regexp_replace(text, EDGE_CONTROL, "")
+    odd = F.when(bare.rlike(NUMBER_TEXT), F.regexp_replace(bare, r"[.].*$", ""))
+    digits = F.when(F.length(F.regexp_replace(odd, "[+-]", "")) > 0, odd).when(odd.isNotNull(), F.lit("0"))
+    return F.coalesce(text.try_cast(kind), digits.try_cast(kind))
 
-def int_expr(c: Column) -> Column:
-    """Text -> int with the non-ANSI semantics (truncation, null on junk).
 
-    ANSI ``cast`` throws and ``try_cast('1995.0' as int)`` is null, so numeric-looking
-    text goes through double and is truncated; overflow gives null.
-    """
-    s = F.regexp_replace(c.cast("string"), EDGE_CONTROL_RE, "")
-    return F.when(s.rlike(INT_TEXT_RE), s.try_cast("double").try_cast("int"))
+def identifier(c: Column) -> Column:
+    """F1/M4: ids are 64 bits wide; a narrower type would lose rows without a word."""
+    return whole(c, "bigint")
 
 
-def double_expr(c: Column, nan_to_null: bool = True) -> Column:
-    """Text -> double, junk -> null. NaN from text is mapped to null."""
-    d = F.trim(c.cast("string")).try_cast("double")
-    if nan_to_null:
-        d = F.when(~F.isnan(d), d)
-    return d
+def real(c: Column) -> Column:
+    """Text to double; junk and NaN (B6) become null."""
+    return F.nanvl(F.trim(c.cast("string")).try_cast("double"), F.lit(None).cast("double"))
 
 
-def bool_expr(c: Column) -> Column:
-    """Explicit true/false spellings, anything else -> null."""
-    raw = F.lower(F.trim(c.cast("string")))
-    return (F.when(raw.isin(*TRUE_TEXT), F.lit(True))
-            .when(raw.isin(*FALSE_TEXT), F.lit(False))
-            .otherwise(F.lit(None).cast("boolean")))
+def truth(c: Column) -> Column:
+    """The accepted spellings, else null."""
+    spelled = F.create_map(*[F.lit(x) for pair in BOOLEAN_TEXT.items() for x in pair])
+    return F.try_element_at(spelled, F.lower(F.trim(c.cast("string"))))
 
 
-def normalize_list_expr(c: Column) -> Column:
-    """P5: lower/trim, ``\\s*,\\s*`` -> ``, ``, then one pass of ``,\\s*,`` -> ``, ``."""
-    g = F.lower(F.trim(c))
-    g = F.regexp_replace(g, r"\s*,\s*", ", ")
-    g = F.regexp_replace(g, r",\s*,", ", ")
-    return F.when(g.isin(*NULL_LIKE), F.lit(None).cast("string")).otherwise(g)
+def token_list(c: Column) -> Column:
+    """P5: lower-cased comma list with ``, `` between tokens; one pass over empty tokens."""
+    spaced = F.regexp_replace(F.lower(F.trim(c)), r"\s*,\s*", ", ")
+    joined = F.regexp_replace(spaced, r",\s*,", ", ")
+    return F.when(~joined.isin(*NULL_LIKE), joined)
 
 
-def null_if_negative_expr(c: Column) -> Column:
-    """Negatives -> null, zero kept."""
-    return F.when(c < 0, F.lit(None)).otherwise(c)
+def not_negative(c: Column) -> Column:
+    """Negatives become null, zero stays."""
+    return F.when(c >= 0, c)
 
 
-def null_outside_expr(c: Column, lo: float, hi: float) -> Column:
-    """Values outside [lo, hi] -> null, row kept."""
-    return F.when(c.isNotNull() & ((c < lo) | (c > hi)), F.lit(None)).otherwise(c)
+def within(c: Column, low: float, high: float) -> Column:
+    """Values outside [low, high] become null, the row stays."""
+    return F.when(c.between(low, high), c)
 
 
-def upper_code_expr(c: Column) -> Column:
-    """P8."""
+def code(c: Column) -> Column:
+    """Trimmed upper-case code."""
     return F.upper(F.trim(c))
 
 
-def bucket3_expr(c: Column, high: float = 300, medium: float = 100) -> Column:
-    """``> high`` high, ``> medium`` medium, else low (null -> low)."""
+def three_way(c: Column, high: float = 300, medium: float = 100) -> Column:
+    """Above ``high``, above ``medium``, or low (null is low)."""
     return F.when(c > high, "high").when(c > medium, "medium").otherwise("low")
 
 
-# ---------------------------------------------------------------- frame helpers
-
-def _apply(df: DataFrame, cols, fn) -> DataFrame:
-    names = _present(df, cols)
-    if not names:
-        return df
-    return df.withColumns({n: fn(F.col(n)) for n in names})
-
-
-def nullify(df: DataFrame, *cols: str) -> DataFrame:
-    return _apply(df, cols, nullify_expr)
-
-
-def cast_int(df: DataFrame, *cols: str) -> DataFrame:
-    return _apply(df, cols, int_expr)
-
-
-def cast_double(df: DataFrame, *cols: str, nan_to_null: bool = True) -> DataFrame:
-    return _apply(df, cols, lambda c: double_expr(c, nan_to_null))
-
-
-def cast_bool(df: DataFrame, *cols: str) -> DataFrame:
-    return _apply(df, cols, bool_expr)
-
-
-def normalize_list(df: DataFrame, col: str = "genres") -> DataFrame:
-    return _apply(df, [col], normalize_list_expr)
-
-
-def null_if_negative(df: DataFrame, *cols: str) -> DataFrame:
-    return _apply(df, cols, null_if_negative_expr)
-
-
-def null_outside(df: DataFrame, col: str, lo: float, hi: float) -> DataFrame:
-    return _apply(df, [col], lambda c: null_outside_expr(c, lo, hi))
-
-
-def upper_code(df: DataFrame, col: str) -> DataFrame:
-    return _apply(df, [col], upper_code_expr)
-
-
-def drop_bad_ids(df: DataFrame, key: str = "tmdb_id") -> DataFrame:
-    """keep rows whose id is non-null and positive."""
-    return df.filter(F.col(key).isNotNull() & (F.col(key) > 0))
-
+def valid_id(key: str = "tmdb_id") -> Column:
+    """the id is known and positive."""
+    return F.coalesce(F.col(key) > 0, F.lit(False))
 
-def require_text(df: DataFrame, key: str) -> DataFrame:
-    """keep rows whose key is non-null and non-empty."""
-    return df.filter(F.col(key).isNotNull() & (F.length(F.col(key)) > 0))
 
+def has_text(key: str) -> Column:
+    """the text key is known and not empty."""
+    return F.coalesce(F.length(key) > 0, F.lit(False))
 
-def typed(df: DataFrame, *, text=(), ints=(), doubles=(), bools=(), lists=()) -> DataFrame:
-    """P1-P5 in one projection: null-normalise ``text``, then cast and normalise.
 
-    Equivalent to the reference's chain nullify -> cast_int -> cast_double -> cast_bool
-    -> normalize_genres, but as a single Project over the scan.
-    """
-    have = set(df.columns)
-    exprs = {}
-    for n in text:
-        if n in have:
-            exprs[n] = nullify_expr(F.col(n))
-    for group, fn in ((ints, int_expr), (doubles, double_expr), (bools, bool_expr)):
-        for n in group:
-            if n in have:
-                exprs[n] = fn(exprs.get(n, F.col(n)))
-    for n in lists:
-        if n in have:
-            exprs[n] = normalize_list_expr(exprs.get(n, F.col(n)))
-    return df.withColumns(exprs) if exprs else df
+def typed(df: DataFrame, *, text=(), ids=(), ints=(), doubles=(), bools=(), lists=()) -> DataFrame:
+    """P1-P5 as one projection over the scan. A name may be in ``text`` and in one of the
+    others; the text rule applies first."""
+    rules: dict[str, list[Callable[[Column], Column]]] = {}
+    for names, rule in ((text, known_text), (ids, identifier), (ints, whole), (doubles, real), (bools, truth), (lists, token_list)):
+        for name in set(names) & set(df.columns):
+            rules.setdefault(name, []).append(rule)
+    columns = {}
+    for name, steps in rules.items():
+        columns[name] = F.col(name)
+        for step in steps:
+            columns[name] = step(columns[name])
+    return df.withColumns(columns)

@@ -24,13 +24,6 @@ def safe_corr(x: Column | str, y: Column | str) -> Column:
     return F.try_divide(F.covar_pop(xs, ys), F.stddev_pop(xs) * F.stddev_pop(ys))
 
 
-def avg_ratio(num: Column | str, den: Column | str) -> Column:
-    """Mean of a per-row ratio with a zero guard (``avg(a / nullif(b, 0))``)."""
-    num = F.col(num) if isinstance(num, str) else num
-    den = F.col(den) if isinstance(den, str) else den
-    return F.avg(F.try_divide(num, F.nullif(den, F.lit(0))))
-
-
 def weighted_mean(x: Column | str, w: Column | str) -> Column:
     """``sum(x*w) / sum(w)``; a null x drops from the numerator only."""
     x = F.col(x) if isinstance(x, str) else x

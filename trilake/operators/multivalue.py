@@ -1,44 +1,42 @@
-"""Comma-list columns (M1-M4): split, explode, trim, drop blanks, cast ids.
+"""Comma-list columns (M1-M4): tokens as rows.
 
-``explode`` is a per-row Generate inside the scan's codegen stage, no shuffle; a
-null or blank list yields no rows.
+``inline`` is a per-row Generate inside the scan's stage, no shuffle; a null or blank
+list gives no rows. ``first`` marks the first occurrence of a token in its row's list:
+where the key is unique, counting these counts distinct keys per token without a
+shuffle on (token, key).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trilake.functions.clean import int_expr
+from trilake.functions.clean import identifier
 
 
-def explode_list(df: DataFrame, col: str, out: str, sep: str = ",",
-                 keep: list[str] | None = None, trim: bool = True,
-                 drop_blank: bool = True) -> DataFrame:
-    """M1+M2: one row per list token. ``keep`` selects the carried columns
-    (default: all); ``sep`` is a regex, like ``split``."""
-    carried = [c for c in (keep if keep is not None else df.columns)]
-    tok = F.explode(F.split(F.col(col), sep)).alias(out)
-    x = df.select(*carried, tok)
-    if trim:
-        x = x.withColumn(out, F.trim(F.col(out)))
-    if drop_blank:
-        x = x.where(F.col(out) != "")
-    return x
+def _rows(df: DataFrame, tokens: Column, out: str, keep: list[str] | None, first: str | None) -> DataFrame:
+    pairs = F.transform(tokens, lambda x, i: F.struct(x.alias(out), (F.array_position(tokens, x) == i + 1).alias(first or "_first")))
+    rows = df.select(*(df.columns if keep is None else keep), F.inline(pairs))
+    return rows if first else rows.drop("_first")
+
+
+def token_rows(df: DataFrame, col: str, out: str, keep: list[str] | None = None, first: str | None = None,
+               sep: str = ",") -> DataFrame:
+    """M1+M2: one row per trimmed, non-blank token of ``col``; ``keep`` names the carried
+    columns (default: all); ``sep`` is a regex, as for ``split``."""
+    tokens = F.filter(F.transform(F.split(F.col(col), sep), lambda x: F.trim(x)), lambda x: x != "")
+    return _rows(df, tokens, out, keep, first)
 
 
 def bridge(df: DataFrame, key: str, col: str, out: str, distinct: bool = False) -> DataFrame:
-    """(key, token) bridge table; duplicates kept like the reference unless
-    ``distinct`` (which adds one shuffle on (key, token))."""
-    b = explode_list(df.where(F.col(col).isNotNull()), col, out, keep=[key])
-    return b.dropDuplicates([key, out]) if distinct else b
-
-
-def explode_ids(df: DataFrame, col: str, out: str, keep: list[str] | None = None) -> DataFrame:
-    """M4: explode a comma list of ids and cast each token to int; non-numeric
-    tokens are dropped (reference casts untrimmed -> trims in the non-ANSI cast)."""
-    carried = [c for c in (keep if keep is not None else df.columns)]
-    x = df.select(*carried, F.explode(F.split(F.col(col), ",")).alias("__tok"))
-    return (x.withColumn(out, int_expr(F.col("__tok")))
-             .where(F.col(out).isNotNull())
-             .drop("__tok"))
+    """(key, token) rows; a token that a list repeats stays repeated unless
+    ``distinct`` (no shuffle: only the first occurrence in a row's list is kept)."""
+    if not distinct:
+        return token_rows(df, col, out, keep=[key])
+    return token_rows(df, col, out, keep=[key], first="_once").where("_once").drop("_once")
+
+
+def id_rows(df: DataFrame, col: str, out: str, keep: list[str] | None = None, first: str | None = None) -> DataFrame:
+    """M4: one row per id of a comma list; tokens that are no number are dropped."""
+    ids = F.filter(F.transform(F.split(F.col(col), ","), identifier), lambda x: x.isNotNull())
+    return _rows(df, ids, out, keep, first)

@@ -35,12 +35,6 @@ def hash_sample(df: DataFrame, n: int, key: str | list[str], seed: int = 42) ->
               .limit(n).drop("__h"))
 
 
-def top_k(df: DataFrame, k: int, *order: Column) -> DataFrame:
-    """``orderBy(...).limit(k)`` (TakeOrderedAndProject; partial top-k per
-    task). Callers append their key as the last sort column for determinism."""
-    return df.orderBy(*order).limit(k)
-
-
 def top_then_resort(df: DataFrame, k: int, measure: str, *, key: str | None = None) -> DataFrame:
     """Top ``k`` by ``measure`` descending, re-sorted ascending for display."""
     order = [F.col(measure).desc_nulls_last()] + ([F.col(key).asc()] if key else [])

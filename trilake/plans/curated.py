@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from trilake.plans import questions as Q
 from trilake.plans import questions_sql as QS
+from trilake.session import size_shuffle_for
 from trilake.sources.parquet import read_table, show_top, write_table
 from trilake.sources.views import register_trusted
 
@@ -44,6 +45,7 @@ def trusted_to_curated(spark: SparkSession, trusted_prefix: str, curated_prefix:
     Returns row counts observed during the writes."""
     trusted = {n: read_table(spark, trusted_prefix, n)
                for n in ("movies", "movie_genres", "people", "movie_reviews")}
+    size_shuffle_for(spark, *trusted.values())
     counts = {}
     for name, df in curated_tables(trusted, **params).items():
         counts[name] = write_table(df, curated_prefix, name)

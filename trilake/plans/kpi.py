@@ -69,6 +69,37 @@ def actor_feed(top_actors: DataFrame) -> DataFrame:
             .withColumnsRenamed(ACTOR_CAPTIONS))
 
 
+def actor_table(top_actors: DataFrame) -> DataFrame:
+    """K3: the three columns that the page lists under the chart."""
+    return (top_actors.orderBy(F.desc("n_movies_rentables"), F.asc("actor_id"))
+            .select("actor_name", "n_movies_rentables", "avg_profit_usd").withColumnsRenamed(ACTOR_CAPTIONS))
+
+
+def chart_order(feed: DataFrame, measure: str, label: str) -> DataFrame:
+    """K3: rows of a horizontal bar chart, smallest bar first (charts draw upwards)."""
+    return feed.orderBy(F.col(measure).asc(), F.col(label).desc())
+
+
+def genre_table(revenue_by_genre: DataFrame) -> DataFrame:
+    """K3: all genres by revenue, largest first, with captions."""
+    return (revenue_by_genre.orderBy(F.desc("revenue_usd_total"), F.asc("genre")).withColumnsRenamed(GENRE_CAPTIONS))
+
+
+def bar_labels(feed: DataFrame, label: str, measure: str, text) -> DataFrame:
+    """K3: (label, measure, bar_label): the text printed at each bar's end."""
+    return feed.select(label, measure, text.alias("bar_label"))
+
+
+def genre_bars(revenue_by_genre: DataFrame, k: int = 15) -> DataFrame:
+    top = top_then_resort(revenue_by_genre, k, "revenue_usd_total", key="genre")
+    return bar_labels(top, "genre", "revenue_usd_total", money_text("revenue_usd_total", "B", USD_BILLIONS))
+
+
+def director_bars(roi_by_director: DataFrame) -> DataFrame:
+    return bar_labels(chart_order(roi_by_director, "avg_roi_pct", "director_name"), "director_name", "avg_roi_pct",
+                      percent_text("avg_roi_pct", 1))
+
+
 def year_feed(revenue_by_year: DataFrame) -> DataFrame:
     return (revenue_by_year.orderBy("release_year")
             .withColumn("revenue_usd_billions", F.col("revenue_usd_total").cast("double") / USD_BILLIONS)
@@ -106,6 +137,12 @@ def dashboard_feeds(spark, curated_prefix: str, cache: bool = True) -> dict[str,
         "correlation_text": correlation_text(c["ratings_correlations"]),
         "genres": genre_feed(c["revenue_by_genre"]),
         "actors": actor_feed(c["top_actors_rentables"]),
+        "actor_table": actor_table(c["top_actors_rentables"]),
+        "actor_chart": chart_order(c["top_actors_rentables"], "n_movies_rentables", "actor_name"),
+        "director_chart": chart_order(c["roi_by_director"], "avg_roi_pct", "director_name"),
+        "genre_table": genre_table(c["revenue_by_genre"]),
+        "genre_bars": genre_bars(c["revenue_by_genre"]),
+        "director_bars": director_bars(c["roi_by_director"]),
         "years": year_feed(c["revenue_by_year"]),
         "directors": director_feed(c["roi_by_director"]),
         "scatter": scatter_feed(c["ratings_vs_revenue_sample"]),

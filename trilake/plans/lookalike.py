@@ -26,12 +26,10 @@ agree bit-for-bit with another engine; ratios are doubles like the reference.
 
 from __future__ import annotations
 
-import functools
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trilake.operators.dedupe import keep_one
+from trilake.operators.dedupe import best_per_key
 from trilake.operators.finance import add_profit_roi, convert_currency
 from trilake.plans.trusted import clean_exchange, clean_people, clean_reviews
 from trilake.sources.rates import flatten_rates, parse_rates
@@ -42,23 +40,6 @@ FX_CODE = "K"
 RATING_DIVISOR = 49.0
 
 
-_PLANS: dict = {}
-
-
-def _memo(fn):
-    """Reuse the resolved (still lazy) plan per session and folder: the driver's
-    tables are immutable, so file listing, footer reads and analysis happen once per
-    session instead of once per query. Execution still re-reads the data."""
-    @functools.wraps(fn)
-    def wrapper(spark, d, *args):
-        key = (fn.__name__, spark, d.rstrip("/"), args)
-        if key not in _PLANS:
-            _PLANS[key] = fn(spark, d, *args)
-        return _PLANS[key]
-    return wrapper
-
-
-@_memo
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d.rstrip('/')}/{name}.parquet")
 
@@ -75,16 +56,14 @@ def title_key(orderkey: str = "l_orderkey", linenumber: str = "l_linenumber"):
     return F.col(orderkey) * F.lit(TITLE_KEY_FACTOR) + F.col(linenumber)
 
 
-@_memo
 def title_lines(spark: SparkSession, d: str) -> DataFrame:
     """One line per title key (W1) with its part attributes."""
     li = table(spark, d, "lineitem").withColumn("tmdb_id", title_key())
-    li = keep_one(li, "tmdb_id", *LINE_ORDER, tie_break=list(LINE_TIES))
+    li = best_per_key(li, "tmdb_id", *LINE_ORDER, ties=list(LINE_TIES))
     part = table(spark, d, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_retailprice")
     return li.join(part, li.l_partkey == part.p_partkey, "inner")
 
 
-@_memo
 def base_titles(spark: SparkSession, d: str) -> DataFrame:
     t = title_lines(spark, d)
     return t.select(
@@ -101,7 +80,6 @@ def base_titles(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@_memo
 def raw_rates(spark: SparkSession, d: str) -> DataFrame:
     """Rates rows as the raw zone holds them (all text)."""
     ev = table(spark, d, "events")
@@ -111,7 +89,6 @@ def raw_rates(spark: SparkSession, d: str) -> DataFrame:
     return r.select(F.col("currency"), F.col("rate").cast("string").alias("rate"), "base", "date")
 
 
-@_memo
 def exchange(spark: SparkSession, d: str) -> DataFrame:
     """Cleaned exchange table: one (highest) rate per currency. Only ``currency`` and
     ``rate`` are kept, which depend on the distinct documents alone, so each distinct
@@ -131,22 +108,19 @@ def titles(spark: SparkSession, d: str, fx: DataFrame | None = None) -> DataFram
     return convert_currency(add_profit_roi(base_titles(spark, d)), fx, FX_CODE)
 
 
-@_memo
 def _titles(spark: SparkSession, d: str) -> DataFrame:
     return convert_currency(add_profit_roi(base_titles(spark, d)), exchange(spark, d), FX_CODE)
 
 
-@_memo
 def people(spark: SparkSession, d: str) -> DataFrame:
     """Trusted people look-alike, cleaned from supplier text columns."""
     s = table(spark, d, "supplier")
     raw = s.select(F.col("s_suppkey").cast("string").alias("tmdb_id"),
                    F.col("s_name").alias("name"),
                    F.col("s_acctbal").cast("string").alias("popularity"))
-    return clean_people(raw, tie_break="name")
+    return clean_people(raw)
 
 
-@_memo
 def raw_reviews(spark: SparkSession, d: str) -> DataFrame:
     ev = table(spark, d, "events")
     return ev.select(
@@ -158,7 +132,6 @@ def raw_reviews(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@_memo
 def reviews(spark: SparkSession, d: str) -> DataFrame:
     """Trusted reviews look-alike (T4): range rule, dedupe, only reviews of known
     titles (left-semi join on the title keys)."""

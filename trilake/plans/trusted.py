@@ -10,14 +10,11 @@ dedupe shuffle (the reference re-ran that lineage three times).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from trilake.functions.clean import (
-    bucket3_expr, drop_bad_ids, null_if_negative_expr, null_outside_expr, require_text,
-    typed, upper_code_expr,
-)
-from trilake.operators.dedupe import keep_one
+from trilake.functions.clean import code as clean_code, has_text, identifier, not_negative, three_way, typed, valid_id, within
+from trilake.operators.dedupe import best_per_key
 from trilake.operators.finance import financial_metrics
 from trilake.operators.joins import keep_known
 from trilake.operators.multivalue import bridge
@@ -33,7 +30,9 @@ MOVIE_TEXT = (
     "watch_tr_flatrate", "watch_tr_rent", "watch_tr_buy", "watch_tr_free", "watch_tr_link",
     "watch_us_flatrate", "watch_us_rent", "watch_us_buy", "watch_us_free", "watch_us_link",
 )
-MOVIE_INT = ("tmdb_id", "release_year", "runtime_min", "vote_count", "collection_id")
+#: 64-bit ids.
+TITLE_IDS = ("tmdb_id", "collection_id", "tvdb_id")
+MOVIE_INT = ("release_year", "runtime_min", "vote_count")
 MOVIE_DOUBLE = ("vote_average", "popularity", "budget_usd", "revenue_usd")
 MOVIE_BOOL = ("has_trailer",)
 
@@ -47,7 +46,7 @@ TV_TEXT = (
     "watch_tr_buy", "watch_tr_free", "watch_tr_link", "watch_us_flatrate", "watch_us_rent",
     "watch_us_buy", "watch_us_free", "watch_us_link", "cert_tr", "cert_us",
 )
-TV_INT = ("tmdb_id", "tvdb_id", "release_year", "number_of_seasons", "number_of_episodes",
+TV_INT = ("release_year", "number_of_seasons", "number_of_episodes",
           "avg_episode_runtime", "season_count", "vote_count")
 TV_DOUBLE = ("vote_average", "popularity")
 TV_BOOL = ("in_production",)
@@ -58,7 +57,7 @@ PEOPLE_TEXT = (
     "known_movie_ids", "directed_movies", "directed_movie_ids", "known_tv_shows",
     "known_tv_ids", "profile_url", "homepage",
 )
-PEOPLE_INT = ("tmdb_id", "total_movie_credits", "total_directed", "total_tv_credits")
+PEOPLE_INT = ("total_movie_credits", "total_directed", "total_tv_credits")
 PEOPLE_DOUBLE = ("popularity",)
 
 REVIEW_TEXT = ("review_id", "author", "content", "created_at", "url", "media_type")
@@ -72,41 +71,52 @@ POPULARITY_CUTS = (300, 100)
 
 def movie_rows(raw: DataFrame) -> DataFrame:
     """T1 row-level part: typed, valid ids, negative money -> null (no shuffle)."""
-    df = typed(raw, text=MOVIE_TEXT, ints=MOVIE_INT, doubles=MOVIE_DOUBLE, bools=MOVIE_BOOL,
-               lists=("genres",))
-    df = drop_bad_ids(df)
-    return df.withColumns({c: null_if_negative_expr(F.col(c))
+    df = typed(raw, text=MOVIE_TEXT, ids=TITLE_IDS, ints=MOVIE_INT, doubles=MOVIE_DOUBLE, bools=MOVIE_BOOL,
+               lists=("genres",)).where(valid_id())
+    return df.withColumns({c: not_negative(F.col(c))
                            for c in ("budget_usd", "revenue_usd") if c in df.columns})
 
 
-def clean_movies(raw: DataFrame, tie_break: str | None = None) -> DataFrame:
+def clean_movies(raw: DataFrame, ties: str | None = "*") -> DataFrame:
     """``movie_rows`` then one row per ``tmdb_id``."""
-    return keep_one(movie_rows(raw), "tmdb_id", *MOVIE_ORDER, tie_break=tie_break)
+    return best_per_key(movie_rows(raw), "tmdb_id", *MOVIE_ORDER, ties=ties)
 
 
 def tv_rows(raw: DataFrame) -> DataFrame:
     """T2 row-level part."""
-    return drop_bad_ids(typed(raw, text=TV_TEXT, ints=TV_INT, doubles=TV_DOUBLE, bools=TV_BOOL,
-                              lists=("genres",)))
+    return typed(raw, text=TV_TEXT, ids=TITLE_IDS, ints=TV_INT, doubles=TV_DOUBLE, bools=TV_BOOL,
+                 lists=("genres",)).where(valid_id())
 
 
 def with_bucket(tv: DataFrame) -> DataFrame:
-    return tv.withColumn("popularity_bucket", bucket3_expr(F.col("popularity"), *POPULARITY_CUTS))
+    return tv.withColumn("popularity_bucket", three_way(F.col("popularity"), *POPULARITY_CUTS))
 
 
-def clean_tv(raw: DataFrame, tie_break: str | None = None) -> DataFrame:
+def clean_tv(raw: DataFrame, ties: str | None = "*") -> DataFrame:
     """Like T1 plus the three-way popularity bucket (computed after dedupe)."""
-    return with_bucket(keep_one(tv_rows(raw), "tmdb_id", *MOVIE_ORDER, tie_break=tie_break))
+    return with_bucket(best_per_key(tv_rows(raw), "tmdb_id", *MOVIE_ORDER, ties=ties))
 
 
 def people_rows(raw: DataFrame) -> DataFrame:
     """T3 row-level part."""
-    return drop_bad_ids(typed(raw, text=PEOPLE_TEXT, ints=PEOPLE_INT, doubles=PEOPLE_DOUBLE))
+    return typed(raw, text=PEOPLE_TEXT, ids=("tmdb_id",), ints=PEOPLE_INT, doubles=PEOPLE_DOUBLE).where(valid_id())
 
 
-def clean_people(raw: DataFrame, tie_break: str | None = None) -> DataFrame:
+def clean_people(raw: DataFrame, ties: str | None = "*") -> DataFrame:
     """T3."""
-    return keep_one(people_rows(raw), "tmdb_id", *PEOPLE_ORDER, tie_break=tie_break)
+    return best_per_key(people_rows(raw), "tmdb_id", *PEOPLE_ORDER, ties=ties)
+
+
+def review_rows(raw: DataFrame) -> DataFrame:
+    """T4 row-level part."""
+    df = typed(raw, text=REVIEW_TEXT, ids=("tmdb_id",), doubles=("rating",))
+    return df.withColumn("rating", within(F.col("rating"), *RATING_RANGE)).where(has_text("review_id"))
+
+
+def rate_rows(raw: DataFrame) -> DataFrame:
+    """T5 row-level part."""
+    df = typed(raw, text=("currency",), doubles=("rate",))
+    return df.withColumn("currency", clean_code(F.col("currency"))).where("currency IS NOT NULL AND rate > 0")
 
 
 # Row-level cleaner, key and dedupe order per table (used by the incremental mode).
@@ -114,17 +124,17 @@ ROW_CLEANERS = {
     "movies": (movie_rows, "tmdb_id", MOVIE_ORDER),
     "tv_shows": (tv_rows, "tmdb_id", MOVIE_ORDER),
     "people": (people_rows, "tmdb_id", PEOPLE_ORDER),
+    "movie_reviews": (review_rows, "review_id", ("created_at",)),
+    "exchange": (rate_rows, "currency", ("rate",)),
 }
 
 
 def clean_reviews(raw: DataFrame, known_titles: DataFrame | None = None,
-                  tie_break: str | None = None) -> DataFrame:
+                  ties: str | None = "*") -> DataFrame:
     """T4: typed, rating outside [0, 10] -> null, non-empty id, newest ``created_at``
     (string order, as in the reference) per review, only reviews of known titles
     (left-semi join, J6)."""
-    df = typed(raw, text=REVIEW_TEXT, ints=("tmdb_id",), doubles=("rating",))
-    df = df.withColumn("rating", null_outside_expr(F.col("rating"), *RATING_RANGE))
-    df = keep_one(require_text(df, "review_id"), "review_id", "created_at", tie_break=tie_break)
+    df = best_per_key(review_rows(raw), "review_id", "created_at", ties=ties)
     if known_titles is not None:
         df = keep_known(df, known_titles, "tmdb_id")
     return df
@@ -136,13 +146,11 @@ def clean_exchange(raw: DataFrame, mode: str = "highest", landed: str = "run_ts"
     ``mode="highest"`` keeps the highest rate ever landed (reference, B4);
     ``mode="latest"`` keeps the rate of the newest landing (column ``landed``, e.g.
     the ``run_ts`` partition of the raw zone), highest rate among equal landings."""
-    df = typed(raw, text=("currency",), doubles=("rate",))
-    df = df.withColumn("currency", upper_code_expr(F.col("currency")))
-    df = df.filter(F.col("currency").isNotNull() & F.col("rate").isNotNull() & (F.col("rate") > 0))
+    df = rate_rows(raw)
     if mode == "highest":
-        return keep_one(df, "currency", "rate")
+        return best_per_key(df, "currency", "rate", ties="*")
     if mode == "latest":
-        return keep_one(df, "currency", landed, "rate")
+        return best_per_key(df, "currency", landed, "rate", ties="*")
     raise ValueError("mode must be 'highest' or 'latest'")
 
 
@@ -172,18 +180,23 @@ def raw_to_trusted(spark: SparkSession, raw_prefix: str, trusted_prefix: str,
                    code: str = "COP", fx_mode: str = "highest",
                    on_missing: str = "identity", header_safe: bool = True,
                    buckets: int | None = None) -> dict[str, int]:
-    """The full job. Returns row counts per written table (from write-time
-    observations, not extra count jobs). ``header_safe`` reads each raw dataset
+    """The full job. Returns row counts per written table and the raw rows rejected for
+    their id (from write-time observations, not extra count jobs). ``header_safe`` reads each raw dataset
     grouped by file header (U2) instead of trusting the first file's column order.
     ``buckets`` writes movies, movie_genres and movie_reviews bucketed alike on
     ``tmdb_id`` so the curated joins on that key are co-located (no shuffle)."""
+    from trilake.session import size_shuffle_for
     from trilake.sources.parquet import read_table, write_table
     from trilake.sources.raw_csv import read_raw, read_raw_by_header
 
     names = ("movies", "tv_shows", "people", "movie_reviews", "exchange")
     reader = read_raw_by_header if header_safe else read_raw
     raw = {n: reader(spark, f"{raw_prefix.rstrip('/')}/{n}") for n in names}
+    size_shuffle_for(spark, *raw.values())
     counts = {}
+    rejected = {n: Observation(f"rejected_{n}") for n in ("movies", "tv_shows", "people")}
+    for n, seen in rejected.items():  # counted during the write itself
+        raw[n] = raw[n].observe(seen, F.count_if(~F.coalesce(identifier(F.col("tmdb_id")) > 0, F.lit(False))).alias("rows"))
     exchange = clean_exchange(raw["exchange"], mode=fx_mode)
     counts["exchange"] = write_table(exchange, trusted_prefix, "exchange")
     exchange = read_table(spark, trusted_prefix, "exchange")
@@ -196,4 +209,4 @@ def raw_to_trusted(spark: SparkSession, raw_prefix: str, trusted_prefix: str,
     counts["people"] = write_table(clean_people(raw["people"]), trusted_prefix, "people")
     counts["movie_reviews"] = write_table(clean_reviews(raw["movie_reviews"], movies),
                                           trusted_prefix, "movie_reviews", **by)
-    return counts
+    return counts | {f"{n}_rejected": int(seen.get["rows"]) for n, seen in rejected.items()}

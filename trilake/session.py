@@ -9,6 +9,7 @@ unset.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -35,7 +36,7 @@ def build_session(master: str | None = None, app: str = "trilake",
     if master:
         b = b.master(master)
         b = b.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
-        b = b.config("spark.driver.memory", os.environ.get("TRILAKE_DRIVER_MEM", "16g"))
+        b = b.config("spark.driver.memory", os.environ.get("TRILAKE_DRIVER_MEM", "6g"))
     for k, v in JOB_CONF.items():
         b = b.config(k, v)
     if shuffle_partitions:
@@ -65,6 +66,9 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.conf.get("spark.master", "")
+        if not re.match(r"local(\[|$)", master):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that all executors of {master or 'the cluster'} share")
         base = tempfile.mkdtemp(prefix="trilake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
         try:
@@ -74,21 +78,33 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     return "/".join([base.rstrip("/"), *parts]) if parts else base
 
 
+def input_bytes(df) -> int:
+    """Bytes that the planner expects a frame's scans to read: file sizes, no job."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def size_shuffle_for(spark: SparkSession, *frames, target_bytes: int = 256 << 20) -> int:
+    """``size_shuffle`` for jobs that shuffle about what they read. The session's own
+    setting stays where it is larger, and small inputs leave it alone."""
+    have = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = sum(input_bytes(f) for f in frames)
+    return size_shuffle(spark, size, target_bytes) if size > have * target_bytes else have
+
+
 def size_shuffle(spark: SparkSession, shuffle_bytes: int, target_bytes: int = 256 << 20,
-                 max_partitions: int = 50_000, max_split_bytes: int = 256 << 20) -> int:
+                 max_split_bytes: int = 256 << 20) -> int:
     """Size shuffles for the data at hand.
 
     ``shuffle_bytes`` is the estimated size of the largest shuffle (after column
     pruning and partial aggregation, usually far below the input size). Sets
-    ``spark.sql.shuffle.partitions`` so each reducer starts near ``target_bytes``,
-    capped at ``max_partitions`` (map x reduce shuffle blocks grow quadratically), with
+    ``spark.sql.shuffle.partitions`` so each reducer starts near ``target_bytes``, with
     AQE coalescing small partitions and splitting skewed ones at runtime; scan splits
     are at most ``max_split_bytes``. Never below the core count. Returns the count."""
     try:
         cores = spark.sparkContext.defaultParallelism
     except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
         cores = int(spark.conf.get("spark.default.parallelism", "8"))
-    parts = min(max_partitions, max(cores, -(-int(shuffle_bytes) // int(target_bytes))))
+    parts = max(cores, -(-int(shuffle_bytes) // int(target_bytes)))
     spark.conf.set("spark.sql.shuffle.partitions", str(parts))
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(int(target_bytes)))
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(int(max_split_bytes)))

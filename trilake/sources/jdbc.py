@@ -51,7 +51,9 @@ def read_jdbc(spark: SparkSession, **kw) -> DataFrame:
 def write_options(url: str, table: str, batch_size: int = INSERT_BATCH, truncate: bool = True,
                   user: str | None = None, password: str | None = None,
                   driver: str | None = None) -> dict[str, str]:
-    opts = {"url": url, "dbtable": table, "batchsize": str(min(int(batch_size), INSERT_BATCH)),
+    if not 0 < int(batch_size) <= INSERT_BATCH:
+        raise ValueError(f"batch_size must be 1..{INSERT_BATCH}")
+    opts = {"url": url, "dbtable": table, "batchsize": str(int(batch_size)),
             "truncate": "true" if truncate else "false"}
     for k, v in (("user", user), ("password", password), ("driver", driver)):
         if v is not None:

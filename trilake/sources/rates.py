@@ -23,8 +23,9 @@ def flatten_rates(docs: DataFrame, doc: str | None = None) -> DataFrame:
 
 
 def read_rates_json(spark: SparkSession, path: str) -> DataFrame:
-    """Read landed JSON documents (one per line) with a fixed schema."""
-    return flatten_rates(spark.read.schema(RATES_SCHEMA).json(path))
+    """Read landed JSON documents with a fixed schema. A file holds one document (indented or
+    not) or an array of them; text that is no document fails instead of giving no rows."""
+    return flatten_rates(spark.read.schema(RATES_SCHEMA).option("multiLine", "true").option("mode", "FAILFAST").json(path))
 
 
 def parse_rates(text: Column, base: Column | None = None, date: Column | None = None) -> Column:

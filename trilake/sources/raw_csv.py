@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,16 +33,9 @@ def read_raw(spark: SparkSession, path: str, with_file: bool = False) -> DataFra
     return df
 
 
-def file_headers(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Header line of every file under ``path``: one row per FILE (bounded by the
-    number of files, not rows). The first line of a file is the smallest
-    ``monotonically_increasing_id`` within the split that starts at offset 0."""
-    t = (spark.read.text(path)
-         .select(F.col("_metadata.file_path").alias("file"),
-                 F.col("_metadata.file_block_start").alias("block"),
-                 F.monotonically_increasing_id().alias("pos"), "value")
-         .where(F.col("block") == 0))
-    return t.groupBy("file").agg(F.min_by("value", "pos").alias("header"))
+def folder_header(spark: SparkSession, folder: str) -> str:
+    """Header line of a folder's files: Spark reads the head of one file, nothing else."""
+    return ",".join(spark.read.options(**CSV_OPTIONS).csv(folder).columns)
 
 
 def run_manifests(spark: SparkSession, path: str) -> DataFrame:
@@ -56,44 +50,49 @@ def run_manifests(spark: SparkSession, path: str) -> DataFrame:
 def read_raw_by_header(spark: SparkSession, path: str) -> DataFrame:
     """U2 (safe variant): Spark's CSV scan maps columns by the position of the FIRST
     file's header, so a run landed with another column set is silently misassigned.
-    Files are grouped by their header line, each group is read with its own header,
-    and the groups are unioned by name (missing columns -> null). ``path`` is the
-    dataset folder; ``run_ts=`` sub-folders still become a column (``basePath``).
-
-    Runs landed by ``land_raw`` carry a ``_columns`` manifest, so their headers come
-    from that tiny file; only files without one (landed by other tools) are probed by
-    reading their first split. Only the (file or run, header) list reaches the
-    driver; the data stays distributed."""
+    Runs are grouped by their header, each group is read with its own, and the groups are
+    united by name (missing columns -> null). ``path`` is the dataset folder; ``run_ts=``
+    sub-folders still become a column (``basePath``).
+
+    Runs landed by ``land_raw`` carry a ``_columns`` manifest. Of a run without one (landed
+    by other tools) the head of one file is read, and the scan itself checks every file's
+    header against it (``enforceSchema=false``) and fails on a difference. Only the list of
+    runs with their headers reaches the driver, never a list of files."""
+    headers = {r["run"]: r["header"] for r in landed_runs(spark, path)}
+    files = spark.read.format("binaryFile").load(path)  # a listing: no content is read
+    folders = files.select(F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("run")).distinct()
+    for r in folders.collect():
+        if r["run"] not in headers:
+            headers[r["run"]] = folder_header(spark, r["run"])
     groups: dict[str, list[str]] = {}
-    try:
-        manifests = {r["run"]: r["header"] for r in run_manifests(spark, path).collect()}
-    except Exception:  # noqa: BLE001 - no manifest anywhere under path
-        manifests = {}
-    for run, header in manifests.items():
+    for run, header in headers.items():
         groups.setdefault(header, []).append(run)
-    # File listing only (binaryFile reads no content unless the column is selected).
-    listing = [r["path"] for r in spark.read.format("binaryFile").load(path).select("path").collect()]
-    foreign = [f for f in listing if f.rsplit("/", 1)[0] not in manifests]
-    if foreign:
-        for row in file_headers(spark, foreign).collect():
-            groups.setdefault(row["header"], []).append(row["file"])
-    if len(groups) <= 1:
-        return read_raw(spark, path)
-    frames = [spark.read.options(**CSV_OPTIONS).option("basePath", path).csv(files)
-              for _, files in sorted(groups.items())]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    return out
+    out = None
+    for _, runs in sorted(groups.items()):
+        part = spark.read.options(**CSV_OPTIONS).option("enforceSchema", "false").option("basePath", path).csv(runs)
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return read_raw(spark, path) if out is None else out
+
+
+def landed_runs(spark: SparkSession, path: str) -> list:
+    """Manifest rows of a dataset (one for each run). None if no run has one; any other
+    failure to read them is an error."""
+    try:
+        return run_manifests(spark, path).collect()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
 
 
-def land_raw(df: DataFrame, raw_prefix: str, name: str, run_ts: str | None = None) -> str:
+def land_raw(df: DataFrame, raw_prefix: str, name: str, run_ts: str | None = None, rows_per_file: int = 1_000_000) -> str:
     """Land a dataset in the raw zone under a new run folder; never overwrites
-    (``errorifexists``). Values are written as text, quoted per RFC 4180."""
+    (``errorifexists``). Values are written as text, quoted per RFC 4180. Files with
+    quoted line breaks are read by one task each, so a file has ``rows_per_file`` at most."""
     ts = run_ts or run_stamp()
     path = f"{raw_prefix.rstrip('/')}/{name}/run_ts={ts}"
     (df.select([F.col(c).cast("string").alias(c) for c in df.columns])
-       .write.mode("errorifexists").options(**CSV_OPTIONS).csv(path))
+       .write.mode("errorifexists").option("maxRecordsPerFile", rows_per_file).options(**CSV_OPTIONS).csv(path))
     # Hidden manifest with the run's header line (readers skip "_" paths); lets the
     # header-safe read group runs without probing the data files.
     header = ",".join(df.columns)

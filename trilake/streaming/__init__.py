@@ -1 +1 @@
-from trilake.streaming.incremental import current_table, latest_per_key, run_incremental  # noqa: F401
+from trilake.streaming.incremental import current_table, incremental_tables, incremental_trusted, run_incremental, snapshot  # noqa: F401

@@ -1,133 +1,157 @@
 """ST1: incremental raw -> trusted for newly landed files (Structured Streaming).
 
-The reference re-reads the whole raw zone after each hourly landing. Here a file
-stream over the raw folder picks up only new files; cleaning is per-row
-projection, and "one row per key, greatest by the order columns" (W1) becomes a
-streaming aggregation ``max(struct(order..., tie, payload...))`` whose state holds
-exactly one row per key. Nulls compare lowest inside a struct, so the max equals
-``row_number() over (order by ... desc nulls last) = 1``.
-
-``update`` output mode emits, per micro-batch, only keys whose winner changed; the
-``foreachBatch`` sink appends them to a change log (Parquet, one folder per batch
-id, idempotent on replay because a batch folder is overwritten). The current table
-is the newest change per key. ``trigger(availableNow=True)`` processes everything
-landed so far and stops, which is how an hourly scheduler runs it; the checkpoint
-(in the shared folder) makes restarts resume after lost executors or drivers.
+A file stream over a dataset's raw folder picks up only new files. Raw files are
+positional, and runs may differ in their columns, so the stream reads *places*
+(``_c0``, ``_c1``, ...) with each row's file; inside ``foreachBatch`` the rows of each run
+get the names of that run's landed header (its ``_columns`` manifest), runs are united by
+name, cleaned, and cut to one row per key (W1). A run without a manifest stops the job.
+
+Each batch writes its winners to a change log (one folder per batch id, overwritten on
+replay, so a batch counts once). The current table is W1 over the change log with the same
+order and ties as the batch job, so both agree whatever order files land in. There is no
+streaming state to keep: the log is compacted by ``snapshot``, whose manifests are never
+rewritten. ``trigger(availableNow)`` handles what has landed, ``files_per_batch`` files at a
+time, and stops: what an hourly scheduler runs. Checkpoints are in the shared folder.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trilake.operators.dedupe import keep_one
-from trilake.sources.raw_csv import CSV_OPTIONS, land_raw
+from trilake.operators.dedupe import best_per_key
 from trilake.session import shared_dir
-
-
-def latest_per_key(stream: DataFrame, key: str, order: list[str], payload: list[str]) -> DataFrame:
-    """Streaming W1: one aggregate row per key holding the winning row."""
-    fields = [*order, *[c for c in payload if c not in order and c != key]]
-    win = F.max(F.struct(*[F.col(c) for c in fields])).alias("w")
-    return stream.groupBy(key).agg(win).select(key, "w.*")
-
-
-def run_incremental(spark: SparkSession, raw_dir: str, schema: T.StructType, clean,
-                    key: str, order: list[str], payload: list[str],
-                    changes_dir: str, checkpoint_dir: str) -> None:
-    """Process every file landed under ``raw_dir`` since the last run."""
-    stream = spark.readStream.schema(schema).options(**CSV_OPTIONS).csv(raw_dir)
-    agg = latest_per_key(clean(stream), key, order, payload)
+from trilake.sources.raw_csv import CSV_OPTIONS, land_raw, landed_runs
+
+FILES_PER_BATCH = 1000
+_RUN = r"^(.*/run_ts=[^/]*)/[^/]*$"
+
+
+def _named(batch: DataFrame, headers: dict[str, list[str]]) -> DataFrame:
+    """Positional rows with the column names of their run, runs united by name."""
+    runs = [r["run"] for r in batch.select("run").distinct().collect()]  # at most a batch's files
+    missing = [r for r in runs if r not in headers]
+    if missing:
+        raise ValueError(f"no landed header for {missing[:3]}")
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for r in runs:
+        groups.setdefault(tuple(headers[r]), []).append(r)
+    out = None
+    for names, members in sorted(groups.items()):
+        part = batch.where(F.col("run").isin(members)).select(
+            *[F.col(f"_c{i}").alias(n) for i, n in enumerate(names)],
+            F.regexp_extract("run", r"run_ts=([^/]*)$", 1).alias("run_ts"))
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out
+
+
+def run_incremental(spark: SparkSession, raw_dir: str, clean: Callable[[DataFrame], DataFrame], key: str,
+                    order: list[str], changes_dir: str, checkpoint_dir: str,
+                    files_per_batch: int = FILES_PER_BATCH) -> None:
+    """Process every file landed under ``raw_dir`` (a dataset folder) since the last run."""
+    headers = {r["run"].rstrip("/"): r["header"].split(",") for r in landed_runs(spark, raw_dir)}
+    if not headers:
+        raise ValueError(f"no landed run with a header under {raw_dir}")
+    width = max(len(h) for h in headers.values())
+    places = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width)])
+    stream = (spark.readStream.schema(places).options(**CSV_OPTIONS).option("enforceSchema", "true")
+              .option("maxFilesPerTrigger", int(files_per_batch)).csv(f"{raw_dir.rstrip('/')}/*")
+              .withColumn("run", F.regexp_extract(F.col("_metadata.file_path"), _RUN, 1)))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
-              .write.mode("overwrite").parquet(f"{changes_dir}/batch_id={batch_id}"))
+        if batch.isEmpty():
+            return
+        rows = clean(_named(batch, headers))
+        best_per_key(rows, key, *order, ties="*").write.mode("overwrite").parquet(f"{changes_dir}/batch_id={batch_id}")
 
-    q = (agg.writeStream.outputMode("update").foreachBatch(sink)
-         .option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start())
-    q.awaitTermination()
+    (stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint_dir)
+     .trigger(availableNow=True).start().awaitTermination())
 
 
-def _latest_snapshot(spark: SparkSession, snapshots_dir: str | None):
-    """(path, last batch id) of the newest snapshot, from its manifest, or None."""
-    if not snapshots_dir:
-        return None
+def _found(read: Callable[[], DataFrame]) -> DataFrame | None:
+    """What ``read`` gives, or None if its path does not exist; other errors stay errors."""
     try:
-        m = spark.read.json(f"{snapshots_dir}/_manifest").first()
-    except Exception:  # noqa: BLE001 - no snapshot written yet
+        return read()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
-    return (m["path"], int(m["upto"])) if m else None
 
 
-def current_table(spark: SparkSession, changes_dir: str, key: str,
+def _changes(spark: SparkSession, changes_dir: str, snapshots_dir: str | None) -> DataFrame:
+    """The newest snapshot and the batches after it."""
+    log = spark.read.option("mergeSchema", "true").parquet(changes_dir)
+    manifests = _found(lambda: spark.read.schema("path string, upto long").json(f"{snapshots_dir}/manifests/*")) if snapshots_dir else None
+    newest = manifests.orderBy(F.desc("upto")).first() if manifests is not None else None
+    if newest is None:
+        return log
+    after = log.where(F.col("batch_id") > newest["upto"])
+    return spark.read.parquet(newest["path"]).unionByName(after, allowMissingColumns=True)
+
+
+def current_table(spark: SparkSession, changes_dir: str, key: str, order: list[str],
                   snapshots_dir: str | None = None) -> DataFrame:
-    """Trusted table = newest change per key (W1 over the change log). With a
-    snapshot, only batches newer than the snapshot are read next to it, so the work
-    does not grow with the number of runs."""
-    ch = spark.read.parquet(changes_dir)
-    snap = _latest_snapshot(spark, snapshots_dir)
-    if snap is not None:
-        path, upto = snap
-        ch = spark.read.parquet(path).unionByName(ch.where(F.col("batch_id") > upto))
-    return keep_one(ch, key, "batch_id").drop("batch_id")
-
-
-def snapshot(spark: SparkSession, changes_dir: str, key: str, snapshots_dir: str) -> str:
-    """Compact: write the current table (with the batch id of each winner) as a new
-    snapshot folder, then point the manifest at it. Readers keep using the previous
-    snapshot until the manifest is replaced; older snapshots and batches can then be
-    expired by the platform's retention policy."""
-    ch = spark.read.parquet(changes_dir)
-    prev = _latest_snapshot(spark, snapshots_dir)
-    if prev is not None:
-        ch = spark.read.parquet(prev[0]).unionByName(ch.where(F.col("batch_id") > prev[1]))
-    cur = keep_one(ch, key, "batch_id")
-    upto = cur.agg(F.max("batch_id")).first()[0]
+    """The trusted rows: W1 over snapshot and newer batches, so the work does not grow with
+    the number of runs."""
+    rows = _changes(spark, changes_dir, snapshots_dir).drop("batch_id")
+    return best_per_key(rows, key, *order, ties="*")
+
+
+def snapshot(spark: SparkSession, changes_dir: str, key: str, order: list[str], snapshots_dir: str) -> str:
+    """Compact the log into a new snapshot folder and then add its manifest, a new file that
+    names the last batch it covers. Nothing is replaced, so readers always find a whole
+    snapshot; older ones and covered batches can be expired by the platform."""
+    log = _changes(spark, changes_dir, snapshots_dir)
+    upto = log.agg(F.max("batch_id")).first()[0]
     if upto is None:
         return ""
-    path = f"{snapshots_dir.rstrip('/')}/upto={int(upto)}"
-    cur.write.mode("overwrite").parquet(path)
-    (spark.createDataFrame([(path, int(upto))], "path string, upto long")
-          .coalesce(1).write.mode("overwrite").json(f"{snapshots_dir}/_manifest"))
+    ordered = best_per_key(log.withColumn("batch_id", F.lit(int(upto)).cast(log.schema["batch_id"].dataType)), key, *order, ties="*")
+    path = f"{snapshots_dir.rstrip('/')}/upto={int(upto)}-{uuid.uuid4().hex[:8]}"
+    ordered.write.parquet(path)
+    (spark.createDataFrame([(path, int(upto))], "path string, upto long").coalesce(1)
+     .write.json(f"{snapshots_dir.rstrip('/')}/manifests/{path.rsplit('/', 1)[1].replace('=', '-')}"))
     return path
 
 
-def raw_schema(spark: SparkSession, raw_dir: str) -> T.StructType:
-    """All-string schema from the landed header (a file source stream needs one)."""
-    cols = spark.read.options(**CSV_OPTIONS).csv(raw_dir).columns
-    return T.StructType([T.StructField(c, T.StringType()) for c in cols if c != "run_ts"])
-
-
-def incremental_trusted(spark: SparkSession, raw_dir: str, name: str, changes_dir: str,
-                        checkpoint_dir: str, schema: T.StructType | None = None,
-                        snapshots_dir: str | None = None) -> DataFrame:
-    """ST1 for a lake table (movies, tv_shows, people): row-level cleaning of the new
-    files, streaming latest-per-key with the table's dedupe order (ties broken by the
-    row's remaining values), then the current trusted table. Derived columns that
-    depend on the deduped row (movies' finance, the TV bucket) are applied to the
-    returned table, as in the batch job."""
+def incremental_trusted(spark: SparkSession, raw_dir: str, name: str, changes_dir: str, checkpoint_dir: str,
+                        snapshots_dir: str | None = None, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
+    """ST1 for one lake table (movies, tv_shows, people, movie_reviews, exchange): the new
+    files, then the current rows. Columns that follow from the chosen row (the TV bucket)
+    are added to it; what needs other tables is in ``incremental_tables``."""
     from trilake.plans.trusted import ROW_CLEANERS, with_bucket
-    rows_fn, key, order = ROW_CLEANERS[name]
-    schema = schema or raw_schema(spark, raw_dir)
-    names = schema.fieldNames()
-    present_order = [c for c in order if c in names]
-    payload = [c for c in names if c != key and c not in present_order]
-    run_incremental(spark, f"{raw_dir.rstrip('/')}/*", schema, rows_fn, key, present_order, payload,
-                    changes_dir, checkpoint_dir)
-    table = current_table(spark, changes_dir, key, snapshots_dir)
+    clean, key, order = ROW_CLEANERS[name]
+    run_incremental(spark, raw_dir, clean, key, list(order), changes_dir, checkpoint_dir,
+                    files_per_batch)
+    table = current_table(spark, changes_dir, key, list(order), snapshots_dir)
     return with_bucket(table) if name == "tv_shows" else table
 
 
+def incremental_tables(spark: SparkSession, raw_prefix: str, out_prefix: str, code: str = "COP",
+                       names: tuple[str, ...] = ("movies", "tv_shows", "people", "movie_reviews", "exchange")) -> dict[str, DataFrame]:
+    """ST1 for the whole lake: the trusted tables of the batch job, with finance columns,
+    the genre bridge and only reviews of known titles."""
+    from trilake.operators.finance import financial_metrics
+    from trilake.operators.joins import keep_known
+    from trilake.plans.trusted import genre_bridge
+    out = {n: incremental_trusted(spark, f"{raw_prefix.rstrip('/')}/{n}", n, f"{out_prefix}/{n}/changes", f"{out_prefix}/{n}/checkpoint",
+                                  f"{out_prefix}/{n}/snapshots") for n in names}
+    out["movies"] = financial_metrics(out["movies"], out["exchange"], code)
+    out["movie_genres"] = genre_bridge(out["movies"])
+    out["movie_reviews"] = keep_known(out["movie_reviews"], out["movies"], "tmdb_id")
+    return out
+
+
 # ---------------------------------------------------------------- contract query
 
-EVENT_RAW_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in
-                                 ("event_id", "ts", "user_id", "event_type", "value")])
+EVENT_COLUMNS = ("event_id", "ts", "user_id", "event_type", "value")
 
 
-def _clean_events(df: DataFrame) -> DataFrame:
+def clean_events(df: DataFrame) -> DataFrame:
     return df.select(
         F.col("event_id").try_cast("long").alias("event_id"),
         F.try_to_timestamp(F.col("ts")).alias("ts"),
@@ -138,23 +162,19 @@ def _clean_events(df: DataFrame) -> DataFrame:
 
 
 def q_incremental_latest(spark: SparkSession, d: str) -> DataFrame:
-    """Land events as raw CSV in three runs (by event time, all rows), process them
-    with the streaming job run by run, return the latest event per user."""
+    """Land events as raw CSV in three runs (by event time; null times in the first), each
+    with its own column order, process them run by run, return the latest event per user."""
     base = shared_dir(spark, "incremental", uuid.uuid4().hex)
     raw, changes, ckpt = f"{base}/raw", f"{base}/changes", f"{base}/checkpoint"
-    ev = spark.read.parquet(f"{d.rstrip('/')}/events.parquet").select(*EVENT_RAW_SCHEMA.fieldNames())
-    bounds = ev.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
-    lo, hi = bounds["lo"], bounds["hi"]
-    step = (hi - lo) / 3 if lo is not None else None
-    cuts = [lo + step, lo + 2 * step] if step is not None else []
-    runs = [F.col("ts") < F.lit(cuts[0]),
-            (F.col("ts") >= F.lit(cuts[0])) & (F.col("ts") < F.lit(cuts[1])),
-            F.col("ts") >= F.lit(cuts[1])] if cuts else [F.lit(True)]
-    for i, cond in enumerate(runs):
-        land_raw(ev.where(cond), raw, "events", run_ts=f"run{i}")
-        run_incremental(spark, f"{raw}/events/*", EVENT_RAW_SCHEMA, _clean_events, "user_id",
-                        ["ts", "event_id"], ["event_type", "value"], changes, ckpt)
-    return current_table(spark, changes, "user_id").select("event_id", "user_id", "event_type", "value")
+    ev = spark.read.parquet(f"{d.rstrip('/')}/events.parquet").select(*EVENT_COLUMNS)
+    lo, hi = ev.agg(F.min("ts"), F.max("ts")).first()
+    third = F.lit(0) if lo is None else F.coalesce(F.when(F.col("ts") < F.lit(lo + (hi - lo) / 3), 0).when(
+        F.col("ts") < F.lit(lo + 2 * (hi - lo) / 3), 1).when(F.col("ts").isNotNull(), 2), F.lit(0))
+    for i in range(3):
+        columns = EVENT_COLUMNS[i:] + EVENT_COLUMNS[:i]
+        land_raw(ev.where(third == i).select(*columns), raw, "events", run_ts=f"run{i}")
+        run_incremental(spark, f"{raw}/events", clean_events, "user_id", ["ts", "event_id"], changes, ckpt)
+    return current_table(spark, changes, "user_id", ["ts", "event_id"]).select("event_id", "user_id", "event_type", "value")
 
 
 ORACLE_INCREMENTAL = """
