@@ -42,9 +42,9 @@ from .suffix_order import suffix_order
 
 GRAM = 32
 #: Longest stretch of one text that is scanned at a time (places fit in 24 bits).
-STRETCH = 1 << 22
+STRETCH = 1 << 20
 #: Bytes of text whose segments a task pre-aggregates before it passes them on.
-GATHER_BYTES = 1 << 25
+GATHER_BYTES = 1 << 23
 #: Different segments of an anchor above which the cluster splits it, and in a task.
 SPLIT_ROWS = 20_000
 TASK_ROWS = 100
@@ -145,7 +145,7 @@ def _scan(length: int, k: int, n_buckets: int):
 
     def scan(batches):
         held, size = [], 0
-        for block in text_blocks(batches, "text"):
+        for block in text_blocks(batches, "text", 1 << 19):
             raw, offsets = utf8(block.column("text"))
             did, th = block.column("did").to_numpy(), block.column("_th").to_numpy()
             for at in range(0, max(len(raw) - length + 1, 1), STRETCH) if block.num_rows == 1 else (0,):
