@@ -143,3 +143,16 @@ def test_shards(spark, n):
 
 def test_shards_of_an_empty_table(spark):
     assert shard_plan(empty(spark), 16).count() == 0
+
+
+def test_long_texts_go_in_parts(monkeypatch):
+    import numpy as np
+
+    from trilake.llm import packing, token_counts
+    monkeypatch.setattr(token_counts, "LONG", 50)
+    monkeypatch.setattr(packing, "LONG", 50)
+    rng = random.Random(6)
+    text = " ".join(t for t in ODD if t) + words(rng, 300) + " <|endoftext|>  \t x " + words(rng, 50)
+    assert count_texts([text, "a b"], BYTE) == [len(Tokenizer.from_file(BYTE).encode(t, add_special_tokens=False).ids) for t in (text, "a b")]
+    ids = b"".join(packing._ids(p, WORD) for p in packing._parts(text))
+    assert np.frombuffer(ids, "<u4").tolist() == Tokenizer.from_file(WORD).encode(text, add_special_tokens=False).ids

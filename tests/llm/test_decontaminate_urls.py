@@ -113,3 +113,30 @@ def test_shrinkage(spark):
     assert got["a.good.com"].n == 60 and got["a.good.com"].verdict == "allow" and got["a.bad.org"].verdict == "block"
     assert got["b.good.com"].mean < 0.6 < got["b.bad.org"].mean  # one bad page of one is shrunk to its domain
     assert got["c.bad.org"].n == 0 and got["c.bad.org"].verdict == "block"
+
+
+def test_long_texts_are_scanned_in_stretches(spark, monkeypatch):
+    import pyarrow as pa
+
+    from trilake.llm import decontaminate as D
+    docs, items = corpus()
+    text = " ".join(t for _, t in docs if t) + " " + items[2][1]
+    prints, _ = D.benchmark_tables(bench(spark, items), 13, D.GRAM)
+    scans = []
+    real = D.document_key
+    for piece in (1 << 22, 300):
+        monkeypatch.setattr(D, "PIECE", piece)
+        got = {}
+
+        class Catch:
+            def mapInArrow(self, scan, schema):
+                [batch] = list(scan([pa.RecordBatch.from_arrays([pa.array([1]), pa.array([2]), pa.array([text])], names=["doc_id", "_th", "text"])]))
+                got["row"] = batch.to_pylist()[0]
+
+        monkeypatch.setattr(D, "document_key", lambda docs, text: Catch())
+        monkeypatch.setattr(D, "materialise", lambda df, name: df)
+        D.document_hits(None, prints, 13, D.GRAM)
+        monkeypatch.setattr(D, "document_key", real)
+        scans.append((got["row"]["n_words"], {(h["n"], h["at"] + j, " ".join(w[j:j + h["n"]])) for h in got["row"]["hits"]
+                                              for w in [h["words"].split(" ")] for j in range(len(w) - h["n"] + 1)}))
+    assert scans[0] == scans[1] and len(scans[0][1]) > 20

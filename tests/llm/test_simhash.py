@@ -97,3 +97,10 @@ def test_components_of_paths_stars_and_cycles(spark):
     edges += [(5, 5), (7, 8), (300, -3)]
     got = {r.node: r.root for r in star_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(1, 31)}, **{i: 100 for i in range(101, 160)}, 201: 200, 202: 200, 300: -3}
+
+
+def test_long_texts_are_hashed_in_pieces(monkeypatch):
+    monkeypatch.setattr(simhash, "PIECE", 40)
+    for _, text in corpus()[:60]:
+        for n in (1, 3, 5):
+            assert simhash.fingerprint(text or "", n) == fingerprint(text, n)

@@ -147,7 +147,8 @@ def _start(nodes: DataFrame, degree: int, starts: int, block: int) -> DataFrame:
 
     def compare(batches):
         held, n = [], 0
-        def blocks(table, last):
+
+        def blocks(table):
             # blocks of about the same size that do not cross an order
             t = table.column("t").to_numpy()
             for part in np.split(np.arange(len(t)), np.flatnonzero(t[1:] != t[:-1]) + 1):
@@ -160,14 +161,15 @@ def _start(nodes: DataFrame, degree: int, starts: int, block: int) -> DataFrame:
                     if k > 0:
                         best = np.argpartition(-s, k - 1, axis=1)[:, :k]
                         yield _edge_batch(np.repeat(a, k), a[best].ravel(), np.take_along_axis(s, best, 1).ravel())
+
         for b in batches:
             held.append(b)
             n += b.num_rows
             if n >= 16 * block:
-                yield from blocks(pa.Table.from_batches(held).combine_chunks(), False)
+                yield from blocks(pa.Table.from_batches(held).combine_chunks())
                 held, n = [], 0
         if n:
-            yield from blocks(pa.Table.from_batches(held).combine_chunks(), True)
+            yield from blocks(pa.Table.from_batches(held).combine_chunks())
 
     parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return rows.repartitionByRange(parts, "t", "rank", "a").sortWithinPartitions("t", "rank", "a").mapInArrow(compare, _EDGES)

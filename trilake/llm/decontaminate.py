@@ -29,11 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import (Words, document_key, grams, materialise, sliding_min,
-                     text_blocks, utf8)
+                     text_blocks, utf8, word_cuts)
 
 #: Largest bit filter sent to the tasks: 2**27 bits are 16 MB.
 FILTER_BITS = 1 << 27
 GRAM = 8
+#: Bytes of one text that are scanned at a time.
+PIECE = 1 << 22
 _INDEX = np.uint64((1 << 24) - 1)
 _HITS = ("array<struct<n:int,h:long,at:long,words:string>>")
 
@@ -125,22 +127,47 @@ def document_hits(docs: DataFrame, prints: DataFrame, window: int, k: int, text:
     bits = BitFilter(prints)
     reach = window - k
 
+    def stretches(raw, offsets):
+        """(words, words before, own words) of a block; a very long text in overlapping
+        stretches, each with the ``window - 1`` words that follow it."""
+        if len(offsets) > 2 or len(raw) <= PIECE:
+            words = Words(raw, offsets)
+            yield words, 0, words.count
+            return
+        cuts, before = word_cuts(raw, PIECE), 0
+        for a, b in zip(cuts, cuts[1:]):
+            own = len(Words(raw[a:b], np.array([0, b - a])).hash)
+            more = 4096
+            while True:
+                end = word_cuts(raw[b:], more)[1] + b if b + more < len(raw) else len(raw)
+                words = Words(raw[a:end], np.array([0, end - a]))
+                if end == len(raw) or len(words.hash) >= own + window - 1:
+                    break
+                more *= 4
+            yield words, before, np.array([own])
+            before += own
+
     def scan(batches):
         for block in text_blocks(batches, "text"):
-            words = Words(*utf8(block.column("text")))
             hits: list[list] = [[] for _ in range(block.num_rows)]
-            for n, (at, h) in [(window, fingerprints(words, window, k))] + [(n, short_grams(words, n)) for n in short]:
-                may = bits.may_hold(h)
-                for i, x in zip(at[may].tolist(), h[may].view(np.int64).tolist()):
-                    d = int(words.doc[i])
-                    a, b = (i, i + n) if n < window else (max(int(words.first[d]), i - reach),
-                                                         min(int(words.first[d + 1]), i + k + reach))
-                    hits[d].append({"n": n, "h": x, "at": a - int(words.first[d]), "words": words.text(a, b)})
+            total = np.zeros(block.num_rows, np.int64)
+            for words, before, own in stretches(*utf8(block.column("text"))):
+                total += own
+                find(words, before, hits)
             kind = pa.list_(pa.struct([("n", pa.int32()), ("h", pa.int64()), ("at", pa.int64()), ("words", pa.string())]))
             yield pa.RecordBatch.from_arrays(
-                [block.column("doc_id"), block.column("_th"), pa.array(words.count.astype(np.int64)), pa.array(hits, kind)],
+                [block.column("doc_id"), block.column("_th"), pa.array(total), pa.array(hits, kind)],
                 names=["doc_id", "_th", "n_words", "hits"])
 
+    def find(words, before, hits):
+        for n, (at, h) in [(window, fingerprints(words, window, k))] + [(n, short_grams(words, n)) for n in short]:
+            may = bits.may_hold(h)
+            for i, x in zip(at[may].tolist(), h[may].view(np.int64).tolist()):
+                d = int(words.doc[i])
+                a, b = (i, i + n) if n < window else (max(int(words.first[d]), i - reach),
+                                                     min(int(words.first[d + 1]), i + k + reach))
+                hits[d].append({"n": n, "h": x, "at": before + a - int(words.first[d]), "words": words.text(a, b)})
+
     return materialise(document_key(docs, text).mapInArrow(
         scan, f"doc_id long, _th long, n_words long, hits {_HITS}"), "document-hits")
 

@@ -32,6 +32,8 @@ from .common import materialise, range_sorted, text_blocks
 
 #: Distinct chunks that a Python worker remembers; beyond it starts anew (no effect on results).
 CACHE_ENTRIES = 1 << 20
+#: Characters of a text from which on it is encoded in parts.
+LONG = 1 << 22
 _ENCODERS: dict = {}
 
 
@@ -63,6 +65,22 @@ def chunk_ids(chunks: set, path: str) -> dict:
     return known
 
 
+def _parts(text: str):
+    """A very long text in parts, cut at blanks."""
+    at = 0
+    while at < len(text):
+        to = text.find(" ", at + LONG)
+        to = len(text) if to < 0 else to
+        yield text[at:to]
+        at = to
+
+
+def _ids(text: str, path: str) -> bytes:
+    chunks = text.replace("\n", " ").split(" ")
+    known = chunk_ids(set(chunks), path)
+    return b"".join(map(known.__getitem__, chunks))
+
+
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0,
                  with_ids: bool = False, text: str = "text") -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 (and ids): every document's tokens and
@@ -73,11 +91,16 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id:
 
     def encode(batches):
         for block in text_blocks(batches, "text", 1 << 22):
-            texts = [t.replace("\n", " ").split(" ") if t else [] for t in block.column("text").to_pylist()]
-            known = chunk_ids(set().union(*texts), tokenizer)
+            texts = block.column("text").to_pylist()
+            if block.num_rows == 1 and texts[0] and len(texts[0]) > LONG:
+                encoded = [b"".join(_ids(part, tokenizer) for part in _parts(texts[0]))]
+            else:
+                chunks = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
+                known = chunk_ids(set().union(*chunks), tokenizer)
+                encoded = [b"".join(map(known.__getitem__, c)) for c in chunks]
             out: list[list] = [[], [], [], [], [], []]
-            for doc, chunks in zip(block.column("doc_id").to_pylist(), texts):
-                ids = b"".join(map(known.__getitem__, chunks)) + tail
+            for doc, ids in zip(block.column("doc_id").to_pylist(), encoded):
+                ids += tail
                 for piece, at in enumerate(range(0, len(ids), wide)):
                     cut = ids[at:at + wide]
                     for column, v in zip(out, (doc, piece, at // 4, len(cut) // 4, zlib.crc32(cut),

@@ -22,6 +22,8 @@ rows and ids are ordinary; an empty table gives no rows; other columns are ignor
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -34,36 +36,45 @@ FANOUT = 8
 BUCKET_ROWS = 20_000
 #: Fingerprints whose index is built at a time (whole buckets).
 INDEX_ROWS = 200_000
+#: Bytes of one text that are hashed at a time.
+PIECE = 1 << 22
 _ALL = (1 << 64) - 1
+_SPACE = re.compile(rb"[\x20\x09-\x0d]")
 
 
 # -- fingerprints ----------------------------------------------------------------------
 
-def shingle_hashes(text: str, n: int) -> list[int]:
-    """XXH64 of every n words (the whole sequence, if fewer)."""
-    import xxhash
-    words = text.encode().lower().split()  # bytes: A-Z only, and ASCII white space only
-    if not words:
-        return []
-    line = b" ".join(words)
-    sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
-    ends = np.cumsum(sizes)
-    starts = (ends - sizes).tolist()
-    m = max(1, len(words) - n + 1)
-    last = (ends[n - 1:] - 1 if len(words) >= n else ends[-1:] - 1).tolist()
-    h = xxhash.xxh64_intdigest
-    return [h(line[a:b], 42) for a, b in zip(starts[:m], last)]
-
-
-def majority(hashes: list[int]) -> int:
-    """The bits set in over half of the hashes."""
-    if not hashes:
-        return 0
+def _ones(hashes: list[int]) -> np.ndarray:
+    """How many of the hashes have each bit, highest first."""
     ones = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 8192):
         part = np.array(hashes[at:at + 8192], ">u8").view(np.uint8).reshape(-1, 8)
         ones += np.unpackbits(part, axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big")
+    return ones
+
+
+def fingerprint(text: str, n: int) -> int:
+    """The bits set in over half of the XXH64 of every n words (of the whole sequence, if
+    fewer). A very long text is read in pieces that share n - 1 words."""
+    import xxhash
+    h = xxhash.xxh64_intdigest
+    data = text.encode().lower()  # bytes: A-Z only, and ASCII white space only
+    ones, total, at, held = np.zeros(64, np.int64), 0, 0, []
+    while at < len(data):
+        gap = _SPACE.search(data, at + PIECE)
+        to = gap.start() if gap else len(data)
+        words = held + data[at:to].split()
+        at = to
+        if len(words) >= n:
+            line = b" ".join(words)
+            sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
+            ends = np.cumsum(sizes)
+            hashes = [h(line[a:b], 42) for a, b in zip((ends - sizes).tolist(), (ends[n - 1:] - 1).tolist())]
+            ones, total = ones + _ones(hashes), total + len(hashes)
+        held = words[max(0, len(words) - n + 1):]
+    if not total and held:
+        ones, total = _ones([h(b" ".join(held), 42)]), 1
+    return int.from_bytes(np.packbits(2 * ones > total).tobytes(), "big") if total else 0
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, text: str = "text") -> DataFrame:
@@ -71,7 +82,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, text: str = "text") -> DataF
 
     def scan(batches):
         for block in text_blocks(batches, "text", 1 << 22):
-            fps = [majority(shingle_hashes(t or "", shingle)) for t in block.column("text").to_pylist()]
+            fps = [fingerprint(t or "", shingle) for t in block.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [block.column("doc_id"), pa.array(np.array(fps, np.uint64).view(np.int64))], names=["doc_id", "fp"])
 
@@ -95,9 +106,13 @@ def _signed(x: int) -> int:
 def _deal(rows: DataFrame, masks: dict[int, list[int]]) -> DataFrame:
     """Each row (fp, mask) once for each of the masks that follow its mask. The table of
     masks has ``blocks`` to the power of the level rows, whatever the data."""
-    pairs = [(_signed(m), _signed(x)) for m, following in masks.items() for x in following]
-    after = rows.sparkSession.createDataFrame(pairs, "mask long, after long")
-    dealt = rows.join(F.broadcast(after), "mask").select("fp", F.col("after").alias("mask"))
+    if len(masks) == 1:
+        [following] = masks.values()
+        dealt = rows.select("fp", F.explode(F.array(*[F.lit(_signed(m)) for m in following])).alias("mask"))
+    else:
+        pairs = [(_signed(m), _signed(x)) for m, following in masks.items() for x in following]
+        after = rows.sparkSession.createDataFrame(pairs, "mask long, after long")
+        dealt = rows.join(F.broadcast(after), "mask").select("fp", F.col("after").alias("mask"))
     return dealt.withColumn("value", F.col("fp").bitwiseAND(F.col("mask")))
 
 

@@ -1,3 +1,63 @@
-"""DuckDB twins of the contract queries that SQL can express."""
+"""DuckDB twins of the contract queries that SQL can express.
 
-ORACLES: dict[str, str] = {}
+None for the queries that need a tokenizer, CRC-32 or XXH64 of texts, a trained model, a
+parsed page tree or graph search; the tests hold those against brute force.
+"""
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _strength(level: str) -> str:
+    """Prior strength of a level (n, bad, m) by moments, within 1 and 1000."""
+    return (f"(SELECT CASE WHEN room > 0 AND over > 0 THEN least(greatest(room / over - 1, 1.0), 1000.0) ELSE 1000.0 END FROM ("
+            f"SELECT sum(n * (bad / n - m) * (bad / n - m) - m * (1 - m)) AS over, sum(m * (1 - m) * (n - 1)) AS room "
+            f"FROM {level} WHERE n > 0) f)")
+
+
+OP1 = f"""
+WITH cut AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+parts AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{_UPPER}', '{_LOWER}') AS host,
+                 regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut),
+label AS (SELECT doc_id, max(CASE WHEN coalesce(quality, 1) = 0 OR coalesce(toxic, 0) = 1 THEN 1 ELSE 0 END) AS bad FROM labels GROUP BY doc_id),
+hosts AS (SELECT host, CAST(count(bad) AS DOUBLE) AS n, CAST(coalesce(sum(bad), 0) AS DOUBLE) AS bad,
+                 CASE WHEN two IN ('co.uk', 'org.uk', 'ac.uk', 'com.au', 'co.jp', 'com.br', 'co.in', 'co.nz') THEN two ELSE one END AS suffix,
+                 CASE WHEN two IN ('co.uk', 'org.uk', 'ac.uk', 'com.au', 'co.jp', 'com.br', 'co.in', 'co.nz') THEN three ELSE two END AS domain
+          FROM (SELECT p.host, l.bad, regexp_extract(p.host, '([^.]*)$', 1) AS one, regexp_extract(p.host, '((?:[^.]*\\.)?[^.]*)$', 1) AS two,
+                       regexp_extract(p.host, '((?:[^.]*\\.)?(?:[^.]*\\.)?[^.]*)$', 1) AS three
+                FROM parts p LEFT JOIN label l ON p.page_id = l.doc_id) x GROUP BY ALL),
+l1 AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad, (SELECT coalesce(sum(bad) / nullif(sum(n), 0), 0.5) FROM hosts) AS m FROM hosts GROUP BY suffix),
+s1 AS (SELECT suffix, (bad + {_strength('l1')} * m) / (n + {_strength('l1')}) AS m FROM l1),
+l2 AS (SELECT d.suffix, d.domain, d.n, d.bad, s1.m FROM (SELECT suffix, domain, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY ALL) d JOIN s1 USING (suffix)),
+s2 AS (SELECT domain, (bad + {_strength('l2')} * m) / (n + {_strength('l2')}) AS m FROM l2),
+l3 AS (SELECT h.host, h.n, h.bad, s2.m FROM hosts h JOIN s2 USING (domain)),
+post AS (SELECT host, (bad + k * m) / (n + k) AS mean, n + k AS s FROM (SELECT *, {_strength('l3')} AS k FROM l3) y),
+judged AS (SELECT p.page_id, p.host, p.path, CASE WHEN mean + 1.645 * sqrt(mean * (1 - mean) / (s + 1)) <= 0.5 THEN 'allow' ELSE 'block' END AS own,
+                  CASE WHEN (p.host = 'example.net' OR p.host LIKE '%.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+                       WHEN (p.host = 'example.com' OR p.host LIKE '%.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+                       WHEN (p.host = 'org' OR p.host LIKE '%.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+                       WHEN (p.host = 'net' OR p.host LIKE '%.net') AND starts_with(path, '/') THEN 'net/' END AS rule
+           FROM parts p JOIN post USING (host))
+SELECT page_id, host, path, rule,
+       CASE rule WHEN 'example.net/en/' THEN 'allow' WHEN 'org/fr/' THEN 'allow' WHEN 'example.com/de/' THEN 'block' WHEN 'net/' THEN 'block' ELSE own END AS verdict
+FROM judged"""
+
+_WORDS = (f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), "
+          r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+
+OP4 = f"""
+WITH item AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, n, list_slice(w, i, i + n - 1) AS words
+        FROM (SELECT item_id, w, least(13, len(w)) AS n, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i FROM item WHERE len(w) > 0) t),
+doc AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+size AS (SELECT DISTINCT n FROM win),
+spot AS (SELECT doc_id, n, i, list_slice(w, i, i + n - 1) AS words
+         FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM doc, size) t),
+hit AS (SELECT s.doc_id, s.n, s.i, win.item_id FROM spot s JOIN win ON s.n = win.n AND s.words = win.words),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(i, i + n)) AS p FROM hit) t GROUP BY doc_id),
+found AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+          FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hit) t GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.w) AS contaminated
+FROM doc d LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)"""
+
+ORACLES = {"op1_url_reputation": OP1, "op4_decontaminate": OP4}

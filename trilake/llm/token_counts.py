@@ -25,7 +25,10 @@ from .packing import CACHE_ENTRIES, encoder
 CHUNK = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 #: White space besides blank and line feed, in Python's and Unicode's sense.
 OTHER_SPACE = re.compile(r"[^\S \n]")
+SAFE = re.compile(r"(?<=\S) (?=\S)")
 BATCH_BYTES = 1 << 18
+#: Characters of a text from which on it is encoded in parts.
+LONG = 1 << 21
 
 
 def count_batched(texts: list[str], tokenizer) -> list[int]:
@@ -39,8 +42,28 @@ def count_batched(texts: list[str], tokenizer) -> list[int]:
     return out
 
 
+def safe_parts(text: str, size: int) -> list[str]:
+    """A long text in parts of about ``size``, cut before a single blank between visible
+    characters: a word always starts there."""
+    parts, at = [], 0
+    while len(text) - at > size:
+        gap = SAFE.search(text, at + size)
+        if gap is None:
+            break
+        parts.append(text[at:gap.start()])
+        at = gap.start()
+    return [*parts, text[at:]]
+
+
 def count_texts(texts: list[str], path: str) -> list[int]:
     """Tokens of each whole text, as the library gives them."""
+    parts = [safe_parts(t, LONG) for t in texts]
+    if any(len(p) > 1 for p in parts):
+        return [sum(n for x in p for n in _count_parts([x], path)) if len(p) > 1 else _count_parts(p, path)[0] for p in parts]
+    return _count_parts(texts, path)
+
+
+def _count_parts(texts: list[str], path: str) -> list[int]:
     tokenizer, known = encoder(path, "counts")
     special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
     whole = [i for i, t in enumerate(texts) if OTHER_SPACE.search(t) or any(s in t for s in special)]

@@ -20,6 +20,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .common import materialise
+
 #: Suffixes of more than one label under which domains are registered (parameter).
 LONG_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "co.jp", "com.br", "co.in", "co.nz")
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
@@ -73,6 +75,7 @@ def host_reputation(pages: DataFrame, outcomes: DataFrame, z: float = Z, max_bad
         F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
     hosts = hosts.withColumns({"domain": domain_of(F.col("host"), long_suffixes),
                                "suffix": suffix_of(F.col("host"), long_suffixes)})
+    hosts = materialise(hosts, "hosts")  # read by every level
     total = hosts.agg(F.coalesce(F.sum("bad") / F.nullif(F.sum("n"), F.lit(0)), F.lit(prior_bad)).alias("m"))
     level = hosts.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     level = level.withColumn("m", total.scalar())
