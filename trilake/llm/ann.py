@@ -9,8 +9,8 @@
    chose it, the ``width`` closest) meet with their vectors under the node and are compared
    with each other, so neighbours of neighbours find each other; each node keeps its
    ``degree`` best. Rounds end when few lists change.
-4. Search: a query starts at its own node or given entry nodes. In each round its closest
-   nodes that it has not opened yet are opened: their neighbours are scored, and the
+4. Search: a query starts at its own node or given entry nodes. In each round all nodes of
+   its beam that it has not opened yet are opened: their neighbours are scored, and the
    ``beam`` closest stay. It ends when all nodes in the beam are opened. Scoring is done in
    blocks of nodes, so a node's vector moves once a round.
 5. The best nodes' members (the smallest ids of each) are scored exactly and ranked.
@@ -37,10 +37,9 @@ WIDTH = 40
 STARTS = 12
 START_BLOCK = 512
 ROUNDS = 3
-#: Rounds end when fewer than this share of all list entries are new.
-FEW = 0.02
-BEAM = 160
-OPENED = 48
+#: Rounds end when the lists' mean closeness grows by less than this share.
+FEW = 0.002
+BEAM = 128
 SEARCH_ROUNDS = 12
 _EDGES = "a long, b long, s float"
 
@@ -211,24 +210,24 @@ def build_graph(nodes: DataFrame, degree: int = DEGREE, width: int = WIDTH, star
     """a, b, s: the neighbour graph of the nodes."""
     graph = materialise(_top(_start(nodes, degree, starts, block), degree), "graph")
     code = nodes.select("a", "q", "scale")
+    before = None
     for _ in range(rounds):
         least = graph.groupBy("a").agg(F.when(F.count(F.lit(1)) >= degree, F.min("s")).otherwise(F.lit(-2.0)).cast("float").alias("least"))
         member = code.join(least, "a", "left").withColumn("least", F.coalesce("least", F.lit(-2.0).cast("float")))
         around = _adjacency(graph, width).select(F.col("a").alias("owner"), F.col("b").alias("a"))
         around = around.union(code.select(F.col("a").alias("owner"), "a"))
         found = _local_joins(around.join(member, "a"), degree)
-        after = materialise(_top(graph.union(found), degree), "graph")
-        kept = after.join(graph, ["a", "b"], "left_semi").count()
-        total = after.count()
-        graph = after
-        if total - kept < few * total:
+        graph = materialise(_top(graph.union(found), degree), "graph")
+        now = graph.agg(F.avg("s")).first()[0]
+        if now is None or before is not None and now - before < few * abs(before):
             break
+        before = now
     return graph
 
 
 # -- search ----------------------------------------------------------------------------
 
-def search(nodes: DataFrame, graph: DataFrame, entries: DataFrame, beam: int = BEAM, opened: int = OPENED,
+def search(nodes: DataFrame, graph: DataFrame, entries: DataFrame, beam: int = BEAM,
            width: int = WIDTH, rounds: int = SEARCH_ROUNDS) -> DataFrame:
     """query, b, s: the closest nodes found for each query; ``entries`` has query, q, scale
     (its 8-bit vector) and entry (an array of nodes to start from)."""
@@ -268,17 +267,15 @@ def search(nodes: DataFrame, graph: DataFrame, entries: DataFrame, beam: int = B
     none = spark.createDataFrame([], "a long, least float")
     found = materialise(_top(score(first, none), beam).withColumn("done", F.lit(False)), "beam")
     for _ in range(rounds):
-        rank = Window.partitionBy("a").orderBy(F.desc("s"), "b")
-        front = found.where("not done").withColumn("r", F.row_number().over(rank)).where(F.col("r") <= opened).select("a", "b")
-        front = materialise(front, "front")
+        front = found.where("not done").select("a", "b")
         if not front.limit(1).count():
             break
         reach = front.join(around.withColumnRenamed("a", "b"), "b").select("a", F.explode("around").alias("b"))
         least = found.groupBy("a").agg(F.when(F.count(F.lit(1)) >= beam, F.min("s")).alias("least"))
-        new = score(reach, least)
-        both = _top(found.select("a", "b", "s").union(new), beam)
-        open_now = found.where("done").select("a", "b").union(front).withColumn("done", F.lit(True))
-        found = materialise(both.join(open_now, ["a", "b"], "left").select(
+        both = _top(found.select("a", "b", "s").union(score(reach, least)), beam)
+        # every node that was in the beam has been opened by now
+        opened = found.select("a", "b", F.lit(True).alias("done"))
+        found = materialise(both.join(opened, ["a", "b"], "left").select(
             "a", "b", "s", F.coalesce("done", F.lit(False)).alias("done")), "beam")
     return found.select(F.col("a").alias("query"), "b", "s")
 
@@ -287,7 +284,7 @@ def nearest(table: DataFrame, queries: DataFrame, k: int = 5, keep: int = 32, **
     """query_id, rank, vec_id, score: the k nearest rows found for each of ``queries``
     (vec_id, ids of rows in the table), the row itself left out."""
     graph_how = {x: how[x] for x in ("degree", "width", "starts", "block", "rounds", "few") if x in how}
-    search_how = {x: how[x] for x in ("beam", "opened", "width") if x in how}
+    search_how = {x: how[x] for x in ("beam", "width") if x in how}
     rows = materialise(clean_vectors(table), "vectors")
     nodes, members = nodes_of(rows)
     members = materialise(members, "members")

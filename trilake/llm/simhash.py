@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import materialise, text_blocks, whole_groups
+from .common import document_key, materialise, text_blocks, whole_groups
 from .components import star_components
 
 FANOUT = 8
@@ -78,16 +78,16 @@ def fingerprint(text: str, n: int) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, text: str = "text") -> DataFrame:
-    """doc_id, fp (the 64 bits as a long) of every document."""
+    """doc_id, _th and fp (the 64 bits as a long) of every document."""
 
     def scan(batches):
         for block in text_blocks(batches, "text", 1 << 22):
             fps = [fingerprint(t or "", shingle) for t in block.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [block.column("doc_id"), pa.array(np.array(fps, np.uint64).view(np.int64))], names=["doc_id", "fp"])
+                [block.column("doc_id"), block.column("_th"), pa.array(np.array(fps, np.uint64).view(np.int64))],
+                names=["doc_id", "_th", "fp"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(scan, "doc_id long, fp long")
+    return document_key(docs, text).mapInArrow(scan, "doc_id long, _th long, fp long")
 
 
 # -- buckets ---------------------------------------------------------------------------
@@ -244,7 +244,8 @@ def bucket_links(rows: DataFrame, most: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2, text: str = "text",
                     bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """doc_id, fp, component_id (the smallest doc_id reachable over links) of every document."""
+    """doc_id, fp, component_id (the smallest doc_id reachable over links) of every document,
+    and _th, the hash of its text."""
     rows = materialise(fingerprints(docs, shingle, text), "fingerprints")
     nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
     links = None
@@ -256,16 +257,19 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2, text:
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     names = joined.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = joined.select("fp", "root").join(names, "root").select(F.col("fp").alias("_fp"), "component_id")
-    return rows.join(classes, F.col("fp") == F.col("_fp")).select("doc_id", "fp", "component_id")
+    return rows.join(classes, F.col("fp") == F.col("_fp")).select("doc_id", "fp", "component_id", "_th")
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2, text: str = "text") -> DataFrame:
     """``docs`` with one document of each group: the smallest doc_id, and of rows that
     share it the one with the smallest text hash (identical rows stay one row)."""
     own = docs.withColumn("_own_th", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
-    groups = near_duplicates(docs, shingle, max_bits, text)
-    keep = groups.where("doc_id <=> component_id").select(F.col("doc_id").alias("_keep")).distinct()
-    kept = own.join(keep, own["doc_id"].eqNullSafe(F.col("_keep")), "left_semi")
-    first = kept.groupBy("doc_id").agg(F.min("_own_th").alias("_least")).withColumnRenamed("doc_id", "_id")
-    kept = kept.join(first, kept["doc_id"].eqNullSafe(F.col("_id")) & (F.col("_own_th") == F.col("_least")))
-    return kept.dropDuplicates(["doc_id", "_own_th"]).select(*docs.columns)
+    chosen = near_duplicates(docs, shingle, max_bits, text).where("doc_id <=> component_id").groupBy(
+        F.col("doc_id").alias("_id"), "_th").agg(F.count(F.lit(1)).alias("_n"))
+    least = chosen.groupBy("_id").agg(F.min(F.struct("_th", "_n")).alias("w"))
+    chosen = materialise(least.select("_id", F.col("w._th").alias("_least"), F.col("w._n").alias("_n")), "kept-ids")
+    match = own["doc_id"].eqNullSafe(F.col("_id")) & (F.col("_own_th") == F.col("_least"))
+    kept = own.join(chosen.where("_n = 1"), match, "left_semi")
+    if chosen.where("_n > 1").limit(1).count():  # rows that the table repeats
+        kept = kept.union(own.join(chosen.where("_n > 1"), match, "left_semi").dropDuplicates(["doc_id", "_own_th"]))
+    return kept.select(*docs.columns)
