@@ -134,7 +134,8 @@ def _scan(length: int, k: int, n_buckets: int):
             none = np.zeros(0, np.int64)
             yield [pa.array([int(d[at] % n_buckets)], pa.int32())] + lists((d[s], t[s], a[s], b[s] - a[s], none, none, none))
         did, th, lo, hi, anchor, h, content = (x[fresh] for x in (did, th, lo, hi, anchor, h, content))
-        bucket = (h >> np.uint64(32)).astype(np.int64) * n_buckets >> 32
+        # anchors are minima, so their own high bits crowd near zero: deal by a fresh mix
+        bucket = (mix(h + MULT) >> np.uint64(32)).astype(np.int64) * n_buckets >> 32
         order = np.lexsort((lo, th, did, bucket))  # occurrences of a text stand together
         did, th, lo, hi, anchor, h, content, bucket = (x[order] for x in (did, th, lo, hi, anchor, h, content, bucket))
         cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(h) else []
