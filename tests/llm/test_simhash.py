@@ -73,6 +73,28 @@ def test_one_document_of_each_group_stays(spark):
     assert near_duplicates(empty(spark)).count() == 0
 
 
+def test_groups_with_null_and_repeated_ids_keep_one_row_each(spark):
+    rng = random.Random(21)
+    rows = corpus() + [(None, words(rng, 40)) for _ in range(6)] + [(9001, words(rng, 40)) for _ in range(4)] + [(None, None)]
+    rows += [(None, rows[-3][1]), (None, rows[-3][1])]  # equal to a text that has an id
+    fps = [fingerprint(t) for _, t in rows]
+    group = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if (fps[i] ^ fps[j]).bit_count() <= 2 and group[i] != group[j]:
+                a, b = group[i], group[j]
+                group = [b if g == a else g for g in group]
+    members = {}
+    for row, g in zip(rows, group):
+        members.setdefault(g, []).append(row)
+    kept = [tuple(r) for r in drop_near_duplicates(frame(spark, rows, extra=True)).select("doc_id", "text").collect()]
+    least = lambda g: min((i for i, _ in g if i is not None), default=None)
+    of = {row: g for row, g in zip(rows, group)}
+    assert sorted(of[row] for row in kept) == sorted(members)
+    assert all(row[0] == least(members[of[row]]) for row in kept)
+    assert sum(i is None for i, _ in kept) >= 6 and sum(i == 5 for i, _ in kept) == 3
+
+
 def test_index_finds_every_pair():
     rng = np.random.default_rng(1)
     base = rng.integers(0, 2**64, 40, dtype=np.uint64)

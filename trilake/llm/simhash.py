@@ -245,7 +245,8 @@ def bucket_links(rows: DataFrame, most: int) -> DataFrame:
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2, text: str = "text",
                     bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """doc_id, fp, component_id (the smallest doc_id reachable over links) of every document,
-    and _th, the hash of its text."""
+    _th, the hash of its text, and _root, the component's smallest fingerprint: unlike
+    component_id it is never null and no two components share it."""
     rows = materialise(fingerprints(docs, shingle, text), "fingerprints")
     nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
     links = None
@@ -256,18 +257,17 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2, text:
     joined = nodes.join(stars, nodes["fp"] == stars["node"], "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     names = joined.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = joined.select("fp", "root").join(names, "root").select(F.col("fp").alias("_fp"), "component_id")
-    return rows.join(classes, F.col("fp") == F.col("_fp")).select("doc_id", "fp", "component_id", "_th")
+    classes = joined.select("fp", "root").join(names, "root").select(F.col("fp").alias("_fp"), "component_id", F.col("root").alias("_root"))
+    return rows.join(classes, F.col("fp") == F.col("_fp")).select("doc_id", "fp", "component_id", "_th", "_root")
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2, text: str = "text") -> DataFrame:
-    """``docs`` with one document of each group: the smallest doc_id, and of rows that
-    share it the one with the smallest text hash (identical rows stay one row)."""
+    """``docs`` with one document of each group: the smallest doc_id (null ids last), and of
+    rows that share it the one with the smallest text hash (identical rows stay one row)."""
     own = docs.withColumn("_own_th", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
-    chosen = near_duplicates(docs, shingle, max_bits, text).where("doc_id <=> component_id").groupBy(
-        F.col("doc_id").alias("_id"), "_th").agg(F.count(F.lit(1)).alias("_n"))
-    least = chosen.groupBy("_id").agg(F.min(F.struct("_th", "_n")).alias("w"))
-    chosen = materialise(least.select("_id", F.col("w._th").alias("_least"), F.col("w._n").alias("_n")), "kept-ids")
+    found = near_duplicates(docs, shingle, max_bits, text).groupBy("_root", "doc_id", "_th").agg(F.count(F.lit(1)).alias("_n"))
+    least = found.groupBy("_root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_th", "_n")).alias("w"))
+    chosen = materialise(least.select(F.col("w.doc_id").alias("_id"), F.col("w._th").alias("_least"), F.col("w._n").alias("_n")), "kept-ids")
     match = own["doc_id"].eqNullSafe(F.col("_id")) & (F.col("_own_th") == F.col("_least"))
     kept = own.join(chosen.where("_n = 1"), match, "left_semi")
     if chosen.where("_n > 1").limit(1).count():  # rows that the table repeats
