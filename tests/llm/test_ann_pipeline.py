@@ -58,6 +58,26 @@ def test_few_candidates(spark):
     assert nearest(two.limit(0), two.select("vec_id")).count() == 0
 
 
+def recall(spark, x, step=50):
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    table = spark.createDataFrame([(i, v, 0) for i, v in rows], VECTORS)
+    got: dict = {}
+    for r in nearest(table, table.where(f"vec_id % {step} = 0").select("vec_id")).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    want = brute(rows, range(0, len(rows), step))
+    return sum(len(got[q] & {a for a, _ in want[q]}) for q in want) / (5 * len(want))
+
+
+def test_large_group_of_near_copies(spark):
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((2400, 24))
+    for at, noise in ((400, 1e-4), (1400, 1e-3)):  # no two equal, hardly any 8-bit code of them differs
+        x[at:at + 1000] = x[at] + noise * rng.standard_normal((1000, 24))
+    x = x.astype(np.float32)
+    assert len(np.unique(x, axis=0)) == 2400
+    assert recall(spark, x) >= 0.9
+
+
 def test_pipeline_stages_chain(spark, tmp_dir):
     corpus_pipeline = importlib.import_module("corpus_pipeline")
     from .test_decontaminate_urls import brute as contaminated

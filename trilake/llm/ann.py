@@ -1,18 +1,19 @@
 """Approximate nearest neighbours by NN-descent and greedy graph search.
 
-1. Equal vectors become one node (their smallest id); the others are its members. Unit
-   vectors are kept as 8-bit integers with a scale; graph and search compare these, final
-   scores are computed on the original vectors in double precision.
+1. Equal vectors become one node (their smallest id); the others are its members. Graph,
+   search and final scores all compare the original vectors in double precision, so near
+   copies keep their order.
 2. Start: nodes are sorted by the Gray rank of random hyperplane signs, several times, and
-   neighbours in blocks of that order are compared.
+   neighbours in blocks of that order are compared. Nodes with equal signs (near copies)
+   are sorted by a random projection, another one each time.
 3. NN-descent, one Spark join a round: every node's neighbours (its own and those that
    chose it, the ``width`` closest) meet with their vectors under the node and are compared
    with each other, so neighbours of neighbours find each other; each node keeps its
-   ``degree`` best. Rounds end when few lists change.
+   ``degree`` best. Rounds end when few list entries are new.
 4. Search: a query starts at its own node or given entry nodes. In each round all nodes of
    its beam that it has not opened yet are opened: their neighbours are scored, and the
-   ``beam`` closest stay. It ends when all nodes in the beam are opened. Scoring is done in
-   blocks of nodes, so a node's vector moves once a round.
+   ``beam`` closest stay. It ends when all nodes in every beam are opened. Scoring is done
+   in blocks of nodes, so a node's vector moves once a round.
 5. The best nodes' members (the smallest ids of each) are scored exactly and ranked.
 
 A node that many choose is cut to its closest in every task before it is shuffled; the
@@ -36,45 +37,53 @@ DEGREE = 28
 WIDTH = 40
 STARTS = 12
 START_BLOCK = 512
-ROUNDS = 3
-#: Rounds end when the lists' mean closeness grows by less than this share.
+#: Rounds end when at most this share of all list entries is new.
 FEW = 0.002
 BEAM = 128
+ROUNDS = 3
 SEARCH_ROUNDS = 12
-_EDGES = "a long, b long, s float"
+#: Digits of a score; more would rank the rounding of the sums.
+DIGITS = 14
+#: ``new`` is 1 for an edge that this round has found.
+_EDGES = "a long, b long, s double, new int"
 
 
 def _vectors(binary: pa.Array, scale: pa.Array) -> np.ndarray:
-    """float32 rows of 8-bit vectors, scaled to unit length."""
-    rows = np.frombuffer(b"".join(binary.to_pylist()), np.int8).reshape(len(binary), -1) if len(binary) else np.zeros((0, 1), np.int8)
-    return rows.astype(np.float32), scale.to_numpy().astype(np.float32)
-
-
-def _best(a, b, s, n, *more):
-    """The n largest s of each a (ties to the smaller b), each (a, b) once; sorted."""
-    order = np.lexsort((-s, b, a))
-    a, b, s, more = a[order], b[order], s[order], [m[order] for m in more]
-    new = np.ones(len(a), bool)
-    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-    a, b, s, more = a[new], b[new], s[new], [m[new] for m in more]
+    """float64 rows of unit length."""
+    if not len(binary):
+        return np.zeros((0, 1))
+    rows = np.frombuffer(b"".join(binary.to_pylist()), np.float32).reshape(len(binary), -1)
+    return rows * scale.to_numpy()[:, None]
+
+
+def _best(a, b, s, new, n):
+    """The n largest s of each a (ties to the smaller b), each (a, b) once (the old one if
+    there is); sorted."""
+    order = np.lexsort((-s, new, b, a))
+    a, b, s, new = a[order], b[order], s[order], new[order]
+    once = np.ones(len(a), bool)
+    once[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    a, b, s, new = a[once], b[once], s[once], new[once]
     order = np.lexsort((b, -s, a))
-    a, b, s, more = a[order], b[order], s[order], [m[order] for m in more]
+    a, b, s, new = a[order], b[order], s[order], new[order]
     first = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]])) if len(a) else np.zeros(0, np.int64)
     place = np.arange(len(a)) - np.repeat(first, np.diff(np.append(first, len(a))))
     keep = place < n
-    return (a[keep], b[keep], s[keep], *(m[keep] for m in more))
+    return a[keep], b[keep], s[keep], new[keep]
 
 
-def _edge_batch(a, b, s):
-    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(s.astype(np.float32))], names=["a", "b", "s"])
+def _edge_batch(a, b, s, new=None):
+    new = np.ones(len(a), np.int32) if new is None else new
+    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(s.astype(np.float64)), pa.array(new.astype(np.int32))],
+                                      names=["a", "b", "s", "new"])
 
 
 def _top(edges: DataFrame, n: int) -> DataFrame:
-    """(a, b, s): the n best of each a; cut in every task before the shuffle."""
+    """(a, b, s, new): the n best of each a; cut in every task before the shuffle."""
 
     def cut(batches):
         for t in whole_groups(batches, ["a"], 200_000):
-            yield _edge_batch(*_best(*(t.column(c).to_numpy() for c in ("a", "b", "s")), n))
+            yield _edge_batch(*_best(*(t.column(c).to_numpy() for c in ("a", "b", "s", "new")), n))
 
     def cut_unsorted(batches):
         held, rows = [], 0
@@ -83,14 +92,14 @@ def _top(edges: DataFrame, n: int) -> DataFrame:
             rows += b.num_rows
             if rows >= 500_000:
                 t = pa.Table.from_batches(held)
-                out = _edge_batch(*_best(*(t.column(c).to_numpy() for c in ("a", "b", "s")), n))
+                out = _edge_batch(*_best(*(t.column(c).to_numpy() for c in ("a", "b", "s", "new")), n))
                 held, rows = [], 0
                 yield out
         if rows:
             t = pa.Table.from_batches(held)
-            yield _edge_batch(*_best(*(t.column(c).to_numpy() for c in ("a", "b", "s")), n))
+            yield _edge_batch(*_best(*(t.column(c).to_numpy() for c in ("a", "b", "s", "new")), n))
 
-    partly = edges.select("a", "b", F.col("s").cast("float").alias("s")).mapInArrow(cut_unsorted, _EDGES)
+    partly = edges.select("a", "b", "s", "new").mapInArrow(cut_unsorted, _EDGES)
     return partly.repartition("a").sortWithinPartitions("a").mapInArrow(cut, _EDGES)
 
 
@@ -107,21 +116,18 @@ def clean_vectors(table: DataFrame, key: str = "vec_id", vector: str = "embeddin
 
 
 def nodes_of(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(nodes: a, v, q (8-bit), scale; members: a, id) of the vectors (id, v)."""
+    """(nodes: a, v, q (its bytes), scale (1 / its length); members: a, id) of the vectors (id, v)."""
     groups = rows.groupBy("v").agg(F.min("id").alias("a"))
 
-    def compress(batches):
+    def pack(batches):
         for b in batches:
             v = b.column("v")
-            x = v.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(v), -1) if len(v) else np.zeros((0, 1))
-            x = x / np.abs(x).max(axis=1, keepdims=True)
-            q = np.round(x * 127).astype(np.int8)
-            scale = 1 / np.sqrt((q.astype(np.float64) ** 2).sum(axis=1))
+            x = v.flatten().to_numpy(zero_copy_only=False).astype(np.float32).reshape(len(v), -1) if len(v) else np.zeros((0, 1), np.float32)
+            scale = 1 / np.sqrt((x.astype(np.float64) ** 2).sum(axis=1))
             yield pa.RecordBatch.from_arrays(
-                [b.column("a"), v, pa.array([r.tobytes() for r in q], pa.binary()), pa.array(scale.astype(np.float32))],
-                names=["a", "v", "q", "scale"])
+                [b.column("a"), v, pa.array([r.tobytes() for r in x], pa.binary()), pa.array(scale)], names=["a", "v", "q", "scale"])
 
-    nodes = materialise(groups.select("a", "v").mapInArrow(compress, "a long, v array<float>, q binary, scale float"), "nodes")
+    nodes = materialise(groups.select("a", "v").mapInArrow(pack, "a long, v array<float>, q binary, scale double"), "nodes")
     members = rows.join(nodes.select("a", F.col("v").alias("_v")), F.col("v") == F.col("_v")).select("a", "id")
     return nodes, members
 
@@ -134,15 +140,16 @@ def _start(nodes: DataFrame, degree: int, starts: int, block: int) -> DataFrame:
 
     def order(batches):
         for b in batches:
-            x, scale = _vectors(b.column("q"), b.column("scale"))
+            x = _vectors(b.column("q"), b.column("scale"))
             for t in range(starts):
-                planes = np.random.default_rng(1000 + t).standard_normal((x.shape[1], 31)).astype(np.float32)
+                planes = np.random.default_rng(1000 + t).standard_normal((x.shape[1], 32))
+                side, planes = x @ planes[:, 31], planes[:, :31]
                 code = ((x @ planes > 0).astype(np.uint64) << np.arange(30, -1, -1, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(b.num_rows, t, np.int32)), pa.array(gray_rank(code).astype(np.int64)), b.column("a"),
-                     b.column("q"), b.column("scale")], names=["t", "rank", "a", "q", "scale"])
+                    [pa.array(np.full(b.num_rows, t, np.int32)), pa.array(gray_rank(code).astype(np.int64)), pa.array(side),
+                     b.column("a"), b.column("q"), b.column("scale")], names=["t", "rank", "side", "a", "q", "scale"])
 
-    rows = nodes.select("a", "q", "scale").mapInArrow(order, "t int, rank long, a long, q binary, scale float")
+    rows = nodes.select("a", "q", "scale").mapInArrow(order, "t int, rank long, side double, a long, q binary, scale double")
 
     def compare(batches):
         held, n = [], 0
@@ -152,9 +159,9 @@ def _start(nodes: DataFrame, degree: int, starts: int, block: int) -> DataFrame:
             t = table.column("t").to_numpy()
             for part in np.split(np.arange(len(t)), np.flatnonzero(t[1:] != t[:-1]) + 1):
                 for ix in np.array_split(part, max(1, len(part) // block)):
-                    x, scale = _vectors(table.column("q").slice(ix[0], len(ix)), table.column("scale").slice(ix[0], len(ix)))
+                    x = _vectors(table.column("q").slice(ix[0], len(ix)), table.column("scale").slice(ix[0], len(ix)))
                     a = table.column("a").to_numpy()[ix]
-                    s = (x @ x.T) * (scale[:, None] * scale[None, :])
+                    s = np.round(x @ x.T, DIGITS)
                     np.fill_diagonal(s, -2)
                     k = min(degree, len(ix) - 1)
                     if k > 0:
@@ -171,7 +178,7 @@ def _start(nodes: DataFrame, degree: int, starts: int, block: int) -> DataFrame:
             yield from blocks(pa.Table.from_batches(held).combine_chunks())
 
     parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartitionByRange(parts, "t", "rank", "a").sortWithinPartitions("t", "rank", "a").mapInArrow(compare, _EDGES)
+    return rows.repartitionByRange(parts, "t", "rank", "side", "a").sortWithinPartitions("t", "rank", "side", "a").mapInArrow(compare, _EDGES)
 
 
 def _local_joins(near: DataFrame, degree: int) -> DataFrame:
@@ -180,7 +187,7 @@ def _local_joins(near: DataFrame, degree: int) -> DataFrame:
     def join(batches):
         for t in whole_groups(batches, ["owner"], 16_384):
             owner, a, least = (t.column(c).to_numpy() for c in ("owner", "a", "least"))
-            x, scale = _vectors(t.column("q"), t.column("scale"))
+            x = _vectors(t.column("q"), t.column("scale"))
             first = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
             size = np.diff(np.append(first, len(owner)))
             out = []
@@ -190,47 +197,45 @@ def _local_joins(near: DataFrame, degree: int) -> DataFrame:
                 real = np.arange(width) < size[g][:, None]
                 at = np.where(real, at, 0)
                 m = x[at]
-                s = m @ m.transpose(0, 2, 1)
-                s *= scale[at][:, :, None] * scale[at][:, None, :]
+                s = np.round(m @ m.transpose(0, 2, 1), DIGITS)
                 better = (s > least[at][:, :, None]) & real[:, :, None] & real[:, None, :] & (a[at][:, :, None] != a[at][:, None, :])
                 p, i, j = np.nonzero(better)
                 out.append((a[at[p, i]], a[at[p, j]], s[p, i, j]))
-            yield _edge_batch(*_best(*(np.concatenate(c) for c in zip(*out)), degree))
+            a, b, s = (np.concatenate(c) for c in zip(*out))
+            yield _edge_batch(*_best(a, b, s, np.ones(len(a), np.int32), degree))
 
     return near.select("owner", "a", "q", "scale", "least").repartition("owner").sortWithinPartitions("owner").mapInArrow(join, _EDGES)
 
 
 def _adjacency(graph: DataFrame, width: int) -> DataFrame:
     """The ``width`` closest neighbours of each node, in either direction."""
-    return _top(graph.union(graph.select(F.col("b").alias("a"), F.col("a").alias("b"), "s")), width)
+    return _top(graph.union(graph.select(F.col("b").alias("a"), F.col("a").alias("b"), "s", "new")), width)
 
 
 def build_graph(nodes: DataFrame, degree: int = DEGREE, width: int = WIDTH, starts: int = STARTS, block: int = START_BLOCK,
-                rounds: int = ROUNDS, few: float = FEW) -> DataFrame:
-    """a, b, s: the neighbour graph of the nodes."""
+                few: float = FEW) -> DataFrame:
+    """a, b, s, new: the neighbour graph of the nodes."""
     graph = materialise(_top(_start(nodes, degree, starts, block), degree), "graph")
     code = nodes.select("a", "q", "scale")
-    before = None
-    for _ in range(rounds):
-        least = graph.groupBy("a").agg(F.when(F.count(F.lit(1)) >= degree, F.min("s")).otherwise(F.lit(-2.0)).cast("float").alias("least"))
-        member = code.join(least, "a", "left").withColumn("least", F.coalesce("least", F.lit(-2.0).cast("float")))
+    for _ in range(ROUNDS):
+        least = graph.groupBy("a").agg(F.when(F.count(F.lit(1)) >= degree, F.min("s")).otherwise(F.lit(-2.0)).alias("least"))
+        member = code.join(least, "a", "left").withColumn("least", F.coalesce("least", F.lit(-2.0)))
         around = _adjacency(graph, width).select(F.col("a").alias("owner"), F.col("b").alias("a"))
         around = around.union(code.select(F.col("a").alias("owner"), "a"))
         found = _local_joins(around.join(member, "a"), degree)
-        graph = materialise(_top(graph.union(found), degree), "graph")
-        now = graph.agg(F.avg("s")).first()[0]
-        if now is None or before is not None and now - before < few * abs(before):
+        graph = materialise(_top(graph.withColumn("new", F.lit(0)).union(found), degree), "graph")
+        total, new = graph.agg(F.count(F.lit(1)), F.coalesce(F.sum("new"), F.lit(0))).first()
+        if new <= few * total:
             break
-        before = now
     return graph
 
 
 # -- search ----------------------------------------------------------------------------
 
 def search(nodes: DataFrame, graph: DataFrame, entries: DataFrame, beam: int = BEAM,
-           width: int = WIDTH, rounds: int = SEARCH_ROUNDS) -> DataFrame:
+           width: int = WIDTH) -> DataFrame:
     """query, b, s: the closest nodes found for each query; ``entries`` has query, q, scale
-    (its 8-bit vector) and entry (an array of nodes to start from)."""
+    (its vector) and entry (an array of nodes to start from)."""
     spark = nodes.sparkSession
     n_blocks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     around = materialise(_adjacency(graph, width).groupBy("a").agg(F.collect_list("b").alias("around")), "adjacency")
@@ -239,7 +244,7 @@ def search(nodes: DataFrame, graph: DataFrame, entries: DataFrame, beam: int = B
     asked = materialise(entries.select(F.col("query").alias("a"), "q", "scale"), "queries")
 
     def scores(pairs: pa.Table, vectors: pa.Table) -> pa.Table:
-        x, scale = _vectors(vectors.column("q").combine_chunks(), vectors.column("scale"))
+        x = _vectors(vectors.column("q").combine_chunks(), vectors.column("scale"))
         ids = vectors.column("a").to_numpy()
         order = np.argsort(ids)
         out = []
@@ -251,8 +256,9 @@ def search(nodes: DataFrame, graph: DataFrame, entries: DataFrame, beam: int = B
             at = order[at]
             hit = ids[at] == cand
             at, cand = at[hit], cand[hit]
-            s = (x[at] @ np.frombuffer(q, np.int8).astype(np.float32)) * (scale[at] * np.float32(own))
-            keep = s > least
+            # summed row by row: a pair's score is the same in every round
+            s = np.round((x[at] * (np.frombuffer(q, np.float32) * own)).sum(axis=1), DIGITS)
+            keep = s >= least
             out.append((np.full(int(keep.sum()), query), cand[keep], s[keep]))
         a, b, s = (np.concatenate(c) for c in zip(*out)) if out else (np.zeros(0, np.int64),) * 2 + (np.zeros(0),)
         return pa.Table.from_batches([_edge_batch(a, b, s)])
@@ -260,30 +266,28 @@ def search(nodes: DataFrame, graph: DataFrame, entries: DataFrame, beam: int = B
     def score(pairs: DataFrame, least: DataFrame) -> DataFrame:
         by_block = pairs.groupBy("a", block("b").alias("block")).agg(F.collect_set("b").alias("cand"))
         by_block = by_block.join(asked, "a").join(least, "a", "left").select(
-            "block", "a", "q", "scale", F.coalesce("least", F.lit(-2.0)).cast("float").alias("least"), "cand")
+            "block", "a", "q", "scale", F.coalesce("least", F.lit(-2.0)).alias("least"), "cand")
         return by_block.groupBy("block").cogroup(place.groupBy("block")).applyInArrow(scores, _EDGES)
 
     first = entries.select(F.col("query").alias("a"), F.explode("entry").alias("b"))
-    none = spark.createDataFrame([], "a long, least float")
-    found = materialise(_top(score(first, none), beam).withColumn("done", F.lit(False)), "beam")
-    for _ in range(rounds):
-        front = found.where("not done").select("a", "b")
+    none = spark.createDataFrame([], "a long, least double")
+    found = materialise(_top(score(first, none), beam), "beam")
+    for _ in range(SEARCH_ROUNDS):
+        front = found.where("new = 1").select("a", "b")
         if not front.limit(1).count():
             break
         reach = front.join(around.withColumnRenamed("a", "b"), "b").select("a", F.explode("around").alias("b"))
         least = found.groupBy("a").agg(F.when(F.count(F.lit(1)) >= beam, F.min("s")).alias("least"))
-        both = _top(found.select("a", "b", "s").union(score(reach, least)), beam)
         # every node that was in the beam has been opened by now
-        opened = found.select("a", "b", F.lit(True).alias("done"))
-        found = materialise(both.join(opened, ["a", "b"], "left").select(
-            "a", "b", "s", F.coalesce("done", F.lit(False)).alias("done")), "beam")
+        opened = found.withColumn("new", F.lit(0))
+        found = materialise(_top(opened.union(score(reach, least)), beam), "beam")
     return found.select(F.col("a").alias("query"), "b", "s")
 
 
 def nearest(table: DataFrame, queries: DataFrame, k: int = 5, keep: int = 32, **how) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest rows found for each of ``queries``
     (vec_id, ids of rows in the table), the row itself left out."""
-    graph_how = {x: how[x] for x in ("degree", "width", "starts", "block", "rounds", "few") if x in how}
+    graph_how = {x: how[x] for x in ("degree", "width", "starts", "block", "few") if x in how}
     search_how = {x: how[x] for x in ("beam", "width") if x in how}
     rows = materialise(clean_vectors(table), "vectors")
     nodes, members = nodes_of(rows)
