@@ -4,7 +4,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
-from trilake.llm.ann import clean_vectors, nearest
+from trilake.llm.ann import build_graph, clean_vectors, nearest, nodes_of, search
 
 from .util import SCHEMA, words
 
@@ -78,6 +78,29 @@ def test_large_group_of_near_copies(spark):
     assert recall(spark, x) >= 0.9
 
 
+def test_search_ends_only_when_all_is_opened(spark):
+    angle = np.linspace(0, 1.5, 16)
+    table = spark.createDataFrame([(i, [float(np.cos(t)), float(np.sin(t))], 0) for i, t in enumerate(angle)], VECTORS)
+    nodes, _ = nodes_of(clean_vectors(table))
+    path = spark.createDataFrame([(i, i + 1, 0.5, 0) for i in range(15)], "a long, b long, s double, new int")
+    entry = nodes.where("a = 0").selectExpr("a as query", "q", "scale", "array(15L) as entry")
+    assert {r.b for r in search(nodes, path, entry).collect()} == set(range(16))
+
+
+def test_graph_rounds_go_on_until_few_entries_are_new(spark):
+    x = np.random.default_rng(7).standard_normal((1200, 8)).astype(np.float32)
+    table = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], VECTORS)
+    nodes, _ = nodes_of(clean_vectors(table))
+    got: dict = {}
+    for r in build_graph(nodes, degree=10, width=14, starts=2, block=24).collect():
+        got.setdefault(r.a, set()).add(r.b)
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    s = u @ u.T
+    np.fill_diagonal(s, -2)
+    best = np.argsort(-s, axis=1)[:, :10]
+    assert sum(len(got[i] & set(best[i].tolist())) for i in range(1200)) >= 0.9 * 12_000
+
+
 def test_pipeline_stages_chain(spark, tmp_dir):
     corpus_pipeline = importlib.import_module("corpus_pipeline")
     from .test_decontaminate_urls import brute as contaminated

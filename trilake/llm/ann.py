@@ -9,7 +9,7 @@
 3. NN-descent, one Spark join a round: every node's neighbours (its own and those that
    chose it, the ``width`` closest) meet with their vectors under the node and are compared
    with each other, so neighbours of neighbours find each other; each node keeps its
-   ``degree`` best. Rounds end when few list entries are new.
+   ``degree`` best. Rounds end when few list entries are new; there is no fixed number.
 4. Search: a query starts at its own node or given entry nodes. In each round all nodes of
    its beam that it has not opened yet are opened: their neighbours are scored, and the
    ``beam`` closest stay. It ends when all nodes in every beam are opened. Scoring is done
@@ -39,9 +39,7 @@ STARTS = 12
 START_BLOCK = 512
 #: Rounds end when at most this share of all list entries is new.
 FEW = 0.002
-BEAM = 128
-ROUNDS = 3
-SEARCH_ROUNDS = 12
+BEAM = 160
 #: Digits of a score; more would rank the rounding of the sums.
 DIGITS = 14
 #: ``new`` is 1 for an edge that this round has found.
@@ -217,7 +215,7 @@ def build_graph(nodes: DataFrame, degree: int = DEGREE, width: int = WIDTH, star
     """a, b, s, new: the neighbour graph of the nodes."""
     graph = materialise(_top(_start(nodes, degree, starts, block), degree), "graph")
     code = nodes.select("a", "q", "scale")
-    for _ in range(ROUNDS):
+    while True:
         least = graph.groupBy("a").agg(F.when(F.count(F.lit(1)) >= degree, F.min("s")).otherwise(F.lit(-2.0)).alias("least"))
         member = code.join(least, "a", "left").withColumn("least", F.coalesce("least", F.lit(-2.0)))
         around = _adjacency(graph, width).select(F.col("a").alias("owner"), F.col("b").alias("a"))
@@ -226,8 +224,7 @@ def build_graph(nodes: DataFrame, degree: int = DEGREE, width: int = WIDTH, star
         graph = materialise(_top(graph.withColumn("new", F.lit(0)).union(found), degree), "graph")
         total, new = graph.agg(F.count(F.lit(1)), F.coalesce(F.sum("new"), F.lit(0))).first()
         if new <= few * total:
-            break
-    return graph
+            return graph
 
 
 # -- search ----------------------------------------------------------------------------
@@ -272,7 +269,7 @@ def search(nodes: DataFrame, graph: DataFrame, entries: DataFrame, beam: int = B
     first = entries.select(F.col("query").alias("a"), F.explode("entry").alias("b"))
     none = spark.createDataFrame([], "a long, least double")
     found = materialise(_top(score(first, none), beam), "beam")
-    for _ in range(SEARCH_ROUNDS):
+    while True:
         front = found.where("new = 1").select("a", "b")
         if not front.limit(1).count():
             break
