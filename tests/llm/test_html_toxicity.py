@@ -93,6 +93,16 @@ def test_wrappers_find_the_varying_slots(spark):
     assert extract(pages.limit(0)).count() == 0
 
 
+def texts_of(spark, rows):
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    return {r.page_id: r.text for r in extract(pages).collect()}
+
+
+def test_deep_pages_are_aligned(spark):
+    rows = [(i, "http://deep.example.com/", "<div>" * 3000 + f"story {i}") for i in range(4)]
+    assert texts_of(spark, rows) == {i: f"story {i}" for i in range(4)}
+
+
 # -- toxicity --------------------------------------------------------------------------
 
 BAD = ["loserish", "scumbag", "vilestuff"]

@@ -191,27 +191,28 @@ def _tag(key: str) -> str:
     return key.partition(".")[0]
 
 
-def align(page: dict, wrapper: dict) -> dict[str, str]:
-    """Simple tree matching: page path -> wrapper path of the largest order-preserving match.
-    Nodes match if their tags are equal; equal class words count half a node more."""
-    weights: dict[tuple[int, int], tuple[float, list]] = {}
-
-    def match(a: dict, b: dict) -> tuple[float, list]:
-        """(weight, matched child keys) of two nodes' children."""
-        known = weights.get((id(a), id(b)))
-        if known:
-            return known
+def _matches(page: dict, wrapper: dict) -> dict[tuple[int, int], tuple[float, dict]]:
+    """(weight, matched child keys) of the children of every two nodes that are compared, by
+    the nodes' ids; with a stack of its own, as pages may be nested to any depth."""
+    known: dict[tuple[int, int], tuple[float, dict]] = {}
+    work = [(page, wrapper)]
+    while work:
+        a, b = work[-1]
+        if (id(a), id(b)) in known:
+            work.pop()
+            continue
+        same = [(p, q) for p in a for q in b if _tag(p) == _tag(q)]
+        open_ = [(a[p], b[q]) for p, q in same if (id(a[p]), id(b[q])) not in known]
+        if open_:
+            work += open_
+            continue
+        gain = {(p, q): 1 + 0.5 * (p == q) + known[id(a[p]), id(b[q])][0] for p, q in same}
         x, y = list(a), list(b)
         best = [[0.0] * (len(y) + 1) for _ in range(len(x) + 1)]
-        gain: dict[tuple[int, int], float] = {}
         for i, p in enumerate(x):
             for j, q in enumerate(y):
-                here = best[i][j]
-                if _tag(p) == _tag(q):
-                    gain[i, j] = 1 + 0.5 * (p == q) + match(a[p], b[q])[0]
-                    here += gain[i, j]
-                best[i + 1][j + 1] = max(here, best[i][j + 1], best[i + 1][j])
-        pairs, i, j = [], len(x), len(y)
+                best[i + 1][j + 1] = max(best[i][j] + gain.get((p, q), 0.0), best[i][j + 1], best[i + 1][j])
+        pairs, i, j = {}, len(x), len(y)
         while i and j:
             if best[i][j] == best[i - 1][j]:
                 i -= 1
@@ -219,24 +220,48 @@ def align(page: dict, wrapper: dict) -> dict[str, str]:
                 j -= 1
             else:
                 i, j = i - 1, j - 1
-                pairs.append((x[i], y[j]))
-        weights[id(a), id(b)] = best[-1][-1], pairs
-        return weights[id(a), id(b)]
+                pairs[x[i]] = y[j]
+        known[id(a), id(b)] = best[-1][-1], pairs
+        work.pop()
+    return known
 
+
+def align(page: dict, wrapper: dict) -> dict[str, str]:
+    """Simple tree matching: page path -> wrapper path of the largest order-preserving match.
+    Nodes match if their tags are equal; equal class words count half a node more."""
+    known = _matches(page, wrapper)
     out: dict[str, str] = {}
     work = [(page, wrapper, "", "")]
     while work:
         a, b, pa_, pb = work.pop()
-        for p, q in match(a, b)[1]:
+        for p, q in known[id(a), id(b)][1].items():
             out[f"{pa_}/{p}"] = f"{pb}/{q}"
             work.append((a[p], b[q], f"{pa_}/{p}", f"{pb}/{q}"))
     return out
 
 
+def aligned(page_paths, wrapper_paths) -> dict[str, str]:
+    """``align`` for these paths only (a deep page has very many longer beginnings of them)."""
+    page, wrapper = tree_of(page_paths), tree_of(wrapper_paths)
+    known = _matches(page, wrapper)
+    out = {}
+    for path in page_paths:
+        a, b, twin = page, wrapper, []
+        for p in path.split("/")[1:]:
+            q = known[id(a), id(b)][1].get(p)
+            if q is None:
+                break
+            a, b = a[p], b[q]
+            twin.append(q)
+        else:
+            out[path] = "/" + "/".join(twin)
+    return out
+
+
 @lru_cache(maxsize=4096)
 def constant_paths(page_paths: tuple[str, ...], wrapper: tuple[tuple[str, bool], ...]) -> frozenset:
     """The page's paths that are aligned with a constant slot or stand in one."""
-    found = align(tree_of(page_paths), tree_of(p for p, _ in wrapper))
+    found = aligned(page_paths, [p for p, _ in wrapper])
     constant = {p for p, c in wrapper if c}
     return frozenset(p for p in page_paths if found.get(p) in constant)
 
