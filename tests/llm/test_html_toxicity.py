@@ -103,6 +103,20 @@ def test_deep_pages_are_aligned(spark):
     assert texts_of(spark, rows) == {i: f"story {i}" for i in range(4)}
 
 
+@pytest.mark.parametrize("page,want", [
+    ("<article><header class='entry-header'><h1 class=header>Head</h1></header><p>text</p></article>", "Head\ntext"),
+    ("<article><div class='entry-header'>Head</div><p>text</p></article>", "Head\ntext"),
+    ("<div class='layout has-sidebar'><p>text</p><div class=sidebar>side</div></div>", "text"),
+    ("<div class='no-comments'><p>text</p><div id='user_comments'>no</div></div>", "text"),
+    ("<div class='form-page'><p>text</p><p class='top-banner'>buy</p></div>", "text"),
+    ("<h1>Head</h1><div class=search>" + "long words " * 40 + "</div>", "Head\n" + ("long words " * 40).strip()),
+    ("<p>" + "long words " * 40 + "</p><div class=comments>" + "other words " * 40 + "</div>", ("long words " * 40).strip()),
+    ("<h1>Head</h1><nav>" + "long words " * 40 + "</nav>", "Head"),
+])
+def test_names_are_whole_words_and_give_way(page, want):
+    assert main_text(blocks(parse(page)), ()) == want
+
+
 # -- toxicity --------------------------------------------------------------------------
 
 BAD = ["loserish", "scumbag", "vilestuff"]

@@ -39,6 +39,9 @@ REPEATED = 3
 CONSTANT = 0.5
 #: Share of a host's pages that a slot of its wrapper has at least.
 SUPPORT = 0.01
+#: Characters of a long text: of less a page's main text is not certain, and varying long
+#: blocks that only a name has put aside come back.
+LONG = 200
 
 # Element names and the class, id and role words that name page furniture.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -52,6 +55,11 @@ NAMED = frozenset("ad ads adv advert adverts advertisement advertising sponsor s
                   "aside widget widgets cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe "
                   "signup login share sharing social related recommended comment comments respond disqus replies "
                   "pagination pager contentinfo complementary search form copyright skip".split())
+#: First parts of class words that say a thing is missing or shown: "no-comments", "has-sidebar".
+SAYS = frozenset("no not without has with have is hide hidden show off on js".split())
+#: Names that an article's own headings have.
+HEADER = frozenset(("header", "masthead"))
+HEADING = frozenset("header hgroup h1 h2 h3 h4 h5 h6".split())
 ARTICLE = frozenset(("article", "main"))
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
           "th": ("td", "th"), "option": ("option",), "thead": (), "tbody": ("thead", "tbody", "tr", "td", "th")}
@@ -72,7 +80,8 @@ class Node:
 
     @property
     def key(self) -> str:
-        return self.tag + ("." + self.names[0] if self.names else "")
+        first = _WORD.search(" ".join(self.names)) if self.names else None
+        return self.tag + ("." + first[0] if first else "")
 
 
 def parse(page: str) -> Node:
@@ -107,7 +116,7 @@ def parse(page: str) -> Node:
                     at = n.up
                 n = n.up
         attrs = m["attrs"]
-        names = tuple(w for x in _NAMES.findall(attrs) for w in _WORD.findall("".join(x).lower())) if attrs else ()
+        names = tuple(w for x in _NAMES.findall(attrs) for w in "".join(x).lower().split()) if attrs else ()
         node = Node(name, names, at)
         at.kids.append(node)
         if name in RAW:
@@ -120,19 +129,29 @@ def parse(page: str) -> Node:
             at = node
 
 
-def furniture(node: Node, in_article: bool) -> bool:
-    """Whether an element says itself that it is not main text."""
+@lru_cache(maxsize=65536)
+def name_of(word: str) -> str:
+    """The furniture that a class word, id or role names as a whole or by its last part, or ""."""
+    parts = _WORD.findall(word)
+    return parts[-1] if parts and parts[-1] in NAMED and not (len(parts) > 1 and parts[0] in SAYS) else ""
+
+
+def furniture(node: Node, in_article: bool) -> int:
+    """Whether an element says that it is not main text: 2 by its tag, 1 by its name, 0 no."""
     if node.tag in SKIPPED or node.tag in FURNITURE:
-        return True
+        return 2
     if node.tag == "header" and not in_article:
-        return True
-    return node.tag not in ARTICLE and not NAMED.isdisjoint(node.names)
+        return 2
+    if node.tag in ARTICLE or in_article and node.tag in HEADING:
+        return 0
+    said = {name_of(w) for w in node.names} - {""}
+    return int(bool(said - HEADER if in_article else said))
 
 
-def blocks(root: Node) -> list[tuple[str, str, bool, bool]]:
-    """(path, text, furniture, in an article) of the page's text blocks in order. A path
+def blocks(root: Node) -> list[tuple[str, str, int, bool]]:
+    """(path, text, furniture (see above), in an article) of the page's text blocks in order. A path
     names tags and first class words; equal siblings have equal paths."""
-    out: list[tuple[str, str, bool, bool]] = []
+    out: list[tuple[str, str, int, bool]] = []
     held: list[str] = []
 
     def flush(state):
@@ -143,7 +162,7 @@ def blocks(root: Node) -> list[tuple[str, str, bool, bool]]:
                 out.append((state[0], text, state[1], state[2]))
 
     # (node, state) or a state to return to; a state is (path, furniture, in an article)
-    stack: list = [(root, ("", False, False))]
+    stack: list = [(root, ("", 0, False))]
     while stack:
         node, state = stack.pop()
         if node is None:  # a block ends
@@ -158,7 +177,7 @@ def blocks(root: Node) -> list[tuple[str, str, bool, bool]]:
             held.append(" ")
             if node.tag != "hr":
                 continue
-        inner = (state[0], state[1] or furniture(node, state[2]), state[2] or node.tag in ARTICLE)
+        inner = (state[0], max(state[1], furniture(node, state[2])), state[2] or node.tag in ARTICLE)
         if node.tag in INLINE and inner == state:
             stack += [(k, state) for k in reversed(node.kids)]
             continue
@@ -276,7 +295,12 @@ def main_text(found, wrapper) -> str:
         kept = open_
     if any(b[3] for b in kept):  # the page marks its article itself
         kept = [b for b in kept if b[3]]
-    return "\n".join(b[1] for b in kept or open_)
+    kept = kept or open_
+    if sum(len(b[1]) for b in kept) < LONG:  # a name may have put the main text aside
+        paths = {b[0] for b in found} - (gone if wrapper else frozenset())
+        back = [b[2] == 1 and len(b[1]) >= LONG and b[0] in paths for b in found]
+        kept = [b for b, again in zip(found, back) if again or b in kept]
+    return "\n".join(b[1] for b in kept)
 
 
 def _host():
