@@ -117,6 +117,17 @@ def test_names_are_whole_words_and_give_way(page, want):
     assert main_text(blocks(parse(page)), ()) == want
 
 
+def test_copies_and_rare_slots_do_not_flip_a_slot(spark):
+    rows, want = [], {}
+    for i in range(640):
+        story = words(random.Random(i // 8 if i < 320 else i), 60, 5000)  # half of the pages are copies, eight of each
+        rare = "<section><b>The same on few pages</b></section>" if 600 <= i < 606 else ""
+        rows.append((i, "http://copies.example.org/", f"<div class=a><p>Fixed words</p></div><div class=b><p>{story}</p><i>{i} day</i></div>{rare}"))
+        want[i] = story
+    got = texts_of(spark, rows)
+    assert all(want[i] in got[i] and "Fixed words" not in got[i] and "few pages" not in got[i] for i in want)
+
+
 # -- toxicity --------------------------------------------------------------------------
 
 BAD = ["loserish", "scumbag", "vilestuff"]

@@ -31,13 +31,18 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import text_blocks
+from .common import materialise, text_blocks
 
-#: Pages of a host with the same text in a slot from which on the text counts as repeated.
+#: Different pages of a host with the same text in a slot from which on it may be repeated.
 REPEATED = 3
+#: Share of the pages with a slot that such a text is on at least. Pages are counted by their
+#: contents: copies and near copies of one page count about once.
+SHARE = 0.2
 #: Share of repeated texts from which on a slot is constant.
 CONSTANT = 0.5
-#: Share of a host's pages that a slot of its wrapper has at least.
+#: Words in a row that tell whether two pages are copies.
+SHINGLE = 4
+#: Share of a host's pages that a slot without repeated texts needs to be in its wrapper.
 SUPPORT = 0.01
 #: Characters of a long text: of less a page's main text is not certain, and varying long
 #: blocks that only a name has put aside come back.
@@ -277,30 +282,47 @@ def aligned(page_paths, wrapper_paths) -> dict[str, str]:
     return out
 
 
+def _hash(text: str) -> int:
+    return xxhash.xxh64_intdigest(text) >> 1
+
+
+def mark(found) -> int:
+    """A page's smallest hash of ``SHINGLE`` words in a row: the same for copies and, mostly,
+    for near copies. Blocks that name themselves count only if there are no others."""
+    least = 1 << 63
+    for _, text, _, _ in [b for b in found if not b[2]] or found:
+        w = text.split()
+        for i in range(max(1, len(w) - SHINGLE + 1)):
+            h = xxhash.xxh64_intdigest(" ".join(w[i:i + SHINGLE])) >> 1
+            if h < least:
+                least = h
+    return least
+
+
 @lru_cache(maxsize=4096)
-def constant_paths(page_paths: tuple[str, ...], wrapper: tuple[tuple[str, bool], ...]) -> frozenset:
-    """The page's paths that are aligned with a constant slot or stand in one."""
-    found = aligned(page_paths, [p for p, _ in wrapper])
-    constant = {p for p, c in wrapper if c}
-    return frozenset(p for p in page_paths if found.get(p) in constant)
+def verdicts(page_paths: tuple[str, ...], wrapper: tuple[tuple[str, bool, tuple], ...]) -> dict[str, tuple[bool, frozenset]]:
+    """For each of the page's paths: whether the slots it is aligned with (by tree matching,
+    and that of its own name) are constant, and their repeated texts."""
+    slots = {p: (c, t) for p, c, t in wrapper}
+    twin = aligned(page_paths, list(slots))
+    out = {}
+    for p in page_paths:
+        own = [slots[q] for q in {p, twin.get(p)} if q in slots]
+        out[p] = any(c for c, _ in own), frozenset(h for _, t in own for h in t)
+    return out
 
 
 def main_text(found, wrapper) -> str:
     """The page's content blocks, one a line."""
-    open_ = [b for b in found if not b[2]]
-    if wrapper:
-        gone = constant_paths(tuple(dict.fromkeys(b[0] for b in found)), wrapper)
-        kept = [b for b in open_ if b[3] or b[0] not in gone]
-    else:
-        kept = open_
-    if any(b[3] for b in kept):  # the page marks its article itself
-        kept = [b for b in kept if b[3]]
-    kept = kept or open_
-    if sum(len(b[1]) for b in kept) < LONG:  # a name may have put the main text aside
-        paths = {b[0] for b in found} - (gone if wrapper else frozenset())
-        back = [b[2] == 1 and len(b[1]) >= LONG and b[0] in paths for b in found]
-        kept = [b for b, again in zip(found, back) if again or b in kept]
-    return "\n".join(b[1] for b in kept)
+    found = [b for b in found if b[2] < 2]
+    slots = verdicts(tuple(dict.fromkeys(b[0] for b in found)), wrapper) if wrapper else {}
+    rest = [b for b in found if b[0] not in slots or _hash(b[1]) not in slots[b[0]][1]]
+    keep = [not b[2] for b in rest]
+    if any(b[3] for b, k in zip(rest, keep) if k):  # the page marks its article itself
+        keep = [k and b[3] for b, k in zip(rest, keep)]
+    if sum(len(b[1]) for b, k in zip(rest, keep) if k) < LONG:  # a name may have put the main text aside
+        keep = [k or b[2] == 1 and len(b[1]) >= LONG and not (b[0] in slots and slots[b[0]][0]) for b, k in zip(rest, keep)]
+    return "\n".join(b[1] for b, k in zip(rest, keep) if k)
 
 
 def _host():
@@ -308,26 +330,42 @@ def _host():
 
 
 def wrappers(pages: DataFrame, html: str = "html") -> DataFrame:
-    """host, slots (path, constant) for every host, from all its pages."""
+    """host, slots (path, constant, hashes of its repeated texts) for every host, from all its
+    pages."""
+
+    kind = pa.list_(pa.struct([("path", pa.string()), ("texts", pa.list_(pa.int64()))]))
 
     def slots(batches):
         for block in text_blocks(batches, "html", 1 << 22):
-            out: list[list] = [[], [], []]
+            out: list[list] = [[], [], [], []]
             for host, page in zip(block.column("host").to_pylist(), block.column("html").to_pylist()):
-                rows = {(path, xxhash.xxh64_intdigest(text) >> 1) for path, text, _, _ in blocks(parse(page or ""))}
-                for path, h in [("", 0), *sorted(rows)]:  # "" counts the page
-                    for column, v in zip(out, (host, path, h)):
-                        column.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.string()), pa.array(out[1], pa.string()),
-                                              pa.array(out[2], pa.int64())], names=["host", "path", "h"])
-
-    rows = pages.select(_host().alias("host"), F.col(html).alias("html")).mapInArrow(slots, "host string, path string, h long")
-    texts = rows.groupBy("host", "path", "h").agg(F.count(F.lit(1)).alias("c"))
-    per_slot = texts.groupBy("host", "path").agg(
-        F.sum("c").alias("n"), F.sum(F.when(F.col("c") >= REPEATED, F.col("c")).otherwise(0)).alias("again"))
-    slot = F.struct("path", (F.col("again") >= CONSTANT * F.col("n")).alias("constant"))
-    host = per_slot.groupBy("host").agg(F.max(F.when(F.col("path") == "", F.col("n"))).alias("pages")).alias("p")
-    return per_slot.join(host, "host").where((F.col("path") != "") & (F.col("n") >= SUPPORT * F.col("pages"))).groupBy(
+                found = [b for b in blocks(parse(page or "")) if b[2] < 2]
+                if not found:
+                    continue
+                by_path: dict[str, set] = {"": {-1}}  # "" counts the page, -1 the pages with a slot
+                for path, text, _, _ in found:
+                    by_path.setdefault(path, {-1}).add(_hash(text))
+                row = host, mark(found), _hash(page), [{"path": p, "texts": sorted(t)} for p, t in sorted(by_path.items())]
+                for column, v in zip(out, row):
+                    column.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.string()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()),
+                                              pa.array(out[3], kind)], names=["host", "mark", "page", "found"])
+
+    rows = pages.select(_host().alias("host"), F.col(html).alias("html")).mapInArrow(
+        slots, "host string, mark long, page long, found array<struct<path:string,texts:array<long>>>")
+    # one page of each group of copies
+    once = rows.groupBy("host", "mark").agg(F.min_by("found", "page").alias("found")).select("host", F.explode("found").alias("f"))
+    texts = once.select("host", F.col("f.path").alias("path"), F.explode("f.texts").alias("h"))
+    texts = materialise(texts.groupBy("host", "path", "h").agg(F.count(F.lit(1)).alias("c")), "slot-texts")
+    per_slot = texts.groupBy("host", "path").agg(F.sum(F.when(F.col("h") < 0, F.col("c"))).alias("n"),
+                                                 F.sum(F.when(F.col("h") >= 0, F.col("c"))).alias("all"))
+    again = texts.where((F.col("h") >= 0) & (F.col("c") >= REPEATED)).join(per_slot, ["host", "path"]).where(
+        F.col("c") >= SHARE * F.col("n")).groupBy("host", "path").agg(F.sum("c").alias("again"), F.array_sort(F.collect_list("h")).alias("texts"))
+    host = per_slot.where("path = ''").select("host", F.col("n").alias("pages"))
+    slot = F.struct("path", (F.coalesce("again", F.lit(0)) >= CONSTANT * F.col("all")).alias("constant"),
+                    F.coalesce("texts", F.array().cast("array<long>")).alias("texts"))
+    held = per_slot.where("path <> ''").join(host, "host").join(again, ["host", "path"], "left")
+    return held.where(F.col("texts").isNotNull() | (F.col("n") >= SUPPORT * F.col("pages"))).groupBy(
         "host").agg(F.array_sort(F.collect_list(slot)).alias("slots"))
 
 
@@ -340,7 +378,7 @@ def extract(pages: DataFrame, html: str = "html") -> DataFrame:
         for block in text_blocks(batches, "html", 1 << 22):
             out = []
             for page, slots in zip(block.column("html").to_pylist(), block.column("slots").to_pylist()):
-                out.append(main_text(blocks(parse(page or "")), tuple((s["path"], s["constant"]) for s in slots or ())))
+                out.append(main_text(blocks(parse(page or "")), tuple((s["path"], s["constant"], tuple(s["texts"])) for s in slots or ())))
             yield pa.RecordBatch.from_arrays(
                 [block.column("page_id"), block.column("url"), pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64())],
                 names=["page_id", "url", "text", "n_chars"])
