@@ -128,6 +128,19 @@ def test_copies_and_rare_slots_do_not_flip_a_slot(spark):
     assert all(want[i] in got[i] and "Fixed words" not in got[i] and "few pages" not in got[i] for i in want)
 
 
+def test_articles_are_judged_like_the_rest(spark):
+    rng = random.Random(6)
+    story = [words(rng, 50, 5000) for _ in range(30)]
+    rows = [(i, "http://main.example.com/", f"<main><div class=k><p>Fixed, without a name</p></div><p>{story[i]}</p></main>") for i in range(15)]
+    rows += [(i, "http://cards.example.com/", f"<div class=s><p>{story[i]}</p></div><article class=card><p>Read this</p></article>"
+              f"<article class='comment'><p>Comment {i}</p></article>") for i in range(15, 30)]
+    # the same article on ten pages is not template, nor is one on its own host
+    rows += [(100 + i, "http://main.example.com/", f"<main><div class=k><p>Fixed, without a name</p></div><p>{story[0]}</p></main>") for i in range(10)]
+    rows += [(200 + i, "http://one.example.com/", f"<article><p>{story[1]}</p></article>") for i in range(5)]
+    got = texts_of(spark, rows)
+    assert got == {i: story[i] for i in range(30)} | {100 + i: story[0] for i in range(10)} | {200 + i: story[1] for i in range(5)}
+
+
 # -- toxicity --------------------------------------------------------------------------
 
 BAD = ["loserish", "scumbag", "vilestuff"]

@@ -3,15 +3,16 @@
 1. Each page is parsed to a tree; runs of equal siblings (paragraphs, list items) become
    one node, as a wrapper's iterators do. Every text block gives (host, slot, hash of its
    text), the slot being the path of its node.
-2. Over all pages of a host: a slot whose texts come back from page to page is constant
-   (template), one whose texts vary is a content slot. The host's wrapper is the tree of
-   its slots with these marks; slots on fewer than one page in a hundred are left out.
+2. Over all pages of a host, copies and near copies of a page counted about once: a text
+   that is on a fifth of the pages with its slot, and on three of them, is template, in
+   article and main elements too. The host's wrapper is the tree of its slots with their
+   template texts; a rare slot without such texts is left out.
 3. Each page's tree is aligned with its host's wrapper by simple tree matching (the largest
-   order-preserving match of nodes with equal tags). Blocks in constant nodes go, blocks in
-   varying slots stay. Elements that say what they are (menus, footers, forms, adverts,
-   comments by tag or class) go in any case; article and main elements are never constant
-   as a whole, so copied articles stay. If nothing of a page varies, the blocks outside
-   such elements are its text.
+   order-preserving match of nodes with equal tags). Blocks whose text is template in their
+   slot go, the others stay; a page of template only has an empty text. Elements that are
+   furniture by their tag (menus, footers, forms) go in any case. Elements that a class word,
+   id or role names as furniture go too, unless hardly any text is left without them: then
+   their long blocks stay if their slot varies.
 
 The counts combine before they shuffle; a page meets its host's wrapper in a join that
 splits hot hosts; a wrapper is small whatever the number of pages.
@@ -147,7 +148,7 @@ def furniture(node: Node, in_article: bool) -> int:
         return 2
     if node.tag == "header" and not in_article:
         return 2
-    if node.tag in ARTICLE or in_article and node.tag in HEADING:
+    if node.tag == "main" or in_article and node.tag in HEADING:
         return 0
     said = {name_of(w) for w in node.names} - {""}
     return int(bool(said - HEADER if in_article else said))
@@ -318,8 +319,6 @@ def main_text(found, wrapper) -> str:
     slots = verdicts(tuple(dict.fromkeys(b[0] for b in found)), wrapper) if wrapper else {}
     rest = [b for b in found if b[0] not in slots or _hash(b[1]) not in slots[b[0]][1]]
     keep = [not b[2] for b in rest]
-    if any(b[3] for b, k in zip(rest, keep) if k):  # the page marks its article itself
-        keep = [k and b[3] for b, k in zip(rest, keep)]
     if sum(len(b[1]) for b, k in zip(rest, keep) if k) < LONG:  # a name may have put the main text aside
         keep = [k or b[2] == 1 and len(b[1]) >= LONG and not (b[0] in slots and slots[b[0]][0]) for b, k in zip(rest, keep)]
     return "\n".join(b[1] for b, k in zip(rest, keep) if k)
