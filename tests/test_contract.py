@@ -37,3 +37,11 @@ def test_query_matches_duckdb(spark, name):
     assert sc == dc
     assert len(sr) == len(dr)
     assert sr == dr
+
+
+def test_incremental_reviews_shows_repeated_keys(spark, monkeypatch):
+    from trilake import contract_jobs
+    rows = spark.createDataFrame([("a",), ("a",), ("b",)], "review_id string")
+    monkeypatch.setattr(contract_jobs, "_incremental", lambda *a: rows)
+    monkeypatch.setattr(contract_jobs, "dirty_reviews", lambda *a: None)
+    assert sorted(r.review_id for r in contract_jobs.q_incremental_reviews(spark, SF).collect()) == ["a", "a", "b"]

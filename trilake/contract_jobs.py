@@ -347,7 +347,7 @@ def q_incremental_reordered(spark, d):
 
 def q_incremental_reviews(spark, d):
     """ST1 for reviews."""
-    return _incremental(spark, d, "movie_reviews", dirty_reviews(spark, d), ("review_id",)).distinct()
+    return _incremental(spark, d, "movie_reviews", dirty_reviews(spark, d), ("review_id",))
 
 
 def q_incremental_exchange(spark, d):
