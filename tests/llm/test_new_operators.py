@@ -1,0 +1,249 @@
+"""License scans, centroid clustering and ranked lexical search against brute force."""
+
+import hashlib
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from trilake.llm import heap_clusters as H, lexical_search as S, license_scan as L
+
+from .util import empty, frame, table, words
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def split(t):
+    return WORD.findall((t or "").translate(LOWER))
+
+
+# -- license scans ---------------------------------------------------------------------
+
+def brute_licenses(rows, templates, slack=3, share=0.8):
+    out = []
+    for i, t in rows:
+        w = split(t)
+        base, labels, best, starts = [], set(), 0.0, []
+        for x in templates:
+            tw, n = x["words"], x["n"]
+            if x["exact"]:
+                at = [s for s in range(len(w) - len(tw) + 1) if w[s:s + len(tw)] == tw]
+                starts += at
+                if at:
+                    base.append(x["label"])
+                    best = 1.0
+                continue
+            votes = {}
+            for p in range(len(w) - n + 1):
+                for q in range(len(tw) - n + 1):
+                    if w[p:p + n] == tw[q:q + n]:
+                        votes.setdefault(p - q, set()).add(q)
+            for d in votes:
+                near = [q for e in range(d, d + slack + 1) for q in votes.get(e, ())]
+                covered = {q + j for q in near for j in range(n)}
+                if len(near) >= x["need"] and len(covered) / len(tw) >= share:
+                    labels.add(x["label"])
+                    best = max(best, len(covered) / len(tw))
+        out.append((i, len(w), len(starts), min(starts, default=None), max(starts, default=None), tuple(sorted(set(base))),
+                    tuple(sorted(labels | set(base))), best))
+    return sorted(out, key=lambda t: tuple((x is not None, x) for x in t))
+
+
+def license_corpus():
+    rng = random.Random(7)
+    rows = [(i, words(rng, rng.randrange(0, 80))) for i in range(10)]
+    for i in range(10, 60):
+        w = split(rng.choice([*L.NOTICES, *L.PHRASES])[0])
+        for _ in range(rng.randrange(0, 5)):  # lost, changed and inserted words
+            j = rng.randrange(len(w))
+            w[j:j + 1] = rng.choice([[], ["zzz"], [w[j], "inserted"]]) if len(w) > 3 else [w[j]]
+        rows.append((i, words(rng, rng.randrange(0, 30)) + " " + ", ".join(w).upper() + " " + words(rng, rng.randrange(0, 30))))
+    return rows + [(70, None), (71, ""), (72, "-.- \t"), (73, "CC-BY cc by cc\x00by CC"), (74, "mit license " * 300), (75, "mit licenseé the MIT\nLicense"),
+                   (None, "Apache License"), (None, "Apache License"), (76, "gnu general public license"), (76, "gnu general public license"),
+                   (76, "another text"), (77, " ".join(t for t, _ in L.NOTICES) * 3), (78, "x" * 200_000 + " cc by")]
+
+
+def found(df):
+    return sorted(((r.doc_id, r.n_words, r.n_base, r.first_word, r.last_word, tuple(r.base_labels), tuple(r["labels"]), r.score) for r in df.collect()),
+                  key=lambda t: tuple((x is not None, x) for x in t))
+
+
+def test_licenses_equal_brute_force(spark):
+    rows = license_corpus()
+    want = brute_licenses(rows, L.template_list())
+    assert found(L.scan_licenses(frame(spark, rows, extra=True))) == want
+    assert sum(1 for r in want if r[6] and not r[5]) > 3 and any(0.8 <= r[7] < 1 for r in want)
+    # a template list too long for a broadcast goes through a shuffled join
+    assert found(L.scan_licenses(frame(spark, rows), max_broadcast=0)) == want
+
+
+def test_license_parameters_and_empty_tables(spark):
+    rows = license_corpus()
+    how = {"notices": (("one two three four five six seven", "x"), ("-", "none")), "phrases": (("w1x", "one"), ("", "nothing"))}
+    want = brute_licenses(rows, L.template_list(how["phrases"], how["notices"], 2))
+    assert found(L.scan_licenses(frame(spark, rows), gram=2, **how)) == want
+    assert L.scan_licenses(empty(spark)).count() == 0
+    assert all(r[6] == () for r in found(L.scan_licenses(frame(spark, rows), notices=(), phrases=())))
+
+
+def test_license_spans_of_inserted_words(spark):
+    notice = split(L.NOTICES[4][0])
+    text = " ".join(["a"] * 5 + notice[:10] + ["new", "words"] + notice[10:])
+    [span] = L.license_spans(frame(spark, [(1, text)])).collect()
+    assert (span.label, span.first_word, span.last_word) == ("mit", 5, 5 + len(notice) + 1) and span.share == 1.0
+
+
+def test_no_python_in_the_license_scan(spark):
+    plan = L.scan_licenses(frame(spark, [(1, "mit license")]))._jdf.queryExecution().toString()
+    spans = L.license_spans(frame(spark, [(1, "mit license")]))._jdf.queryExecution().toString()
+    assert not re.search("Python|Arrow|Pandas", re.sub("ArrowEvalPythonRelation", "", plan + spans))
+
+
+# -- centroid clustering ---------------------------------------------------------------
+
+VECTORS = "vec_id long, embedding array<double>, cluster string, id string, key string"
+
+
+def brute_clusters(rows, k, rounds, dims=64):
+    kept = [(i, [math.floor(max(min(64 * x, 2**26), -2**26)) for x in v]) for i, v in rows
+            if v is not None and len(v) == dims and all(x is not None and math.isfinite(x) for x in v)]
+    order = sorted(kept, key=lambda r: (r[0] is None, hashlib.sha256(f"1:{r[0]}".encode()).hexdigest(), r[1]))
+    c = [list(v) for _, v in order[:k]]
+    near = lambda v: min((sum((a - b) ** 2 for a, b in zip(v, w)), j) for j, w in enumerate(c))
+    for _ in range(rounds):
+        own = [near(v)[1] for _, v in kept]
+        for j in range(len(c)):
+            group = [v for (_, v), o in zip(kept, own) if o == j]
+            if group:
+                c[j] = [sum(x) // len(group) for x in zip(*group)]
+    last = [near(v) for _, v in kept]
+    inertia = Counter()
+    for d, j in last:
+        inertia[j] += d
+    sha = [hashlib.sha256(",".join(map(str, w)).encode()).hexdigest() for w in c]
+    return sorted(((i, j, d, inertia[j], sum(inertia.values()), sha[j]) for (i, _), (d, j) in zip(kept, last)), key=lambda t: (t[0] is not None, t))
+
+
+def vectors(kind, n=300):
+    rng = np.random.default_rng(3)
+    centers = rng.normal(size=(12, 64)) * 3
+    rows = [(i, (rng.normal(size=64) if kind == "noise" else centers[rng.integers(12)] + rng.normal(size=64) * 0.05).tolist()) for i in range(n)]
+    if kind == "ties":
+        rows = [(i, [float(rng.integers(0, 2)) / 64 for _ in range(64)]) for i in range(60)] + [(i, [0.0] * 64) for i in range(60, 200)]
+    return rows + [(1000, None), (1001, [1.0] * 63), (1002, [None] + [0.0] * 63), (1003, [float("nan")] + [0.0] * 63),
+                   (1004, [float("inf")] + [0.0] * 63), (1005, []), (None, [0.5] * 64), (None, [0.5] * 64), rows[0], (rows[1][0], [9.0] * 64)]
+
+
+def clustered(spark, rows, **how):
+    df = spark.createDataFrame([(i, v, "clash", "clash", "clash") for i, v in rows], VECTORS).repartition(3)
+    return sorted(((r.vec_id, r.cluster, r.distance, r.cluster_inertia, r.inertia, r.centroid_sha256) for r in H.cluster_vectors(df, **how).collect()),
+                  key=lambda t: (t[0] is not None, t))
+
+
+@pytest.mark.parametrize("kind", ["groups", "noise", "ties"])
+def test_clusters_equal_brute_force(spark, kind):
+    rows = vectors(kind)
+    assert clustered(spark, rows) == brute_clusters(rows, 16, 3)
+
+
+def test_clusters_of_few_and_of_huge_vectors(spark):
+    rows = vectors("noise", 5)
+    assert clustered(spark, rows, k=40) == brute_clusters(rows, 40, 3)
+    huge = [(i, [1e30 * (-1) ** i, 1e-30, float(2**24 + i)] + [0.25] * 61) for i in range(6)]
+    got = clustered(spark, huge, k=2, rounds=2)
+    assert [r[:3] + r[5:] for r in got] == [r[:3] + r[5:] for r in brute_clusters(huge, 2, 2)]
+    assert clustered(spark, []) == [] and clustered(spark, [(1, None)]) == []
+
+
+def test_only_expired_entries_are_scanned(spark):
+    rows = [r for r in vectors("groups") if r[0] is not None and r[0] < 300]
+    df = spark.createDataFrame([(i, v) for i, v in rows], "vec_id long, embedding array<double>")
+    found = H.Clustering(H.integer_vectors(df, 64, 64, "vec_id", "embedding"), 16, 6, "1")
+    sizes = [t.count() for t in found.tables]
+    assert sizes[0] == len(rows) and sum(sizes[1:]) < 3 * len(rows) and sizes[-1] == 0
+    assert found.members().count() == len(rows)
+
+
+# -- ranked lexical search -------------------------------------------------------------
+
+def brute_search(docs, items, k=10):
+    counts = [(i, Counter(split(t)), len(split(t))) for i, t in docs]
+    n_docs, n_words = sum(1 for *_, n in counts if n), sum(n for *_, n in counts)
+    df = Counter(t for _, c, _ in counts for t in c)
+    out = []
+    for item, text in items:
+        rows = []
+        for i, c, n in counts:
+            score = 0
+            for t in set(split(text)):
+                if c[t]:
+                    w = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1)))
+                    score += w * ((1_000_000_000 * c[t]) // (1000 * c[t] + 8 * (10 + (90 * n * n_docs) // n_words)))
+            if score > 0:
+                rows.append((-score, i is None, i))
+        rows.sort(key=lambda r: (r[0], r[1], r[2] or 0))
+        out += [(item, j + 1, i, -s) for j, (s, _, i) in enumerate(rows[:k])]
+    return sorted(out, key=lambda t: tuple((x is not None, x) for x in t))
+
+
+def search_corpus():
+    rng = random.Random(11)
+    items = [(i, words(rng, rng.randrange(1, 40), 300)) for i in range(15)]
+    items += [(20, None), (21, ""), (22, " - "), (None, items[3][1]), (None, "absent words"), (4, items[2][1]), (23, "W1X w2x É"), (24, "common " * 9)]
+    docs = [(i, ("common " * rng.randrange(4) if i % 3 else "") + words(rng, rng.randrange(0, 120), 300)) for i in range(150)]
+    docs += [(i, items[0][1]) for i in range(400, 360, -1)]  # a group of copies with equal scores
+    docs += [(500, None), (501, ""), (None, items[1][1]), (None, items[1][1]), (502, "é É w1x"), (503, items[1][1].upper()), (503, items[1][1]),
+             (504, "w1x " * 3000), (505, words(rng, 4000, 300))]
+    return docs, items
+
+
+def bench(spark, items):
+    return spark.createDataFrame([(i, t, "clash", "clash", 1) for i, t in items], "item_id long, text string, key string, terms string, score long")
+
+
+def test_search_equals_brute_force(spark, monkeypatch):
+    docs, items = search_corpus()
+    want = brute_search(docs, items)
+    got = S.ranked_search(frame(spark, docs, extra=True), bench(spark, items))
+    assert table(got, "item_id", "rank", "doc_id", "score") == want
+    monkeypatch.setattr(S, "BUCKET", 7)
+    monkeypatch.setattr(S, "FOCUS", 2)
+    monkeypatch.setattr(S, "ROUNDS", (0.05, 0.2, 0.5))
+    monkeypatch.setattr(S, "PIECE", 1000)
+    got = S.ranked_search(frame(spark, docs), bench(spark, items), max_terms=60)  # several blocks of queries
+    assert table(got, "item_id", "rank", "doc_id", "score") == want
+
+
+def test_search_of_empty_tables(spark):
+    docs, items = search_corpus()
+    assert S.ranked_search(empty(spark), bench(spark, items)).count() == 0
+    assert S.ranked_search(frame(spark, docs), bench(spark, [])).count() == 0
+    assert S.ranked_search(frame(spark, [(1, None), (2, "")]), bench(spark, items)).count() == 0
+
+
+def test_buckets_are_pruned(spark):
+    """A query stops where the lengths can no longer reach its k-th best score."""
+    weights = np.array([1000, 900], np.int64)
+    queries = S.Queries([np.array([0, 1], np.int32)], weights)
+    best, floor = [[]], np.array([10**9], np.int64)
+    offsets = np.arange(3)
+    S._search_bucket(queries, np.array([1.0, 0.5]), np.array([0, 1]), offsets, np.array([5, 5]), [1, 2], best, floor, 3)
+    assert best == [[]]
+    floor[:] = 0
+    S._search_bucket(queries, np.array([31.7 * 5, 30.0 * 5]), np.array([0, 1]), offsets, np.array([5, 5]), [1, 2], best, floor, 3)
+    assert best == [[(5000, 1), (4500, 2)]]
+
+
+def test_colliding_hashes_are_compared(spark):
+    vocabulary = S.Vocabulary(["alpha", "beta", "gamma"])
+    vocabulary.hash[:] = vocabulary.hash[0]  # all terms collide
+    vocabulary.depth = 3
+    import pyarrow as pa
+    words_ = S.Words(*S.utf8(pa.array(["beta gamma delta alpha"])))
+    words_.hash[:] = vocabulary.hash[0]
+    i, t = vocabulary.places(words_)
+    assert sorted((int(a), vocabulary.terms[b]) for a, b in zip(i, t)) == [(0, "beta"), (1, "gamma"), (3, "alpha")]

@@ -74,10 +74,27 @@ def op10_nn_descent(spark, sf_dir):
     return nearest(rows, rows.where("vec_id % 50 = 0").select("vec_id"), k=5)
 
 
+def op11_license_scan(spark, sf_dir):
+    from .license_scan import scan_licenses
+    return scan_licenses(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"), "score")
+
+
+def op12_heap_clusters(spark, sf_dir):
+    from .heap_clusters import cluster_vectors
+    return cluster_vectors(table(spark, sf_dir, "embeddings")).drop("centroid")
+
+
+def op13_lexical_search(spark, sf_dir):
+    from .lexical_search import ranked_search
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict:
     return {f.__name__: f for f in (
         op1_url_reputation, op2_best_fit_packing, op3_token_counts, op4_decontaminate, op5_sharding, op6_simhash,
-        op7_suffix_dedup, op8_html_wrapper, op9_toxicity, op10_nn_descent)}
+        op7_suffix_dedup, op8_html_wrapper, op9_toxicity, op10_nn_descent, op11_license_scan, op12_heap_clusters, op13_lexical_search)}
 
 
 def oracle_sql() -> dict:
