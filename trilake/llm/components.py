@@ -3,8 +3,9 @@
 Each round points every node of a neighbourhood at its smallest member, once from the
 larger side (large star) and once from the smaller (small star); the edges shrink to one
 star for each component in a logarithmic number of rounds. A round groups with map-side
-minima and joins on the node; a node with very many edges is split by the skewed join. The
-edges are written to the shared folder between rounds, so a lost executor repeats one.
+minima and joins on the node. The minima are written before the join: both its sides are
+then plain tables with exchanges of their own, so a node with very many edges is split. The
+edges are written to the shared folder between rounds too, so a lost executor repeats one.
 """
 
 from __future__ import annotations
@@ -16,12 +17,12 @@ from .common import materialise
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("_m")).select("a", F.least("a", "_m").alias("m"))
+    least = materialise(both.groupBy("a").agg(F.min("b").alias("_m")).select("a", F.least("a", "_m").alias("m")), "least")
     return both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    least = materialise(edges.groupBy("a").agg(F.min("b").alias("m")), "least")
     moved = edges.join(least, "a").where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.union(least.select("a", F.col("m").alias("b"))).distinct()
 
@@ -37,7 +38,7 @@ def star_components(edges: DataFrame) -> DataFrame:
                         .distinct(), "edges")
     before = _state(edges)
     while before[0]:
-        edges = materialise(_small_star(_large_star(edges)), "edges")
+        edges = materialise(_small_star(materialise(_large_star(edges), "stars")), "edges")
         after = _state(edges)
         if after == before:
             break

@@ -3,29 +3,36 @@
 1. Each page is parsed to a tree; runs of equal siblings (paragraphs, list items) become
    one node, as a wrapper's iterators do. Every text block gives (host, slot, hash of its
    text), the slot being the path of its node.
-2. Over all pages of a host, copies and near copies of a page counted about once: a text
-   that is on a fifth of the pages with its slot, and on three of them, is template, in
-   article and main elements too. The host's wrapper is the tree of its slots with their
-   template texts; a rare slot without such texts is left out.
+2. Over all pages of a host, copies and near copies of a page counted about once, the texts
+   of every node are counted: of a path as a whole, and of each place among its equal
+   siblings, from the front and from the back. A node is constant if at least half of what
+   stands there are texts that a fifth of its pages (and three of them) share. The host's
+   wrapper is the tree of its slots with the constant nodes' texts; a rare slot that is not
+   constant is left out.
 3. Each page's tree is aligned with its host's wrapper by simple tree matching (the largest
-   order-preserving match of nodes with equal tags). Blocks whose text is template in their
-   slot go, the others stay; a page of template only has an empty text. Elements that are
-   furniture by their tag (menus, footers, forms) go in any case. Elements that a class word,
+   order-preserving match of nodes with equal tags). Blocks that stand at a constant node
+   with one of its texts are template and go, in article and main elements too. All others
+   stay: a text of a varying node is content, however often the host repeats it. A page of
+   template only has an empty text. Elements that are furniture by their tag (menus, footers,
+   forms that do not hold the page's own text) go in any case. Elements that a class word,
    id or role names as furniture go too, unless hardly any text is left without them: then
    their long blocks stay if their slot varies.
 
-The counts combine before they shuffle; a page meets its host's wrapper in a join that
-splits hot hosts; a wrapper is small whatever the number of pages.
+The counts combine before they shuffle; the wrappers (small, whatever the number of pages)
+are written first, so both sides of the join with the pages are plain tables and a hot host
+is split.
 
 Cases: null and empty html give an empty text; a null url has the empty host; unclosed and
-truncated markup is closed where the page ends; repeated rows are rows like any other; an
-empty table gives no rows; other columns are ignored.
+truncated markup is closed where the page ends; deep nesting costs memory in proportion to
+the page (paths are folded); repeated rows are rows like any other; an empty table gives no
+rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from functools import lru_cache
 
 import pyarrow as pa
@@ -34,13 +41,17 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import materialise, text_blocks
 
-#: Different pages of a host with the same text in a slot from which on it may be repeated.
+#: Different pages of a host with the same text at a node from which on it may be repeated.
 REPEATED = 3
-#: Share of the pages with a slot that such a text is on at least. Pages are counted by their
+#: Share of the node's pages that such a text is on at least. Pages are counted by their
 #: contents: copies and near copies of one page count about once.
 SHARE = 0.2
-#: Share of repeated texts from which on a slot is constant.
+#: Share of repeated texts from which on a node is constant.
 CONSTANT = 0.5
+#: Keys of a path after which its beginning is folded into a hash, and a key's longest name.
+FOLD, KEY = 64, 48
+#: Article, main or h1 elements, or so many paragraphs, make a form the page's own text.
+FORM_TEXT = 3
 #: Words in a row that tell whether two pages are copies.
 SHINGLE = 4
 #: Share of a host's pages that a slot without repeated texts needs to be in its wrapper.
@@ -79,60 +90,109 @@ _WORD = re.compile(r"[a-z0-9]+")
 
 
 class Node:
-    __slots__ = ("tag", "names", "kids", "up")
+    __slots__ = ("tag", "names", "kids", "holds")
 
-    def __init__(self, tag, names=(), up=None):
-        self.tag, self.names, self.kids, self.up = tag, names, [], up
+    def __init__(self, tag, names=()):
+        self.tag, self.names, self.kids, self.holds = tag, names, [], 0
 
     @property
     def key(self) -> str:
         first = _WORD.search(" ".join(self.names)) if self.names else None
-        return self.tag + ("." + first[0] if first else "")
+        key = self.tag + ("." + first[0] if first else "")
+        return key if len(key) <= KEY and "/" not in key and "#" not in key else f"{self.tag[:8].strip('/#.~')}~{xxhash.xxh64_hexdigest(key)}"
+
+
+class _Open:
+    """The open elements, with how many of each tag are open in all and in each scope: a stray
+    or implied end costs as much as it closes."""
+
+    def __init__(self, root: Node):
+        self.nodes, self.forms = [root], []
+        self.all: Counter = Counter()
+        self.scopes: list[Counter] = [Counter()]
+
+    def push(self, node: Node) -> None:
+        self.nodes.append(node)
+        self.all[node.tag] += 1
+        if node.tag in SCOPE:
+            self.scopes.append(Counter())
+        else:
+            self.scopes[-1][node.tag] += 1
+        if node.tag == "form":
+            self.forms.append(node)
+
+    def pop(self) -> Node:
+        node = self.nodes.pop()
+        self.all[node.tag] -= 1
+        if node.tag in SCOPE:
+            self.scopes.pop()
+        else:
+            self.scopes[-1][node.tag] -= 1
+        if node.tag == "form":
+            form = self.forms.pop()
+            if self.forms:
+                self.forms[-1].holds += form.holds
+        return node
+
+    def end(self, name: str) -> None:
+        if self.all[name]:
+            while self.pop().tag != name:
+                pass
+
+    def imply(self, shut: tuple) -> None:
+        """End the elements that an opening tag ends, up to the scope's border."""
+        while any(self.scopes[-1][t] for t in shut):
+            self.pop()
+        while self.nodes[-1].tag in shut and self.nodes[-1].tag in SCOPE:  # a cell ends a cell
+            self.pop()
+            while any(self.scopes[-1][t] for t in shut):
+                self.pop()
 
 
 def parse(page: str) -> Node:
     """The page's tree; text is a str among a node's kids."""
-    root = at = Node("html")
+    root = Node("html")
+    opened = _Open(root)
     pos = 0
     while True:
         m = _TAG.search(page, pos)
         if m is None or m.start() > pos:
-            at.kids.append(page[pos:m.start() if m else len(page)])
+            opened.nodes[-1].kids.append(page[pos:m.start() if m else len(page)])
         if m is None:
+            while len(opened.nodes) > 1:
+                opened.pop()
             return root
         pos = m.end()
         name = m["name"]
         if name is None:
             continue
         name = name.lower()
-        if m["end"]:
-            n = at
-            while n.up is not None and n.tag != name:
-                n = n.up
-            if n.up is not None:
-                at = n.up
-            continue
         if name in ("html", "body"):
             continue
+        if m["end"]:
+            opened.end(name)
+            continue
         if name not in INLINE:
-            shut = ("p",) + CLOSES.get(name, ())
-            n = at
-            while n.up is not None and (n.tag in shut or n.tag not in SCOPE):
-                if n.tag in shut:
-                    at = n.up
-                n = n.up
+            opened.imply(("p", *CLOSES.get(name, ())))
         attrs = m["attrs"]
         names = tuple(w for x in _NAMES.findall(attrs) for w in "".join(x).lower().split()) if attrs else ()
-        node = Node(name, names, at)
-        at.kids.append(node)
+        node = Node(name, names)
+        opened.nodes[-1].kids.append(node)
+        if opened.forms and name in ("article", "main", "h1", "p"):
+            opened.forms[-1].holds += 1 if name == "p" else FORM_TEXT
         if name in RAW:
-            close = re.compile(f"</{name}", re.I).search(page, pos)
+            close = _close(name).search(page, pos)
             stop = close.start() if close else len(page)
             if name not in SKIPPED:
                 node.kids.append(page[pos:stop])
             pos = stop
         if name not in VOID and not attrs.endswith("/"):
-            at = node
+            opened.push(node)
+
+
+@lru_cache(maxsize=64)
+def _close(name: str):
+    return re.compile(f"</{name}", re.I)
 
 
 @lru_cache(maxsize=65536)
@@ -144,6 +204,8 @@ def name_of(word: str) -> str:
 
 def furniture(node: Node, in_article: bool) -> int:
     """Whether an element says that it is not main text: 2 by its tag, 1 by its name, 0 no."""
+    if node.tag == "form" and node.holds >= FORM_TEXT:
+        return 0
     if node.tag in SKIPPED or node.tag in FURNITURE:
         return 2
     if node.tag == "header" and not in_article:
@@ -154,6 +216,13 @@ def furniture(node: Node, in_article: bool) -> int:
     return int(bool(said - HEADER if in_article else said))
 
 
+def _below(path: str, key: str) -> str:
+    """The path of a child; a deep path's beginning is folded into a hash."""
+    if path.count("/") >= FOLD:
+        path = f"/~{xxhash.xxh64_hexdigest(path)}"
+    return f"{path}/{key}"
+
+
 def blocks(root: Node) -> list[tuple[str, str, int, bool]]:
     """(path, text, furniture (see above), in an article) of the page's text blocks in order. A path
     names tags and first class words; equal siblings have equal paths."""
@@ -188,7 +257,7 @@ def blocks(root: Node) -> list[tuple[str, str, int, bool]]:
             stack += [(k, state) for k in reversed(node.kids)]
             continue
         flush(state)
-        inner = (f"{state[0]}/{node.key}", *inner[1:])
+        inner = (_below(state[0], node.key), *inner[1:])
         stack.append((None, inner))
         for k in reversed(node.kids):
             if isinstance(k, Node) and not (k.tag in INLINE and not furniture(k, inner[2])):
@@ -300,27 +369,53 @@ def mark(found) -> int:
     return least
 
 
-@lru_cache(maxsize=4096)
-def verdicts(page_paths: tuple[str, ...], wrapper: tuple[tuple[str, bool, tuple], ...]) -> dict[str, tuple[bool, frozenset]]:
-    """For each of the page's paths: whether the slots it is aligned with (by tree matching,
-    and that of its own name) are constant, and their repeated texts."""
-    slots = {p: (c, t) for p, c, t in wrapper}
-    twin = aligned(page_paths, list(slots))
-    out = {}
-    for p in page_paths:
-        own = [slots[q] for q in {p, twin.get(p)} if q in slots]
-        out[p] = any(c for c, _ in own), frozenset(h for _, t in own for h in t)
+def places(found) -> list[tuple[str, str, str]]:
+    """The nodes that each block stands at: its path, and its place among the blocks with
+    that path counted from the front and from the back."""
+    total = Counter(b[0] for b in found)
+    seen: Counter = Counter()
+    out = []
+    for path, *_ in found:
+        seen[path] += 1
+        out.append((path, f"#{seen[path]}", f"#{seen[path] - total[path] - 1}"))
     return out
 
 
-def main_text(found, wrapper) -> str:
+class Wrapper:
+    """A host's slots: their tree, and the constant nodes with their texts."""
+
+    def __init__(self, slots):
+        self.paths = sorted({s["path"].partition("#")[0] for s in slots})
+        self.constant = {s["path"]: frozenset(s["texts"]) for s in slots if s["constant"]}
+        self.twins: dict[tuple, dict] = {}
+
+    def twin(self, page_paths: tuple[str, ...]) -> dict[str, str]:
+        """Page path -> wrapper path by tree matching; pages of one layout are matched once."""
+        if page_paths not in self.twins:
+            if len(self.twins) >= 1024:
+                self.twins.clear()
+            self.twins[page_paths] = aligned(page_paths, self.paths)
+        return self.twins[page_paths]
+
+
+def main_text(found, wrapper: Wrapper | None = None) -> str:
     """The page's content blocks, one a line."""
     found = [b for b in found if b[2] < 2]
-    slots = verdicts(tuple(dict.fromkeys(b[0] for b in found)), wrapper) if wrapper else {}
-    rest = [b for b in found if b[0] not in slots or _hash(b[1]) not in slots[b[0]][1]]
+    twin, constant = {}, {}
+    if wrapper is not None:
+        twin, constant = wrapper.twin(tuple(dict.fromkeys(b[0] for b in found))), wrapper.constant
+
+    def nodes(path):  # the slot the path is aligned with, and that of its own name
+        return {path, twin.get(path, path)}
+
+    def template(block, place):
+        h = _hash(block[1])
+        return any(h in constant.get(q + p, ()) for q in nodes(block[0]) for p in ("", *place[1:]))
+
+    rest = [b for b, p in zip(found, places(found)) if not template(b, p)] if constant else found
     keep = [not b[2] for b in rest]
     if sum(len(b[1]) for b, k in zip(rest, keep) if k) < LONG:  # a name may have put the main text aside
-        keep = [k or b[2] == 1 and len(b[1]) >= LONG and not (b[0] in slots and slots[b[0]][0]) for b, k in zip(rest, keep)]
+        keep = [k or b[2] == 1 and len(b[1]) >= LONG and not any(q in constant for q in nodes(b[0])) for b, k in zip(rest, keep)]
     return "\n".join(b[1] for b, k in zip(rest, keep) if k)
 
 
@@ -329,8 +424,8 @@ def _host():
 
 
 def wrappers(pages: DataFrame, html: str = "html") -> DataFrame:
-    """host, slots (path, constant, hashes of its repeated texts) for every host, from all its
-    pages."""
+    """host, slots (path or place, constant, hashes of its repeated texts) for every host, from
+    all its pages. Places are kept where they are constant, paths where they are not rare."""
 
     kind = pa.list_(pa.struct([("path", pa.string()), ("texts", pa.list_(pa.int64()))]))
 
@@ -342,8 +437,9 @@ def wrappers(pages: DataFrame, html: str = "html") -> DataFrame:
                 if not found:
                     continue
                 by_path: dict[str, set] = {"": {-1}}  # "" counts the page, -1 the pages with a slot
-                for path, text, _, _ in found:
-                    by_path.setdefault(path, {-1}).add(_hash(text))
+                for (path, text, _, _), (_, front, back) in zip(found, places(found)):
+                    for node in (path, path + front, path + back):
+                        by_path.setdefault(node, {-1}).add(_hash(text))
                 row = host, mark(found), _hash(page), [{"path": p, "texts": sorted(t)} for p, t in sorted(by_path.items())]
                 for column, v in zip(out, row):
                     column.append(v)
@@ -361,23 +457,30 @@ def wrappers(pages: DataFrame, html: str = "html") -> DataFrame:
     again = texts.where((F.col("h") >= 0) & (F.col("c") >= REPEATED)).join(per_slot, ["host", "path"]).where(
         F.col("c") >= SHARE * F.col("n")).groupBy("host", "path").agg(F.sum("c").alias("again"), F.array_sort(F.collect_list("h")).alias("texts"))
     host = per_slot.where("path = ''").select("host", F.col("n").alias("pages"))
-    slot = F.struct("path", (F.coalesce("again", F.lit(0)) >= CONSTANT * F.col("all")).alias("constant"),
-                    F.coalesce("texts", F.array().cast("array<long>")).alias("texts"))
-    held = per_slot.where("path <> ''").join(host, "host").join(again, ["host", "path"], "left")
-    return held.where(F.col("texts").isNotNull() | (F.col("n") >= SUPPORT * F.col("pages"))).groupBy(
+    constant = F.coalesce("again", F.lit(0)) >= CONSTANT * F.col("all")
+    slot = F.struct("path", "constant", F.when(F.col("constant"), F.col("texts")).otherwise(F.array().cast("array<long>")).alias("texts"))
+    held = per_slot.where("path <> ''").join(host, "host").join(again, ["host", "path"], "left").withColumn("constant", constant)
+    return held.where(F.col("constant") | (~F.contains("path", F.lit("#")) & (F.col("n") >= SUPPORT * F.col("pages")))).groupBy(
         "host").agg(F.array_sort(F.collect_list(slot)).alias("slots"))
 
 
 def extract(pages: DataFrame, html: str = "html") -> DataFrame:
     """page_id, url, text, n_chars for every page."""
     own = pages.select("page_id", "url", F.col(html).alias("html"), _host().alias("_host"))
-    joined = own.join(wrappers(pages, html), F.col("_host") == F.col("host"), "left").select("page_id", "url", "html", "slots")
+    slots = materialise(wrappers(pages, html), "wrappers")
+    joined = own.join(slots, F.col("_host") == F.col("host"), "left").select("page_id", "url", "html", "host", "slots")
 
     def texts(batches):
+        known: dict = {None: None}  # the wrappers of the hosts met last
         for block in text_blocks(batches, "html", 1 << 22):
             out = []
-            for page, slots in zip(block.column("html").to_pylist(), block.column("slots").to_pylist()):
-                out.append(main_text(blocks(parse(page or "")), tuple((s["path"], s["constant"], tuple(s["texts"])) for s in slots or ())))
+            slots = block.column("slots")
+            for i, (page, host) in enumerate(zip(block.column("html").to_pylist(), block.column("host").to_pylist())):
+                if host not in known:
+                    if len(known) > 256:
+                        known = {None: None}
+                    known[host] = Wrapper(slots[i].as_py())
+                out.append(main_text(blocks(parse(page or "")), known[host]))
             yield pa.RecordBatch.from_arrays(
                 [block.column("page_id"), block.column("url"), pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64())],
                 names=["page_id", "url", "text", "n_chars"])

@@ -102,15 +102,16 @@ def text_features(block: pa.RecordBatch, swaps=None):
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int, text: str) -> DataFrame:
-    """text, y of at most ``max_rows`` labelled documents that are not held out."""
+    """text, y of at most ``max_rows`` labelled documents that are not held out; of documents
+    that share an id the one with the smallest text hash."""
     known = labels.where("doc_id is not null and toxic is not null").where(~held_out(F.col("doc_id"))).groupBy(
         F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("y"))
     share = 0.97 * max_rows / max(known.count(), 1)
     if share < 1:
         known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
     sample = F.broadcast(known.limit(max_rows))  # at most max_rows pairs of numbers
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(
-        sample, "doc_id").select("text", "y")
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(sample, "doc_id")
+    return own.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text", "y")).alias("d")).select("d.text", "d.y")
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_features: int = MAX_FEATURES,
