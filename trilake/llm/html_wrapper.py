@@ -6,7 +6,8 @@
 2. Over all pages of a host, copies and near copies of a page counted about once, the texts
    of every node are counted: of a path as a whole, and of each place among its equal
    siblings, from the front and from the back. A node is constant if at least half of what
-   stands there are texts that a fifth of its pages (and three of them) share. The host's
+   stands there are texts that a fifth of its pages (and three of them) share; a place must
+   also be on at least half of the pages with its path. The host's
    wrapper is the tree of its slots with the constant nodes' texts; a rare slot that is not
    constant is left out.
 3. Each page's tree is aligned with its host's wrapper by simple tree matching (the largest
@@ -460,8 +461,13 @@ def wrappers(pages: DataFrame, html: str = "html") -> DataFrame:
     constant = F.coalesce("again", F.lit(0)) >= CONSTANT * F.col("all")
     slot = F.struct("path", "constant", F.when(F.col("constant"), F.col("texts")).otherwise(F.array().cast("array<long>")).alias("texts"))
     held = per_slot.where("path <> ''").join(host, "host").join(again, ["host", "path"], "left").withColumn("constant", constant)
-    return held.where(F.col("constant") | (~F.contains("path", F.lit("#")) & (F.col("n") >= SUPPORT * F.col("pages")))).groupBy(
-        "host").agg(F.array_sort(F.collect_list(slot)).alias("slots"))
+    # a place counts only if most pages with its path have it: the same place on every page
+    base = F.substring_index("path", "#", 1)
+    of_path = per_slot.where(~F.contains("path", F.lit("#"))).select("host", F.col("path").alias("_base"), F.col("n").alias("_n"))
+    held = held.withColumn("_base", base).join(of_path, ["host", "_base"])
+    is_path = F.col("path") == F.col("_base")
+    return held.where(F.when(is_path, F.col("constant") | (F.col("n") >= SUPPORT * F.col("pages"))).otherwise(
+        F.col("constant") & (F.col("n") >= CONSTANT * F.col("_n")))).groupBy("host").agg(F.array_sort(F.collect_list(slot)).alias("slots"))
 
 
 def extract(pages: DataFrame, html: str = "html") -> DataFrame:
