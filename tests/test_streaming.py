@@ -116,3 +116,127 @@ def test_runs_with_other_column_orders_do_not_shift(spark, tmp_dir):
         f.write("release_year,tmdb_id\n1999,7\n")
     with pytest.raises(Exception, match="no landed header"):
         incremental_trusted(spark, f"{raw}/movies", "movies", f"{tmp_dir}/c", f"{tmp_dir}/k")
+
+
+EVENT = "event_id long, ts string, user_id long, event_type string, value double"
+
+
+def _users(table):
+    return {r["user_id"]: r["event_id"] for r in table.collect()}
+
+
+def test_a_reset_checkpoint_loses_nothing(spark, tmp_dir):
+    """Batch numbers start again at 0 with a new checkpoint: the log must neither overwrite
+    its folders nor take the new batches for ones that a snapshot covers."""
+    from trilake.streaming.incremental import snapshot
+    raw, changes, snap = f"{tmp_dir}/raw", f"{tmp_dir}/changes", f"{tmp_dir}/snap"
+    land_raw(spark.createDataFrame([(1, "2024-01-01 00:00:00", 1, "a", 1.0)], EVENT), raw, "events", run_ts="r0")
+    run_incremental(spark, f"{raw}/events", clean_events, "user_id", ORDER, changes, f"{tmp_dir}/ckpt0")
+    snapshot(spark, changes, "user_id", ORDER, snap)
+    land_raw(spark.createDataFrame([(2, "2024-01-02 00:00:00", 2, "b", 1.0)], EVENT), raw, "events", run_ts="r1")
+    run_incremental(spark, f"{raw}/events", clean_events, "user_id", ORDER, changes, f"{tmp_dir}/ckpt1", files_per_batch=1)
+    assert _users(current_table(spark, changes, "user_id", ORDER, snap)) == {1: 1, 2: 2}
+    land_raw(spark.createDataFrame([(3, "2024-01-03 00:00:00", 3, "c", 1.0)], EVENT), raw, "events", run_ts="r2")
+    run_incremental(spark, f"{raw}/events", clean_events, "user_id", ORDER, changes, f"{tmp_dir}/ckpt0")  # the old stream goes on
+    assert _users(current_table(spark, changes, "user_id", ORDER, snap)) == {1: 1, 2: 2, 3: 3}
+    assert _users(current_table(spark, changes, "user_id", ORDER)) == {1: 1, 2: 2, 3: 3}
+
+
+def test_a_replayed_batch_counts_once(spark, tmp_dir):
+    from trilake.sources.versions import SmallFiles
+    from trilake.streaming.incremental import _log_place
+    assert [_log_place(spark, tmp_dir, s, n) for s, n in (("aa", 0), ("aa", 1), ("bb", 0), ("aa", 1), ("aa", 0))] == [0, 1, 2, 1, 0]
+    assert len([n for n in SmallFiles(spark).names(f"{tmp_dir}/_places") if not n.startswith(".")]) == 6
+
+
+def _files(table, version=None):
+    version = table.version(version)
+    return {b: t["folder"] for t in version.tables.values() for b in t["buckets"]}
+
+
+def test_keyed_merge_rewrites_only_touched_buckets(spark, tmp_dir):
+    import os
+
+    from trilake.streaming.keyed import KeyedTable
+    table = KeyedTable(spark, tmp_dir, "k", ["v"], buckets=8)
+    assert table.rows() is None
+    rows = lambda r: spark.createDataFrame(r, "k long, v long, t string")
+    table.merge(rows([(i, i, "old") for i in range(100)]), "s", 0)
+    before = _files(table)
+    stamp = {f: os.path.getmtime(f"{tmp_dir}/{f}") for f in set(before.values())}
+    table.merge(rows([(3, 50, "new"), (3, 40, "less"), (7, 1, "late")]), "s", 1)
+    after = _files(table)
+    changed = {b for b in after if after[b] != before[b]}
+    assert 1 <= len(changed) <= 2 and {f: os.path.getmtime(f"{tmp_dir}/{f}") for f in stamp} == stamp
+    got = {r.k: (r.v, r.t) for r in table.rows().collect()}
+    assert got == {i: (i, "old") for i in range(100)} | {3: (50, "new")}
+    # what the commit changed: the new winner in, the old one out; the late row is neither
+    assert sorted((r._sign, r.k, r.v, r.t) for r in table.changes(2).collect()) == [(-1, 3, 3, "old"), (1, 3, 50, "new")]
+    assert table.changes(1).count() == 100
+    assert {r.k: r.v for r in table.rows(1).collect()}[3] == 3  # a pinned reader
+    assert table.merge(rows([(3, 99, "again")]), "s", 1) is None  # applied before
+    assert table.merge(rows([(200, 1, "other")]), "t", 0) is not None  # another stream has numbers of its own
+    assert table.rows().count() == 101
+    # the same row again changes nothing; a run may add or lack columns; an empty batch is a commit
+    assert table.merge(rows([(3, 50, "new")]), "s", 2).meta["commit"] and table.changes(4).count() == 0
+    table.merge(spark.createDataFrame([(3, 60, 1.5)], "k long, v long, extra double"), "s", 3)
+    assert [tuple(r) for r in table.rows().where("k = 3").select("v", "t", "extra").collect()] == [(60, None, 1.5)]
+    assert table.merge(rows([]), "s", 4).meta["commit"] is None and table.changes(6) is None
+    table.rebucket(3)
+    assert table.rows().count() == 101 and len(_files(table)) == 3
+    table.merge(rows([(3, 70, "x"), (None, 1, "no key")]), "s", 5)
+    assert table.rows().count() == 102 and table.zone.expire(1) and table.rows().count() == 102
+
+
+def test_keyed_merge_meets_a_faster_writer(spark, tmp_dir, monkeypatch):
+    from trilake.streaming.keyed import KeyedTable
+    one, two = (KeyedTable(spark, tmp_dir, "k", ["v"], buckets=2) for _ in range(2))
+    row = lambda k, v: spark.createDataFrame([(k, v)], "k long, v long")
+    one.merge(row(1, 1), "s", 0)
+    real, once = one._merge, []
+
+    def slow(base, batch, applied):
+        if not once:
+            once.append(two.merge(row(1, 9), "t", 0))
+        return real(base, batch, applied)
+
+    monkeypatch.setattr(one, "_merge", slow)
+    one.merge(row(1, 5), "s", 1)
+    assert [tuple(r) for r in one.rows().collect()] == [(1, 9)] and one.version().meta["applied"] == {"s": 1, "t": 0}
+
+
+def test_order_of_landings_does_not_matter(spark, tmp_dir):
+    import random
+
+    from trilake.streaming.keyed import KeyedTable
+    rng = random.Random(1)
+    rows_ = [(rng.randrange(20), rng.choice([None, 1, 2, 3]), rng.choice("abc")) for _ in range(200)]
+    df = lambda r: spark.createDataFrame(r, "k long, v long, t string")
+    want = sorted(tuple(r) for r in best_per_key(df(rows_), "k", "v", ties="*").collect())
+    for i, parts in enumerate(([rows_[:70], rows_[70:90], rows_[90:]], [rows_[90:], rows_[:70], rows_[70:90]])):
+        table = KeyedTable(spark, f"{tmp_dir}/{i}", "k", ["v"], buckets=4)
+        for j, part in enumerate(parts):
+            table.merge(df(part), "s", j)
+        assert sorted(tuple(r) for r in table.rows().select("k", "v", "t").collect()) == want
+
+
+def test_quoted_header_names_do_not_shift(spark, tmp_dir):
+    from trilake.sources.raw_csv import read_raw_by_header
+    raw = f"{tmp_dir}/raw"
+    odd = 'a, "b"'
+    land_raw(spark.createDataFrame([("x", "1", "2024-01-01 00:00:00")], ["odd", "user_id", "ts"]).withColumnRenamed("odd", odd), raw, "events", run_ts="r0")
+    land_raw(spark.createDataFrame([("2", "y")], ["user_id", "other"]), raw, "events", run_ts="r1")
+    got = {r["user_id"]: r[odd] for r in read_raw_by_header(spark, f"{raw}/events").collect()}
+    assert got == {"1": "x", "2": None}
+    seen = []
+
+    def clean(df):
+        seen.append(df.columns)
+        return df.select(F.col("user_id").cast("long").alias("user_id"))
+
+    run_incremental(spark, f"{raw}/events", clean, "user_id", [], f"{tmp_dir}/c", f"{tmp_dir}/k")
+    assert odd in seen[0] and _ids(current_table(spark, f"{tmp_dir}/c", "user_id", [])) == {1, 2}
+
+
+def _ids(table):
+    return {r["user_id"] for r in table.collect()}

@@ -51,7 +51,9 @@ def _parser() -> argparse.ArgumentParser:
     i = sub.add_parser("incremental")
     i.add_argument("--raw-prefix", required=True)
     i.add_argument("--table", choices=("movies", "tv_shows", "people", "movie_reviews", "exchange"), required=True)
-    i.add_argument("--out-prefix", required=True, help="change log, checkpoint and current table go here")
+    i.add_argument("--out-prefix", required=True, help="the keyed current table and the checkpoint go here")
+    i.add_argument("--buckets", type=int, default=64)
+    i.add_argument("--no-export", dest="export", action="store_false", help="do not write a plain copy of the current table")
 
     g = sub.add_parser("land")
     g.add_argument("--source", required=True)
@@ -87,16 +89,13 @@ def main(argv=None, stop: bool = True) -> int:
             else:
                 show_top(df, 25, name)
     elif args.cmd == "incremental":
-        from trilake.plans.trusted import ROW_CLEANERS
         from trilake.sources.parquet import write_table
-        from trilake.streaming.incremental import incremental_trusted, snapshot
+        from trilake.streaming.incremental import incremental_trusted, lake_table
         base = args.out_prefix.rstrip("/")
         table = incremental_trusted(spark, f"{args.raw_prefix.rstrip('/')}/{args.table}", args.table,
-                                    f"{base}/changes", f"{base}/checkpoint",
-                                    snapshots_dir=f"{base}/snapshots")
-        out = {args.table: write_table(table, base, "current"),
-               "snapshot": snapshot(spark, f"{base}/changes", ROW_CLEANERS[args.table][1], list(ROW_CLEANERS[args.table][2]),
-                                    f"{base}/snapshots")}
+                                    f"{base}/keyed", f"{base}/checkpoint", buckets=args.buckets)
+        out = {args.table: write_table(table, base, "current") if args.export else table.count(),
+               "version": lake_table(spark, args.table, f"{base}/keyed").version().number}
     else:
         from trilake.sources.raw_csv import CSV_OPTIONS, land_raw
         from trilake.sources.rates import read_rates_json

@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from trilake.plans import questions as Q
 from trilake.plans import questions_sql as QS
 from trilake.session import size_shuffle_for
-from trilake.sources.parquet import read_table, show_top, write_table
+from trilake.sources.parquet import read_tables, show_top
+from trilake.sources.versions import Zone
 from trilake.sources.views import register_trusted
 
 CURATED = ("revenue_by_genre", "top_actors_rentables", "revenue_by_year", "roi_by_director",
@@ -41,16 +42,17 @@ def curated_tables(trusted: dict[str, DataFrame], sample_size: int = Q.SAMPLE_SI
 
 def trusted_to_curated(spark: SparkSession, trusted_prefix: str, curated_prefix: str,
                        preview: bool = False, **params) -> dict[str, int]:
-    """Read four trusted tables, answer D1-D6, overwrite six curated tables.
-    Returns row counts observed during the writes."""
-    trusted = {n: read_table(spark, trusted_prefix, n)
-               for n in ("movies", "movie_genres", "people", "movie_reviews")}
+    """Read four trusted tables (of one version), answer D1-D6, publish six curated tables
+    together as the zone's next version. Returns row counts observed during the writes."""
+    trusted = read_tables(spark, trusted_prefix, ("movies", "movie_genres", "people", "movie_reviews"))
     size_shuffle_for(spark, *trusted.values())
+    out = Zone(spark, curated_prefix).draft()
     counts = {}
     for name, df in curated_tables(trusted, **params).items():
-        counts[name] = write_table(df, curated_prefix, name)
+        counts[name] = out.write(df, name)
         if preview:
-            show_top(read_table(spark, curated_prefix, name), 20, name)
+            show_top(out.table(name), 20, name)
+    out.publish()
     return counts
 
 

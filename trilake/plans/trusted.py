@@ -181,32 +181,31 @@ def raw_to_trusted(spark: SparkSession, raw_prefix: str, trusted_prefix: str,
                    on_missing: str = "identity", header_safe: bool = True,
                    buckets: int | None = None) -> dict[str, int]:
     """The full job. Returns row counts per written table and the raw rows rejected for
-    their id (from write-time observations, not extra count jobs). ``header_safe`` reads each raw dataset
+    their id (from write-time observations, not extra count jobs). The six tables are published
+    together as one version of the zone: readers see all old or all new ones. ``header_safe`` reads each raw dataset
     grouped by file header (U2) instead of trusting the first file's column order.
     ``buckets`` writes movies, movie_genres and movie_reviews bucketed alike on
     ``tmdb_id`` so the curated joins on that key are co-located (no shuffle)."""
     from trilake.session import size_shuffle_for
-    from trilake.sources.parquet import read_table, write_table
     from trilake.sources.raw_csv import read_raw, read_raw_by_header
+    from trilake.sources.versions import Zone
 
     names = ("movies", "tv_shows", "people", "movie_reviews", "exchange")
     reader = read_raw_by_header if header_safe else read_raw
     raw = {n: reader(spark, f"{raw_prefix.rstrip('/')}/{n}") for n in names}
     size_shuffle_for(spark, *raw.values())
-    counts = {}
     rejected = {n: Observation(f"rejected_{n}") for n in ("movies", "tv_shows", "people")}
     for n, seen in rejected.items():  # counted during the write itself
         raw[n] = raw[n].observe(seen, F.count_if(~F.coalesce(identifier(F.col("tmdb_id")) > 0, F.lit(False))).alias("rows"))
-    exchange = clean_exchange(raw["exchange"], mode=fx_mode)
-    counts["exchange"] = write_table(exchange, trusted_prefix, "exchange")
-    exchange = read_table(spark, trusted_prefix, "exchange")
-    movies = financial_metrics(clean_movies(raw["movies"]), exchange, code, on_missing=on_missing)
     by = {"bucket_by": "tmdb_id", "buckets": buckets} if buckets else {}
-    counts["movies"] = write_table(movies, trusted_prefix, "movies", **by)
-    movies = read_table(spark, trusted_prefix, "movies")  # cut lineage: reuse the written table
-    counts["movie_genres"] = write_table(genre_bridge(movies), trusted_prefix, "movie_genres", **by)
-    counts["tv_shows"] = write_table(clean_tv(raw["tv_shows"]), trusted_prefix, "tv_shows")
-    counts["people"] = write_table(clean_people(raw["people"]), trusted_prefix, "people")
-    counts["movie_reviews"] = write_table(clean_reviews(raw["movie_reviews"], movies),
-                                          trusted_prefix, "movie_reviews", **by)
+    out = Zone(spark, trusted_prefix).draft()
+    counts = {"exchange": out.write(clean_exchange(raw["exchange"], mode=fx_mode), "exchange")}
+    movies = financial_metrics(clean_movies(raw["movies"]), out.table("exchange"), code, on_missing=on_missing)
+    counts["movies"] = out.write(movies, "movies", **by)
+    movies = out.table("movies")  # cut lineage: reuse the written table
+    counts["movie_genres"] = out.write(genre_bridge(movies), "movie_genres", **by)
+    counts["tv_shows"] = out.write(clean_tv(raw["tv_shows"]), "tv_shows")
+    counts["people"] = out.write(clean_people(raw["people"]), "people")
+    counts["movie_reviews"] = out.write(clean_reviews(raw["movie_reviews"], movies), "movie_reviews", **by)
+    out.publish()
     return counts | {f"{n}_rejected": int(seen.get["rows"]) for n, seen in rejected.items()}

@@ -8,7 +8,9 @@ discovery turns ``run_ts`` into a column, so "newest landing" is a plain column.
 
 from __future__ import annotations
 
+import csv
 import datetime
+import io
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -33,17 +35,29 @@ def read_raw(spark: SparkSession, path: str, with_file: bool = False) -> DataFra
     return df
 
 
+def header_line(names: list[str]) -> str:
+    """A header by the CSV rules: names with commas, quotes or line breaks are quoted."""
+    out = io.StringIO()
+    csv.writer(out, lineterminator="").writerow(names)
+    return out.getvalue()
+
+
+def header_names(line: str) -> list[str]:
+    """The names of a header line."""
+    return next(csv.reader(io.StringIO(line, newline="")), [])
+
+
 def folder_header(spark: SparkSession, folder: str) -> str:
     """Header line of a folder's files: Spark reads the head of one file, nothing else."""
-    return ",".join(spark.read.options(**CSV_OPTIONS).csv(folder).columns)
+    return header_line(spark.read.options(**CSV_OPTIONS).csv(folder).columns)
 
 
 def run_manifests(spark: SparkSession, path: str) -> DataFrame:
     """(run folder, header) for every run landed by ``land_raw``: the hidden
     ``_columns`` manifest written next to the data, one tiny file per run."""
-    m = (spark.read.option("recursiveFileLookup", "true").text(f"{path.rstrip('/')}/*/_columns")
+    m = (spark.read.option("recursiveFileLookup", "true").text(f"{path.rstrip('/')}/*/_columns", wholetext=True)
          .select(F.regexp_extract(F.col("_metadata.file_path"), r"^(.*)/_columns/[^/]*$", 1).alias("run"),
-                 F.col("value").alias("header")))
+                 F.regexp_replace("value", r"\r?\n$", "").alias("header")))
     return m
 
 
@@ -95,7 +109,7 @@ def land_raw(df: DataFrame, raw_prefix: str, name: str, run_ts: str | None = Non
        .write.mode("errorifexists").option("maxRecordsPerFile", rows_per_file).options(**CSV_OPTIONS).csv(path))
     # Hidden manifest with the run's header line (readers skip "_" paths); lets the
     # header-safe read group runs without probing the data files.
-    header = ",".join(df.columns)
+    header = header_line(df.columns)
     (df.sparkSession.createDataFrame([(header,)], "value string").coalesce(1)
        .write.mode("overwrite").text(f"{path}/_columns"))
     return path

@@ -19,5 +19,5 @@ def register_views(tables: dict[str, DataFrame], prefix: str = "") -> dict[str,
 
 
 def register_trusted(spark: SparkSession, trusted_prefix: str, prefix: str = "") -> dict[str, str]:
-    from trilake.sources.parquet import read_table
-    return register_views({n: read_table(spark, trusted_prefix, n) for n in SQL_TABLES}, prefix)
+    from trilake.sources.parquet import read_tables
+    return register_views(read_tables(spark, trusted_prefix, SQL_TABLES), prefix)

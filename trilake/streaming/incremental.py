@@ -6,16 +6,25 @@ positional, and runs may differ in their columns, so the stream reads *places*
 get the names of that run's landed header (its ``_columns`` manifest), runs are united by
 name, cleaned, and cut to one row per key (W1). A run without a manifest stops the job.
 
-Each batch writes its winners to a change log (one folder per batch id, overwritten on
-replay, so a batch counts once). The current table is W1 over the change log with the same
-order and ties as the batch job, so both agree whatever order files land in. There is no
-streaming state to keep: the log is compacted by ``snapshot``, whose manifests are never
-rewritten. ``trigger(availableNow)`` handles what has landed, ``files_per_batch`` files at a
-time, and stops: what an hourly scheduler runs. Checkpoints are in the shared folder.
+Where a batch's winners go, a batch counts once:
+
+* ``KeyedTable`` (the default of ``incremental_trusted``): merged into a hash-bucketed
+  current table, of which only the batch's buckets are rewritten;
+* a change log (``run_incremental`` and ``current_table``): one folder per batch, compacted
+  by ``snapshot``.
+
+Spark numbers the batches of a checkpoint from 0, so a lost or reset checkpoint starts
+again at 0. Batches are therefore named by the stream's own id and number, and the log gives
+each a number of its own that never runs backwards: nothing is overwritten or taken for
+old. There is no streaming state to keep. ``trigger(availableNow)`` handles what has landed,
+``files_per_batch`` files at a time, and stops: what an hourly scheduler runs. Checkpoints are
+in the shared folder.
 """
 
 from __future__ import annotations
 
+import re
+import threading
 import uuid
 from collections.abc import Callable
 
@@ -26,9 +35,12 @@ from pyspark.sql import types as T
 
 from trilake.operators.dedupe import best_per_key
 from trilake.session import shared_dir
-from trilake.sources.raw_csv import CSV_OPTIONS, land_raw, landed_runs
+from trilake.sources.raw_csv import CSV_OPTIONS, header_names, land_raw, landed_runs
+from trilake.sources.versions import Conflict, SmallFiles
+from trilake.streaming.keyed import BUCKETS, KeyedTable
 
 FILES_PER_BATCH = 1000
+_PLACE = re.compile(r"^(\d{12})(?:\.([0-9a-f-]+)\.(\d+))?$")
 _RUN = r"^(.*/run_ts=[^/]*)/[^/]*$"
 
 
@@ -50,11 +62,11 @@ def _named(batch: DataFrame, headers: dict[str, list[str]]) -> DataFrame:
     return out
 
 
-def run_incremental(spark: SparkSession, raw_dir: str, clean: Callable[[DataFrame], DataFrame], key: str,
-                    order: list[str], changes_dir: str, checkpoint_dir: str,
-                    files_per_batch: int = FILES_PER_BATCH) -> None:
-    """Process every file landed under ``raw_dir`` (a dataset folder) since the last run."""
-    headers = {r["run"].rstrip("/"): r["header"].split(",") for r in landed_runs(spark, raw_dir)}
+def _stream_batches(spark: SparkSession, raw_dir: str, checkpoint_dir: str, files_per_batch: int,
+                    handle: Callable[[DataFrame, dict, str, int], None]) -> None:
+    """Call ``handle(rows, headers, stream id, batch number)`` for the files landed under
+    ``raw_dir`` (a dataset folder) since the last run."""
+    headers = {r["run"].rstrip("/"): header_names(r["header"]) for r in landed_runs(spark, raw_dir)}
     if not headers:
         raise ValueError(f"no landed run with a header under {raw_dir}")
     width = max(len(h) for h in headers.values())
@@ -62,15 +74,60 @@ def run_incremental(spark: SparkSession, raw_dir: str, clean: Callable[[DataFram
     stream = (spark.readStream.schema(places).options(**CSV_OPTIONS).option("enforceSchema", "true")
               .option("maxFilesPerTrigger", int(files_per_batch)).csv(f"{raw_dir.rstrip('/')}/*")
               .withColumn("run", F.regexp_extract(F.col("_metadata.file_path"), _RUN, 1)))
+    known = threading.Event()
+    ids: list[str] = []
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        rows = clean(_named(batch, headers))
-        best_per_key(rows, key, *order, ties="*").write.mode("overwrite").parquet(f"{changes_dir}/batch_id={batch_id}")
+        known.wait(600)
+        if not batch.isEmpty():
+            handle(batch, headers, ids[0], int(batch_id))
 
-    (stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint_dir)
-     .trigger(availableNow=True).start().awaitTermination())
+    query = (stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint_dir)
+             .trigger(availableNow=True).start())
+    ids.append(str(query.id))  # kept in the checkpoint: another one after a reset
+    known.set()
+    query.awaitTermination()
+
+
+def run_incremental(spark: SparkSession, raw_dir: str, clean: Callable[[DataFrame], DataFrame], key: str,
+                    order: list[str], changes_dir: str, checkpoint_dir: str,
+                    files_per_batch: int = FILES_PER_BATCH) -> None:
+    """Add the winners of every file landed under ``raw_dir`` since the last run to the
+    change log."""
+
+    def handle(batch, headers, stream, number):
+        rows = clean(_named(batch, headers))
+        place = _log_place(spark, changes_dir, stream, number)
+        best_per_key(rows, key, *order, ties="*").write.mode("overwrite").parquet(f"{changes_dir}/batch_id={place}")
+
+    _stream_batches(spark, raw_dir, checkpoint_dir, files_per_batch, handle)
+
+
+def run_keyed(spark: SparkSession, raw_dir: str, clean: Callable[[DataFrame], DataFrame], table: KeyedTable,
+              checkpoint_dir: str, files_per_batch: int = FILES_PER_BATCH) -> None:
+    """Merge every file landed under ``raw_dir`` since the last run into a keyed table."""
+    _stream_batches(spark, raw_dir, checkpoint_dir, files_per_batch,
+                    lambda batch, headers, stream, number: table.merge(clean(_named(batch, headers)), stream, number))
+
+
+def _log_place(spark: SparkSession, changes_dir: str, stream: str, number: int) -> int:
+    """The log's own number of a stream's batch: the one reserved for it before (a replay
+    writes the same folder), else the next."""
+    files = SmallFiles(spark)
+    folder = f"{changes_dir.rstrip('/')}/_places"
+    while True:
+        taken = [m for m in map(_PLACE.match, files.names(folder)) if m]
+        for m in taken:
+            if m[2] is not None and (m[2], int(m[3])) == (stream, number):
+                return int(m[1])
+        logged = [int(n.partition("=")[2]) for n in files.names(changes_dir) if n.startswith("batch_id=")]
+        place = max([-1, *logged, *(int(m[1]) for m in taken)]) + 1
+        try:
+            files.add(f"{folder}/{place:012d}", "")  # the number, once for all writers
+            files.add(f"{folder}/{place:012d}.{stream}.{number}", "")
+            return place
+        except Conflict:
+            continue
 
 
 def _found(read: Callable[[], DataFrame]) -> DataFrame | None:
@@ -118,17 +175,24 @@ def snapshot(spark: SparkSession, changes_dir: str, key: str, order: list[str],
     return path
 
 
-def incremental_trusted(spark: SparkSession, raw_dir: str, name: str, changes_dir: str, checkpoint_dir: str,
-                        snapshots_dir: str | None = None, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
+def lake_table(spark: SparkSession, name: str, root: str, buckets: int = BUCKETS) -> KeyedTable:
+    """The keyed current table of a lake table."""
+    from trilake.plans.trusted import ROW_CLEANERS
+    _, key, order = ROW_CLEANERS[name]
+    return KeyedTable(spark, root, key, list(order), buckets)
+
+
+def incremental_trusted(spark: SparkSession, raw_dir: str, name: str, current_dir: str, checkpoint_dir: str,
+                        files_per_batch: int = FILES_PER_BATCH, buckets: int = BUCKETS) -> DataFrame:
     """ST1 for one lake table (movies, tv_shows, people, movie_reviews, exchange): the new
-    files, then the current rows. Columns that follow from the chosen row (the TV bucket)
-    are added to it; what needs other tables is in ``incremental_tables``."""
+    files are merged into the keyed table under ``current_dir``, whose rows are returned.
+    Columns that follow from the chosen row (the TV bucket) are added to it; what needs other
+    tables is in ``incremental_tables``."""
     from trilake.plans.trusted import ROW_CLEANERS, with_bucket
-    clean, key, order = ROW_CLEANERS[name]
-    run_incremental(spark, raw_dir, clean, key, list(order), changes_dir, checkpoint_dir,
-                    files_per_batch)
-    table = current_table(spark, changes_dir, key, list(order), snapshots_dir)
-    return with_bucket(table) if name == "tv_shows" else table
+    table = lake_table(spark, name, current_dir, buckets)
+    run_keyed(spark, raw_dir, ROW_CLEANERS[name][0], table, checkpoint_dir, files_per_batch)
+    rows = table.rows()
+    return with_bucket(rows) if name == "tv_shows" else rows
 
 
 def incremental_tables(spark: SparkSession, raw_prefix: str, out_prefix: str, code: str = "COP",
@@ -138,8 +202,8 @@ def incremental_tables(spark: SparkSession, raw_prefix: str, out_prefix: str, co
     from trilake.operators.finance import financial_metrics
     from trilake.operators.joins import keep_known
     from trilake.plans.trusted import genre_bridge
-    out = {n: incremental_trusted(spark, f"{raw_prefix.rstrip('/')}/{n}", n, f"{out_prefix}/{n}/changes", f"{out_prefix}/{n}/checkpoint",
-                                  f"{out_prefix}/{n}/snapshots") for n in names}
+    out = {n: incremental_trusted(spark, f"{raw_prefix.rstrip('/')}/{n}", n, f"{out_prefix}/{n}/current", f"{out_prefix}/{n}/checkpoint")
+           for n in names}
     out["movies"] = financial_metrics(out["movies"], out["exchange"], code)
     out["movie_genres"] = genre_bridge(out["movies"])
     out["movie_reviews"] = keep_known(out["movie_reviews"], out["movies"], "tmdb_id")
