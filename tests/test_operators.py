@@ -147,3 +147,125 @@ def test_bridge_tokens_rejoin_to_same_multiset(spark):
     for i, text in data:
         want = Counter(t.strip(" ").lower() for t in (text or "").split(",") if t.strip(" "))
         assert got.get(i, Counter()) == want, (i, text)
+
+
+def _scans(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_samples_move_few_rows(spark, tmp_dir):
+    """O7 reads its input once; in O8 what passes the threshold does not grow with the tasks."""
+    import re
+    spark.range(60_000).selectExpr("id AS k", "id % 7 AS v").repartition(40).write.parquet(f"{tmp_dir}/t")
+    df = spark.read.parquet(f"{tmp_dir}/t")
+    drawn = sample_n(df, 100)
+    plan = drawn._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall("FileScan", plan)) == 1
+    got = [r.k for r in drawn.collect()]
+    assert len(got) == len(set(got)) == 100
+    assert len({tuple(sorted(r.k for r in sample_n(df, 100, seed=s).collect())) for s in (1, 2, 3)}) == 3
+    assert sample_n(df, 100, total=60_000).count() == 100
+    assert sample_n(df, 70_000).count() == 60_000 and sample_n(df.limit(0), 5).count() == 0
+    import hashlib
+    want = sorted(range(60_000), key=lambda k: hashlib.md5(f"42:{k}".encode()).hexdigest())[:100]
+    for parts in (1, 64):
+        passed = hash_sample(df.repartition(parts), 100, "k")
+        assert [r.k for r in passed.collect()] == want
+    from trilake.operators.sample import _octave, hash_key
+    octaves = {r.b: r["count"] for r in df.groupBy(_octave(hash_key("k")).alias("b")).count().collect()}
+    level, seen = 0, 0
+    while seen < 100:
+        seen += octaves.get(level, 0)
+        level += 1
+    assert 100 <= seen <= 300  # rows that are sorted, in all
+    assert [r.k for r in hash_sample(df, 60_001, "k").collect()][:100] == want and hash_sample(df.limit(0), 5, "k").count() == 0
+
+
+def test_every_row_is_as_likely(spark):
+    df = spark.range(200).repartition(8)
+    hits = [0] * 200
+    for seed in range(60):
+        for r in sample_n(df, 20, seed=seed).collect():
+            hits[r.id] += 1
+    assert sum(hits) == 1200 and max(hits) <= 20 and sum(h == 0 for h in hits) <= 6
+
+
+def test_sql_distinct_counts_shuffle_no_pairs(spark, tmp_dir):
+    """Q1, Q2, Q4: no exchange on (token, title)."""
+    import re
+
+    from trilake.plans import questions_sql as QS
+    movies = spark.createDataFrame(
+        [(i, float(i), 1.0, float(i) - 1, 10.0 * i, 4.0 * i, "7,8,7" if i % 2 else " 8 , x", "Ann, Bob,Ann" if i % 3 else "Bob") for i in range(1, 40)],
+        "tmdb_id long, revenue_usd double, budget_usd double, profit_usd double, roi_pct double, revenue_cop double, cast_ids string, directors string")
+    genres = spark.createDataFrame([(i, g) for i in range(1, 40) for g in ("a", "b", "a")], "tmdb_id long, genre string")
+    people = spark.createDataFrame([(7, "p7"), (8, "p8"), (8, "p8")], "tmdb_id long, name string")
+    rates = spark.createDataFrame([("COP", 4.0)], "currency string, rate double")
+    for n, df in (("movies", movies), ("movie_genres", genres), ("people", people), ("exchange", rates)):
+        df.write.parquet(f"{tmp_dir}/{n}")
+        spark.read.parquet(f"{tmp_dir}/{n}").createOrReplaceTempView(f"dc_{n}")
+    v = {n: f"dc_{n}" for n in ("movies", "movie_genres", "people", "exchange")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for text, keys in ((QS.q1_genre_revenue(v=v), {"genre"}), (QS.q2_profitable_actors(v=v), {"person", "tmdb_id", "name"}),
+                           (QS.q4_director_roi_fx(v=v), {"director"})):
+            plan = spark.sql(text)._jdf.queryExecution().executedPlan().toString()
+            dealt = [set(re.findall(r"(\w+)#", x)) for x in re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", plan)]
+            pairs = [d for d in dealt if "tmdb_id" in d and d & {"genre", "person", "director"}]
+            assert dealt and not pairs and all(d <= keys | {"tmdb_id"} for d in dealt), dealt
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    q1 = {r.genre: tuple(r)[1:] for r in spark.sql(QS.q1_genre_revenue(v=v)).collect()}
+    s = sum(range(1, 40))
+    assert q1 == {"a": (39, 20.0, 2.0 * s, 80.0, 8.0 * s), "b": (39, 20.0, 1.0 * s, 80.0, 4.0 * s)}  # copies weigh in sums, not in titles
+    assert {r.tmdb_id: r.peliculas_rentables for r in spark.sql(QS.q2_profitable_actors(v=v)).collect()} == {7: 19, 8: 38}
+    assert {r.director: r.peliculas for r in spark.sql(QS.q4_director_roi_fx(v=v)).collect()} == {"Ann": 26, "Bob": 39}
+
+
+def test_sums_do_not_depend_on_the_order(spark):
+    import random
+    from fractions import Fraction
+
+    from trilake.functions.exact import exact_sum, limbs, join_limbs, mean, total
+    rng = random.Random(3)
+    xs = [rng.choice([1, -1]) * rng.random() * 10.0 ** rng.randrange(-6, 13) for _ in range(5000)] + [None, 0.0, -0.0, 0.1] * 3
+    df = spark.createDataFrame([(i % 3, x) for i, x in enumerate(xs)], "g int, x double")
+    got = {tuple(sorted((r.g, r.s, r.m) for r in df.repartition(p).groupBy("g").agg(exact_sum(F.col("x")).alias("s"), mean(df, "x").alias("m")).collect()))
+           for p in (1, 4, 64)}
+    assert len(got) == 1
+    for g, s, m in next(iter(got)):
+        part = [x for i, x in enumerate(xs) if i % 3 == g and x is not None]
+        want = float(sum(map(Fraction, part)))
+        assert abs(s - want) <= 1e-9 + abs(want) * 1e-15 and abs(m - want / len(part)) <= 1e-9
+    # what was added can be taken back to the last bit
+    a, b = df.where("g = 0"), df.where("g < 2")
+    sums = lambda d, sign: d.agg(*[F.sum(c * sign).alias(f"s{i}") for i, c in enumerate(limbs(F.col("x")))])
+    back = sums(b, 1).union(sums(df.where("g = 1"), -1)).agg(*[F.sum(f"s{i}").alias(f"s{i}") for i in range(4)])
+    assert back.select(join_limbs([F.col(f"s{i}") for i in range(4)])).first()[0] == a.agg(exact_sum(F.col("x"))).first()[0]
+    one = lambda vs: spark.createDataFrame([(v,) for v in vs], "x double").agg(exact_sum(F.col("x")).alias("s")).first().s
+    assert one([None]) is None and one([1e300, 1.0]) == 1e300 and one([float("inf"), 1.0]) == float("inf") and str(one([float("nan"), 1.0])) == "nan"
+    assert one([0.1, 0.2, 0.3]) == one([0.3, 0.2, 0.1]) and one([1e17, 1.0, -1e17]) == 1.0
+    whole = spark.createDataFrame([(1,), (2,)], "x long")
+    assert whole.agg(total(whole, "x").alias("s")).first().s == 3
+
+
+def test_curated_answers_are_equal_at_any_partitioning(spark):
+    import random
+
+    from trilake.plans import questions as Q
+    rng = random.Random(5)
+    movies = spark.createDataFrame(
+        [(i, rng.choice([1990, 1991]), rng.random() * 1e7, rng.random() * 1e10, rng.random() * 1e6, rng.random() * 300, rng.random() * 10, "a, b", "1,2", "x, y", f"t{i}")
+         for i in range(3000)],
+        "tmdb_id long, release_year int, revenue_usd double, revenue_cop double, profit_usd double, roi_pct double, vote_average double, genres string, cast_ids string, directors string, title string")
+    people = spark.createDataFrame([(1, "p"), (2, "q")], "tmdb_id long, name string")
+    reviews = spark.createDataFrame([(i % 500, rng.random() * 10) for i in range(6000)], "tmdb_id long, rating double")
+
+    def answers(n):
+        m, r = movies.repartition(n), reviews.repartition(n)
+        return [sorted(map(tuple, df.collect())) for df in (
+            Q.revenue_by_genre(m), Q.top_actors_rentables(m, people), Q.revenue_by_year(m), Q.roi_by_director(m),
+            Q.ratings_correlations(m, r), Q.ratings_vs_revenue_sample(m, r, n=100, mode="hash"), Q.review_means(r))]
+
+    assert answers(4) == answers(64)

@@ -5,11 +5,8 @@ Spark side: the library's own functions over the look-alike trusted tables
 (``plans.lookalike``). Oracle side: plain SQL over the raw driver tables, building
 the same look-alikes in CTEs. Decimal outputs are cast to double on both sides.
 
-Exactness: money is decimal, so totals are exact in both engines. Spark's decimal
-``avg`` rounds HALF_UP at the division scale, then at the average's scale, then at
-``round``'s digits; DuckDB's decimal ``avg`` is a double. The oracle therefore
-recomputes those money averages with integer arithmetic (``_exact_avg``) following
-the same rounding steps.
+Exactness: money is decimal, so totals are exact in both engines, and means are the exact
+sum over the count, divided once in doubles.
 """
 
 from __future__ import annotations
@@ -43,31 +40,9 @@ def _views(spark: SparkSession, d: str) -> dict:
     return register_views(LA.trusted(spark, d), prefix=f"lk_{tag}_")
 
 
-def _exact_avg(s: str, n: str, in_scale: int, steps: list[int], digits: int) -> str:
-    """DuckDB text for Spark's ``round(avg(decimal), digits)`` from the exact sum
-    ``s`` (an integer in units of 10^-in_scale) and count ``n``: HALF_UP at each
-    scale in ``steps`` then at ``digits``."""
-    a = f"(sign({s}) * ((2 * abs({s}) * {10 ** (steps[0] - in_scale)} + {n}) // (2 * {n})))"
-    prev = steps[0]
-    for st in [*steps[1:], digits]:
-        b = 10 ** (prev - st)
-        if b > 1:
-            a = f"(sign({a}) * ((2 * abs({a}) + {b}) // (2 * {b})))"
-        prev = st
-    return f"CASE WHEN {n} = 0 THEN NULL ELSE CAST({a} AS DOUBLE) / {10 ** digits} END"
-
-
-# Spark's rounding steps for avg over the look-alike columns (division scale, avg scale):
-# revenue_usd decimal(18,2): sum (28,2) / count -> (38,12) -> avg (22,6)
-# profit_usd  decimal(19,2): sum (29,2) / count -> (38,11) -> avg (23,6)
-# revenue_cop decimal(37,6): sum (38,6) / count -> (38,6)  -> avg (38,10)
-AVG_USD = (2, [12, 6])
-AVG_PROFIT = (2, [11, 6])
-AVG_COP = (6, [6])
-
-
-def _hsum(col: str, scale: int) -> str:
-    return f"SUM(CAST(CAST({col} AS DECIMAL(38,{scale})) * {10 ** scale} AS HUGEINT))"
+def _mean(s: str, n: str, digits: int) -> str:
+    """DuckDB text of a rounded mean: the exact decimal sum over the count, divided in doubles."""
+    return f"ROUND(CAST({s} AS DOUBLE) / NULLIF({n}, 0), {digits})"
 
 
 def duck_int(expr: str, kind: str = "INTEGER") -> str:
@@ -170,16 +145,14 @@ def _genre_oracle(where: str, names: dict, limit: str = "") -> str:
 g AS (SELECT tmdb_id, revenue_usd, revenue_cop, trim(unnest(string_split(genres, ','))) AS genre
       FROM titles WHERE genres IS NOT NULL AND {where}),
 agg AS (SELECT genre, COUNT(DISTINCT tmdb_id) AS n,
-               SUM(revenue_usd) AS su, SUM(revenue_cop) AS sc,
-               {_hsum('revenue_usd', 2)} AS s1, COUNT(revenue_usd) AS n1,
-               {_hsum('revenue_cop', 6)} AS s2, COUNT(revenue_cop) AS n2
+               SUM(revenue_usd) AS su, SUM(revenue_cop) AS sc, COUNT(revenue_usd) AS n1, COUNT(revenue_cop) AS n2
         FROM g WHERE genre <> '' GROUP BY genre)"""
     body = f"""
 SELECT genre, n AS {names['n']},
        CAST(ROUND(su, 2) AS DOUBLE) AS {names['su']},
-       {_exact_avg('s1', 'n1', AVG_USD[0], AVG_USD[1], 2)} AS {names['au']},
+       {_mean('su', 'n1', 2)} AS {names['au']},
        CAST(ROUND(sc, 2) AS DOUBLE) AS {names['sc']},
-       {_exact_avg('s2', 'n2', AVG_COP[0], AVG_COP[1], 2)} AS {names['ac']}
+       {_mean('sc', 'n2', 2)} AS {names['ac']}
 FROM agg ORDER BY {names['su']} DESC, genre {limit}"""
     return _with(body, extra)
 
@@ -207,9 +180,9 @@ c AS (SELECT tmdb_id, profit_usd, revenue_usd, unnest(string_split(cast_ids, ','
 c2 AS (SELECT tmdb_id, profit_usd, revenue_usd, {duck_int('tok', 'BIGINT')} AS actor_id FROM c
        {"WHERE trim(tok) <> ''" if sql_variant else ""}),
 per AS (SELECT actor_id, COUNT(DISTINCT tmdb_id) AS n,
-               {_hsum('profit_usd', 2)} AS s, COUNT(profit_usd) AS k, SUM(revenue_usd) AS sr
+               SUM(profit_usd) AS s, COUNT(profit_usd) AS k, SUM(revenue_usd) AS sr
         FROM c2 WHERE actor_id IS NOT NULL GROUP BY actor_id)"""
-    avg = _exact_avg("s", "k", AVG_PROFIT[0], AVG_PROFIT[1], 2)
+    avg = _mean("s", "k", 2)
     if sql_variant:
         body = f"""
 SELECT p.tmdb_id, p.name AS actor, per.n AS peliculas_rentables, {avg} AS avg_profit_usd
@@ -243,10 +216,10 @@ agg AS (SELECT director_name, COUNT(DISTINCT tmdb_id) AS n, AVG(roi_pct) AS ar,
                    (CAST(revenue_usd * (SELECT rate FROM fxrate) AS DOUBLE)
                     - CAST(budget_usd * (SELECT rate FROM fxrate) AS DOUBLE))
                    / CAST(budget_usd * (SELECT rate FROM fxrate) AS DOUBLE) * 100 END) AS aadj,
-               {_hsum('profit_usd', 2)} AS s, COUNT(profit_usd) AS k, SUM(revenue_usd) AS sr
+               SUM(profit_usd) AS s, COUNT(profit_usd) AS k, SUM(revenue_usd) AS sr
         FROM dd WHERE director_name <> '' AND roi_pct IS NOT NULL
         GROUP BY director_name HAVING COUNT(DISTINCT tmdb_id) >= 3)"""
-    avg = _exact_avg("s", "k", AVG_PROFIT[0], AVG_PROFIT[1], 2)
+    avg = _mean("s", "k", 2)
     if sql_variant:
         body = f"""
 SELECT director_name AS director, n AS peliculas, ROUND(ar, 2) AS avg_roi_pct,
