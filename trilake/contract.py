@@ -674,7 +674,7 @@ UNION ALL SELECT 'exchange', COUNT(*) FROM exchange_like""")
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     from trilake import contract_jobs
     from trilake.streaming.incremental import q_incremental_latest
-    from trilake.sources.raw_csv import q_raw_roundtrip
+    from trilake.sources.raw_csv import q_raw_roundtrip, q_raw_split_roundtrip
     return contract_jobs.queries() | {
         "revenue_by_year": q_revenue_by_year,
         "revenue_by_year_rate": q_revenue_by_year_rate,
@@ -723,12 +723,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "lake_job_trusted_movies": q_lake_job_trusted_movies,
         "incremental_latest": q_incremental_latest,
         "raw_roundtrip": q_raw_roundtrip,
+        "raw_split_roundtrip": q_raw_split_roundtrip,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     from trilake import contract_jobs
-    from trilake.sources.raw_csv import ORACLE_RAW_ROUNDTRIP
+    from trilake.sources.raw_csv import ORACLE_RAW_ROUNDTRIP, ORACLE_RAW_SPLIT
     from trilake.streaming.incremental import ORACLE_INCREMENTAL
     genre_df = {"n": "n_movies", "su": "revenue_usd_total", "au": "revenue_usd_avg",
                 "sc": "revenue_cop_total", "ac": "revenue_cop_avg"}
@@ -799,6 +800,7 @@ SELECT 'directors', MAX(avg_roi_pct) * 1.15 FROM ({_director_oracle(False)}) r""
         "trusted_row_counts": ORACLE_ROW_COUNTS,
         "incremental_latest": ORACLE_INCREMENTAL,
         "raw_roundtrip": ORACLE_RAW_ROUNDTRIP,
+        "raw_split_roundtrip": ORACLE_RAW_SPLIT,
     }
 
 

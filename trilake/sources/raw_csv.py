@@ -11,11 +11,14 @@ from __future__ import annotations
 import csv
 import datetime
 import io
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trilake.sources.csv_split import read_csv_split
+
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "escape": '"', "quote": '"'}
 
 
@@ -61,7 +64,7 @@ def run_manifests(spark: SparkSession, path: str) -> DataFrame:
     return m
 
 
-def read_raw_by_header(spark: SparkSession, path: str) -> DataFrame:
+def read_raw_by_header(spark: SparkSession, path: str, split_large: int | None = None) -> DataFrame:
     """U2 (safe variant): Spark's CSV scan maps columns by the position of the FIRST
     file's header, so a run landed with another column set is silently misassigned.
     Runs are grouped by their header, each group is read with its own, and the groups are
@@ -71,23 +74,34 @@ def read_raw_by_header(spark: SparkSession, path: str) -> DataFrame:
     Runs landed by ``land_raw`` carry a ``_columns`` manifest. Of a run without one (landed
     by other tools) the head of one file is read, and the scan itself checks every file's
     header against it (``enforceSchema=false``) and fails on a difference. Only the list of
-    runs with their headers reaches the driver, never a list of files."""
+    runs with their headers reaches the driver, never a list of files.
+
+    Runs with a file larger than ``split_large`` bytes (default: the session's split size) are
+    read by many tasks a file (``csv_split``), the others by one task a file."""
     headers = {r["run"]: r["header"] for r in landed_runs(spark, path)}
     files = spark.read.format("binaryFile").load(path)  # a listing: no content is read
-    folders = files.select(F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("run")).distinct()
-    for r in folders.collect():
-        if r["run"] not in headers:
-            headers[r["run"]] = folder_header(spark, r["run"])
-    groups: dict[str, list[str]] = {}
-    for run, header in headers.items():
-        groups.setdefault(header, []).append(run)
+    folders = files.groupBy(F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("run")).agg(F.max("length").alias("largest"))
+    above = split_above(spark) if split_large is None else split_large
+    groups: dict[tuple[str, bool], list[str]] = {}
+    largest = {r["run"]: r["largest"] for r in folders.collect()}
+    for run in largest.keys() | headers.keys():
+        header = headers[run] if run in headers else folder_header(spark, run)
+        groups.setdefault((header, largest.get(run, 0) > above), []).append(run)
     out = None
-    for _, runs in sorted(groups.items()):
-        part = spark.read.options(**CSV_OPTIONS).option("enforceSchema", "false").option("basePath", path).csv(runs)
+    for (header, large), runs in sorted(groups.items()):
+        if large:
+            part = read_csv_split(spark, sorted(runs), header_names(header), CSV_OPTIONS, base_path=path)
+        else:
+            part = spark.read.options(**CSV_OPTIONS).option("enforceSchema", "false").option("basePath", path).csv(sorted(runs))
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return read_raw(spark, path) if out is None else out
 
 
+def split_above(spark: SparkSession) -> int:
+    """File size from which on a file is worth several tasks: the session's split size."""
+    return int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+
+
 def landed_runs(spark: SparkSession, path: str) -> list:
     """Manifest rows of a dataset (one for each run). None if no run has one; any other
     failure to read them is an error."""
@@ -101,8 +115,8 @@ def landed_runs(spark: SparkSession, path: str) -> list:
 
 def land_raw(df: DataFrame, raw_prefix: str, name: str, run_ts: str | None = None, rows_per_file: int = 1_000_000) -> str:
     """Land a dataset in the raw zone under a new run folder; never overwrites
-    (``errorifexists``). Values are written as text, quoted per RFC 4180. Files with
-    quoted line breaks are read by one task each, so a file has ``rows_per_file`` at most."""
+    (``errorifexists``). Values are written as text, quoted per RFC 4180. A file has
+    ``rows_per_file`` rows at most."""
     ts = run_ts or run_stamp()
     path = f"{raw_prefix.rstrip('/')}/{name}/run_ts={ts}"
     (df.select([F.col(c).cast("string").alias(c) for c in df.columns])
@@ -129,11 +143,27 @@ def ingest_all(sources: dict[str, DataFrame], raw_prefix: str, run_ts: str | Non
     return out
 
 
+def q_raw_split_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """Contract query for S1: customers with quotes, commas and line breaks in their text are
+    landed as one file and read back by many tasks."""
+    from trilake.session import shared_dir
+    raw = shared_dir(spark, "raw_split", uuid.uuid4().hex)
+    c = spark.read.parquet(f"{d.rstrip('/')}/customer.parquet")
+    note = F.concat(F.lit('say "'), F.col("c_name"), F.lit('",\n'), F.repeat(F.lit("line\n"), (F.col("c_custkey") % 4).cast("int")), F.lit('"'))
+    land_raw(c.select("c_custkey", F.when(F.col("c_custkey") % 5 != 0, note).alias("note"), "c_name").coalesce(1), raw, "customer", "run0",
+             rows_per_file=0)
+    return read_raw_by_header(spark, f"{raw}/customer", split_large=0).select("c_custkey", "note", "c_name")
+
+
+ORACLE_RAW_SPLIT = """
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name,
+       CASE WHEN c_custkey % 5 <> 0 THEN 'say "' || c_name || '",' || chr(10) || repeat('line' || chr(10), CAST(c_custkey % 4 AS INTEGER)) || '"' END AS note
+FROM customer"""
+
+
 def q_raw_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     """Contract query for S1/S9/U2: land all orders as two raw runs whose files carry
     different column sets and orders, then read the zone back grouped by header."""
-    import uuid
-
     from trilake.session import shared_dir
     raw = shared_dir(spark, "raw_roundtrip", uuid.uuid4().hex)
     o = spark.read.parquet(f"{d.rstrip('/')}/orders.parquet")
