@@ -11,6 +11,7 @@ sum over the count, divided once in doubles.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +24,7 @@ from trilake.operators.finance import roi_local
 from trilake.operators.joins import cross_scalar, distinct_keys, keep_known
 from trilake.plans import kpi, lookalike as LA, questions as Q, questions_sql as QS
 from trilake.plans.trusted import clean_exchange, clean_movies, clean_tv, genre_bridge
-from trilake.sources.views import register_views
+from trilake.sources.views import SQL_TABLES, register_views
 
 # ------------------------------------------------------------------ helpers
 
@@ -34,10 +35,16 @@ def to_double(df: DataFrame) -> DataFrame:
                       else F.col(f.name) for f in df.schema.fields])
 
 
-def _views(spark: SparkSession, d: str) -> dict:
+def _sql(spark: SparkSession, d: str, text: Callable[[dict], str]) -> DataFrame:
+    """An SQL question over views of the stored trusted tables; only the views that its text
+    names are registered."""
     import hashlib
     tag = hashlib.md5(d.rstrip("/").encode()).hexdigest()[:8]
-    return register_views(LA.trusted(spark, d), prefix=f"lk_{tag}_")
+    views = {n: f"lk_{tag}_{n}" for n in SQL_TABLES}
+    question = text(views)
+    used = [n for n, v in views.items() if re.search(rf"\b{v}\b", question)]
+    register_views({n: LA.stored(spark, d, n) for n in used}, prefix=f"lk_{tag}_")
+    return spark.sql(question)
 
 
 def _mean(s: str, n: str, digits: int) -> str:
@@ -117,7 +124,7 @@ def _with(body: str, extra: str = "") -> str:
 
 
 def q_revenue_by_year(spark, d):
-    return to_double(Q.revenue_by_year(LA.titles(spark, d)))
+    return to_double(Q.revenue_by_year(LA.stored(spark, d, "movies")))
 
 
 ORACLE_REVENUE_BY_YEAR_BODY = """
@@ -132,12 +139,11 @@ GROUP BY release_year HAVING COUNT(*) >= 5"""
 
 
 def q_revenue_by_year_rate(spark, d):
-    v = _views(spark, d)
-    return to_double(spark.sql(QS.q3_revenue_by_year_rate(v=v)))
+    return to_double(_sql(spark, d, lambda v: QS.q3_revenue_by_year_rate(v=v)))
 
 
 def q_revenue_by_token(spark, d):
-    return to_double(Q.revenue_by_genre(LA.titles(spark, d)))
+    return to_double(Q.revenue_by_genre(LA.stored(spark, d, "movies")))
 
 
 def _genre_oracle(where: str, names: dict, limit: str = "") -> str:
@@ -159,17 +165,16 @@ FROM agg ORDER BY {names['su']} DESC, genre {limit}"""
 
 def q_revenue_by_token_bridge(spark, d):
     """D1 with the reference's plan: the genre bridge (T7) joined to titles."""
-    t = LA.titles(spark, d)
+    t = LA.stored(spark, d, "movies")
     return to_double(Q.revenue_by_genre(t, genre_bridge(t)))
 
 
 def q_revenue_by_token_sql(spark, d):
-    v = _views(spark, d)
-    return to_double(spark.sql(QS.q1_genre_revenue(v=v)))
+    return to_double(_sql(spark, d, lambda v: QS.q1_genre_revenue(v=v)))
 
 
 def q_top_suppliers_profitable(spark, d):
-    return to_double(Q.top_actors_rentables(LA.titles(spark, d), LA.people(spark, d)))
+    return to_double(Q.top_actors_rentables(LA.stored(spark, d, "movies"), LA.stored(spark, d, "people")))
 
 
 def _actor_oracle(sql_variant: bool) -> str:
@@ -198,12 +203,11 @@ ORDER BY n_movies_rentables DESC, avg_profit_usd DESC, actor_id LIMIT 25"""
 
 
 def q_top_suppliers_profitable_sql(spark, d):
-    v = _views(spark, d)
-    return to_double(spark.sql(QS.q2_profitable_actors(v=v)))
+    return to_double(_sql(spark, d, lambda v: QS.q2_profitable_actors(v=v)))
 
 
 def q_roi_by_token(spark, d):
-    return to_double(Q.roi_by_director(LA.titles(spark, d)))
+    return to_double(Q.roi_by_director(LA.stored(spark, d, "movies")))
 
 
 def _director_oracle(sql_variant: bool) -> str:
@@ -236,12 +240,11 @@ FROM agg ORDER BY avg_roi_pct DESC, director_name LIMIT 20"""
 
 
 def q_roi_by_token_fx(spark, d):
-    v = _views(spark, d)
-    return to_double(spark.sql(QS.q4_director_roi_fx(code=LA.FX_CODE, v=v)))
+    return to_double(_sql(spark, d, lambda v: QS.q4_director_roi_fx(code=LA.FX_CODE, v=v)))
 
 
 def q_rating_correlations_left(spark, d):
-    return Q.ratings_correlations(LA.titles(spark, d), LA.reviews(spark, d))
+    return Q.ratings_correlations(LA.stored(spark, d, "movies"), LA.stored(spark, d, "movie_reviews"))
 
 
 _REVIEW_AGG = """
@@ -269,12 +272,11 @@ WHERE t.vote_average IS NOT NULL AND t.revenue_usd IS NOT NULL{pos}"""
 
 
 def q_rating_correlations_inner(spark, d):
-    v = _views(spark, d)
-    return spark.sql(QS.q5_correlations(digits=4, v=v))
+    return _sql(spark, d, lambda v: QS.q5_correlations(digits=4, v=v))
 
 
 def q_hash_sample(spark, d):
-    return to_double(Q.ratings_vs_revenue_sample(LA.titles(spark, d), LA.reviews(spark, d), mode="hash"))
+    return to_double(Q.ratings_vs_revenue_sample(LA.stored(spark, d, "movies"), LA.stored(spark, d, "movie_reviews"), mode="hash"))
 
 
 ORACLE_HASH_SAMPLE = _with("""
@@ -289,7 +291,7 @@ ORDER BY md5('42:' || CAST(t.tmdb_id AS VARCHAR)), t.tmdb_id LIMIT 2000""", _REV
 
 
 def q_global_kpis(spark, d):
-    k = kpi.global_kpis(Q.revenue_by_year(LA.titles(spark, d)))
+    k = kpi.global_kpis(Q.revenue_by_year(LA.stored(spark, d, "movies")))
     return to_double(kpi.kpi_text(k, keep=True).drop("roi_pct"))
 
 
@@ -310,35 +312,35 @@ FROM (SELECT CAST(SUM(n_movies) AS BIGINT) AS n_movies, CAST(SUM(su) AS DOUBLE)
 
 
 def q_corr_text(spark, d):
-    return kpi.correlation_text(Q.ratings_correlations(LA.titles(spark, d), LA.reviews(spark, d)))
+    return kpi.correlation_text(Q.ratings_correlations(LA.stored(spark, d, "movies"), LA.stored(spark, d, "movie_reviews")))
 
 
 def q_top15_display(spark, d):
-    return to_double(kpi.genre_feed(Q.revenue_by_genre(LA.titles(spark, d))))
+    return to_double(kpi.genre_feed(Q.revenue_by_genre(LA.stored(spark, d, "movies"))))
 
 
 def q_year_display(spark, d):
-    return to_double(kpi.year_feed(Q.revenue_by_year(LA.titles(spark, d))))
+    return to_double(kpi.year_feed(Q.revenue_by_year(LA.stored(spark, d, "movies"))))
 
 
 def q_director_display(spark, d):
-    return to_double(kpi.director_feed(Q.roi_by_director(LA.titles(spark, d))))
+    return to_double(kpi.director_feed(Q.roi_by_director(LA.stored(spark, d, "movies"))))
 
 
 def q_actor_display(spark, d):
-    return to_double(kpi.actor_feed(Q.top_actors_rentables(LA.titles(spark, d), LA.people(spark, d))))
+    return to_double(kpi.actor_feed(Q.top_actors_rentables(LA.stored(spark, d, "movies"), LA.stored(spark, d, "people"))))
 
 
 def q_scatter_display(spark, d):
-    s = Q.ratings_vs_revenue_sample(LA.titles(spark, d), LA.reviews(spark, d), mode="hash")
+    s = Q.ratings_vs_revenue_sample(LA.stored(spark, d, "movies"), LA.stored(spark, d, "movie_reviews"), mode="hash")
     return to_double(kpi.scatter_feed(s))
 
 
 def q_display_axis_ranges(spark, d):
-    t = LA.titles(spark, d)
+    t = LA.stored(spark, d, "movies")
     g = kpi.axis_max(kpi.top_then_resort(Q.revenue_by_genre(t), 15, "revenue_usd_total", key="genre"),
                      "revenue_usd_total", 1.15, kpi.USD_BILLIONS, "genres")
-    a = kpi.axis_max(Q.top_actors_rentables(t, LA.people(spark, d)), "n_movies_rentables", 1.12, chart="actors")
+    a = kpi.axis_max(Q.top_actors_rentables(t, LA.stored(spark, d, "people")), "n_movies_rentables", 1.12, chart="actors")
     r = kpi.axis_max(Q.roi_by_director(t), "avg_roi_pct", 1.15, chart="directors")
     return g.unionByName(a).unionByName(r)
 

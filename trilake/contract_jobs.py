@@ -422,7 +422,7 @@ def q_bernoulli_sample(spark, d):
     the base, no row twice, and a size within six standard deviations of the expected."""
     from trilake.operators.sample import sample_n
     n = 2000
-    base = LA.titles(spark, d).where("revenue_usd > 0 AND vote_average IS NOT NULL").select("tmdb_id")
+    base = LA.stored(spark, d, "movies").where("revenue_usd > 0 AND vote_average IS NOT NULL").select("tmdb_id")
     total = base.agg(F.count(F.lit(1)).cast("double")).scalar()
     drawn = sample_n(base, n)
     known = LA.table(spark, d, "lineitem").select(LA.title_key().alias("tmdb_id")).distinct().withColumn("known", F.lit(1))
@@ -439,8 +439,8 @@ def q_chart_feeds(spark, d):
     table, each row with its place."""
     from pyspark.sql import Window
     from trilake.plans import kpi, questions as Q
-    t = LA.titles(spark, d)
-    genres, actors, directors = Q.revenue_by_genre(t), Q.top_actors_rentables(t, LA.people(spark, d)), Q.roi_by_director(t)
+    t = LA.stored(spark, d, "movies")
+    genres, actors, directors = Q.revenue_by_genre(t), Q.top_actors_rentables(t, LA.stored(spark, d, "people")), Q.roi_by_director(t)
 
     def placed(feed, name, by, label, text):
         place = F.row_number().over(Window.orderBy(*by))  # at most 25 rows, or one per genre

@@ -48,6 +48,14 @@ class SmallFiles:
             return []
         return sorted(s.getPath().getName() for s in self._fs(path).listStatus(path))
 
+    def stamps(self, path: str) -> list[tuple[str, int, int]]:
+        """(name, bytes, time) of a file, or of the files in a folder."""
+        target = self._path(path)
+        fs = self._fs(target)
+        if not fs.exists(target):
+            return []
+        return sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in fs.listStatus(target))
+
     def read(self, file: str) -> str:
         path = self._path(file)
         stream = self._fs(path).open(path)
