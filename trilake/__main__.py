@@ -33,6 +33,7 @@ def _parser() -> argparse.ArgumentParser:
     a.add_argument("--on-missing", choices=("identity", "null"), default="identity")
     a.add_argument("--buckets", type=int, default=None)
     a.add_argument("--no-header-safe", action="store_true")
+    a.add_argument("--quarantine", action="store_true", help="keep refused rows with their reasons")
 
     c = sub.add_parser("trusted-to-curated")
     c.add_argument("--trusted-prefix", required=True)
@@ -72,7 +73,8 @@ def main(argv=None, stop: bool = True) -> int:
         from trilake.plans.trusted import raw_to_trusted
         out = raw_to_trusted(spark, args.raw_prefix, args.trusted_prefix, code=args.code,
                              fx_mode=args.fx_mode, on_missing=args.on_missing,
-                             header_safe=not args.no_header_safe, buckets=args.buckets)
+                             header_safe=not args.no_header_safe, buckets=args.buckets,
+                             quarantine=args.quarantine)
     elif args.cmd == "trusted-to-curated":
         from trilake.plans.curated import trusted_to_curated
         out = trusted_to_curated(spark, args.trusted_prefix, args.curated_prefix, preview=args.preview,

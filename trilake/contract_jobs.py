@@ -205,6 +205,32 @@ SELECT currency, max(rate) AS rate FROM (
 WHERE currency IS NOT NULL AND rate > 0 GROUP BY currency"""
 
 
+def q_rejected_rows(spark, d):
+    """Refused rows of dirty titles, reviews and rates: how many rows each reason has, and a
+    print of their raw keys."""
+    from trilake.plans.quarantine import rejected_rows
+    parts = [(dirty_titles(spark, d), "movies", "tmdb_id"), (dirty_reviews(spark, d), "movie_reviews", "author"), (dirty_rates(spark, d), "exchange", "rate")]
+    out = None
+    for raw, table, key in parts:
+        part = rejected_rows(raw, table).withColumn("key", F.get_json_object("record", f"$.{key}"))
+        out = part if out is None else out.unionByName(part)
+    return out.groupBy("table_name", "reason").agg(F.count(F.lit(1)).alias("n"), F.expr(_print("spark", "key")).alias("keys"))
+
+
+def _oracle_rejected() -> str:
+    k = "o_orderkey"
+    rate = _pick(k, 5, {0: "'-4'", 1: "'0'", 2: "'nan'"}, f"CAST({k} % 1000 AS VARCHAR)")
+    return f"""
+SELECT table_name, reason, count(*) AS n, {_print('duckdb', 'key')} AS keys FROM (
+  SELECT 'movies' AS table_name, CASE {k} % 97 WHEN 0 THEN 'tmdb_id is not positive' WHEN 1 THEN 'tmdb_id is missing' WHEN 2 THEN 'tmdb_id is not positive'
+         WHEN 3 THEN 'tmdb_id is no number' WHEN 4 THEN 'tmdb_id is no number' WHEN 5 THEN 'tmdb_id is missing' END AS reason,
+         CASE {k} % 97 WHEN 0 THEN '0' WHEN 2 THEN '-5' WHEN 3 THEN 'abc' WHEN 4 THEN '1e3' WHEN 5 THEN '' END AS key FROM orders
+  UNION ALL SELECT 'movie_reviews', CASE WHEN event_id % 17 IN (0, 1, 2) THEN 'review_id is missing' END, CAST(event_id AS VARCHAR) FROM events
+  UNION ALL SELECT 'exchange', CASE WHEN {k} % 6 = 3 THEN 'currency is missing' WHEN {k} % 5 = 2 THEN 'rate is missing'
+         WHEN {k} % 5 IN (0, 1) OR {k} % 1000 = 0 THEN 'rate is not positive' END, {rate} FROM orders) t
+WHERE reason IS NOT NULL GROUP BY table_name, reason"""
+
+
 # ------------------------------------------------------------------ jobs
 
 
@@ -478,7 +504,7 @@ UNION ALL SELECT 'genre_table', {place('revenue_usd_total DESC, genre')}, genre,
 def queries() -> dict:
     return {f.__name__.removeprefix("q_"): f for f in (
         q_dirty_titles_clean, q_dirty_titles_bridge, q_dirty_title_cast, q_dirty_titles_finance, q_dirty_people_clean, q_dirty_shows_clean,
-        q_dirty_reviews_clean, q_dirty_rates_clean, q_lake_job_tables, q_curated_job, q_incremental_reordered, q_incremental_reviews,
+        q_dirty_reviews_clean, q_dirty_rates_clean, q_rejected_rows, q_lake_job_tables, q_curated_job, q_incremental_reordered, q_incremental_reviews,
         q_incremental_exchange, q_incremental_answers, q_bernoulli_sample, q_chart_feeds)}
 
 
@@ -497,6 +523,7 @@ FROM best WHERE release_year >= 1993 AND revenue_usd IS NOT NULL GROUP BY releas
         "dirty_shows_clean": _DIRTY_SHOWS,
         "dirty_reviews_clean": f"SELECT review_id, tmdb_id, rating, author FROM ({_DIRTY_REVIEWS}) x WHERE tmdb_id < {BIG} + 40",
         "dirty_rates_clean": _DIRTY_RATES,
+        "rejected_rows": _oracle_rejected(),
         "lake_job_tables": _oracle_lake_tables(),
         "curated_job": _oracle_curated(),
         "incremental_reordered": f"WITH {_DIRTY_TITLES} SELECT tmdb_id, release_year, vote_count, popularity FROM best",

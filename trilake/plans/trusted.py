@@ -69,23 +69,30 @@ RATING_RANGE = (0, 10)
 POPULARITY_CUTS = (300, 100)
 
 
-def movie_rows(raw: DataFrame) -> DataFrame:
-    """T1 row-level part: typed, valid ids, negative money -> null (no shuffle)."""
-    df = typed(raw, text=MOVIE_TEXT, ids=TITLE_IDS, ints=MOVIE_INT, doubles=MOVIE_DOUBLE, bools=MOVIE_BOOL,
-               lists=("genres",)).where(valid_id())
+def movie_typed(raw: DataFrame) -> DataFrame:
+    """T1 value rules: typed, negative money -> null. Every row stays."""
+    df = typed(raw, text=MOVIE_TEXT, ids=TITLE_IDS, ints=MOVIE_INT, doubles=MOVIE_DOUBLE, bools=MOVIE_BOOL, lists=("genres",))
     return df.withColumns({c: not_negative(F.col(c))
                            for c in ("budget_usd", "revenue_usd") if c in df.columns})
 
 
+def movie_rows(raw: DataFrame) -> DataFrame:
+    """T1 row-level part: the value rules and valid ids (no shuffle)."""
+    return movie_typed(raw).where(valid_id())
+
+
 def clean_movies(raw: DataFrame, ties: str | None = "*") -> DataFrame:
     """``movie_rows`` then one row per ``tmdb_id``."""
     return best_per_key(movie_rows(raw), "tmdb_id", *MOVIE_ORDER, ties=ties)
 
 
+def tv_typed(raw: DataFrame) -> DataFrame:
+    return typed(raw, text=TV_TEXT, ids=TITLE_IDS, ints=TV_INT, doubles=TV_DOUBLE, bools=TV_BOOL, lists=("genres",))
+
+
 def tv_rows(raw: DataFrame) -> DataFrame:
     """T2 row-level part."""
-    return typed(raw, text=TV_TEXT, ids=TITLE_IDS, ints=TV_INT, doubles=TV_DOUBLE, bools=TV_BOOL,
-                 lists=("genres",)).where(valid_id())
+    return tv_typed(raw).where(valid_id())
 
 
 def with_bucket(tv: DataFrame) -> DataFrame:
@@ -97,9 +104,13 @@ def clean_tv(raw: DataFrame, ties: str | None = "*") -> DataFrame:
     return with_bucket(best_per_key(tv_rows(raw), "tmdb_id", *MOVIE_ORDER, ties=ties))
 
 
+def people_typed(raw: DataFrame) -> DataFrame:
+    return typed(raw, text=PEOPLE_TEXT, ids=("tmdb_id",), ints=PEOPLE_INT, doubles=PEOPLE_DOUBLE)
+
+
 def people_rows(raw: DataFrame) -> DataFrame:
     """T3 row-level part."""
-    return typed(raw, text=PEOPLE_TEXT, ids=("tmdb_id",), ints=PEOPLE_INT, doubles=PEOPLE_DOUBLE).where(valid_id())
+    return people_typed(raw).where(valid_id())
 
 
 def clean_people(raw: DataFrame, ties: str | None = "*") -> DataFrame:
@@ -107,16 +118,24 @@ def clean_people(raw: DataFrame, ties: str | None = "*") -> DataFrame:
     return best_per_key(people_rows(raw), "tmdb_id", *PEOPLE_ORDER, ties=ties)
 
 
+def review_typed(raw: DataFrame) -> DataFrame:
+    df = typed(raw, text=REVIEW_TEXT, ids=("tmdb_id",), doubles=("rating",))
+    return df.withColumn("rating", within(F.col("rating"), *RATING_RANGE))
+
+
 def review_rows(raw: DataFrame) -> DataFrame:
     """T4 row-level part."""
-    df = typed(raw, text=REVIEW_TEXT, ids=("tmdb_id",), doubles=("rating",))
-    return df.withColumn("rating", within(F.col("rating"), *RATING_RANGE)).where(has_text("review_id"))
+    return review_typed(raw).where(has_text("review_id"))
+
+
+def rate_typed(raw: DataFrame) -> DataFrame:
+    df = typed(raw, text=("currency",), doubles=("rate",))
+    return df.withColumn("currency", clean_code(F.col("currency")))
 
 
 def rate_rows(raw: DataFrame) -> DataFrame:
     """T5 row-level part."""
-    df = typed(raw, text=("currency",), doubles=("rate",))
-    return df.withColumn("currency", clean_code(F.col("currency"))).where("currency IS NOT NULL AND rate > 0")
+    return rate_typed(raw).where("currency IS NOT NULL AND rate > 0")
 
 
 # Row-level cleaner, key and dedupe order per table (used by the incremental mode).
@@ -129,6 +148,12 @@ ROW_CLEANERS = {
 }
 
 
+def one_per_key(rows: DataFrame, name: str) -> DataFrame:
+    """W1 over the cleaned rows of a lake table."""
+    _, key, order = ROW_CLEANERS[name]
+    return best_per_key(rows, key, *order, ties="*")
+
+
 def clean_reviews(raw: DataFrame, known_titles: DataFrame | None = None,
                   ties: str | None = "*") -> DataFrame:
     """T4: typed, rating outside [0, 10] -> null, non-empty id, newest ``created_at``
@@ -179,13 +204,15 @@ def trusted_tables(raw: dict[str, DataFrame], code: str = "COP", fx_mode: str =
 def raw_to_trusted(spark: SparkSession, raw_prefix: str, trusted_prefix: str,
                    code: str = "COP", fx_mode: str = "highest",
                    on_missing: str = "identity", header_safe: bool = True,
-                   buckets: int | None = None) -> dict[str, int]:
+                   buckets: int | None = None, quarantine: bool = False) -> dict[str, int]:
     """The full job. Returns row counts per written table and the raw rows rejected for
     their id (from write-time observations, not extra count jobs). The six tables are published
     together as one version of the zone: readers see all old or all new ones. ``header_safe`` reads each raw dataset
     grouped by file header (U2) instead of trusting the first file's column order.
     ``buckets`` writes movies, movie_genres and movie_reviews bucketed alike on
-    ``tmdb_id`` so the curated joins on that key are co-located (no shuffle)."""
+    ``tmdb_id`` so the curated joins on that key are co-located (no shuffle).
+    ``quarantine`` keeps the refused raw rows with their reasons as a seventh table,
+    ``rejected_rows`` (``plans.quarantine``)."""
     from trilake.session import size_shuffle_for
     from trilake.sources.raw_csv import read_raw, read_raw_by_header
     from trilake.sources.versions import Zone
@@ -194,18 +221,29 @@ def raw_to_trusted(spark: SparkSession, raw_prefix: str, trusted_prefix: str,
     reader = read_raw_by_header if header_safe else read_raw
     raw = {n: reader(spark, f"{raw_prefix.rstrip('/')}/{n}") for n in names}
     size_shuffle_for(spark, *raw.values())
-    rejected = {n: Observation(f"rejected_{n}") for n in ("movies", "tv_shows", "people")}
-    for n, seen in rejected.items():  # counted during the write itself
-        raw[n] = raw[n].observe(seen, F.count_if(~F.coalesce(identifier(F.col("tmdb_id")) > 0, F.lit(False))).alias("rows"))
     by = {"bucket_by": "tmdb_id", "buckets": buckets} if buckets else {}
     out = Zone(spark, trusted_prefix).draft()
-    counts = {"exchange": out.write(clean_exchange(raw["exchange"], mode=fx_mode), "exchange")}
-    movies = financial_metrics(clean_movies(raw["movies"]), out.table("exchange"), code, on_missing=on_missing)
+    counts = {}
+    if quarantine:
+        from trilake.plans.quarantine import stage
+        rows, refused = stage(spark, raw)
+        counts["rejected_rows"] = out.write(refused, "rejected_rows", partition_by=["table_name"])
+    else:
+        rejected = {n: Observation(f"rejected_{n}") for n in ("movies", "tv_shows", "people")}
+        for n, seen in rejected.items():  # counted during the write itself
+            raw[n] = raw[n].observe(seen, F.count_if(~F.coalesce(identifier(F.col("tmdb_id")) > 0, F.lit(False))).alias("rows"))
+        rows = {n: ROW_CLEANERS[n][0](raw[n]) for n in names}
+    newest = (["run_ts"] if fx_mode == "latest" else []) + ["rate"]
+    if fx_mode not in ("highest", "latest"):
+        raise ValueError("mode must be 'highest' or 'latest'")
+    counts["exchange"] = out.write(best_per_key(rows["exchange"], "currency", *newest, ties="*"), "exchange")
+    movies = financial_metrics(one_per_key(rows["movies"], "movies"), out.table("exchange"), code, on_missing=on_missing)
     counts["movies"] = out.write(movies, "movies", **by)
     movies = out.table("movies")  # cut lineage: reuse the written table
     counts["movie_genres"] = out.write(genre_bridge(movies), "movie_genres", **by)
-    counts["tv_shows"] = out.write(clean_tv(raw["tv_shows"]), "tv_shows")
-    counts["people"] = out.write(clean_people(raw["people"]), "people")
-    counts["movie_reviews"] = out.write(clean_reviews(raw["movie_reviews"], movies), "movie_reviews", **by)
+    counts["tv_shows"] = out.write(with_bucket(one_per_key(rows["tv_shows"], "tv_shows")), "tv_shows")
+    counts["people"] = out.write(one_per_key(rows["people"], "people"), "people")
+    reviews = keep_known(one_per_key(rows["movie_reviews"], "movie_reviews"), movies, "tmdb_id")
+    counts["movie_reviews"] = out.write(reviews, "movie_reviews", **by)
     out.publish()
-    return counts | {f"{n}_rejected": int(seen.get["rows"]) for n, seen in rejected.items()}
+    return counts if quarantine else counts | {f"{n}_rejected": int(seen.get["rows"]) for n, seen in rejected.items()}
