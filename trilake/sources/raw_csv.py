@@ -17,6 +17,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trilake.sources.compact import RUN, merged_runs, read_merged
 from trilake.sources.csv_split import read_csv_split
 
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "escape": '"', "quote": '"'}
@@ -77,7 +78,10 @@ def read_raw_by_header(spark: SparkSession, path: str, split_large: int | None =
     runs with their headers reaches the driver, never a list of files.
 
     Runs with a file larger than ``split_large`` bytes (default: the session's split size) are
-    read by many tasks a file (``csv_split``), the others by one task a file."""
+    read by many tasks a file (``csv_split``), the others by one task a file. Runs that were
+    merged (``sources.compact``) are read from their merged folder."""
+    merged, covered = merged_runs(spark, path)
+    is_merged = lambda run: run.rstrip("/").rsplit("/", 1)[1] in covered
     headers = {r["run"]: r["header"] for r in landed_runs(spark, path)}
     files = spark.read.format("binaryFile").load(path)  # a listing: no content is read
     folders = files.groupBy(F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("run")).agg(F.max("length").alias("largest"))
@@ -85,6 +89,8 @@ def read_raw_by_header(spark: SparkSession, path: str, split_large: int | None =
     groups: dict[tuple[str, bool], list[str]] = {}
     largest = {r["run"]: r["largest"] for r in folders.collect()}
     for run in largest.keys() | headers.keys():
+        if is_merged(run):
+            continue
         header = headers[run] if run in headers else folder_header(spark, run)
         groups.setdefault((header, largest.get(run, 0) > above), []).append(run)
     out = None
@@ -94,9 +100,20 @@ def read_raw_by_header(spark: SparkSession, path: str, split_large: int | None =
         else:
             part = spark.read.options(**CSV_OPTIONS).option("enforceSchema", "false").option("basePath", path).csv(sorted(runs))
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    for entry in merged:  # in place of the runs they stand for
+        part = read_merged(spark, path, entry)
+        if out is not None and RUN in out.columns:
+            part = part.withColumn(RUN, F.col(RUN).cast(out.schema[RUN].dataType))
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return read_raw(spark, path) if out is None else out
 
 
+def read_named(spark: SparkSession, runs: list[str], header: str) -> DataFrame:
+    """The rows of runs with one header, with each row's ``run_ts`` as text."""
+    rows = spark.read.options(**CSV_OPTIONS).option("enforceSchema", "false").option("recursiveFileLookup", "true").csv(runs)
+    return rows.select(*[F.col(f"`{n}`") for n in header_names(header)], F.regexp_extract("_metadata.file_path", r"/run_ts=([^/]*)/[^/]*$", 1).alias(RUN))
+
+
 def split_above(spark: SparkSession) -> int:
     """File size from which on a file is worth several tasks: the session's split size."""
     return int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
