@@ -123,6 +123,64 @@ def test_steps_place_every_piece_once(counts):
         assert at <= 40
 
 
+def _rounds(counts, capacity, ranges=8):
+    """The rounds without a cluster: ranges swept one by one, then all that is left."""
+    from trilake.llm.packing import GAP, MATCH, PIECE, open_sequences, sweep
+    state, turn = [(PIECE, n, 0, c, 0, 0, 0, False) for n, c in counts.items()], 0
+    width = -(-capacity // ranges)
+    while any(r[0] == PIECE for r in state):
+        state = [r[:7] + (False,) for r in state]
+        local = [r for k in range(ranges) for r in sweep([r for r in state if (r[1] - 1) // width == k and r[0] != MATCH], capacity)]
+        local += [r for r in state if r[0] == MATCH]
+        state, turn = open_sequences(sweep(local, capacity), capacity, turn), turn + 1
+    return [r[1:] for r in state if r[0] == MATCH], sum(r[3] for r in state if r[0] == GAP), turn
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.dictionaries(st.integers(1, 40), st.integers(1, 300), max_size=12))
+def test_rounds_place_every_piece_once(counts):
+    matches, _, _ = _rounds(counts, 40)
+    used, ranks = {}, {}
+    for length, rank, n, each, seq, offset, _ in matches:
+        left = counts[length]
+        for j in range(n * each):
+            if rank + j < left and (n > 1 or j < left - rank):
+                used.setdefault(seq + j // each, []).append((offset + j % each * length, length, rank + j))
+    for length, c in counts.items():
+        got = sorted({r for places in used.values() for _, n, r in places if n == length})
+        assert got == list(range(c))
+    firsts = {}
+    for length, rank, *_ in matches:
+        firsts.setdefault(length, []).append(rank)
+    # a lookup by rank gives each piece one place, sequences have no holes and no overlaps
+    places = {}
+    table = sorted((m[0], m[1], m[3], m[4], m[5]) for m in matches)
+    for length, c in counts.items():
+        own = [t for t in table if t[0] == length]
+        for rank in range(c):
+            t = max(t for t in own if t[1] <= rank)
+            places.setdefault(t[3] + (rank - t[1]) // t[2], []).append((t[4] + (rank - t[1]) % t[2] * length, length))
+    for seq in places.values():
+        at = 0
+        for offset, length in sorted(seq):
+            assert offset == at
+            at += length
+        assert at <= 40
+    assert len(places) <= best_fit_steps(counts, 40)[1] * 1.05 + 1
+
+
+def test_rounds_are_few_and_near_best_fit():
+    rng = random.Random(9)
+    for scale in (60, 300, 900):
+        counts = {}
+        for _ in range(30_000):
+            n = min(2048, max(1, int(rng.expovariate(1 / scale))))
+            counts[n] = counts.get(n, 0) + 1
+        matches, _, turns = _rounds(counts, 2048)
+        opened = sum(m[2] for m in matches if m[5] == 0)
+        assert opened <= best_fit_steps(counts, 2048)[1] + 3 and turns < 120 and len(matches) < 20_000
+
+
 @pytest.mark.parametrize("n", [1, 4, 16])
 def test_shards(spark, n):
     rows = corpus(3)

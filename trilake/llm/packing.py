@@ -2,17 +2,21 @@
 
 1. ``token_pieces`` encodes every text once and cuts only documents longer than the
    capacity. A text is a run of blanks-separated chunks (this tokenizer drops white space
-   and never joins across it), so each task encodes its distinct chunks in batches and
-   puts a document together from their ids.
-2. ``pack`` range-sorts the pieces by length over the cluster. Lengths are at most the
-   capacity, so pieces and gaps form at most ``capacity`` classes however many rows there
-   are; the successor sweeps match *classes*: in each step the longest unplaced length
-   goes to the smallest gap that holds it (its successor in the sorted gaps), as many
-   pieces as there are such gaps, the gaps shrink, and the sweep repeats. The steps are
-   bounded by the capacity, never by the rows.
-3. Which piece of a class goes to which gap of a class is settled by rank: a piece's
-   global rank in its length (partition offset + row) is looked up in the steps of that
-   length. A hot length is spread over many partitions and is never a group in one task.
+   and never joins across it), so each task encodes a block's distinct chunks once and
+   gathers the texts' ids from theirs.
+2. ``pack`` range-sorts the pieces by length over the cluster. Equal lengths are one run of
+   ranks and equal gaps one run of sequences, so pieces and gaps are at most about
+   ``capacity`` rows each, however many documents there are.
+3. ``best_fit_rounds`` matches them in bulk-synchronous rounds. Runs of pieces and gaps are
+   dealt by ranges of size; each task sweeps its range from large to small, and a piece takes
+   the smallest gap passed that is still free: its successor among the gaps. What a range
+   could not match meets in one last sweep of the round (matching is nested like brackets, so
+   the ranges' own matches stand). Pieces that want one gap are settled by rank, the longest
+   first; a gap takes as many pieces of a run as it holds; gaps shrink, and the next round
+   begins. Pieces longer than every gap open sequences: all of those above half the capacity,
+   else, longest first, three quarters of what their volume needs (all, if that is little).
+4. A piece's global rank in its length is looked up in the matches of that length. A hot
+   length is spread over many partitions and is never a group in one task.
 
 Cases: null text is empty and has only the closing id; null and repeated doc_ids are
 ordinary; repeated rows are packed twice; an empty table gives no rows; other columns are
@@ -21,12 +25,15 @@ ignored.
 
 from __future__ import annotations
 
+import uuid
 import zlib
+from array import array
 from bisect import bisect_left, insort
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Observation, Window, functions as F
 
 from .common import materialise, range_sorted, text_blocks
 
@@ -60,7 +67,7 @@ def chunk_ids(chunks: set, path: str) -> dict:
         if size >= 1 << 18 or i == len(new) - 1:
             part = new[at:i + 1]
             for x, e in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                known[x] = np.array(e.ids, "<u4").tobytes()
+                known[x] = array("I", e.ids).tobytes()
             at, size = i + 1, 0
     return known
 
@@ -76,9 +83,26 @@ def _parts(text: str):
 
 
 def _ids(text: str, path: str) -> bytes:
-    chunks = text.replace("\n", " ").split(" ")
-    known = chunk_ids(set(chunks), path)
-    return b"".join(map(known.__getitem__, chunks))
+    return _encode(pa.array([text], pa.string()), path)[0].tobytes()
+
+
+def _encode(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all texts one after the other, where each text ends). Distinct chunks are
+    encoded once and their ids gathered."""
+    chunks = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
+    coded = chunks.flatten().dictionary_encode()
+    words = coded.dictionary.to_pylist()
+    known = chunk_ids(set(words), path)
+    each = [known[w] for w in words]
+    size = np.array([len(x) for x in each], np.int64) // 4
+    flat = np.frombuffer(b"".join(each), "<u4")
+    first = np.cumsum(size) - size
+    code = coded.indices.to_numpy()
+    length = size[code]
+    ends = np.cumsum(length)
+    ids = flat[np.repeat(first[code] - (ends - length), length) + np.arange(int(ends[-1]) if len(ends) else 0)]
+    stops = np.cumsum(chunks.value_lengths().to_numpy())
+    return ids, np.where(stops > 0, np.concatenate([[0], ends])[stops], 0)
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0,
@@ -91,13 +115,14 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id:
 
     def encode(batches):
         for block in text_blocks(batches, "text", 1 << 22):
-            texts = block.column("text").to_pylist()
-            if block.num_rows == 1 and texts[0] and len(texts[0]) > LONG:
-                encoded = [b"".join(_ids(part, tokenizer) for part in _parts(texts[0]))]
+            texts = block.column("text")
+            if block.num_rows == 1 and len(texts[0].as_py() or "") > LONG:
+                encoded = [b"".join(_ids(part, tokenizer) for part in _parts(texts[0].as_py()))]
             else:
-                chunks = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
-                known = chunk_ids(set().union(*chunks), tokenizer)
-                encoded = [b"".join(map(known.__getitem__, c)) for c in chunks]
+                ids, ends = _encode(texts, tokenizer)
+                starts = np.concatenate([[0], ends[:-1]])
+                raw = memoryview(ids.tobytes())
+                encoded = [bytes(raw[4 * a:4 * b]) for a, b in zip(starts.tolist(), ends.tolist())]
             out: list[list] = [[], [], [], [], [], []]
             for doc, ids in zip(block.column("doc_id").to_pylist(), encoded):
                 ids += tail
@@ -115,10 +140,9 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id:
 
 
 def best_fit_steps(counts: dict[int, int], capacity: int) -> tuple[list[tuple], int]:
-    """Matches of length classes with gap classes, as (length, first rank, pieces a
-    sequence takes, first sequence, offset), and the number of sequences.
-
-    The sweep goes down the lengths; gaps are kept sorted, each with the run of sequences
+    """Sequential best-fit decreasing over length classes: what the rounds are measured by.
+    Matches as (length, first rank, pieces a sequence takes, first sequence, offset), and the
+    number of sequences. The sweep goes down the lengths; gaps are kept sorted, each with the run of sequences
     that have it. Work is bounded by the capacity, whatever the counts are."""
     gaps: list[int] = []
     runs: dict[int, list[tuple[int, int]]] = {}
@@ -156,6 +180,103 @@ def best_fit_steps(counts: dict[int, int], capacity: int) -> tuple[list[tuple],
     return steps, opened
 
 
+# -- rounds ----------------------------------------------------------------------------
+
+#: Rows of the rounds: gaps (size, first sequence, n), pieces (length, first rank, n), matches
+#: (length, first rank, -, pieces a sequence takes, first sequence, offset).
+GAP, PIECE, MATCH = 0, 1, 2
+_STATE = "kind int, size long, first long, n long, each long, seq long, offset long, fresh boolean"
+#: Ranges of sizes that are swept by themselves.
+RANGES = 8
+#: Pieces longer than every gap that need at most so many sequences open them all at once.
+FEW = 16
+
+
+def sweep(rows: list[tuple], capacity: int) -> list[tuple]:
+    """One sweep over gaps and pieces from large to small: every piece takes the smallest free
+    gap that holds it, a gap as many pieces of a run as it holds. Matches, shrunken gaps
+    (fresh: not used again in this round) and what is left, as rows of the state."""
+    out = [r for r in rows if r[0] == MATCH or r[7]]
+    stack: list[list] = []  # gaps passed and still free, the smallest on top
+    for kind, size, first, n, *_ in sorted((r for r in rows if r[0] != MATCH and not r[7]), key=lambda r: (-r[1], r[0], r[2])):
+        if kind == GAP:
+            stack.append([size, first, n])
+            continue
+        while n and stack:
+            gap, seq, free = stack[-1]
+            each = gap // size
+            used = min(free, -(-n // each))
+            full = min(used, n // each)
+            if full:
+                out.append((MATCH, size, first, full, each, seq, capacity - gap, False))
+                out.append((GAP, gap - each * size, seq, full, 0, 0, 0, True))
+                first, n = first + full * each, n - full * each
+            if full < used and n:  # one sequence takes the rest of the run
+                out.append((MATCH, size, first, 1, each, seq + full, capacity - gap, False))
+                out.append((GAP, gap - n * size, seq + full, 1, 0, 0, 0, True))
+                first, n = first + n, 0
+            stack[-1][1:] = [seq + used, free - used]
+            if not stack[-1][2]:
+                stack.pop()
+        if n:
+            out.append((PIECE, size, first, n, 0, 0, 0, False))
+    out += [(GAP, size, seq, n, 0, 0, 0, False) for size, seq, n in stack]
+    return [r for r in out if r[0] != GAP or r[1]]
+
+
+def open_sequences(rows: list[tuple], capacity: int, turn: int) -> list[tuple]:
+    """Open sequences for pieces longer than every gap. Sequences are numbered by the round and
+    the length that opens them, so no two tasks or rounds have a number in common."""
+    largest = max((r[1] for r in rows if r[0] == GAP), default=0)
+    none = sorted((r for r in rows if r[0] == PIECE and r[1] > largest), key=lambda r: (-r[1], r[2]))
+    most = sum(r[3] for r in none if 2 * r[1] > capacity)
+    if not most and none:
+        volume = sum(r[1] * r[3] for r in none)
+        most = -(-volume // capacity) if volume <= FEW * capacity else max(1, 3 * volume // (4 * capacity))
+    opened, wanting = [], set(none)
+    number: dict[int, int] = {}
+    for kind, size, first, n, *rest in none:
+        used = min(most, -(-n // (capacity // size)))
+        most -= used
+        if used:  # a new sequence is a gap of the whole capacity
+            seq = (turn << 52) + (size << 40) + number.get(size, 0)
+            number[size] = number.get(size, 0) + used
+            opened += sweep([(GAP, capacity, seq, used, 0, 0, 0, False), (kind, size, first, n, *rest)], capacity)
+        else:
+            opened.append((kind, size, first, n, *rest))
+    return [r for r in rows if r not in wanting] + opened
+
+
+def _swept(batches, step):
+    rows = [tuple(r.values()) for b in batches for r in b.to_pylist()]
+    rows = step(rows)
+    kinds = (pa.int32(), *[pa.int64()] * 6, pa.bool_())
+    yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)],
+                                     names=["kind", "size", "first", "n", "each", "seq", "offset", "fresh"])
+
+
+def best_fit_rounds(runs: DataFrame, capacity: int) -> DataFrame:
+    """The matches (length, rank, each, seq, offset) that place all pieces of ``runs`` (length,
+    n: pieces of each length)."""
+    none = [F.lit(0).cast("long").alias(c) for c in ("each", "seq", "offset")]
+    state = runs.select(F.lit(PIECE).alias("kind"), F.col("length").cast("long").alias("size"), F.lit(0).cast("long").alias("first"),
+                        F.col("n").cast("long").alias("n"), *none, F.lit(False).alias("fresh"))
+    width = -(-capacity // RANGES)
+    turn = 0
+    while True:
+        # every range is swept in a task of its own; matches and fresh gaps only pass through
+        local = state.withColumn("fresh", F.lit(False)).repartition(RANGES, F.floor((F.col("size") - 1) / width)).mapInArrow(
+            lambda batches: _swept(batches, lambda rows: sweep(rows, capacity)), _STATE)
+        # what is left of them (at most a row for each length and gap) in one last sweep
+        whole = local.repartition(1).mapInArrow(
+            lambda batches, turn=turn: _swept(batches, lambda rows: open_sequences(sweep(rows, capacity), capacity, turn)), _STATE)
+        seen = Observation(f"pieces-left-{uuid.uuid4().hex}")
+        state = materialise(whole.observe(seen, F.count_if(F.col("kind") == PIECE).alias("left")), "packing-round")
+        if not seen.get["left"]:
+            return state.where(F.col("kind") == MATCH).select(F.col("size").alias("length"), F.col("first").alias("rank"), "each", "seq", "offset")
+        turn += 1
+
+
 def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
     """``pieces`` (any columns, with ``length`` of 1..capacity) with sequence_id and offset."""
     tie = [F.col(c) for c in ("doc_id", "piece") if c in pieces.columns]
@@ -163,9 +284,9 @@ def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
     # a row for each partition and length in it: at most partitions + capacity rows
     runs = rows.groupBy("_pid", "length").agg(F.min("_i").alias("_i0"), F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy("length").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    runs = runs.withColumn("_r0", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-    counts = {r["length"]: r["n"] for r in runs.groupBy("length").agg(F.sum("_n").alias("n")).collect()}
-    steps, _ = best_fit_steps(counts, capacity)
+    runs = materialise(runs.withColumn("_r0", F.coalesce(F.sum("_n").over(earlier), F.lit(0))), "packing-runs")
+    found = best_fit_rounds(runs.groupBy("length").agg(F.sum("_n").alias("n")), capacity)
+    steps = [tuple(r) for r in found.collect()]  # a few for each length or gap: bounded by the capacity
     table = np.array(sorted(steps), np.int64).reshape(-1, 5)
     key = table[:, 0] << np.int64(48) | table[:, 1]  # (length, first rank): ranks stay below 2**48
     ranked = rows.join(F.broadcast(runs), ["_pid", "length"]).withColumn(
