@@ -17,7 +17,7 @@ def frame(spark: SparkSession, rows: list, extra: bool = False) -> DataFrame:
     """documents with these (doc_id, text); ``extra`` adds columns with clashing names."""
     df = spark.createDataFrame([(i, t, "en", "src0", len(t) if t else 0) for i, t in rows], SCHEMA)
     if extra:
-        for name in ("size", "h", "n", "words", "piece", "length", "score", "fp", "host", "label", "_i", "_th"):
+        for name in ("size", "h", "n", "words", "piece", "length", "score", "fp", "host", "label", "_i", "_th", "_own_th", "_own_id", "_starts", "id", "least"):
             df = df.withColumn(name, F.lit("clash"))
     return df.repartition(3)
 

@@ -49,6 +49,17 @@ def document_key(docs: DataFrame, text: str = "text") -> DataFrame:
                        t.alias("text"))
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names like these that the frame does not have (case does not tell them apart)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def same_document(left: DataFrame, right: DataFrame):
     """Join condition on the document key; null ids match each other."""
     return left["doc_id"].eqNullSafe(right["doc_id"]) & (left["_th"] == right["_th"])

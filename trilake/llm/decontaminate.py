@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import (Words, document_key, grams, materialise, sliding_min,
+from .common import (Words, document_key, fresh, grams, materialise, sliding_min,
                      text_blocks, utf8, word_cuts)
 
 #: Largest bit filter sent to the tasks: 2**27 bits are 16 MB.
@@ -209,6 +209,6 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, k: in
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
     """``docs`` without the contaminated ones."""
     bad = contamination(docs, benchmark, **how).where("contaminated").select("doc_id", "_th").distinct()
-    own = docs.withColumn("_own_th", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
-    return own.join(bad, own["doc_id"].eqNullSafe(bad["doc_id"]) & (own["_own_th"] == bad["_th"]),
-                    "left_anti").drop("_own_th")
+    [th] = fresh(docs, "_own_th")
+    own = docs.withColumn(th, F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
+    return own.join(bad, own["doc_id"].eqNullSafe(bad["doc_id"]) & (own[th] == bad["_th"]), "left_anti").drop(th)

@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import document_key, materialise, text_blocks, whole_groups
+from .common import document_key, fresh, materialise, text_blocks, whole_groups
 from .components import star_components
 
 FANOUT = 8
@@ -264,12 +264,16 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2, text:
 def drop_near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2, text: str = "text") -> DataFrame:
     """``docs`` with one document of each group: the smallest doc_id (null ids last), and of
     rows that share it the one with the smallest text hash (identical rows stay one row)."""
-    own = docs.withColumn("_own_th", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
+    [th] = fresh(docs, "_own_th")
+    own = docs.withColumn(th, F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
     found = near_duplicates(docs, shingle, max_bits, text).groupBy("_root", "doc_id", "_th").agg(F.count(F.lit(1)).alias("_n"))
     least = found.groupBy("_root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_th", "_n")).alias("w"))
-    chosen = materialise(least.select(F.col("w.doc_id").alias("_id"), F.col("w._th").alias("_least"), F.col("w._n").alias("_n")), "kept-ids")
-    match = own["doc_id"].eqNullSafe(F.col("_id")) & (F.col("_own_th") == F.col("_least"))
-    kept = own.join(chosen.where("_n = 1"), match, "left_semi")
-    if chosen.where("_n > 1").limit(1).count():  # rows that the table repeats
-        kept = kept.union(own.join(chosen.where("_n > 1"), match, "left_semi").dropDuplicates(["doc_id", "_own_th"]))
-    return kept.select(*docs.columns)
+    chosen = materialise(least.select(F.col("w.doc_id").alias("id"), F.col("w._th").alias("least"), F.col("w._n").alias("n")), "kept-ids")
+
+    def keep(ids):
+        return own.join(ids, own["doc_id"].eqNullSafe(ids["id"]) & (own[th] == ids["least"]), "left_semi")
+
+    kept = keep(chosen.where("n = 1"))
+    if chosen.where("n > 1").limit(1).count():  # rows that the table repeats
+        kept = kept.union(keep(chosen.where("n > 1")).dropDuplicates(["doc_id", th]))
+    return kept.drop(th)

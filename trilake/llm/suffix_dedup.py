@@ -37,7 +37,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from .common import BYTE_HASH, MULT, document_key, materialise, mix, powers, sliding_min, text_blocks, utf8
+from .common import BYTE_HASH, MULT, document_key, fresh, materialise, mix, powers, sliding_min, text_blocks, utf8
 from .suffix_order import suffix_order
 
 GRAM = 32
@@ -456,11 +456,12 @@ def repeat_report(docs: DataFrame, length: int = 100, text: str = "text", **how)
 def remove_repeats(docs: DataFrame, length: int = 100, text: str = "text", **how) -> DataFrame:
     """``docs`` with the repeated bytes taken out of the text. Bytes of a character that
     was cut in two go with it; a null text stays null."""
-    own = docs.withColumns({"_own_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)),
-                            "_own_th": F.xxhash64(F.coalesce(F.col(text), F.lit("")))}).alias("d")
+    id_, th, cuts = fresh(docs, "_own_id", "_own_th", "_starts")
+    own = docs.withColumns({id_: F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)),
+                            th: F.xxhash64(F.coalesce(F.col(text), F.lit("")))}).alias("d")
     spans = repeated_spans(docs, length, text, **how).alias("s")
-    joined = own.join(spans, F.expr("d._own_id = s.did and d._own_th = s.th"), "left").select(
-        *[F.col(f"d.`{c}`") for c in docs.columns], F.col("s.starts").alias("_starts"))
+    joined = own.join(spans, (F.col(f"d.{id_}") == F.col("s.did")) & (F.col(f"d.{th}") == F.col("s.th")), "left").select(
+        *[F.col(f"d.`{c}`") for c in docs.columns], F.col("s.starts").alias(cuts))
     names, schema = docs.columns, docs.schema
     at = names.index(text)
 
@@ -468,7 +469,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, text: str = "text", **how
         for block in text_blocks(batches, text, 1 << 22):
             texts = [t if t is None or not starts else
                      _kept(t.encode(), merge_spans([(x["lo"], x["hi"]) for x in starts], length)).decode("utf-8", "ignore")
-                     for t, starts in zip(block.column(text).to_pylist(), block.column("_starts").to_pylist())]
+                     for t, starts in zip(block.column(text).to_pylist(), block.column(cuts).to_pylist())]
             columns = [block.column(c) for c in names]
             columns[at] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(columns, names=names)

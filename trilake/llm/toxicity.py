@@ -202,15 +202,20 @@ def _regress(table: pa.Table, scale: np.ndarray, bias: float, pull: float, ridge
     return w, b
 
 
+def _scores(block: pa.RecordBatch, w: np.ndarray, bias: float) -> np.ndarray:
+    """Scores of a block's texts (its column ``text``)."""
+    pairs = text_features(block)
+    z = bias + np.bincount(pairs // PLACES, w[pairs % PLACES], block.num_rows)
+    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+
 def score(docs: DataFrame, weights: np.ndarray, bias: float, text: str = "text") -> DataFrame:
     """doc_id, _th and score of every document."""
     w = weights.astype(np.float32)
 
     def scan(batches):
         for block in text_blocks(batches, "text"):
-            pairs = text_features(block)
-            z = bias + np.bincount(pairs // PLACES, w[pairs % PLACES], block.num_rows)
-            yield pa.RecordBatch.from_arrays([block.column("doc_id"), block.column("_th"), pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))))],
+            yield pa.RecordBatch.from_arrays([block.column("doc_id"), block.column("_th"), pa.array(_scores(block, w, bias))],
                                              names=["doc_id", "_th", "score"])
 
     t = F.coalesce(F.col(text), F.lit(""))
@@ -233,8 +238,6 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, text: str = "text", **how) ->
 
     def scan(batches):
         for block in text_blocks(batches, text):
-            pairs = text_features(block.select([text]).rename_columns(["text"]))
-            z = bias + np.bincount(pairs // PLACES, w[pairs % PLACES], block.num_rows)
-            yield block.filter(pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))) < THRESHOLD))
+            yield block.filter(pa.array(_scores(block.select([text]).rename_columns(["text"]), w, bias) < THRESHOLD))
 
     return docs.mapInArrow(scan, schema)
