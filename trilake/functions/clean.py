@@ -23,8 +23,6 @@ BOOLEAN_TEXT = {"true": True, "1": True, "yes": True, "false": False, "0": False
 NUMBER_TEXT = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)$"
 # That cast ignores every leading or trailing character up to 0x20, not only spaces.
 EDGE_CONTROL = r"^[\x00-\x20]+|[\x00-\x20]+$"
-#: Exact for every 64-bit number, with the fraction that the cast cuts off.
-WIDE = "decimal(38,10)"
 
 
 def known_text(c: Column) -> Column:
@@ -36,8 +34,8 @@ def known_text(c: Column) -> Column:
 def whole(c: Column, kind: str = "int") -> Column:
     """Text to a whole number: truncated, null for junk or what does not fit.
 
-    Plain digits take the direct cast; only other text (``1995.0``) meets the pattern, and
-    goes through an exact decimal."""
+    Plain digits take the direct cast; only other text (``1995.0``) meets the pattern, and is
+    cast without its fraction."""
     text = c.cast("string")
     bare = F.regexp_replace(text, EDGE_CONTROL, "")
     odd = F.when(bare.rlike(NUMBER_TEXT), F.regexp_replace(bare, r"[.].*$", ""))

@@ -53,11 +53,21 @@ def _exact(df: DataFrame, name: str) -> bool:
     return isinstance(kind, (DecimalType, IntegralType))
 
 
+def _wild(x: Column) -> Column:
+    """Aggregate: whether a group holds a value without limbs."""
+    return F.max(x.isNotNull() & ~tame(x))
+
+
 def exact_sum(x: Column) -> Column:
     """Aggregate: the sum of doubles, the same for any order of the rows."""
     x = x.cast("double")
-    wild = F.max(x.isNotNull() & ~tame(x))
-    return F.when(wild, F.sum(x)).otherwise(join_limbs([F.sum(c) for c in limbs(x)]))
+    return F.when(_wild(x), F.sum(x)).otherwise(join_limbs([F.sum(c) for c in limbs(x)]))
+
+
+def exact_mean(x: Column) -> Column:
+    """Aggregate: the mean of doubles, the same for any order of the rows."""
+    x = x.cast("double")
+    return F.when(_wild(x), F.avg(x)).otherwise(join_limbs([F.sum(c) for c in limbs(x)]) / F.nullif(F.count(x), F.lit(0)))
 
 
 def total(df: DataFrame, name: str) -> Column:
@@ -67,4 +77,6 @@ def total(df: DataFrame, name: str) -> Column:
 
 def mean(df: DataFrame, name: str) -> Column:
     """Aggregate: exact sum / count, divided once in doubles."""
-    return total(df, name).cast("double") / F.nullif(F.count(name), F.lit(0))
+    if _exact(df, name):
+        return F.sum(name).cast("double") / F.nullif(F.count(name), F.lit(0))
+    return exact_mean(F.col(name))
