@@ -101,6 +101,47 @@ def test_graph_rounds_go_on_until_few_entries_are_new(spark):
     assert sum(len(got[i] & set(best[i].tolist())) for i in range(1200)) >= 0.9 * 12_000
 
 
+def test_only_pairs_with_a_new_neighbour_are_compared(spark):
+    """The graph is that of comparing all pairs in every round, owners without a new neighbour
+    get no vectors, and a pair of old neighbours gives no edge."""
+    from trilake.llm import ann
+    x = np.random.default_rng(11).standard_normal((500, 8)).astype(np.float32)
+    table = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], VECTORS)
+    nodes, _ = nodes_of(clean_vectors(table))
+    how = {"degree": 6, "width": 9, "starts": 2, "block": 16, "few": 0.0}
+    edges = lambda g: sorted((r.a, r.b, r.s) for r in g.collect())
+    flagged, joined, plain = ann._who_is_new, ann._local_joins, []
+    sent = []
+
+    def count(near, degree):
+        sent.append(near.count())
+        return joined(near, degree)
+
+    ann._local_joins = count
+    try:
+        got = edges(build_graph(nodes, **how))
+        with_flags, sent = sent, []
+        ann._who_is_new = lambda around, met: flagged(around, None)
+        plain = edges(build_graph(nodes, **how))
+    finally:
+        ann._who_is_new, ann._local_joins = flagged, joined
+    assert got == plain
+    assert len(with_flags) == len(sent) and with_flags[0] == sent[0] and with_flags[-1] < 0.2 * sent[-1], (with_flags, sent)
+    near = nodes.where("a < 6").selectExpr("0L as owner", "a", "int(a = 5) as new", "q", "scale", "-2.0D as least")
+    assert {(r.a, r.b) for r in joined(near, 6).collect()} == {(i, 5) for i in range(5)} | {(5, i) for i in range(5)}
+
+
+def test_search_in_many_small_blocks(spark):
+    from trilake.llm import ann
+    x = np.random.default_rng(13).standard_normal((900, 16)).astype(np.float32)
+    old = ann.SEARCH_BYTES, ann.SEARCH_PAIRS
+    ann.SEARCH_BYTES, ann.SEARCH_PAIRS = 2_000, 50  # 29 blocks, a few queries at a time
+    try:
+        assert recall(spark, x) >= 0.9
+    finally:
+        ann.SEARCH_BYTES, ann.SEARCH_PAIRS = old
+
+
 def test_pipeline_stages_chain(spark, tmp_dir):
     corpus_pipeline = importlib.import_module("corpus_pipeline")
     from .test_decontaminate_urls import brute as contaminated

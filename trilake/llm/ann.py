@@ -7,13 +7,17 @@
    neighbours in blocks of that order are compared. Nodes with equal signs (near copies)
    are sorted by a random projection, another one each time.
 3. NN-descent, one Spark join a round: every node's neighbours (its own and those that
-   chose it, the ``width`` closest) meet with their vectors under the node and are compared
-   with each other, so neighbours of neighbours find each other; each node keeps its
-   ``degree`` best. Rounds end when few list entries are new; there is no fixed number.
+   chose it, the ``width`` closest) meet under the node and are compared with each other, so
+   neighbours of neighbours find each other; each node keeps its ``degree`` best. Only pairs
+   with a neighbour that is new under this node are compared: the ids are matched with the
+   last round's first, and vectors are sent only to nodes that have a new neighbour. (Of two
+   old ones the pair was compared before, and what a list asks for only rises, so it would
+   be refused again.) Rounds end when few list entries are new; there is no fixed number.
 4. Search: a query starts at its own node or given entry nodes. In each round all nodes of
    its beam that it has not opened yet are opened: their neighbours are scored, and the
    ``beam`` closest stay. It ends when all nodes in every beam are opened. Scoring is done
-   in blocks of nodes, so a node's vector moves once a round.
+   in blocks of nodes (at most ``SEARCH_BYTES`` of vectors each, more blocks for more
+   nodes), so a node's vector moves once a round.
 5. The best nodes' members (the smallest ids of each) are scored exactly and ranked.
 
 A node that many choose is cut to its closest in every task before it is shuffled; the
@@ -29,6 +33,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import materialise, whole_groups
@@ -40,6 +45,10 @@ START_BLOCK = 512
 #: Rounds end when at most this share of all list entries is new.
 FEW = 0.002
 BEAM = 160
+#: Vector bytes of a block of nodes in the search.
+SEARCH_BYTES = 1 << 20
+#: Pairs that a block scores at a time.
+SEARCH_PAIRS = 1 << 15
 #: Digits of a score; more would rank the rounding of the sums.
 DIGITS = 14
 #: ``new`` is 1 for an edge that this round has found.
@@ -180,11 +189,12 @@ def _start(nodes: DataFrame, degree: int, starts: int, block: int) -> DataFrame:
 
 
 def _local_joins(near: DataFrame, degree: int) -> DataFrame:
-    """Better edges among each owner's neighbours: near has owner, a, q, scale, least."""
+    """Better edges among each owner's neighbours, at least one of a pair new: near has owner,
+    a, new, q, scale, least."""
 
     def join(batches):
         for t in whole_groups(batches, ["owner"], 16_384):
-            owner, a, least = (t.column(c).to_numpy() for c in ("owner", "a", "least"))
+            owner, a, fresh, least = (t.column(c).to_numpy() for c in ("owner", "a", "new", "least"))
             x = _vectors(t.column("q"), t.column("scale"))
             first = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
             size = np.diff(np.append(first, len(owner)))
@@ -196,13 +206,15 @@ def _local_joins(near: DataFrame, degree: int) -> DataFrame:
                 at = np.where(real, at, 0)
                 m = x[at]
                 s = np.round(m @ m.transpose(0, 2, 1), DIGITS)
+                new = fresh[at] == 1
                 better = (s > least[at][:, :, None]) & real[:, :, None] & real[:, None, :] & (a[at][:, :, None] != a[at][:, None, :])
+                better &= new[:, :, None] | new[:, None, :]
                 p, i, j = np.nonzero(better)
                 out.append((a[at[p, i]], a[at[p, j]], s[p, i, j]))
             a, b, s = (np.concatenate(c) for c in zip(*out))
             yield _edge_batch(*_best(a, b, s, np.ones(len(a), np.int32), degree))
 
-    return near.select("owner", "a", "q", "scale", "least").repartition("owner").sortWithinPartitions("owner").mapInArrow(join, _EDGES)
+    return near.select("owner", "a", "new", "q", "scale", "least").repartition("owner").sortWithinPartitions("owner").mapInArrow(join, _EDGES)
 
 
 def _adjacency(graph: DataFrame, width: int) -> DataFrame:
@@ -210,17 +222,29 @@ def _adjacency(graph: DataFrame, width: int) -> DataFrame:
     return _top(graph.union(graph.select(F.col("b").alias("a"), F.col("a").alias("b"), "s", "new")), width)
 
 
+def _who_is_new(around: DataFrame, met: DataFrame | None) -> DataFrame:
+    """owner, a, new of the owners' neighbours; new is 0 for those in ``met``, the neighbours
+    of the round before."""
+    if met is None:
+        return around.withColumn("new", F.lit(1))
+    met = met.select("owner", "a", F.lit(0).alias("new"))
+    return around.join(met, ["owner", "a"], "left").select("owner", "a", F.coalesce("new", F.lit(1)).alias("new"))
+
+
 def build_graph(nodes: DataFrame, degree: int = DEGREE, width: int = WIDTH, starts: int = STARTS, block: int = START_BLOCK,
                 few: float = FEW) -> DataFrame:
     """a, b, s, new: the neighbour graph of the nodes."""
     graph = materialise(_top(_start(nodes, degree, starts, block), degree), "graph")
     code = nodes.select("a", "q", "scale")
+    met = None
     while True:
         least = graph.groupBy("a").agg(F.when(F.count(F.lit(1)) >= degree, F.min("s")).otherwise(F.lit(-2.0)).alias("least"))
         member = code.join(least, "a", "left").withColumn("least", F.coalesce("least", F.lit(-2.0)))
         around = _adjacency(graph, width).select(F.col("a").alias("owner"), F.col("b").alias("a"))
         around = around.union(code.select(F.col("a").alias("owner"), "a"))
-        found = _local_joins(around.join(member, "a"), degree)
+        met = materialise(_who_is_new(around, met), "around")
+        live = met.where("new = 1").select("owner").distinct()
+        found = _local_joins(met.join(live, "owner", "left_semi").join(member, "a"), degree)
         graph = materialise(_top(graph.withColumn("new", F.lit(0)).union(found), degree), "graph")
         total, new = graph.agg(F.count(F.lit(1)), F.coalesce(F.sum("new"), F.lit(0))).first()
         if new <= few * total:
@@ -234,7 +258,9 @@ def search(nodes: DataFrame, graph: DataFrame, entries: DataFrame, beam: int = B
     """query, b, s: the closest nodes found for each query; ``entries`` has query, q, scale
     (its vector) and entry (an array of nodes to start from)."""
     spark = nodes.sparkSession
-    n_blocks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    one = nodes.select(F.length("q").alias("n")).first()
+    size = nodes.count() * one.n if one else 0
+    n_blocks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // SEARCH_BYTES))
     around = materialise(_adjacency(graph, width).groupBy("a").agg(F.collect_list("b").alias("around")), "adjacency")
     block = lambda c: F.pmod(F.xxhash64(c), F.lit(n_blocks)).cast("int")
     place = nodes.select(block("a").alias("block"), "a", "q", "scale")
@@ -243,20 +269,29 @@ def search(nodes: DataFrame, graph: DataFrame, entries: DataFrame, beam: int = B
     def scores(pairs: pa.Table, vectors: pa.Table) -> pa.Table:
         x = _vectors(vectors.column("q").combine_chunks(), vectors.column("scale"))
         ids = vectors.column("a").to_numpy()
+        if not len(ids):
+            return pa.Table.from_batches([_edge_batch(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))])
         order = np.argsort(ids)
-        out = []
-        for query, q, own, least, cand in zip(*(pairs.column(c).to_pylist() for c in ("a", "q", "scale", "least", "cand"))):
-            cand = np.array(cand, np.int64)
-            at = np.minimum(np.searchsorted(ids, cand, sorter=order), max(len(ids) - 1, 0))
-            if not len(ids):
-                continue
-            at = order[at]
+        pairs = pairs.combine_chunks()
+        query, least = (pairs.column(c).to_numpy() for c in ("a", "least"))
+        lists = pairs.column("cand").combine_chunks()
+        ends = np.cumsum(pc.list_value_length(lists).to_numpy(), dtype=np.int64)
+        cands = lists.flatten().to_numpy()
+        out, row = [], 0
+        while row < len(query):  # whole queries, about SEARCH_PAIRS candidates
+            base = ends[row - 1] if row else 0
+            to = max(row + 1, int(np.searchsorted(ends, base + SEARCH_PAIRS, side="right")))
+            own = _vectors(pairs.column("q").slice(row, to - row), pairs.column("scale").slice(row, to - row))
+            cand = cands[base:ends[to - 1]]
+            of = np.repeat(np.arange(row, to), np.diff(ends[row:to], prepend=base))
+            at = order[np.minimum(np.searchsorted(ids, cand, sorter=order), len(ids) - 1)]
             hit = ids[at] == cand
-            at, cand = at[hit], cand[hit]
+            at, cand, of = at[hit], cand[hit], of[hit]
             # summed row by row: a pair's score is the same in every round
-            s = np.round((x[at] * (np.frombuffer(q, np.float32) * own)).sum(axis=1), DIGITS)
-            keep = s >= least
-            out.append((np.full(int(keep.sum()), query), cand[keep], s[keep]))
+            s = np.round((x[at] * own[of - row]).sum(axis=1), DIGITS)
+            keep = s >= least[of]
+            out.append((query[of[keep]], cand[keep], s[keep]))
+            row = to
         a, b, s = (np.concatenate(c) for c in zip(*out)) if out else (np.zeros(0, np.int64),) * 2 + (np.zeros(0),)
         return pa.Table.from_batches([_edge_batch(a, b, s)])
 
