@@ -80,6 +80,40 @@ def test_other_length_and_stretches(spark, monkeypatch):
     assert got == brute(rows, 40)
 
 
+def test_equal_content_hashes_do_not_settle(monkeypatch):
+    """Segments whose 64-bit hash is the same are still told apart, and buckets that share a
+    task are settled one by one."""
+    import pyarrow as pa
+    docs = sorted({(i, t) for i, t in corpus(5) if i is not None and t}, key=lambda d: d[0])
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*((i, _th(t), t) for i, t in docs))], names=["did", "_th", "text"])
+
+    def settled():
+        rows = pa.Table.from_batches(suffix_dedup._scan(100, 32, 8)([batch])).sort_by("bucket")
+        out = [r for b in suffix_dedup._settle(rows.to_batches(max_chunksize=3)) for r in b.to_pylist()]
+        starts = {(r["did"], r["th"], x) for r in out if r["key"] is None for x in range(r["lo"], r["hi"] + 1)}
+        return starts, sorted((r["key"], r["did"], r["th"], r["lo"], r["hi"]) for r in out if r["key"] is not None)
+
+    want = settled()
+    assert want[0] and want[1]
+    plain = suffix_dedup.segments
+    monkeypatch.setattr(suffix_dedup, "segments", lambda *a: (*plain(*a)[:5], np.zeros_like(plain(*a)[5]), plain(*a)[6]))
+    assert settled() == want
+
+
+def test_digests_are_those_of_the_bytes():
+    rng = np.random.default_rng(1)
+    raw = rng.integers(0, 256, 3000).astype(np.uint8)
+    raw[1500:1700], raw[2000:2200] = raw[100:300], raw[100:300]
+    raw[2100] ^= 1
+    first = np.array([100, 1500, 2000, 100, 0])
+    end = np.array([300, 1700, 2200, 299, 3000])
+    p, got = (1 << 31) - 1, suffix_dedup._digests(raw, first, end).tolist()
+    for a, b, d in zip(first, end, got):
+        one, two = (sum((int(c) + 1) * pow(base, i, p) for i, c in enumerate(raw[a:b])) % p for base in suffix_dedup._BASES)
+        assert d == one << 31 | two
+    assert got[0] == got[1] and len(set(got)) == 4
+
+
 def test_texts_after_removal(spark):
     rows = corpus()
     out = remove_repeats(frame(spark, rows, extra=True))

@@ -19,8 +19,10 @@ neighbours; it is built in parts that never have to be merged:
    each keyed by the bytes that they then share; again and again, until it is small or its
    strings are equal.
 
-Segment contents are compared by 64 hash bits beside the anchor's (about 2**-80 for a false
-match of any two segments); the sorted strings are compared byte by byte.
+Segment contents are compared by a digest of 126 bits beside the anchor's 32: a polynomial
+modulo 2**64 and two modulo the prime 2**31 - 1, for which two different segments of m bytes
+agree with at most (m / 2**31)**2 of the pairs of bases, whatever the texts are. The sorted
+strings are compared byte by byte.
 
 Cases: null and empty texts have no bytes; null doc_ids come first; rows that share the
 doc_id are in the order of their text hash, and rows that share doc_id and text are one
@@ -45,6 +47,8 @@ GRAM = 32
 STRETCH = 1 << 20
 #: Bytes of text whose segments a task pre-aggregates before it passes them on.
 GATHER_BYTES = 1 << 23
+#: Bytes of text whose segments make a bucket; a task settles one bucket at a time.
+BUCKET_BYTES = 1 << 27
 #: Different segments of an anchor above which the cluster splits it, and in a task.
 SPLIT_ROWS = 20_000
 TASK_ROWS = 100
@@ -53,6 +57,9 @@ SORT_BYTES = 1 << 21
 NO_ID = -(1 << 63)
 _INDEX = np.uint64((1 << 24) - 1)
 _INVERSE = np.uint64(pow(int(MULT), -1, 1 << 64))
+_PRIME = np.uint64((1 << 31) - 1)
+_BASES = tuple(int(x) for x in np.random.default_rng(20240608).integers(1 << 20, (1 << 31) - 2, 2))
+_powers: dict[int, np.ndarray] = {}
 
 
 # -- anchors ---------------------------------------------------------------------------
@@ -67,11 +74,31 @@ def _gram_hashes(raw: np.ndarray, k: int) -> np.ndarray:
     return mix(h)
 
 
+def _prime_powers(base: int, n: int) -> np.ndarray:
+    """The first n (or more) powers of base modulo the prime, kept for the next block."""
+    have = _powers.get(base, np.ones(1, np.uint64))
+    while len(have) < n:
+        have = np.concatenate([have, have * np.uint64(pow(base, len(have), int(_PRIME))) % _PRIME])
+    _powers[base] = have
+    return have
+
+
+def _digests(raw: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """62 bits for each raw[first:end]: its polynomials modulo the prime for the two bases."""
+    out = np.zeros(len(first), np.uint64)
+    for base in _BASES:
+        power, back = _prime_powers(base, len(raw)), _prime_powers(pow(base, -1, int(_PRIME)), len(raw))
+        total = np.zeros(len(raw) + 1, np.uint64)
+        np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * power[:len(raw)] % _PRIME, out=total[1:])
+        out = out << np.uint64(31) | (total[end] - total[first]) % _PRIME * back[first] % _PRIME
+    return out
+
+
 def segments(raw: np.ndarray, offsets: np.ndarray, length: int, k: int):
-    """(text, first start, last start, anchor, anchor hash, content hash) of a block's segments,
-    places counted in the block."""
+    """(text, first start, last start, anchor, anchor hash, content hash, content digest) of a
+    block's segments, places counted in the block."""
     if len(raw) < length:
-        return tuple(np.zeros(0, np.int64) for _ in range(4)) + (np.zeros(0, np.uint64),) * 2
+        return tuple(np.zeros(0, np.int64) for _ in range(4)) + (np.zeros(0, np.uint64),) * 3
     h = _gram_hashes(raw, k)
     keyed = (h & ~_INDEX) | np.arange(len(h), dtype=np.uint64)
     at = (sliding_min(keyed, length - k + 1) & _INDEX).astype(np.int64)
@@ -86,15 +113,16 @@ def segments(raw: np.ndarray, offsets: np.ndarray, length: int, k: int):
     back[0] = 1
     back = np.cumprod(back, dtype=np.uint64)
     content = mix((total[last + length] - total[first]) * back[first] + (last - first).astype(np.uint64))
-    return text[first], first, last, at[first], h[at[first]], content
+    return text[first], first, last, at[first], h[at[first]], content, _digests(raw, first, last + length)
 
 
-def _repeats(h, content, did, th, lo):
+def _repeats(h, content, digest, did, th, lo):
     """Order by (anchor, content, occurrence), the first of each content, and which rows are
     later occurrences than the first."""
-    order = np.lexsort((lo, th, did, content, h))
-    h, content, did, th, lo = h[order], content[order], did[order], th[order], lo[order]
-    fresh = np.concatenate([[True], (h[1:] != h[:-1]) | (content[1:] != content[:-1])]) if len(h) else np.zeros(0, bool)
+    order = np.lexsort((lo, th, did, digest, content, h))
+    h, content, digest, did, th, lo = (x[order] for x in (h, content, digest, did, th, lo))
+    fresh = np.concatenate([[True], (h[1:] != h[:-1]) | (content[1:] != content[:-1]) | (digest[1:] != digest[:-1])]) \
+        if len(h) else np.zeros(0, bool)
     lead = np.maximum.accumulate(np.where(fresh, np.arange(len(h)), 0)) if len(h) else np.zeros(0, np.int64)
     later = (did != did[lead]) | (th != th[lead]) | (lo != lo[lead])
     return order, fresh, later
@@ -111,38 +139,38 @@ def _join_ranges(did, th, lo, hi):
     return did[at], th[at], lo[at], np.maximum.reduceat(hi, at)
 
 
-_LISTS = ("did", "th", "lo", "span", "anchor", "h", "content")
+_LISTS = ("did", "th", "lo", "span", "anchor", "h", "content", "digest")
 _SCAN = ("bucket int, did array<long>, th array<long>, lo array<long>, span array<long>, anchor array<tinyint>, "
-         "h array<int>, content array<long>")
+         "h array<int>, content array<long>, digest array<long>")
 
 
 def _scan(length: int, k: int, n_buckets: int):
     def lists(parts):
         """One row: the list columns."""
         offs = lambda x: pa.array([0, len(x)], pa.int32())
-        kinds = (np.int64, np.int64, np.int64, np.int64, np.int8, np.int32, np.int64)
+        kinds = (np.int64, np.int64, np.int64, np.int64, np.int8, np.int32, np.int64, np.int64)
         return [pa.ListArray.from_arrays(offs(x), pa.array(x.astype(t, copy=False))) for x, t in zip(parts, kinds)]
 
     def emit(held):
-        did, th, lo, hi, anchor, h, content = (np.concatenate(x) for x in zip(*held))
-        order, fresh, later = _repeats(h, content, did, th, lo)
-        did, th, lo, hi, anchor, h, content = (x[order] for x in (did, th, lo, hi, anchor, h, content))
+        did, th, lo, hi, anchor, h, content, digest = (np.concatenate(x) for x in zip(*held))
+        order, fresh, later = _repeats(h, content, digest, did, th, lo)
+        did, th, lo, hi, anchor, h, content, digest = (x[order] for x in (did, th, lo, hi, anchor, h, content, digest))
         # repeats inside these texts: settled here, without an anchor
         d, t, a, b = _join_ranges(did[later], th[later], lo[later], hi[later])
         for at in range(0, len(d), 1 << 16):
             s = slice(at, at + (1 << 16))
             none = np.zeros(0, np.int64)
-            yield [pa.array([int(d[at] % n_buckets)], pa.int32())] + lists((d[s], t[s], a[s], b[s] - a[s], none, none, none))
-        did, th, lo, hi, anchor, h, content = (x[fresh] for x in (did, th, lo, hi, anchor, h, content))
+            yield [pa.array([int(d[at] % n_buckets)], pa.int32())] + lists((d[s], t[s], a[s], b[s] - a[s], none, none, none, none))
+        did, th, lo, hi, anchor, h, content, digest = (x[fresh] for x in (did, th, lo, hi, anchor, h, content, digest))
         # anchors are minima, so their own high bits crowd near zero: deal by a fresh mix
         bucket = (mix(h + MULT) >> np.uint64(32)).astype(np.int64) * n_buckets >> 32
         order = np.lexsort((lo, th, did, bucket))  # occurrences of a text stand together
-        did, th, lo, hi, anchor, h, content, bucket = (x[order] for x in (did, th, lo, hi, anchor, h, content, bucket))
+        did, th, lo, hi, anchor, h, content, digest, bucket = (x[order] for x in (did, th, lo, hi, anchor, h, content, digest, bucket))
         cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(h) else []
         for a, b in zip(cut, np.append(cut[1:], len(h))):
             yield [pa.array([int(bucket[a])], pa.int32())] + lists(
                 (did[a:b], th[a:b], lo[a:b], hi[a:b] - lo[a:b], anchor[a:b] - lo[a:b],
-                 h[a:b].astype(np.uint32).view(np.int32), content[a:b].view(np.int64)))
+                 h[a:b].astype(np.uint32).view(np.int32), content[a:b].view(np.int64), digest[a:b].view(np.int64)))
 
     def scan(batches):
         held, size = [], 0
@@ -152,10 +180,10 @@ def _scan(length: int, k: int, n_buckets: int):
             for at in range(0, max(len(raw) - length + 1, 1), STRETCH) if block.num_rows == 1 else (0,):
                 part, off = (raw[at:at + STRETCH + length - 1], None) if block.num_rows == 1 else (raw, offsets)
                 off = np.array([0, len(part)]) if off is None else off
-                text, first, last, anchor, h, content = segments(part, off, length, k)
+                text, first, last, anchor, h, content, digest = segments(part, off, length, k)
                 if len(text):
                     base = off[text] - at
-                    held.append((did[text], th[text], first - base, last - base, anchor - base, h, content))
+                    held.append((did[text], th[text], first - base, last - base, anchor - base, h, content, digest))
                 size += len(part)
             if size >= GATHER_BYTES and held:
                 for row in emit(held):
@@ -172,25 +200,34 @@ _ROWS = "did long, th long, lo long, hi long, anchor long, key long"
 
 
 def _settle(batches):
-    """The dealt segments of whole buckets: rows (did, th, lo, hi) of later occurrences, and
-    with anchor and key the first occurrences of an anchor's different contents."""
-    parts: dict[str, list] = {c: [] for c in ("bucket", *_LISTS)}
+    """The dealt segments, sorted by bucket: rows (did, th, lo, hi) of later occurrences, and
+    with anchor and key the first occurrences of an anchor's different contents. One bucket
+    is held at a time."""
+    held, last = [], None
     for b in batches:
-        size = pc.list_value_length(b.column("h")).to_numpy()
-        plain = pc.list_value_length(b.column("did")).to_numpy()
-        for i in np.flatnonzero(size == 0):  # settled ranges pass through
-            d, t, lo, span = (b.column(c)[int(i)].values.to_numpy() for c in ("did", "th", "lo", "span"))
-            yield _rows(d, t, lo, lo + span)
-        keep = b.filter(pa.array(size > 0))
-        if keep.num_rows:
-            parts["bucket"].append(np.repeat(keep.column("bucket").to_numpy(), plain[size > 0]))
-            for c in _LISTS:
-                parts[c].append(keep.column(c).flatten().to_numpy())
-    if not parts["h"]:
-        return
-    bucket, did, th, lo, span, anchor, h, content = (np.concatenate(parts.pop(c)) for c in ("bucket", *_LISTS))
-    key = bucket.astype(np.int64) << np.int64(32) | h.view(np.uint32).astype(np.int64)
-    order, fresh, later = _repeats(key, content, did, th, lo)
+        bucket = b.column("bucket").to_numpy()
+        cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else []
+        for at, end in zip(cut, np.append(cut[1:], len(bucket))):
+            if held and bucket[at] != last:
+                yield from _settle_bucket(int(last), held)
+                held = []
+            last = bucket[at]
+            rows = b.slice(int(at), int(end - at))
+            size = pc.list_value_length(rows.column("h")).to_numpy()
+            for i in np.flatnonzero(size == 0):  # settled ranges pass through
+                d, t, lo, span = (rows.column(c)[int(i)].values.to_numpy() for c in ("did", "th", "lo", "span"))
+                yield _rows(d, t, lo, lo + span)
+            keep = rows.filter(pa.array(size > 0))
+            if keep.num_rows:
+                held.append(tuple(keep.column(c).flatten().to_numpy() for c in _LISTS))
+    if held:
+        yield from _settle_bucket(int(last), held)
+
+
+def _settle_bucket(bucket: int, held: list[tuple]):
+    did, th, lo, span, anchor, h, content, digest = (np.concatenate(x) for x in zip(*held))
+    key = np.int64(bucket << 32) | h.view(np.uint32).astype(np.int64)
+    order, fresh, later = _repeats(key, content, digest, did, th, lo)
     key, did, th, lo, span, anchor = (x[order] for x in (key, did, th, lo, span, anchor))
     yield _rows(did[later], th[later], lo[later], (lo + span)[later])
     new = np.concatenate([[True], key[1:] != key[:-1]])
@@ -348,7 +385,9 @@ def repeated_starts(docs: DataFrame, length: int = 100, k: int = GRAM, text: str
     spark = docs.sparkSession
     own = document_key(docs, text).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("did"), "_th", "text")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = own.mapInArrow(_scan(length, k, n), _SCAN).repartition(n, "bucket")
+    size = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    dealt = own.mapInArrow(_scan(length, k, max(n, -(-size // BUCKET_BYTES))), _SCAN)
+    dealt = dealt.repartition(n, "bucket").sortWithinPartitions("bucket")
     settled = materialise(dealt.mapInArrow(_settle, _ROWS), "segments")
     found = [settled.where("key is null").select("did", "th", "lo", "hi")]
 
