@@ -59,10 +59,11 @@ def corpus(seed=4):
     return rows
 
 
-@pytest.mark.parametrize("split_rows,task_rows", [(20_000, 100), (6, 3)])
-def test_report_equals_brute_force(spark, split_rows, task_rows):
+@pytest.mark.parametrize("split_rows,task_rows,hot_contents", [(20_000, 100, 1000), (6, 3, 20), (20_000, 100, 2), (6, 3, 1)])
+def test_report_equals_brute_force(spark, split_rows, task_rows, hot_contents):
     rows = corpus()
-    got = table(repeat_report(frame(spark, rows, extra=True), 100, split_rows=split_rows, task_rows=task_rows))
+    got = table(repeat_report(frame(spark, rows, extra=True), 100, split_rows=split_rows, task_rows=task_rows,
+                              hot_contents=hot_contents))
     assert got == brute(rows, 100)
 
 
@@ -89,7 +90,7 @@ def test_equal_content_hashes_do_not_settle(monkeypatch):
 
     def settled():
         rows = pa.Table.from_batches(suffix_dedup._scan(100, 32, 8)([batch])).sort_by("bucket")
-        out = [r for b in suffix_dedup._settle(rows.to_batches(max_chunksize=3)) for r in b.to_pylist()]
+        out = [r for b in suffix_dedup._settle(8)(rows.to_batches(max_chunksize=3)) for r in b.to_pylist()]
         starts = {(r["did"], r["th"], x) for r in out if r["key"] is None for x in range(r["lo"], r["hi"] + 1)}
         return starts, sorted((r["key"], r["did"], r["th"], r["lo"], r["hi"]) for r in out if r["key"] is not None)
 
@@ -100,6 +101,38 @@ def test_equal_content_hashes_do_not_settle(monkeypatch):
     assert settled() == want
 
 
+def test_a_phrase_in_many_texts_fills_many_buckets(spark):
+    """A 64-byte phrase with other words around it in every text: its anchors are found by the
+    sample, their segments are dealt over all the buckets, and the report is as without."""
+    import pyarrow as pa
+    rng = random.Random(8)
+    phrase = "".join(rng.choice("abcdefgh") for _ in range(64))
+    rows = [(i, f"{words(rng, 12, 10**6)} {phrase} {words(rng, 12, 10**6)}") for i in range(300)]
+    rows += [(1000 + i, rows[i][1]) for i in range(0, 300, 3)]
+    docs = frame(spark, rows)
+    hot = suffix_dedup.hot_anchors(docs, 100, 32)
+    assert 1 <= len(hot) < 64 and (np.diff(hot.astype(object)) > 0).all()
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*((i, _th(t), t) for i, t in rows))], names=["did", "_th", "text"])
+
+    def largest(hot):
+        rows = pa.Table.from_batches(suffix_dedup._scan(100, 32, 16, hot)([batch])).to_pylist()
+        sizes = [len(r["h"]) for r in rows if r["h"]]
+        assert max(r["bucket"] for r in rows) < 32
+        return max(sizes), sum(sizes)
+
+    salted, plain = largest(hot), largest(hot[:0])
+    assert salted[1] == plain[1] and salted[0] < plain[0]
+    starts, firsts = [], []
+    for h in (hot, hot[:0]):
+        rows_ = pa.Table.from_batches(suffix_dedup._scan(100, 32, 16, h)([batch])).sort_by("bucket")
+        out = [r for b in suffix_dedup._settle(16)(rows_.to_batches()) for r in b.to_pylist()]
+        starts.append({(r["did"], x) for r in out if r["key"] is None for x in range(r["lo"], r["hi"] + 1)})
+        firsts.append(sorted((r["did"], r["lo"], r["hi"], r["anchor"]) for r in out if r["key"] is not None))
+    assert starts[0] == starts[1] and firsts[0] == firsts[1]
+    assert table(repeat_report(docs, 100)) == brute(rows, 100)
+    assert len(suffix_dedup.hot_anchors(empty(spark), 100, 32)) == 0
+
+
 def test_digests_are_those_of_the_bytes():
     rng = np.random.default_rng(1)
     raw = rng.integers(0, 256, 3000).astype(np.uint8)

@@ -10,7 +10,10 @@ neighbours; it is built in parts that never have to be merged:
    consecutive: together they are one segment of the text (about 130 bytes).
 2. Segments are pre-aggregated by (anchor, content) where they are read, then dealt out by
    anchor. Of identical segments only the first occurrence goes on; the others' strings
-   all occur earlier. An anchor with a single content is settled.
+   all occur earlier. An anchor with a single content is settled. An anchor that a sample
+   of the documents shows with many contents is dealt out by content as well, so that a
+   phrase in a third of all documents fills many buckets; the sample decides only where
+   segments meet, never what is found.
 3. The differing segments of an anchor are concatenated and suffix-sorted by linear
    grouping (``suffix_order``). Equal strings are neighbours there; all but the earliest
    are marked.
@@ -52,6 +55,14 @@ BUCKET_BYTES = 1 << 27
 #: Different segments of an anchor above which the cluster splits it, and in a task.
 SPLIT_ROWS = 20_000
 TASK_ROWS = 100
+#: One document in so many (and ``SAMPLE_DOCS`` at least) is looked through for hot anchors:
+#: those with ``HOT_CONTENTS`` different segments in the sample. An anchor that stays below
+#: that has some ten thousands of them in the corpus, whatever its size. At most ``HOT_ANCHORS``
+#: of 8 bytes each, the most frequent ones, go to the tasks.
+SAMPLE_ONE_IN = 1000
+SAMPLE_DOCS = 2000
+HOT_CONTENTS = 20
+HOT_ANCHORS = 1 << 20
 #: Bytes that a task suffix-sorts at a time (whole anchors).
 SORT_BYTES = 1 << 21
 NO_ID = -(1 << 63)
@@ -144,7 +155,53 @@ _SCAN = ("bucket int, did array<long>, th array<long>, lo array<long>, span arra
          "h array<int>, content array<long>, digest array<long>")
 
 
-def _scan(length: int, k: int, n_buckets: int):
+def _stretches(block, length: int, k: int):
+    """The segments of a block's texts, stretch by stretch, with the stretch's offsets, its
+    place in the text and its size."""
+    raw, offsets = utf8(block.column("text"))
+    if block.num_rows != 1:
+        yield segments(raw, offsets, length, k), offsets, 0, len(raw)
+        return
+    for at in range(0, max(len(raw) - length + 1, 1), STRETCH):
+        part = raw[at:at + STRETCH + length - 1]
+        off = np.array([0, len(part)])
+        yield segments(part, off, length, k), off, at, len(part)
+
+
+def hot_anchors(docs: DataFrame, length: int, k: int, text: str = "text", hot_contents: int = HOT_CONTENTS) -> np.ndarray:
+    """Sorted hashes of the anchors with many different segments in a sample of ``docs``."""
+    part = min(1.0, max(1 / SAMPLE_ONE_IN, SAMPLE_DOCS / max(docs.count(), 1)))
+    sample = docs.select("doc_id", text)
+    sample = document_key(sample if part == 1 else sample.sample(part, seed=7), text)
+
+    def find(batches):
+        for block in text_blocks(batches, "text", 1 << 19):
+            for (*_, h, content, _), _, _, _ in _stretches(block, length, k):
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(content.view(np.int64))],
+                                                 names=["h", "content"])
+
+    n = sample.select("text").mapInArrow(find, "h long, content long").distinct().groupBy("h").agg(
+        F.count(F.lit(1)).alias("n")).where(F.col("n") >= hot_contents)
+    rows = n.orderBy(F.desc("n"), "h").limit(HOT_ANCHORS).select("h").toPandas()["h"].to_numpy()
+    return np.sort(rows.astype(np.int64).view(np.uint64))
+
+
+def _deal(h, content, n_buckets: int, hot: np.ndarray):
+    """(bucket, 32 bits of the anchor) of segments. Buckets from ``n_buckets`` on hold the hot
+    anchors, dealt by content, with their places in ``hot``."""
+    # anchors are minima, so their own high bits crowd near zero: deal by a fresh mix
+    bucket = (mix(h + MULT) >> np.uint64(32)).astype(np.int64) * n_buckets >> 32
+    low = h.astype(np.uint32)
+    if len(hot):
+        place = np.minimum(np.searchsorted(hot, h), len(hot) - 1)
+        salted = hot[place] == h
+        spread = (content >> np.uint64(32)).astype(np.int64) * n_buckets >> 32
+        bucket = np.where(salted, n_buckets + spread, bucket)
+        low = np.where(salted, place.astype(np.uint32), low)
+    return bucket, low.view(np.int32)
+
+
+def _scan(length: int, k: int, n_buckets: int, hot: np.ndarray = np.zeros(0, np.uint64)):
     def lists(parts):
         """One row: the list columns."""
         offs = lambda x: pa.array([0, len(x)], pa.int32())
@@ -162,29 +219,24 @@ def _scan(length: int, k: int, n_buckets: int):
             none = np.zeros(0, np.int64)
             yield [pa.array([int(d[at] % n_buckets)], pa.int32())] + lists((d[s], t[s], a[s], b[s] - a[s], none, none, none, none))
         did, th, lo, hi, anchor, h, content, digest = (x[fresh] for x in (did, th, lo, hi, anchor, h, content, digest))
-        # anchors are minima, so their own high bits crowd near zero: deal by a fresh mix
-        bucket = (mix(h + MULT) >> np.uint64(32)).astype(np.int64) * n_buckets >> 32
+        bucket, h = _deal(h, content, n_buckets, hot)
         order = np.lexsort((lo, th, did, bucket))  # occurrences of a text stand together
         did, th, lo, hi, anchor, h, content, digest, bucket = (x[order] for x in (did, th, lo, hi, anchor, h, content, digest, bucket))
         cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(h) else []
         for a, b in zip(cut, np.append(cut[1:], len(h))):
             yield [pa.array([int(bucket[a])], pa.int32())] + lists(
                 (did[a:b], th[a:b], lo[a:b], hi[a:b] - lo[a:b], anchor[a:b] - lo[a:b],
-                 h[a:b].astype(np.uint32).view(np.int32), content[a:b].view(np.int64), digest[a:b].view(np.int64)))
+                 h[a:b], content[a:b].view(np.int64), digest[a:b].view(np.int64)))
 
     def scan(batches):
         held, size = [], 0
         for block in text_blocks(batches, "text", 1 << 19):
-            raw, offsets = utf8(block.column("text"))
             did, th = block.column("did").to_numpy(), block.column("_th").to_numpy()
-            for at in range(0, max(len(raw) - length + 1, 1), STRETCH) if block.num_rows == 1 else (0,):
-                part, off = (raw[at:at + STRETCH + length - 1], None) if block.num_rows == 1 else (raw, offsets)
-                off = np.array([0, len(part)]) if off is None else off
-                text, first, last, anchor, h, content, digest = segments(part, off, length, k)
+            for (text, first, last, anchor, h, content, digest), off, at, read in _stretches(block, length, k):
                 if len(text):
                     base = off[text] - at
                     held.append((did[text], th[text], first - base, last - base, anchor - base, h, content, digest))
-                size += len(part)
+                size += read
             if size >= GATHER_BYTES and held:
                 for row in emit(held):
                     yield pa.RecordBatch.from_arrays(row, names=["bucket", *_LISTS])
@@ -199,40 +251,44 @@ def _scan(length: int, k: int, n_buckets: int):
 _ROWS = "did long, th long, lo long, hi long, anchor long, key long"
 
 
-def _settle(batches):
-    """The dealt segments, sorted by bucket: rows (did, th, lo, hi) of later occurrences, and
-    with anchor and key the first occurrences of an anchor's different contents. One bucket
-    is held at a time."""
-    held, last = [], None
-    for b in batches:
-        bucket = b.column("bucket").to_numpy()
-        cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else []
-        for at, end in zip(cut, np.append(cut[1:], len(bucket))):
-            if held and bucket[at] != last:
-                yield from _settle_bucket(int(last), held)
-                held = []
-            last = bucket[at]
-            rows = b.slice(int(at), int(end - at))
-            size = pc.list_value_length(rows.column("h")).to_numpy()
-            for i in np.flatnonzero(size == 0):  # settled ranges pass through
-                d, t, lo, span = (rows.column(c)[int(i)].values.to_numpy() for c in ("did", "th", "lo", "span"))
-                yield _rows(d, t, lo, lo + span)
-            keep = rows.filter(pa.array(size > 0))
-            if keep.num_rows:
-                held.append(tuple(keep.column(c).flatten().to_numpy() for c in _LISTS))
-    if held:
-        yield from _settle_bucket(int(last), held)
-
-
-def _settle_bucket(bucket: int, held: list[tuple]):
+def _settle(n_buckets: int):
+    def settle(batches):
+        """The dealt segments, sorted by bucket: rows (did, th, lo, hi) of later occurrences,
+        and with anchor and key the first occurrences of an anchor's different contents. One
+        bucket is held at a time."""
+        held, last = [], None
+        for b in batches:
+            bucket = b.column("bucket").to_numpy()
+            cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else []
+            for at, end in zip(cut, np.append(cut[1:], len(bucket))):
+                if held and bucket[at] != last:
+                    yield from _settle_bucket(int(last), held, n_buckets)
+                    held = []
+                last = bucket[at]
+                rows = b.slice(int(at), int(end - at))
+                size = pc.list_value_length(rows.column("h")).to_numpy()
+                for i in np.flatnonzero(size == 0):  # settled ranges pass through
+                    d, t, lo, span = (rows.column(c)[int(i)].values.to_numpy() for c in ("did", "th", "lo", "span"))
+                    yield _rows(d, t, lo, lo + span)
+                keep = rows.filter(pa.array(size > 0))
+                if keep.num_rows:
+                    held.append(tuple(keep.column(c).flatten().to_numpy() for c in _LISTS))
+        if held:
+            yield from _settle_bucket(int(last), held, n_buckets)
+
+    return settle
+
+
+def _settle_bucket(bucket: int, held: list[tuple], n_buckets: int):
     did, th, lo, span, anchor, h, content, digest = (np.concatenate(x) for x in zip(*held))
-    key = np.int64(bucket << 32) | h.view(np.uint32).astype(np.int64)
+    salted = bucket >= n_buckets  # a hot anchor has other contents in other buckets
+    key = -1 - h.astype(np.int64) if salted else np.int64(bucket << 32) | h.view(np.uint32).astype(np.int64)
     order, fresh, later = _repeats(key, content, digest, did, th, lo)
     key, did, th, lo, span, anchor = (x[order] for x in (key, did, th, lo, span, anchor))
     yield _rows(did[later], th[later], lo[later], (lo + span)[later])
     new = np.concatenate([[True], key[1:] != key[:-1]])
     contents = np.add.reduceat(fresh.astype(np.int64), np.flatnonzero(new))
-    many = fresh & (contents[np.cumsum(new) - 1] > 1)
+    many = fresh if salted else fresh & (contents[np.cumsum(new) - 1] > 1)
     yield _rows(did[many], th[many], lo[many], (lo + span)[many], (lo + anchor)[many], key[many])
 
 
@@ -379,16 +435,17 @@ def _sort(length: int, task_rows: int):
 
 
 def repeated_starts(docs: DataFrame, length: int = 100, k: int = GRAM, text: str = "text",
-                    split_rows: int = SPLIT_ROWS, task_rows: int = TASK_ROWS) -> DataFrame:
+                    split_rows: int = SPLIT_ROWS, task_rows: int = TASK_ROWS, hot_contents: int = HOT_CONTENTS) -> DataFrame:
     """did, th, lo, hi: ranges of places in a document (did: doc_id, or NO_ID for null)
     where strings of ``length`` bytes start that also start earlier."""
     spark = docs.sparkSession
     own = document_key(docs, text).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("did"), "_th", "text")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     size = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    dealt = own.mapInArrow(_scan(length, k, max(n, -(-size // BUCKET_BYTES))), _SCAN)
+    n_buckets = max(n, -(-size // BUCKET_BYTES))
+    dealt = own.mapInArrow(_scan(length, k, n_buckets, hot_anchors(docs, length, k, text, hot_contents)), _SCAN)
     dealt = dealt.repartition(n, "bucket").sortWithinPartitions("bucket")
-    settled = materialise(dealt.mapInArrow(_settle, _ROWS), "segments")
+    settled = materialise(dealt.mapInArrow(_settle(n_buckets), _ROWS), "segments")
     found = [settled.where("key is null").select("did", "th", "lo", "hi")]
 
     # the bytes of the differing segments
