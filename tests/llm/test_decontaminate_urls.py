@@ -1,7 +1,7 @@
 import random
 import re
 
-from trilake.llm.decontaminate import contamination, drop_contaminated
+from trilake.llm.decontaminate import benchmark_tables, contamination, drop_contaminated, window_classes
 from trilake.llm.url_reputation import host_reputation, judge_urls, url_parts
 
 from .util import empty, frame, table, words
@@ -73,6 +73,23 @@ def test_other_windows(spark):
     assert rows == brute(docs, items, 5)
 
 
+def test_a_passage_of_many_items_is_one_class(spark):
+    """A passage in 300 items and 200 documents: its windows are one class, the documents'
+    items are put together once."""
+    rng = random.Random(3)
+    passage = words(rng, 30)
+    items = [(i, f"{words(rng, 5, 10**6)} {passage}") for i in range(300)] + [(900, passage), (901, words(rng, 40))]
+    docs = [(i, f"{words(rng, 40, 10**6)} {passage}") for i in range(200)] + [(500, items[-1][1]), (501, items[7][1])]
+    _, windows = benchmark_tables(bench(spark, items), 13, 8)
+    of, members = window_classes(windows)
+    assert of.groupBy("class").count().where("count > 1").count() == 302  # the passage, and each item's own windows
+    assert members.count() == 301 + 300 + 1
+    got = contamination(frame(spark, docs, extra=True), bench(spark, items))
+    rows = sorted(((r.doc_id, r.n_words, r.n_hit, r.n_items, list(r["items"]), r.contaminated) for r in got.collect()),
+                  key=lambda t: (t[0] is not None, t))
+    assert rows == brute(docs, items)
+
+
 def test_empty_tables(spark):
     docs, items = corpus()
     assert contamination(empty(spark), bench(spark, items)).count() == 0

@@ -12,6 +12,9 @@ hashes, so any shared run of ``window`` words shares a fingerprint at the same p
 3. Join on the fingerprint, then extend each hit: the windows that hold it are compared
    word for word with the benchmark's windows.
 4. Hit words of a document are the union of its matched windows.
+5. Items: windows that occur in the same items are one class, documents that hold the same
+   classes one group. A group's items are put together once, so a passage common to many
+   items and many documents does not multiply.
 
 An item of fewer words than a window is one window; those (at most ``window - 1``)
 lengths are fingerprinted at every place.
@@ -172,6 +175,31 @@ def document_hits(docs: DataFrame, prints: DataFrame, window: int, k: int, text:
         scan, f"doc_id long, _th long, n_words long, hits {_HITS}"), "document-hits")
 
 
+def window_classes(windows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(n, words, class; class, item_id): windows that occur in the same items, by 128 bits of
+    the set of item ids and its size, and the items of each class."""
+    known = windows.where("item_id is not null")  # distinct rows
+    bits = [F.bit_xor(F.xxhash64(F.lit(seed), "item_id")) for seed in (1, 2)]
+    of = materialise(known.groupBy("n", "words").agg(F.md5(F.concat_ws(":", F.count(F.lit(1)), *bits)).alias("class")),
+                     "window-classes")
+    one = of.groupBy("class").agg(F.min(F.struct("n", "words")).alias("w")).select("class", "w.n", "w.words")
+    return of, known.join(one, ["n", "words"]).select("class", "item_id")
+
+
+def document_items(found: DataFrame, windows: DataFrame) -> DataFrame:
+    """doc_id, _th, items (sorted as strings) of documents with windows of named items."""
+    of, members = window_classes(windows)
+    held = found.select("doc_id", "_th", "n", "words").join(of, ["n", "words"]).select("doc_id", "_th", "class").distinct()
+    held = held.groupBy("doc_id", "_th").agg(F.array_sort(F.collect_list("class")).alias("classes"))
+    groups = materialise(held.withColumn("group", F.md5(F.array_join("classes", ","))), "document-groups")
+    each = groups.groupBy("group").agg(F.first("classes").alias("classes"))
+    # written before the join: both its sides then have exchanges of their own, so the
+    # documents of a frequent group are split
+    items = materialise(each.select("group", F.explode("classes").alias("class")).join(members, "class").groupBy("group").agg(
+        F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items")), "group-items")
+    return groups.select("doc_id", "_th", "group").join(items, "group").select("doc_id", "_th", "items")
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, k: int = GRAM,
                   one_in: int = 20, text: str = "text") -> DataFrame:
     """Per document: doc_id, _th, n_words, n_hit, n_items, items (sorted as strings),
@@ -192,9 +220,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, k: in
     hit = found.select("doc_id", "_th", "at", "n").distinct().withColumn(
         "reached", F.coalesce(F.max(end).over(key.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).groupBy(
         "doc_id", "_th").agg(F.sum(F.greatest(end - F.greatest("at", "reached"), F.lit(0))).alias("n_hit"))
-    items = found.select("doc_id", "_th", "n", "words").distinct().join(windows, ["n", "words"]).where(
-        "item_id is not null").groupBy("doc_id", "_th").agg(
-        F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
+    items = document_items(found, windows)
     hit, items = hit.alias("hit"), items.alias("items")
     out = rows.select("doc_id", "_th", "n_words").alias("d")
     out = out.join(hit, F.expr("d.doc_id <=> hit.doc_id and d._th = hit._th"), "left").join(
