@@ -145,6 +145,24 @@ def test_index_finds_every_pair():
     assert got == want and len(want) > 300
 
 
+def test_pairs_of_one_component_are_left_out():
+    """A bucket of very many near fingerprints: most pairs of nodes are dropped unseen, and the
+    groups are those of all links."""
+    ball = [1 << a ^ 1 << b ^ 1 << c for a in range(64) for b in range(a) for c in range(b)][::7]
+    fp = np.array(sorted(set(ball) | {(x ^ (1 << 64) - 1) for x in ball[::5]}), np.uint64)
+    bucket = np.zeros(len(fp), np.int64)
+    index = Index(fp, bucket)
+    label, seen = np.arange(len(fp)), 0
+    for i, j in index.links(2, 1 << 10, label):
+        seen += len(i)
+        simhash._merge(label, i, j)
+    whole, every = np.arange(len(fp)), 0
+    for i, j in index.links(2, 1 << 10):
+        every += len(i)
+        simhash._merge(whole, i, j)
+    assert (label == whole).all() and 3 * seen < every
+
+
 def test_gray_rank_orders_the_code():
     x = np.arange(1 << 10, dtype=np.uint64)
     assert (simhash.gray_rank(x ^ (x >> np.uint64(1))) == x).all()

@@ -12,6 +12,8 @@
 4. Search: pairs of nodes from the root down. A pair's differences accumulate: each level
    adds the differing bits among those that both masks newly fix. A pair over ``max_bits``
    is dropped with all the fingerprints below it; at the leaves the sum is the distance.
+   So is a pair whose fingerprints are all in one component already, which keeps a bucket
+   of very many near fingerprints from costing the square of its size.
 5. A bucket's links become a spanning forest; the forests' components are joined on the
    cluster (``star_components``).
 
@@ -168,19 +170,36 @@ class Index:
             self.levels.append((mask, low & mask, np.append(first, len(bucket))))
             bucket = bucket[first]
 
-    def links(self, most: int, chunk: int = 1 << 15):
-        """Arrays (i, j) of pairs of fingerprints of a bucket within ``most`` bits, by place."""
+    def groups(self, label: np.ndarray) -> list[np.ndarray]:
+        """For each level, the label that all fingerprints of a node have, or -1."""
+        out = [label]
+        for _, _, first in self.levels[1:]:
+            low = np.minimum.reduceat(out[-1], first[:-1])
+            high = np.maximum.reduceat(out[-1], first[:-1])
+            out.append(np.where(low == high, low, -1))
+        return out
+
+    def links(self, most: int, chunk: int = 1 << 15, label: np.ndarray | None = None):
+        """Arrays (i, j) of pairs of fingerprints of a bucket within ``most`` bits, by place.
+        With ``label`` (the caller changes it in place, see ``_merge``) pairs that have the
+        same label already are left out."""
         top = len(self.levels) - 1
         roots = np.arange(len(self.levels[top][0]))
         zero = np.zeros(len(roots), np.uint64)
         stack = [(top, roots, roots, zero.astype(np.int64), zero)]
         step = np.arange(FANOUT)
+        same, seen = None, None
         while stack:
             level, a, b, differ, shared = stack.pop()
             if len(a) > chunk:
                 stack += [(level, a[at:at + chunk], b[at:at + chunk], differ[at:at + chunk], shared[at:at + chunk])
                           for at in range(0, len(a), chunk)]
                 continue
+            if label is not None:
+                if seen is None or (seen != label).any():
+                    same, seen = self.groups(label), label.copy()
+                open_ = (same[level][a] < 0) | (same[level][a] != same[level][b])
+                a, b, differ, shared = a[open_], b[open_], differ[open_], shared[open_]
             first = self.levels[level][2]
             i = (first[a][:, None] + step)[:, :, None]
             j = (first[b][:, None] + step)[:, None, :]
@@ -201,7 +220,7 @@ class Index:
 
 
 def _merge(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """``label`` (each place's smallest linked place so far) after more links."""
+    """``label`` (each place's smallest linked place so far) with more links, in place."""
     while True:
         a, b = label[i], label[j]
         if (a == b).all():
@@ -211,16 +230,16 @@ def _merge(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
             up = label[label]
             if (up == label).all():
                 break
-            label = up
+            label[:] = up
 
 
 def _forest(fp: np.ndarray, bucket: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     """Links (fingerprint, its root) that span the same groups as all links do."""
     index = Index(fp, bucket)
     label = np.arange(len(fp))
-    for i, j in index.links(most):
+    for i, j in index.links(most, label=label):
         if len(i):
-            label = _merge(label, i, j)
+            _merge(label, i, j)
     own = index.levels[0][1]
     at = np.flatnonzero(label != np.arange(len(fp)))
     return own[at], own[label[at]]
