@@ -240,3 +240,39 @@ def test_quoted_header_names_do_not_shift(spark, tmp_dir):
 
 def _ids(table):
     return {r["user_id"] for r in table.collect()}
+
+
+def test_runs_are_named_in_one_pass(spark):
+    """Neither a job to list the runs nor a scan for each header: one projection over the batch."""
+    from trilake.streaming.incremental import _named
+    batch = spark.createDataFrame([("1", "A", None, "/x/run_ts=r0"), ("B", "2", "z", "/x/run_ts=r1"), ("3", "C", None, "/x/run_ts=r0")],
+                                  "_c0 string, _c1 string, _c2 string, run string")
+    headers = {"/x/run_ts=r0": ["id", "title"], "/x/run_ts=r1": ["title", "id", "extra"]}
+    spark.sparkContext.setJobGroup("naming", "naming")
+    named = _named(batch, headers)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("naming")
+    assert "Union" not in named._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r.id, r.title, r.extra, r.run_ts) for r in named.collect()) == [("1", "A", None, "r0"), ("2", "B", "z", "r1"), ("3", "C", None, "r0")]
+    import pytest
+    with pytest.raises(Exception, match="no landed header"):
+        _named(batch, {"/x/run_ts=r0": ["id", "title"]}).collect()
+
+
+def test_a_large_bucket_is_merged_by_several_tasks(spark, tmp_dir, monkeypatch):
+    import glob
+
+    from trilake.streaming import keyed
+    monkeypatch.setattr(keyed, "TASK_BYTES", 1 << 10)
+    table = keyed.KeyedTable(spark, f"{tmp_dir}/t", "k", ["v"], buckets=2)
+    table.merge(spark.range(4000).selectExpr("id AS k", "id % 7 AS v", "concat('first ', id) AS text"), "s", 0)
+    table.merge(spark.range(3000, 6000).selectExpr("id AS k", "id % 5 + 2 AS v", "concat('second ', id) AS text"), "s", 1)
+    got = {r.k: (r.v, r.text) for r in table.rows().collect()}
+    want = {k: (k % 7, f"first {k}") for k in range(4000)}
+    for k in range(3000, 6000):
+        want[k] = max(want.get(k, (-1, "")), (k % 5 + 2, f"second {k}"))
+    assert got == want and table.rows().count() == 6000
+    signs = {r["_sign"]: r["count"] for r in table.changes(2).groupBy("_sign").count().collect()}
+    gone = sum(1 for k in range(3000, 4000) if (k % 5 + 2, f"second {k}") > (k % 7, f"first {k}"))
+    assert signs == {1: 2000 + gone, -1: gone}
+    folder = table.version().meta["commit"]
+    assert any(len(glob.glob(f"{f}/*.parquet")) > 1 for f in glob.glob(f"{tmp_dir}/t/{folder}/_kind=current/_bucket=*"))

@@ -393,12 +393,13 @@ ratings_vs_revenue_sample AS (SELECT {', '.join(f'{e} AS "{m}"' for m, e in _sam
 def q_incremental_answers(spark, d):
     """ST1 with D7: titles, reviews and rates landed in two runs each; after each run the
     keyed tables are merged and D1, D3 and D5 follow by what changed."""
+    from trilake.contract import kept
     from trilake.plans.delta import MaintainedAnswers
     from trilake.session import shared_dir
     from trilake.sources.raw_csv import land_raw
     from trilake.streaming.incremental import incremental_trusted, lake_table
     base = shared_dir(spark, "incremental_answers", uuid.uuid4().hex)
-    raw = {"movies": LA.base_titles(spark, d), "movie_reviews": LA.raw_reviews(spark, d), "exchange": LA.raw_rates(spark, d)}
+    raw = {"movies": kept(LA.base_titles(spark, d), "incremental_answers"), "movie_reviews": LA.raw_reviews(spark, d), "exchange": LA.raw_rates(spark, d)}
     tables = {n: lake_table(spark, n, f"{base}/{n}/current", 16) for n in raw}
     answers = MaintainedAnswers(spark, f"{base}/answers", tables["movies"], tables["movie_reviews"], tables["exchange"], LA.FX_CODE)
     for i in (0, 1):

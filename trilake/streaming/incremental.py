@@ -41,25 +41,35 @@ from trilake.streaming.keyed import BUCKETS, KeyedTable
 
 FILES_PER_BATCH = 1000
 _PLACE = re.compile(r"^(\d{12})(?:\.([0-9a-f-]+)\.(\d+))?$")
-_RUN = r"^(.*/run_ts=[^/]*)/[^/]*$"
+_RUN = "run_ts="
 
 
 def _named(batch: DataFrame, headers: dict[str, list[str]]) -> DataFrame:
-    """Positional rows with the column names of their run, runs united by name."""
-    runs = [r["run"] for r in batch.select("run").distinct().collect()]  # at most a batch's files
-    missing = [r for r in runs if r not in headers]
-    if missing:
-        raise ValueError(f"no landed header for {missing[:3]}")
+    """Positional rows with the column names of their run, in one pass: a column's place is
+    chosen by the row's run. A row of a run without a header stops the job."""
     groups: dict[tuple[str, ...], list[str]] = {}
-    for r in runs:
-        groups.setdefault(tuple(headers[r]), []).append(r)
-    out = None
-    for names, members in sorted(groups.items()):
-        part = batch.where(F.col("run").isin(members)).select(
-            *[F.col(f"_c{i}").alias(n) for i, n in enumerate(names)],
-            F.regexp_extract("run", r"run_ts=([^/]*)$", 1).alias("run_ts"))
-        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-    return out
+    for run, names in headers.items():
+        if run.rsplit("/", 1)[1].startswith(_RUN):
+            groups.setdefault(tuple(names), []).append(run)
+    which = F.when(F.lit(False), F.lit(-1))
+    for i, members in enumerate(groups.values()):
+        which = which.when(F.col("run").isin(members), i)
+    which = which.otherwise(F.raise_error(F.concat(F.lit("no landed header for "), F.col("run"))).cast("int"))
+    rows = batch.withColumn("_header", which).where("_header >= 0")
+    places: dict[str, dict[int, int]] = {}
+    for i, names in enumerate(groups):
+        for place, name in enumerate(names):
+            places.setdefault(name, {})[i] = place
+    columns = []
+    for name, at in places.items():
+        if len(set(at.values())) == 1 and len(at) == len(groups):  # at one place in every run
+            columns.append(F.col(f"_c{at[0]}").alias(name))
+            continue
+        value = F.when(F.lit(False), F.lit(None).cast("string"))
+        for i, place in at.items():
+            value = value.when(F.col("_header") == i, F.col(f"_c{place}"))
+        columns.append(value.alias(name))
+    return rows.select(*columns, F.substring(F.substring_index("run", "/", -1), len(_RUN) + 1, 1 << 30).alias("run_ts"))
 
 
 def _stream_batches(spark: SparkSession, raw_dir: str, checkpoint_dir: str, files_per_batch: int,
@@ -73,7 +83,7 @@ def _stream_batches(spark: SparkSession, raw_dir: str, checkpoint_dir: str, file
     places = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width)])
     stream = (spark.readStream.schema(places).options(**CSV_OPTIONS).option("enforceSchema", "true")
               .option("maxFilesPerTrigger", int(files_per_batch)).csv(f"{raw_dir.rstrip('/')}/*")
-              .withColumn("run", F.regexp_extract(F.col("_metadata.file_path"), _RUN, 1)))
+              .withColumn("run", F.expr("left(_metadata.file_path, length(_metadata.file_path) - length(substring_index(_metadata.file_path, '/', -1)) - 1)")))
     known = threading.Event()
     ids: list[str] = []
 

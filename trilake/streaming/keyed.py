@@ -24,10 +24,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trilake.operators.dedupe import best_per_key
-from trilake.session import shared_dir
+from trilake.session import known_bytes, shared_dir
 from trilake.sources.versions import Conflict, Version, Zone
 
 BUCKETS = 64
+#: Bytes of Parquet that a task of a merge sorts; a larger bucket is dealt to several tasks.
+TASK_BYTES = 16 << 20
 _OWN = ("_bucket", "_new", "_kind")
 
 
@@ -115,20 +117,29 @@ class KeyedTable:
             return self.zone.commit(base, base.tables if base else {}, meta)
         schema = _with_schema(meta["schema"], batch.schema)
         meta["schema"] = schema.jsonValue()
-        sides = new.withColumn("_new", F.lit(True))
+        sides, size = new.withColumn("_new", F.lit(True)), known_bytes(new)
         if base is not None:
-            old = self._read(base, touched).withColumns({"_new": F.lit(False), "_bucket": bucket})
-            sides = old.unionByName(sides, allowMissingColumns=True)
+            old = self._read(base, touched)
+            size += known_bytes(old)
+            sides = old.withColumns({"_new": F.lit(False), "_bucket": bucket}).unionByName(sides, allowMissingColumns=True)
         missing = {f.name: F.lit(None).cast(f.dataType) for f in schema.fields if f.name not in sides.columns}
         sides = sides.withColumns(missing) if missing else sides
-        # dealt by bucket once: the window and the files need nothing else
-        sides = sides.repartition(max(1, min(len(touched), int(self.spark.conf.get("spark.sql.shuffle.partitions")))), "_bucket")
-        ties = sorted(set(schema.names) - {self.key} - set(self.order))
-        by = [F.col(c).desc_nulls_last() for c in [*self.order, *ties] if c in schema.names]
-        group = Window.partitionBy("_bucket", self.key).orderBy(*by, F.col("_new").asc())  # an equal row brings nothing new
-        placed = sides.withColumn("_place", F.row_number().over(group))
-        kept = placed.where((F.col("_place") == 1) | ~F.col("_new")).withColumn(
-            "_kind", F.when(F.col("_place") == 1, "current").otherwise("replaced")).drop("_place")
+        # dealt once, by bucket and, in large buckets, by slices of their keys: the window and
+        # the files need nothing else
+        slices = max(1, -(-size // (len(touched) * TASK_BYTES)))
+        part = F.pmod(F.xxhash64(F.lit("slice"), self.key), F.lit(slices)) if slices > 1 else F.lit(0).cast("long")
+        tasks = max(1, min(len(touched), int(self.spark.conf.get("spark.sql.shuffle.partitions"))), slices * len(touched) if slices > 1 else 1)
+        sides = sides.withColumn("_slice", part).repartition(tasks, "_bucket", "_slice")
+        if base is None:  # one row for each key already
+            kept = sides.withColumn("_kind", F.lit("current"))
+        else:
+            ties = sorted(set(schema.names) - {self.key} - set(self.order))
+            by = [F.col(c).desc_nulls_last() for c in [*self.order, *ties] if c in schema.names]
+            group = Window.partitionBy("_bucket", "_slice", self.key).orderBy(*by, F.col("_new").asc())  # an equal row brings nothing new
+            placed = sides.withColumn("_place", F.row_number().over(group))
+            kept = placed.where((F.col("_place") == 1) | ~F.col("_new")).withColumn(
+                "_kind", F.when(F.col("_place") == 1, "current").otherwise("replaced")).drop("_place")
+        kept = kept.drop("_slice")
         folder = f"data/run_{uuid.uuid4().hex[:12]}"
         kept.write.partitionBy("_kind", "_bucket").parquet(f"{self.zone.root}/{folder}")
         gone = set(touched)
