@@ -269,3 +269,28 @@ def test_curated_answers_are_equal_at_any_partitioning(spark):
             Q.ratings_correlations(m, r), Q.ratings_vs_revenue_sample(m, r, n=100, mode="hash"), Q.review_means(r))]
 
     assert answers(4) == answers(64)
+
+
+def test_joins_of_large_tables_are_dealt_by_their_size(spark, tmp_dir, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from trilake.operators import joins
+    from trilake.plans.questions import revenue_by_genre
+    from trilake.plans.trusted import genre_bridge
+    titles = spark.range(5000).select(F.col("id").alias("tmdb_id"), (F.col("id") + 1).cast("decimal(18,2)").alias("revenue_usd"),
+                                      (F.col("id") * 2).cast("decimal(18,2)").alias("revenue_cop"),
+                                      F.when(F.col("id") % 2 == 0, "drama, noir, drama").otherwise("comedy").alias("genres"))
+    titles.write.parquet(f"{tmp_dir}/titles")
+    stored = spark.read.parquet(f"{tmp_dir}/titles")
+    want = [tuple(r) for r in revenue_by_genre(stored, genre_bridge(stored)).collect()]
+    size = joins.known_bytes(stored)
+    tasks = spark.sparkContext.defaultParallelism + 9
+    dealt = joins.dealt_alike("tmdb_id", stored, stored, task_bytes=-(-2 * size // tasks))
+    assert all(f.rdd.getNumPartitions() > spark.sparkContext.defaultParallelism for f in dealt)
+    assert joins.dealt_alike("tmdb_id", stored, task_bytes=size) == [stored]
+    unsized = spark.createDataFrame([(1,)], "tmdb_id long")
+    assert joins.dealt_alike("tmdb_id", unsized) == [unsized]
+    monkeypatch.setattr(joins, "JOIN_TASK_BYTES", 64)
+    answer = revenue_by_genre(stored, genre_bridge(stored))
+    assert "REPARTITION_BY_NUM" in answer._jdf.queryExecution().toString()
+    assert [tuple(r) for r in answer.collect()] == want and len(want) == 3

@@ -10,12 +10,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from trilake.operators.joins import dealt_alike
 from trilake.plans import questions as Q
 from trilake.plans import questions_sql as QS
 from trilake.session import size_shuffle_for
 from trilake.sources.parquet import read_tables, show_top
 from trilake.sources.versions import Zone
-from trilake.sources.views import register_trusted
+from trilake.sources.views import register_trusted, register_views
 
 CURATED = ("revenue_by_genre", "top_actors_rentables", "revenue_by_year", "roi_by_director",
            "ratings_correlations", "ratings_vs_revenue_sample")
@@ -61,8 +62,10 @@ def sql_questions(spark: SparkSession, trusted_prefix: str | None = None,
     """S11 + Q1-Q5: register the trusted views (unless ``views`` are given) and return
     the five SQL answers as DataFrames."""
     v = views or register_trusted(spark, trusted_prefix)
+    joined = ("movies", "movie_genres")
+    dealt = register_views(dict(zip(joined, dealt_alike("tmdb_id", *[spark.table(v[n]) for n in joined]))), prefix="dealt_")
     return {
-        "q1_genre_revenue": spark.sql(QS.q1_genre_revenue(v=v)),
+        "q1_genre_revenue": spark.sql(QS.q1_genre_revenue(v=v | dealt)),
         "q2_profitable_actors": spark.sql(QS.q2_profitable_actors(v=v)),
         "q3_revenue_by_year_rate": spark.sql(QS.q3_revenue_by_year_rate(v=v)),
         "q4_director_roi_fx": spark.sql(QS.q4_director_roi_fx(code=code, v=v)),
