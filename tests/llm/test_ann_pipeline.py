@@ -131,6 +131,38 @@ def test_only_pairs_with_a_new_neighbour_are_compared(spark):
     assert {(r.a, r.b) for r in joined(near, 6).collect()} == {(i, 5) for i in range(5)} | {(5, i) for i in range(5)}
 
 
+def test_lists_are_cut_by_windows(spark):
+    """No Python stage cuts lists or adjacency, and they are those of the plain cut."""
+    from trilake.llm import ann
+    rng = random.Random(17)
+    own = {(a, b): ((a * b + a + b) % 40 / 40, rng.randrange(2)) for a in range(60) for b in rng.sample(range(60), 9) if a != b}
+    own |= {(a, 60): (0.9, a % 2) for a in range(60)}  # many choose this one
+    one = [(a, b, s, new) for (a, b), (s, new) in own.items()]
+    again = [(a, b, s, 1) for a, b, s, _ in one[::2]]
+    frame = lambda rows: spark.createDataFrame(rows, ann._EDGES).repartition(5)
+
+    def plain(rows, n):
+        a, b, s, new = (np.array(c) for c in zip(*rows))
+        return sorted(zip(*(x.tolist() for x in ann._best(a, b, s, new, n))))
+
+    turned = [(b, a, s, new) for a, b, s, new in one]
+    for got, want in ((ann._top(frame(one + again), 4), plain(one + again, 4)), (ann._adjacency(frame(one), 5), plain(one + turned, 5))):
+        assert "Arrow" not in got._jdf.queryExecution().toString()
+        assert sorted(tuple(r) for r in got.collect()) == want
+
+
+def test_search_opens_the_entry_nodes_at_once(spark, monkeypatch):
+    from trilake.llm import ann
+    table = spark.createDataFrame([(i, [float(np.cos(i / 9)), float(np.sin(i / 9))], 0) for i in range(9)], VECTORS)
+    nodes, _ = nodes_of(clean_vectors(table))
+    star = spark.createDataFrame([(0, i, 0.5, 0) for i in range(1, 9)], "a long, b long, s double, new int")
+    entry = nodes.where("a = 0").selectExpr("a as query", "q", "scale", "array(0L) as entry")
+    written, write = [], ann.materialise
+    monkeypatch.setattr(ann, "materialise", lambda df, name: (written.append(name), write(df, name))[1])
+    assert {r.b for r in search(nodes, star, entry).collect()} == set(range(9))
+    assert written.count("beam") == 2
+
+
 def test_search_in_many_small_blocks(spark):
     from trilake.llm import ann
     x = np.random.default_rng(13).standard_normal((900, 16)).astype(np.float32)

@@ -13,15 +13,16 @@
    last round's first, and vectors are sent only to nodes that have a new neighbour. (Of two
    old ones the pair was compared before, and what a list asks for only rises, so it would
    be refused again.) Rounds end when few list entries are new; there is no fixed number.
-4. Search: a query starts at its own node or given entry nodes. In each round all nodes of
-   its beam that it has not opened yet are opened: their neighbours are scored, and the
-   ``beam`` closest stay. It ends when all nodes in every beam are opened. Scoring is done
+4. Search: a query starts at its own node or given entry nodes and their neighbours. In each
+   round all nodes of its beam that it has not opened yet are opened: their neighbours are
+   scored, and the ``beam`` closest stay. It ends when all nodes in every beam are opened. Scoring is done
    in blocks of nodes (at most ``SEARCH_BYTES`` of vectors each, more blocks for more
    nodes), so a node's vector moves once a round.
 5. The best nodes' members (the smallest ids of each) are scored exactly and ranked.
 
 A node that many choose is cut to its closest in every task before it is shuffled; the
-lists it leaves are still in the other nodes' own. All rows are indexed.
+lists it leaves are still in the other nodes' own. All rows are indexed. Lists are cut by
+windows; only what compares vectors runs in Python, one stage a round.
 
 Cases: vectors that are null, zero, or hold null or non-finite components take no part, nor
 do rows without an id; of rows that share an id the smallest vector counts; vectors whose
@@ -31,10 +32,12 @@ asked for: all; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Observation, Window, functions as F
 
 from .common import materialise, whole_groups
 
@@ -85,29 +88,30 @@ def _edge_batch(a, b, s, new=None):
                                       names=["a", "b", "s", "new"])
 
 
-def _top(edges: DataFrame, n: int) -> DataFrame:
-    """(a, b, s, new): the n best of each a; cut in every task before the shuffle."""
+def _cut(parts, n: int):
+    """Batches of the n best of each a in edges (a, b, s, new) that a task makes bit by bit."""
+    held, rows = [], 0
+    for part in parts:
+        held.append(part)
+        rows += len(part[0])
+        if rows >= 500_000:
+            yield _edge_batch(*_best(*(np.concatenate(c) for c in zip(*held)), n))
+            held, rows = [], 0
+    if rows:
+        yield _edge_batch(*_best(*(np.concatenate(c) for c in zip(*held)), n))
 
-    def cut(batches):
-        for t in whole_groups(batches, ["a"], 200_000):
-            yield _edge_batch(*_best(*(t.column(c).to_numpy() for c in ("a", "b", "s", "new")), n))
 
-    def cut_unsorted(batches):
-        held, rows = [], 0
-        for b in batches:
-            held.append(b)
-            rows += b.num_rows
-            if rows >= 500_000:
-                t = pa.Table.from_batches(held)
-                out = _edge_batch(*_best(*(t.column(c).to_numpy() for c in ("a", "b", "s", "new")), n))
-                held, rows = [], 0
-                yield out
-        if rows:
-            t = pa.Table.from_batches(held)
-            yield _edge_batch(*_best(*(t.column(c).to_numpy() for c in ("a", "b", "s", "new")), n))
+def _best_pairs(edges: DataFrame, n: int) -> DataFrame:
+    """``_best`` of edges that are dealt out by a."""
+    old = F.max(F.when(F.col("new") == 0, F.col("s")))
+    once = edges.groupBy("a", "b").agg(F.coalesce(old, F.max("s")).alias("s"), F.min("new").alias("new"))
+    place = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("s"), "b"))
+    return once.withColumn("_place", place).where(F.col("_place") <= n).select("a", "b", "s", "new")
+
 
-    partly = edges.select("a", "b", "s", "new").mapInArrow(cut_unsorted, _EDGES)
-    return partly.repartition("a").sortWithinPartitions("a").mapInArrow(cut, _EDGES)
+def _top(edges: DataFrame, n: int) -> DataFrame:
+    """(a, b, s, new): the n best of each a."""
+    return _best_pairs(edges.select("a", "b", "s", "new").repartition("a"), n)
 
 
 # -- vectors ---------------------------------------------------------------------------
@@ -192,7 +196,7 @@ def _local_joins(near: DataFrame, degree: int) -> DataFrame:
     """Better edges among each owner's neighbours, at least one of a pair new: near has owner,
     a, new, q, scale, least."""
 
-    def join(batches):
+    def compare(batches):
         for t in whole_groups(batches, ["owner"], 16_384):
             owner, a, fresh, least = (t.column(c).to_numpy() for c in ("owner", "a", "new", "least"))
             x = _vectors(t.column("q"), t.column("scale"))
@@ -212,14 +216,18 @@ def _local_joins(near: DataFrame, degree: int) -> DataFrame:
                 p, i, j = np.nonzero(better)
                 out.append((a[at[p, i]], a[at[p, j]], s[p, i, j]))
             a, b, s = (np.concatenate(c) for c in zip(*out))
-            yield _edge_batch(*_best(a, b, s, np.ones(len(a), np.int32), degree))
+            yield _best(a, b, s, np.ones(len(a), np.int32), degree)
 
-    return near.select("owner", "a", "new", "q", "scale", "least").repartition("owner").sortWithinPartitions("owner").mapInArrow(join, _EDGES)
+    return near.select("owner", "a", "new", "q", "scale", "least").repartition("owner").sortWithinPartitions("owner").mapInArrow(
+        lambda batches: _cut(compare(batches), degree), _EDGES)
 
 
 def _adjacency(graph: DataFrame, width: int) -> DataFrame:
-    """The ``width`` closest neighbours of each node, in either direction."""
-    return _top(graph.union(graph.select(F.col("b").alias("a"), F.col("a").alias("b"), "s", "new")), width)
+    """The ``width`` closest neighbours of each node, in either direction. A pair stands in the
+    union at most twice, so no task passes on more than twice as many of a node."""
+    both = graph.select("a", "b", "s", "new").union(graph.select(F.col("b").alias("a"), F.col("a").alias("b"), "s", "new"))
+    place = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("s"), "b", "new"))
+    return _best_pairs(both.withColumn("_place", place).where(F.col("_place") <= 2 * width).drop("_place"), width)
 
 
 def _who_is_new(around: DataFrame, met: DataFrame | None) -> DataFrame:
@@ -301,18 +309,23 @@ def search(nodes: DataFrame, graph: DataFrame, entries: DataFrame, beam: int = B
             "block", "a", "q", "scale", F.coalesce("least", F.lit(-2.0)).alias("least"), "cand")
         return by_block.groupBy("block").cogroup(place.groupBy("block")).applyInArrow(scores, _EDGES)
 
+    def opened(pairs: DataFrame) -> DataFrame:
+        return pairs.join(around.withColumnRenamed("a", "b"), "b").select("a", F.explode("around").alias("b"))
+
+    def beams(edges: DataFrame) -> tuple[DataFrame, int]:
+        seen = Observation(f"beam-{uuid.uuid4().hex}")
+        out = materialise(_top(edges, beam).observe(seen, F.count_if(F.col("new") == 1).alias("new")), "beam")
+        return out, seen.get["new"]
+
+    # the entry nodes are scored and opened at once
     first = entries.select(F.col("query").alias("a"), F.explode("entry").alias("b"))
     none = spark.createDataFrame([], "a long, least double")
-    found = materialise(_top(score(first, none), beam), "beam")
-    while True:
-        front = found.where("new = 1").select("a", "b")
-        if not front.limit(1).count():
-            break
-        reach = front.join(around.withColumnRenamed("a", "b"), "b").select("a", F.explode("around").alias("b"))
+    found, new = beams(score(first.union(opened(first)), none))
+    while new:
+        reach = opened(found.where("new = 1").select("a", "b"))
         least = found.groupBy("a").agg(F.when(F.count(F.lit(1)) >= beam, F.min("s")).alias("least"))
         # every node that was in the beam has been opened by now
-        opened = found.withColumn("new", F.lit(0))
-        found = materialise(_top(opened.union(score(reach, least)), beam), "beam")
+        found, new = beams(found.withColumn("new", F.lit(0)).union(score(reach, least)))
     return found.select(F.col("a").alias("query"), "b", "s")
 
 
