@@ -58,6 +58,27 @@ def test_chunked_ids_equal_whole_ids(text):
         tok.encode(text, add_special_tokens=False).ids
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(st.sampled_from(" \n\t\x1caZHK9'sséÉ×\u0301\u0331.,=<|>endoftxΣİ한"), max_size=40), max_size=5))
+def test_encoded_texts_equal_whole_texts(texts):
+    import pyarrow as pa
+    from trilake.llm.packing import _encode
+    tok = Tokenizer.from_file(WORD)
+    whole = [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    ids, ends = _encode(pa.array(texts, pa.string()), WORD)
+    assert [len(x) for x in whole] == [int(b - a) for a, b in zip([0, *ends], ends)]
+    assert ids.tolist() == [i for x in whole for i in x]
+
+
+def test_words_are_encoded_once_whatever_their_case_and_stops():
+    import pyarrow as pa
+    from trilake.llm.packing import _chunks
+    chunks, stops = _chunks(pa.array(["Thé Word, wOrd. WORD", None, "word9 Don't\nTHÉ. H\u0331, <|endoftext|> x<|X|>,"]))
+    assert chunks.to_pylist() == ["thé", "word", ",", "word", ".", "word", "word", "9", "don", "'t", "thÉ", ".", "H\u0331,",
+                                  "<|endoftext|>", "x<|X|>,"]
+    assert stops.tolist() == [6, 6, 15]
+
+
 def check_packing(rows, got, capacity):
     tok = Tokenizer.from_file(WORD)
     want, lengths = [], []

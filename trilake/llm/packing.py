@@ -1,9 +1,10 @@
 """Best-fit packing of token pieces into sequences.
 
 1. ``token_pieces`` encodes every text once and cuts only documents longer than the
-   capacity. A text is a run of blanks-separated chunks (this tokenizer drops white space
-   and never joins across it), so each task encodes a block's distinct chunks once and
-   gathers the texts' ids from theirs.
+   capacity. A text is a run of chunks, lower-cased words and what stands between them (this
+   tokenizer lower-cases, drops white space and never joins across it or from a letter to a
+   stop), so each task encodes a block's distinct chunks once and gathers the texts' ids from
+   theirs.
 2. ``pack`` range-sorts the pieces by length over the cluster. Equal lengths are one run of
    ranks and equal gaps one run of sequences, so pieces and gaps are at most about
    ``capacity`` rows each, however many documents there are.
@@ -32,10 +33,9 @@ from bisect import bisect_left, insort
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Observation, Window, functions as F
 
-from .common import materialise, range_sorted, text_blocks
+from .common import materialise, range_sorted, text_blocks, utf8
 
 #: Distinct chunks that a Python worker remembers; beyond it starts anew (no effect on results).
 CACHE_ENTRIES = 1 << 20
@@ -86,11 +86,47 @@ def _ids(text: str, path: str) -> bytes:
     return _encode(pa.array([text], pa.string()), path)[0].tobytes()
 
 
+def _chunks(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """(the texts' chunks one after the other, where each text ends). Chunks end at blanks and
+    line ends and where an ASCII character that is no letter follows a letter: this tokenizer
+    ends a token there in any case. A-Z is lower-cased unless a byte from 0xCC on follows: those
+    begin the characters (combining marks are among them) that the tokenizer may join with a
+    letter before it lower-cases. What could hold a special token stays as it is."""
+    raw, offsets = utf8(texts)
+    n = len(raw)
+    blank = (raw == 32) | (raw == 10)
+    upper = raw - np.uint8(65) < 26
+    letter = upper | (raw - np.uint8(97) < 26)
+    after = letter.copy()  # the last byte of a letter; 0xC3 begins U+00C0 to U+00FF
+    after[1:] |= (raw[:-1] == 0xC3) & (raw[1:] != 0x97) & (raw[1:] != 0xB7)
+    cut = (raw > 32) & (raw < 127) & ~letter
+    cut[1:] &= after[:-1]
+    cut[:1] = False
+    upper[:-1] &= raw[1:] < 0xCC
+    if n > 1 and (special := np.flatnonzero((raw[:-1] == 60) & (raw[1:] == 124))).size:  # <|
+        part = blank.copy()
+        part[offsets[:-1][offsets[:-1] < n]] = True
+        part = np.cumsum(part)
+        plain = ~np.isin(part, part[special])
+        cut &= plain
+        upper &= plain
+    full = ~blank
+    start = full.copy()
+    start[1:] &= blank[:-1] | cut[1:]
+    edge = offsets[:-1][offsets[:-1] < n]
+    start[edge] = full[edge]
+    kept = (raw + (upper.view(np.uint8) << np.uint8(5)))[full]
+    first = np.flatnonzero(start[full]).astype(np.int32)
+    chunks = pa.StringArray.from_buffers(len(first), pa.py_buffer(np.append(first, np.int32(len(kept)))), pa.py_buffer(kept))
+    at = np.flatnonzero(start)
+    return chunks, np.searchsorted(at, offsets[1:])
+
+
 def _encode(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all texts one after the other, where each text ends). Distinct chunks are
     encoded once and their ids gathered."""
-    chunks = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
-    coded = chunks.flatten().dictionary_encode()
+    chunks, stops = _chunks(texts)
+    coded = chunks.dictionary_encode()
     words = coded.dictionary.to_pylist()
     known = chunk_ids(set(words), path)
     each = [known[w] for w in words]
@@ -101,8 +137,7 @@ def _encode(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     length = size[code]
     ends = np.cumsum(length)
     ids = flat[np.repeat(first[code] - (ends - length), length) + np.arange(int(ends[-1]) if len(ends) else 0)]
-    stops = np.cumsum(chunks.value_lengths().to_numpy())
-    return ids, np.where(stops > 0, np.concatenate([[0], ends])[stops], 0)
+    return ids, np.concatenate([[0], ends])[stops]
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0,
