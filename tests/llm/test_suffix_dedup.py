@@ -147,6 +147,27 @@ def test_digests_are_those_of_the_bytes():
     assert got[0] == got[1] and len(set(got)) == 4
 
 
+def test_sorting_holds_few_bytes_at_a_time(monkeypatch):
+    """A sweep's arrays take about 100 bytes for each byte sorted: 2 MB of segments are sorted in
+    several sweeps, and all repeats are found."""
+    import numpy as np
+    import pyarrow as pa
+    from trilake.llm import suffix_dedup
+    text = np.random.default_rng(3).integers(97, 123, 300_000).astype(np.uint8).tobytes()
+    rows = []
+    for key in range(8000):  # a string of 100 bytes in two segments that differ
+        at = 31 * key
+        rows += [(key, 2 * key, 0, 0, 30, 10, 42, text[at:at + 130]), (key, 2 * key + 1, 0, 0, 30, 10, 42, text[at:at + 120] + b"-" * 10)]
+    names = ("key", "did", "th", "lo", "hi", "c0", "c1", "bytes")
+    batch = pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if n == "bytes" else pa.int64()) for n, c in zip(names, zip(*rows))], names=names)
+    swept, sort = [], suffix_dedup.sorted_repeats
+    monkeypatch.setattr(suffix_dedup, "sorted_repeats",
+                        lambda buckets, length: (swept.append(sum(len(r[7]) for rows in buckets for r in rows)), sort(buckets, length))[1])
+    got = [r for b in suffix_dedup._sort(100, 100)([batch]) for r in b.to_pylist()]
+    assert sum(swept) == 2_080_000 and max(swept) <= (1 << 19) + 260
+    assert sorted((r["did"], r["lo"], r["hi"]) for r in got) == [(2 * key + 1, 0, 20) for key in range(8000)]
+
+
 def test_texts_after_removal(spark):
     rows = corpus()
     out = remove_repeats(frame(spark, rows, extra=True))

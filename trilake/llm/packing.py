@@ -39,6 +39,9 @@ from .common import materialise, range_sorted, text_blocks, utf8
 
 #: Distinct chunks that a Python worker remembers; beyond it starts anew (no effect on results).
 CACHE_ENTRIES = 1 << 20
+#: The same where ids are remembered: about 200 bytes each, which the worker keeps while it runs
+#: other stages.
+IDS_ENTRIES = 1 << 19
 #: Characters of a text from which on it is encoded in parts.
 LONG = 1 << 22
 _ENCODERS: dict = {}
@@ -58,7 +61,7 @@ def chunk_ids(chunks: set, path: str) -> dict:
     """chunk -> its ids as little-endian unsigned 32-bit bytes, for at least these chunks."""
     tokenizer, known = encoder(path, "ids")
     new = [c for c in chunks if c not in known]
-    if len(known) + len(new) > CACHE_ENTRIES:
+    if len(known) + len(new) > IDS_ENTRIES:
         known.clear()
         new = list(chunks)
     at, size = 0, 0

@@ -63,8 +63,8 @@ SAMPLE_ONE_IN = 1000
 SAMPLE_DOCS = 2000
 HOT_CONTENTS = 20
 HOT_ANCHORS = 1 << 20
-#: Bytes that a task suffix-sorts at a time (whole anchors).
-SORT_BYTES = 1 << 21
+#: Bytes that a task suffix-sorts at a time (whole anchors); each takes about 100 bytes of memory.
+SORT_BYTES = 1 << 19
 NO_ID = -(1 << 63)
 _INDEX = np.uint64((1 << 24) - 1)
 _INVERSE = np.uint64(pow(int(MULT), -1, 1 << 64))
