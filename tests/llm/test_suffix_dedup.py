@@ -168,6 +168,46 @@ def test_sorting_holds_few_bytes_at_a_time(monkeypatch):
     assert sorted((r["did"], r["lo"], r["hi"]) for r in got) == [(2 * key + 1, 0, 20) for key in range(8000)]
 
 
+def test_tasks_begin_without_what_other_operators_remember(spark, monkeypatch):
+    """A worker comes from other stages: every task of this one drops their memory."""
+    from pyspark.sql.classic.dataframe import DataFrame
+    from trilake.llm import packing
+    tasks, plain = [], DataFrame.mapInArrow
+    monkeypatch.setattr(DataFrame, "mapInArrow", lambda df, task, *a, **b: (tasks.append(task), plain(df, task, *a, **b))[1])
+    docs = frame(spark, corpus())
+    repeat_report(docs, split_rows=6, task_rows=3), remove_repeats(docs)
+    assert len(tasks) >= 10
+    for task in tasks:
+        packing._ENCODERS["vocabulary", "ids"] = (None, {"chunk": b"1234"})
+        assert sum(b.num_rows for b in task(iter(()))) == 0
+        assert not packing._ENCODERS
+
+
+def test_a_bucket_is_settled_in_few_copies():
+    """numpy's memory for a bucket of a million segments, 53 bytes each, half of them repeats."""
+    import tracemalloc
+
+    import pyarrow as pa
+    n = 1_000_000
+    rng = np.random.default_rng(6)
+    h = rng.integers(0, n // 4, n // 2).astype(np.int32)
+    content = rng.integers(0, 1 << 62, n // 2)
+    columns = [np.arange(n), np.arange(n), np.zeros(n, np.int64), np.full(n, 30), np.full(n, 10, np.int8),
+               np.tile(h, 2), np.tile(content, 2), np.tile(content + 1, 2)]
+    lists = [pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), pa.array(c)) for c in columns]
+    batch = pa.RecordBatch.from_arrays([pa.array([3], pa.int32()), *lists], names=["bucket", *suffix_dedup._LISTS])
+    tracemalloc.start()
+    later = several = 0
+    for b in suffix_dedup._settle(8)(iter([batch])):
+        later += b.column("key").null_count
+        several += b.num_rows - b.column("key").null_count
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    _, at, count = np.unique(h, return_inverse=True, return_counts=True)
+    assert later == n // 2 and several == int((count[at] > 1).sum())
+    assert peak < 115 * n
+
+
 def test_texts_after_removal(spark):
     rows = corpus()
     out = remove_repeats(frame(spark, rows, extra=True))

@@ -7,8 +7,10 @@ document and get one result each, rows that share only the doc_id stay apart.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -164,6 +166,45 @@ def sliding_min(keys: np.ndarray, w: int) -> np.ndarray:
     return out
 
 
+#: What operators remember in a Python worker from task to task.
+_remembered: list[dict] = []
+
+
+def remembered() -> dict:
+    """An empty memory for an operator's tasks; the ``lean`` tasks of others empty it."""
+    _remembered.append({})
+    return _remembered[-1]
+
+
+def _hand_back() -> None:
+    """Returns the memory that this process has freed to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
+def _forget() -> None:
+    for memory in _remembered:
+        memory.clear()
+    _hand_back()
+
+
+def lean(task: Callable) -> Callable:
+    """``task`` (batches in, batches out) that begins without what other operators remember in
+    its Python worker and leaves no freed memory there. Spark gives a worker to one stage after
+    the other, so whatever a stage leaves counts in all later ones."""
+    def run(batches):
+        _forget()
+        try:
+            yield from task(batches)
+        finally:
+            _hand_back()
+
+    return run
+
+
 def spark_of(df: DataFrame) -> SparkSession:
     return df.sparkSession
 

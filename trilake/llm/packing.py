@@ -35,16 +35,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, Window, functions as F
 
-from .common import materialise, range_sorted, text_blocks, utf8
+from .common import materialise, range_sorted, remembered, text_blocks, utf8
 
 #: Distinct chunks that a Python worker remembers; beyond it starts anew (no effect on results).
 CACHE_ENTRIES = 1 << 20
-#: The same where ids are remembered: about 200 bytes each, which the worker keeps while it runs
-#: other stages.
+#: The same where ids are remembered: about 200 bytes each.
 IDS_ENTRIES = 1 << 19
 #: Characters of a text from which on it is encoded in parts.
 LONG = 1 << 22
-_ENCODERS: dict = {}
+_ENCODERS: dict = remembered()
 
 
 def encoder(path: str, use: str):

@@ -42,7 +42,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from .common import BYTE_HASH, MULT, document_key, fresh, materialise, mix, powers, sliding_min, text_blocks, utf8
+from .common import BYTE_HASH, MULT, document_key, fresh, lean, materialise, mix, powers, sliding_min, text_blocks, utf8
 from .suffix_order import suffix_order
 
 GRAM = 32
@@ -50,8 +50,10 @@ GRAM = 32
 STRETCH = 1 << 20
 #: Bytes of text whose segments a task pre-aggregates before it passes them on.
 GATHER_BYTES = 1 << 23
+#: Bytes of text that a task cuts into segments at a time; each takes about 100 bytes of memory.
+SCAN_BYTES = 1 << 18
 #: Bytes of text whose segments make a bucket; a task settles one bucket at a time.
-BUCKET_BYTES = 1 << 27
+BUCKET_BYTES = 1 << 24
 #: Different segments of an anchor above which the cluster splits it, and in a task.
 SPLIT_ROWS = 20_000
 TASK_ROWS = 100
@@ -128,15 +130,19 @@ def segments(raw: np.ndarray, offsets: np.ndarray, length: int, k: int):
 
 
 def _repeats(h, content, digest, did, th, lo):
-    """Order by (anchor, content, occurrence), the first of each content, and which rows are
-    later occurrences than the first."""
+    """The rows (their numbers) by (anchor, content, occurrence), which of them are the first of
+    their content, and the numbers of later occurrences than the first."""
     order = np.lexsort((lo, th, did, digest, content, h))
-    h, content, digest, did, th, lo = (x[order] for x in (h, content, digest, did, th, lo))
-    fresh = np.concatenate([[True], (h[1:] != h[:-1]) | (content[1:] != content[:-1]) | (digest[1:] != digest[:-1])]) \
-        if len(h) else np.zeros(0, bool)
-    lead = np.maximum.accumulate(np.where(fresh, np.arange(len(h)), 0)) if len(h) else np.zeros(0, np.int64)
-    later = (did != did[lead]) | (th != th[lead]) | (lo != lo[lead])
-    return order, fresh, later
+    fresh = np.ones(len(order), bool)
+    fresh[1:] = False
+    for x in (h, content, digest):
+        x = x[order]
+        fresh[1:] |= x[1:] != x[:-1]
+    lead = order[np.maximum.accumulate(np.where(fresh, np.arange(len(order)), 0))] if len(order) else order
+    later = np.zeros(len(order), bool)
+    for x in (did, th, lo):
+        later |= x[order] != x[lead]
+    return order, fresh, order[later]
 
 
 def _join_ranges(did, th, lo, hi):
@@ -175,12 +181,12 @@ def hot_anchors(docs: DataFrame, length: int, k: int, text: str = "text", hot_co
     sample = document_key(sample if part == 1 else sample.sample(part, seed=7), text)
 
     def find(batches):
-        for block in text_blocks(batches, "text", 1 << 19):
+        for block in text_blocks(batches, "text", SCAN_BYTES):
             for (*_, h, content, _), _, _, _ in _stretches(block, length, k):
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(content.view(np.int64))],
                                                  names=["h", "content"])
 
-    n = sample.select("text").mapInArrow(find, "h long, content long").distinct().groupBy("h").agg(
+    n = sample.select("text").mapInArrow(lean(find), "h long, content long").distinct().groupBy("h").agg(
         F.count(F.lit(1)).alias("n")).where(F.col("n") >= hot_contents)
     rows = n.orderBy(F.desc("n"), "h").limit(HOT_ANCHORS).select("h").toPandas()["h"].to_numpy()
     return np.sort(rows.astype(np.int64).view(np.uint64))
@@ -210,27 +216,28 @@ def _scan(length: int, k: int, n_buckets: int, hot: np.ndarray = np.zeros(0, np.
 
     def emit(held):
         did, th, lo, hi, anchor, h, content, digest = (np.concatenate(x) for x in zip(*held))
+        held.clear()
         order, fresh, later = _repeats(h, content, digest, did, th, lo)
-        did, th, lo, hi, anchor, h, content, digest = (x[order] for x in (did, th, lo, hi, anchor, h, content, digest))
         # repeats inside these texts: settled here, without an anchor
         d, t, a, b = _join_ranges(did[later], th[later], lo[later], hi[later])
         for at in range(0, len(d), 1 << 16):
             s = slice(at, at + (1 << 16))
             none = np.zeros(0, np.int64)
             yield [pa.array([int(d[at] % n_buckets)], pa.int32())] + lists((d[s], t[s], a[s], b[s] - a[s], none, none, none, none))
-        did, th, lo, hi, anchor, h, content, digest = (x[fresh] for x in (did, th, lo, hi, anchor, h, content, digest))
-        bucket, h = _deal(h, content, n_buckets, hot)
-        order = np.lexsort((lo, th, did, bucket))  # occurrences of a text stand together
-        did, th, lo, hi, anchor, h, content, digest, bucket = (x[order] for x in (did, th, lo, hi, anchor, h, content, digest, bucket))
-        cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(h) else []
-        for a, b in zip(cut, np.append(cut[1:], len(h))):
+        first = order[fresh]
+        bucket, low = _deal(h[first], content[first], n_buckets, hot)
+        order = np.lexsort((lo[first], th[first], did[first], bucket))  # occurrences of a text stand together
+        first, bucket, low = first[order], bucket[order], low[order]
+        cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(first) else []
+        for a, b in zip(cut, np.append(cut[1:], len(first))):
+            x = first[a:b]
             yield [pa.array([int(bucket[a])], pa.int32())] + lists(
-                (did[a:b], th[a:b], lo[a:b], hi[a:b] - lo[a:b], anchor[a:b] - lo[a:b],
-                 h[a:b], content[a:b].view(np.int64), digest[a:b].view(np.int64)))
+                (did[x], th[x], lo[x], hi[x] - lo[x], anchor[x] - lo[x],
+                 low[a:b], content[x].view(np.int64), digest[x].view(np.int64)))
 
     def scan(batches):
         held, size = [], 0
-        for block in text_blocks(batches, "text", 1 << 19):
+        for block in text_blocks(batches, "text", SCAN_BYTES):
             did, th = block.column("did").to_numpy(), block.column("_th").to_numpy()
             for (text, first, last, anchor, h, content, digest), off, at, read in _stretches(block, length, k):
                 if len(text):
@@ -281,15 +288,28 @@ def _settle(n_buckets: int):
 
 def _settle_bucket(bucket: int, held: list[tuple], n_buckets: int):
     did, th, lo, span, anchor, h, content, digest = (np.concatenate(x) for x in zip(*held))
+    held.clear()
     salted = bucket >= n_buckets  # a hot anchor has other contents in other buckets
     key = -1 - h.astype(np.int64) if salted else np.int64(bucket << 32) | h.view(np.uint32).astype(np.int64)
     order, fresh, later = _repeats(key, content, digest, did, th, lo)
-    key, did, th, lo, span, anchor = (x[order] for x in (key, did, th, lo, span, anchor))
-    yield _rows(did[later], th[later], lo[later], (lo + span)[later])
-    new = np.concatenate([[True], key[1:] != key[:-1]])
-    contents = np.add.reduceat(fresh.astype(np.int64), np.flatnonzero(new))
-    many = fresh if salted else fresh & (contents[np.cumsum(new) - 1] > 1)
-    yield _rows(did[many], th[many], lo[many], (lo + span)[many], (lo + anchor)[many], key[many])
+    del content, digest
+    for x in _parts(later):
+        yield _rows(did[x], th[x], lo[x], lo[x] + span[x])
+    first = order[fresh]  # of each content, by anchor
+    if not salted:
+        sorted_key = key[first]
+        new = np.ones(len(first), bool)
+        new[1:] = sorted_key[1:] != sorted_key[:-1]
+        contents = np.diff(np.append(np.flatnonzero(new), len(first)))
+        first = first[np.repeat(contents > 1, contents)]
+    for x in _parts(first):
+        yield _rows(did[x], th[x], lo[x], lo[x] + span[x], lo[x] + anchor[x], key[x])
+
+
+def _parts(rows: np.ndarray):
+    """Row numbers, so many as a batch holds at a time."""
+    for at in range(0, len(rows), 1 << 16):
+        yield rows[at:at + (1 << 16)]
 
 
 def _rows(did, th, lo, hi, anchor=None, key=None):
@@ -443,9 +463,9 @@ def repeated_starts(docs: DataFrame, length: int = 100, k: int = GRAM, text: str
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     size = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_buckets = max(n, -(-size // BUCKET_BYTES))
-    dealt = own.mapInArrow(_scan(length, k, n_buckets, hot_anchors(docs, length, k, text, hot_contents)), _SCAN)
+    dealt = own.mapInArrow(lean(_scan(length, k, n_buckets, hot_anchors(docs, length, k, text, hot_contents))), _SCAN)
     dealt = dealt.repartition(n, "bucket").sortWithinPartitions("bucket")
-    settled = materialise(dealt.mapInArrow(_settle(n_buckets), _ROWS), "segments")
+    settled = materialise(dealt.mapInArrow(lean(_settle(n_buckets)), _ROWS), "segments")
     found = [settled.where("key is null").select("did", "th", "lo", "hi")]
 
     # the bytes of the differing segments
@@ -455,7 +475,7 @@ def repeated_starts(docs: DataFrame, length: int = 100, k: int = GRAM, text: str
         want["did"], want["th"], "text", "want")
 
     def fetch(batches):
-        for block in text_blocks(batches, "text", 1 << 22):
+        for block in text_blocks(batches):
             out: list[list] = [[] for _ in range(8)]
             for did, th, t, rows in zip(*(block.column(c).to_pylist() for c in ("did", "th", "text", "want"))):
                 data = t.encode()
@@ -467,7 +487,7 @@ def repeated_starts(docs: DataFrame, length: int = 100, k: int = GRAM, text: str
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, kinds)],
                                              names=["key", "did", "th", "lo", "hi", "c0", "c1", "bytes"])
 
-    rows = materialise(joined.mapInArrow(fetch, _SEGMENT), "segment-bytes")
+    rows = materialise(joined.mapInArrow(lean(fetch), _SEGMENT), "segment-bytes")
     while True:  # at most log2(length) times: each split halves what strings of an anchor do not share
         sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max(F.col("c1") - F.col("c0")).alias("shared"))
         hot = sizes.where((F.col("n") > split_rows) & (F.col("shared") < length)).select("key")
@@ -483,7 +503,7 @@ def repeated_starts(docs: DataFrame, length: int = 100, k: int = GRAM, text: str
                 columns = list(zip(*out)) or [[]] * 8
                 yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(columns, kinds)], names=b.schema.names)
 
-        parts = materialise(rows.join(hot, "key", "left_semi").select(rows.columns).mapInArrow(split, _SEGMENT), "segment-halves")
+        parts = materialise(rows.join(hot, "key", "left_semi").select(rows.columns).mapInArrow(lean(split), _SEGMENT), "segment-halves")
         place = F.struct("did", "th", "lo")
         least = parts.groupBy("key", F.md5("bytes").alias("_md5")).agg(F.min(place).alias("_first"))
         both = parts.withColumn("_md5", F.md5("bytes")).join(least, ["key", "_md5"]).withColumn("_own", place)
@@ -497,7 +517,7 @@ def repeated_starts(docs: DataFrame, length: int = 100, k: int = GRAM, text: str
 
 def _sort_segments(rows: DataFrame, length: int, task_rows: int) -> DataFrame:
     return rows.repartition("key").sortWithinPartitions("key").mapInArrow(
-        _sort(length, task_rows), _ROWS).select("did", "th", "lo", "hi")
+        lean(_sort(length, task_rows)), _ROWS).select("did", "th", "lo", "hi")
 
 
 # -- results ---------------------------------------------------------------------------
@@ -546,7 +566,7 @@ def repeat_report(docs: DataFrame, length: int = 100, text: str = "text", **how)
                 [block.column("doc_id")] + [pa.array(v, t) for v, t in zip(out, (pa.int64(),) * 3 + (pa.string(),))],
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    return joined.mapInArrow(report, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return joined.mapInArrow(lean(report), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def remove_repeats(docs: DataFrame, length: int = 100, text: str = "text", **how) -> DataFrame:
@@ -570,4 +590,4 @@ def remove_repeats(docs: DataFrame, length: int = 100, text: str = "text", **how
             columns[at] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return joined.mapInArrow(cut, schema)
+    return joined.mapInArrow(lean(cut), schema)
