@@ -8,7 +8,6 @@ document and get one result each, rows that share only the doc_id stay apart.
 from __future__ import annotations
 
 import ctypes
-import gc
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -178,7 +177,6 @@ def remembered() -> dict:
 
 def _hand_back() -> None:
     """Returns the memory that this process has freed to the system."""
-    gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
     if trim is not None:
@@ -186,9 +184,10 @@ def _hand_back() -> None:
 
 
 def _forget() -> None:
-    for memory in _remembered:
-        memory.clear()
-    _hand_back()
+    if any(_remembered):
+        for memory in _remembered:
+            memory.clear()
+        _hand_back()
 
 
 def lean(task: Callable) -> Callable:
